@@ -17,19 +17,23 @@ from pyspark.sql import functions as F
 from lakefold.functions.logtext import EVENT_START
 
 
-def events_of(text: Column, start_pattern: str = EVENT_START) -> Column:
-    """Array of ``struct(event_no, first_line, n_lines, event)`` for one text.
+def _start_lines(lines: Column, start_pattern: str) -> Column:
+    """1-based numbers of the lines that open an event (line 1 always does)."""
+    return F.filter(
+        F.sequence(F.lit(1), F.size(lines)),
+        lambda i: (i == 1) | F.element_at(lines, i).rlike(start_pattern),
+    )
+
 
-    Line 1 always opens an event (continuation lines before the first start
-    line form an event of their own).  ``event_no`` and ``first_line`` are
-    1-based; ``event`` is the lines joined by ``\\n``.
+def _events(lines: Column, starts: Column) -> Column:
+    """Array of ``struct(event_no, first_line, n_lines, event)``.
+
+    ``lines`` and ``starts`` must be column references: inside a lambda an
+    expression is re-evaluated for every element, so passing ``split(...)``
+    directly would split the text once per line.
     """
-    lines = F.split(text, "\n", -1)
     n = F.size(lines)
-    starts = F.filter(
-        F.sequence(F.lit(1), n),
-        lambda i: (i == 1) | F.element_at(lines, i).rlike(start_pattern),
-    )
+
     def one(s: Column, j: Column) -> Column:
         end = F.coalesce(F.try_element_at(starts, j + 2), n + 1)
         return F.struct(
@@ -38,17 +42,23 @@ def events_of(text: Column, start_pattern: str = EVENT_START) -> Column:
             (end - s).alias("n_lines"),
             F.array_join(F.slice(lines, s, end - s), "\n").alias("event"),
         )
+
     return F.transform(starts, one)
 
 
 def assemble_events(
     df: DataFrame, text_col: str, start_pattern: str = EVENT_START, keep: list[str] | None = None
 ) -> DataFrame:
-    """One row per assembled event: ``keep`` columns + event fields."""
+    """One row per assembled event: ``keep`` columns + ``event_no``,
+    ``first_line`` (1-based), ``n_lines`` and ``event`` (lines joined by
+    ``\\n``).  Continuation lines before the first start line form an
+    event of their own."""
     keep = list(keep or [c for c in df.columns if c != text_col])
-    return df.select(*keep, F.explode(events_of(F.col(text_col), start_pattern)).alias("__e")).select(
-        *keep, "__e.event_no", "__e.first_line", "__e.n_lines", "__e.event"
-    )
+    split = df.select(*keep, F.split(F.col(text_col), "\n", -1).alias("__lines"))
+    starts = split.select(*keep, "__lines", _start_lines(F.col("__lines"), start_pattern).alias("__starts"))
+    return starts.select(
+        *keep, F.explode(_events(F.col("__lines"), F.col("__starts"))).alias("__e")
+    ).select(*keep, "__e.event_no", "__e.first_line", "__e.n_lines", "__e.event")
 
 
 def read_log_files(spark, path_glob: str, start_pattern: str = EVENT_START) -> DataFrame:

@@ -19,6 +19,8 @@ from lakefold.functions import clean
 from lakefold.operators.dedup import distinct_rows, purge_duplicates
 from lakefold.operators.hierarchy import label_hierarchy
 from lakefold.operators.merge import merge
+from lakefold.session import stage
+from lakefold.sources.silver import SilverTable
 
 # Silver column lists, keys and refreshed columns per dataset.
 NEWS_COLUMNS = ["publish_date", "publisher", "title", "url", "description", "keyword"]
@@ -88,9 +90,26 @@ def merge_batch(spec: DatasetSpec, target: DataFrame, batch: DataFrame) -> DataF
     return merge(target, batch, spec.keys, update=spec.update, insert="all")
 
 
-def run(spec: DatasetSpec, bronze: DataFrame, silver: DataFrame | None = None) -> DataFrame:
-    """Transform ``bronze`` and merge it into ``silver`` (the current
-    table, or None on the first run).  Returns the new table."""
-    batch = spec.transform(bronze)
-    target = batch if silver is None else silver
-    return merge_batch(spec, target, batch)
+def fold(spec: DatasetSpec, target: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """Merge a transformed batch into ``target``; ``None`` is the first run,
+    where the table is created from the batch and the batch is then merged
+    into it (keyed rows match themselves, null-key rows are inserted again)."""
+    return merge_batch(spec, batch if target is None else target, batch)
+
+
+def apply(spec: DatasetSpec, bronze: DataFrame, silver: DataFrame | None = None) -> DataFrame:
+    """Transform + merge as one lazy plan (no writes)."""
+    return fold(spec, silver, spec.transform(bronze))
+
+
+def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, batch_id: int | None = None) -> int:
+    """R9, the batch job body: transform ``bronze``, merge it into the
+    current version of ``table`` and commit the result as a new version.
+
+    The transformed batch feeds several actions (size check, cardinality
+    guard, joins), so it is staged once as parquet in the shared checkpoint
+    folder instead of being recomputed from Bronze for each of them.
+    """
+    batch = stage(spec.transform(bronze), f"{spec.name}-batch")
+    target = table.read() if table.exists() else None
+    return table.write(fold(spec, target, batch), batch_id=batch_id)

@@ -22,7 +22,7 @@ from lakefold.operators import dedup, ingest, merge as m
 from lakefold.operators.multiline import assemble_events
 from lakefold.plans import datasets, derived
 from lakefold.plans.derived import table
-from lakefold.session import scratch_path
+from lakefold.session import scratch_path, stage
 from lakefold.sinks.bronze import land_bronze
 from lakefold.sources.catalog import register_table
 from lakefold.sources.files import all_string_schema, read_source
@@ -121,7 +121,8 @@ def month_period(spark, sf_dir):
 
 
 def hierarchy_label(spark, sf_dir):
-    return datasets.census_transform(derived.census_bronze(spark, sf_dir, "DT_1"))
+    bronze = stage(derived.census_bronze(spark, sf_dir, "DT_1"), "census_bronze")
+    return datasets.census_transform(bronze)
 
 
 def lookback_window(spark, sf_dir):
@@ -241,18 +242,23 @@ def schema_evolution(spark, sf_dir):
 # -- dataset runs ------------------------------------------------------------------
 
 
-def _two_runs(spec, first: DataFrame, second: DataFrame) -> DataFrame:
-    return datasets.run(spec, second, datasets.run(spec, first))
+def _two_runs(spark, spec, first: DataFrame, second: DataFrame) -> DataFrame:
+    """Two scheduled runs into a fresh Silver table; the second run reads the
+    first run's committed version."""
+    st = SilverTable(spark, scratch_path(spark, f"silver_{spec.name}"))
+    datasets.run(spec, first, st)
+    datasets.run(spec, second, st)
+    return st.read()
 
 
 def run_dataset_news(spark, sf_dir):
     first, second = derived.news_runs(spark, sf_dir)
-    return _two_runs(datasets.NEWS, first, second)
+    return _two_runs(spark, datasets.NEWS, first, second)
 
 
 def run_dataset_air(spark, sf_dir):
     first, second = derived.air_runs(spark, sf_dir)
-    out = _two_runs(datasets.AIR, first, second)
+    out = _two_runs(spark, datasets.AIR, first, second)
     return out.withColumns(
         {"dataTime": _ntz(F.col("dataTime")), **{c: F.col(c).cast("double") for c in datasets.AIR_FLOAT_COLUMNS}}
     )
@@ -260,7 +266,7 @@ def run_dataset_air(spark, sf_dir):
 
 def run_dataset_census(spark, sf_dir):
     first, second = derived.census_runs(spark, sf_dir)
-    return _two_runs(datasets.CENSUS, first, second)
+    return _two_runs(spark, datasets.CENSUS, stage(first, "census_bronze"), stage(second, "census_bronze"))
 
 
 # -- sources and sinks -----------------------------------------------------------------

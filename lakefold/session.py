@@ -91,3 +91,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """Read one driver table (parquet) by name."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stage(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and return
+    a DataFrame reading it back.
+
+    Used where a frame feeds several actions (size checks, cardinality
+    guards, joins): the lineage is cut once, the copy survives executor
+    loss, and later scans get column pruning and file statistics.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
