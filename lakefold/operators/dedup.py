@@ -78,7 +78,7 @@ def drop_duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     keys = list(keys)
     dup, _ = maybe_broadcast(duplicated_keys(df, keys))
     keyed, nulls = split_null_keys(df, keys)
-    return keyed.join(dup, keys, "left_anti").unionByName(nulls)
+    return _join(keyed, dup, keys, "left_anti", null_safe=False).unionByName(nulls)
 
 
 def purge_duplicates(

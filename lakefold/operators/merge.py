@@ -50,17 +50,19 @@ class MergeCardinalityError(ValueError):
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
-    """Equi-join on same-named keys; keeps the left key columns only."""
+    """Equi-join on same-named keys.  Keeps the left key columns only and the
+    left side's column order (a USING join would move the keys first)."""
+    semi = how in ("left_semi", "left_anti", "semi", "anti")
+    right_rest = [c for c in right.columns if c not in on]
     if not null_safe:
-        return left.join(right, on, how)
-    renamed = right.select(
-        *[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns]
-    )
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in on])
-    out = left.join(renamed, cond, how)
-    if how in ("left_semi", "left_anti", "semi", "anti"):
-        return out
-    return out.drop(*[f"__r_{k}" for k in on])
+        out = left.join(right, on, how)
+    else:
+        renamed = right.select(
+            *[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns]
+        )
+        cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in on])
+        out = left.join(renamed, cond, how)
+    return out.select(*left.columns) if semi else out.select(*left.columns, *right_rest)
 
 
 def order_struct(df: DataFrame, order_by: list[str]) -> Column:
@@ -108,17 +110,24 @@ def merge_conflicts(target: DataFrame, source: DataFrame, on: Iterable[str]) ->
     return dup.join(hit, on, "left_semi")
 
 
-def matched_keys(keys: DataFrame, target: DataFrame, on: list[str], max_rows: int | None = None) -> DataFrame:
-    """Distinct keys of ``keys`` that occur in ``target`` (non-null keys only).
+def matched_keys(
+    keys: DataFrame, target: DataFrame, on: list[str], max_rows: int | None = None, null_safe: bool = False
+) -> DataFrame:
+    """Distinct keys of ``keys`` that occur in ``target``.
 
-    If ``keys`` passes the size check, the target's key columns are scanned
-    against a broadcast copy, so the target is not shuffled; the result is
-    bounded by ``keys`` and is marked for broadcast as well.
+    Under SQL equality (default) null key parts never match and are left
+    out; with ``null_safe`` they match like values.  If ``keys`` passes the
+    size check, the target's key columns are scanned against a broadcast
+    copy, so the target is not shuffled; the result is bounded by ``keys``
+    and is marked for broadcast as well.
     """
-    distinct_keys = keys.filter(all_keys_present(on)).select(*on).distinct()
+    if null_safe:
+        distinct_keys, target_keys = keys.select(*on).distinct(), target.select(*on)
+    else:
+        distinct_keys = keys.filter(all_keys_present(on)).select(*on).distinct()
+        target_keys = target.select(*on).filter(all_keys_present(on))
     small, is_small = maybe_broadcast(distinct_keys, max_rows)
-    target_keys = target.select(*on).filter(all_keys_present(on))
-    hit = target_keys.join(small, on, "left_semi").distinct()
+    hit = _join(target_keys, small, on, "left_semi", null_safe).distinct()
     return F.broadcast(hit) if is_small else hit
 
 
@@ -255,7 +264,7 @@ def merge(
     # -- inserts ------------------------------------------------------------
     if insert:
         if small:
-            hit_keys = matched_keys(s_keyed.select(*on), t_keyed, on, max_broadcast_rows)
+            hit_keys = matched_keys(s_keyed.select(*on), t_keyed, on, max_broadcast_rows, null_safe)
             parts.append(_join(s_keyed, hit_keys, on, "left_anti", null_safe))
         else:
             parts.append(_join(s_keyed, t_keyed.select(*on), on, "left_anti", null_safe))

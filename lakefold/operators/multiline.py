@@ -67,9 +67,8 @@ def read_log_files(spark, path_glob: str, start_pattern: str = EVENT_START) -> D
     Returns ``file_path, event_no, first_line, n_lines, event``.
     """
     raw = (
-        spark.read.option("wholetext", True)
-        .option("encoding", "UTF-8")
-        .text(path_glob)
+        spark.read.option("encoding", "UTF-8")
+        .text(path_glob, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file_path"), "value")
     )
     return assemble_events(raw, "value", start_pattern, keep=["file_path"])

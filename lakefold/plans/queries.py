@@ -374,14 +374,18 @@ def compaction(spark, sf_dir):
 
 
 def manifest(spark, sf_dir):
-    """K3: the manifest lists exactly the live files; rows per listed file."""
+    """K3: the manifest lists exactly the live files; rows per listed file.
+    Files are matched by name: the manifest holds qualified URIs while the
+    scan's file metadata may spell the scheme differently."""
     st = SilverTable(spark, scratch_path(spark, "silver_manifest"))
     st.write(table(spark, sf_dir, "events"))
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
     listed = spark.read.text(st.manifest()).select(F.col("value").alias("file_path"))
-    per_file = st.read().groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+    listed = listed.withColumn("file_name", name(F.col("file_path")))
+    per_file = st.read().groupBy(name(F.col("_metadata.file_path")).alias("file_name")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    return listed.join(per_file, "file_path", "left")
+    return listed.join(per_file, "file_name", "left").select("file_path", "n_rows")
 
 
 # -- logs ----------------------------------------------------------------------------
