@@ -15,7 +15,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.operators.joins import maybe_broadcast, split_null_keys
+from lakefold.operators.joins import split_null_keys
 from lakefold.operators.merge import _join, insert_only, latest_per_key, order_struct
 
 PURGE_MODES = ("reference", "keep_latest")
@@ -76,7 +76,11 @@ def drop_duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     duplicate rows as source: the survivor of the window goes too).  Rows
     with a null key part never match a delete and stay."""
     keys = list(keys)
-    dup, _ = maybe_broadcast(duplicated_keys(df, keys))
+    # The duplicated-key set is an aggregate over the whole table; counting
+    # it first would compute that aggregate twice.  AQE measures its shuffle
+    # output at runtime and turns the anti join into a broadcast join when
+    # the set is small.
+    dup = duplicated_keys(df, keys)
     keyed, nulls = split_null_keys(df, keys)
     return _join(keyed, dup, keys, "left_anti", null_safe=False).unionByName(nulls)
 

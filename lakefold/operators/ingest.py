@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakefold.functions.clean import day_series, format_day, month_series, node_text, url_term
-from lakefold.operators.joins import maybe_broadcast
 
 # Fixed values of the public APIs' envelopes.
 #: Air-quality API: success code in ``response.header.resultCode``.
@@ -219,8 +218,7 @@ def arrival_report(
 
     The expected days run from ``start`` to ``end`` (default: the data's own
     first and last day, widened by ``pad_days``).  The per-day counts are an
-    aggregate over the (partition-pruned) Bronze scan; the calendar side has
-    one row per day and is broadcast after a size check.
+    aggregate over the (partition-pruned) Bronze scan.
     """
     counts = bronze.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
     bounds = bronze.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
@@ -228,7 +226,8 @@ def arrival_report(
     hi = end if end is not None else F.date_add(F.col("hi"), pad_days)
     calendar = bounds.select(F.explode(day_series(lo, hi)).alias("day"))
     counts = counts.filter(F.col("day").isNotNull())
-    counts, _ = maybe_broadcast(counts)
+    # Both sides have one row per day; AQE picks the join from their
+    # measured sizes (recounting the per-day aggregate would rescan Bronze).
     report = calendar.join(counts, "day", "left")
     n = F.coalesce(F.col("n_rows"), F.lit(0))
     return report.select("day", n.alias("n_rows"), (n > 0).alias("arrived"))

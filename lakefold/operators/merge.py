@@ -93,7 +93,9 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str])
     return latest.unionByName(nulls)
 
 
-def merge_conflicts(target: DataFrame, source: DataFrame, on: Iterable[str]) -> DataFrame:
+def merge_conflicts(
+    target: DataFrame, source: DataFrame, on: Iterable[str], source_small: bool | None = None
+) -> DataFrame:
     """M8: keys with more than one source row that also exist in the target.
 
     ``n_source_rows`` counts the source rows per key.  A merge that updates
@@ -106,12 +108,17 @@ def merge_conflicts(target: DataFrame, source: DataFrame, on: Iterable[str]) ->
         .agg(F.count(F.lit(1)).alias("n_source_rows"))
         .filter(F.col("n_source_rows") > 1)
     )
-    hit = matched_keys(dup.select(*on), target, on)
-    return dup.join(hit, on, "left_semi")
+    hit = matched_keys(dup.select(*on), target, on, known_small=source_small)
+    return _join(dup, hit, on, "left_semi", null_safe=False)
 
 
 def matched_keys(
-    keys: DataFrame, target: DataFrame, on: list[str], max_rows: int | None = None, null_safe: bool = False
+    keys: DataFrame,
+    target: DataFrame,
+    on: list[str],
+    max_rows: int | None = None,
+    null_safe: bool = False,
+    known_small: bool | None = None,
 ) -> DataFrame:
     """Distinct keys of ``keys`` that occur in ``target``.
 
@@ -119,21 +126,28 @@ def matched_keys(
     out; with ``null_safe`` they match like values.  If ``keys`` passes the
     size check, the target's key columns are scanned against a broadcast
     copy, so the target is not shuffled; the result is bounded by ``keys``
-    and is marked for broadcast as well.
+    and is marked for broadcast as well.  ``known_small`` passes a size
+    decision already made for a frame that bounds ``keys`` (no recount).
     """
     if null_safe:
         distinct_keys, target_keys = keys.select(*on).distinct(), target.select(*on)
     else:
         distinct_keys = keys.filter(all_keys_present(on)).select(*on).distinct()
         target_keys = target.select(*on).filter(all_keys_present(on))
-    small, is_small = maybe_broadcast(distinct_keys, max_rows)
+    if known_small is None:
+        small, is_small = maybe_broadcast(distinct_keys, max_rows)
+    else:
+        is_small = known_small
+        small = F.broadcast(distinct_keys) if is_small else distinct_keys
     hit = _join(target_keys, small, on, "left_semi", null_safe).distinct()
     return F.broadcast(hit) if is_small else hit
 
 
-def check_cardinality(target: DataFrame, source: DataFrame, on: list[str]) -> None:
+def check_cardinality(
+    target: DataFrame, source: DataFrame, on: list[str], source_small: bool | None = None
+) -> None:
     """Raise ``MergeCardinalityError`` if a target row has several source rows."""
-    bad = merge_conflicts(target, source, on).limit(5).collect()
+    bad = merge_conflicts(target, source, on, source_small).limit(5).collect()
     if bad:
         sample = ", ".join(str(tuple(r[k] for k in on)) for r in bad)
         raise MergeCardinalityError(
@@ -208,12 +222,15 @@ def merge(
 
     if null_keys == "drop":
         source = source.filter(all_keys_present(on))
+    # One size check on the source bounds everything derived from it
+    # (distinct keys, conflicting keys, the latest row per key).
+    small = fits_broadcast(source, max_broadcast_rows)
     if on_conflict == "latest":
         if not order_by:
             raise ValueError("on_conflict='latest' needs order_by")
         source = latest_per_key(source, on, order_by)
     elif update is not None and not delete:
-        check_cardinality(target, source, on)
+        check_cardinality(target, source, on, small)
 
     if null_safe:
         t_keyed, t_null, s_keyed, s_null = target, None, source, None
@@ -221,7 +238,6 @@ def merge(
         t_keyed, t_null = split_null_keys(target, on)
         s_keyed, s_null = split_null_keys(source, on)
 
-    small = fits_broadcast(s_keyed, max_broadcast_rows)
     parts: list[DataFrame] = []
 
     # -- matched target rows ------------------------------------------------
@@ -264,7 +280,7 @@ def merge(
     # -- inserts ------------------------------------------------------------
     if insert:
         if small:
-            hit_keys = matched_keys(s_keyed.select(*on), t_keyed, on, max_broadcast_rows, null_safe)
+            hit_keys = matched_keys(s_keyed.select(*on), t_keyed, on, max_broadcast_rows, null_safe, known_small=True)
             parts.append(_join(s_keyed, hit_keys, on, "left_anti", null_safe))
         else:
             parts.append(_join(s_keyed, t_keyed.select(*on), on, "left_anti", null_safe))
