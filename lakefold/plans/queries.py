@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakefold.functions import clean, logtext
-from lakefold.operators import dedup, ingest, merge as m
+from lakefold.operators import dedup, ingest, merge as m, periods
 from lakefold.operators.multiline import assemble_events
 from lakefold.plans import datasets, derived
 from lakefold.plans.derived import table
@@ -65,7 +65,7 @@ def _ntz(col):
 
 def distinct_projection(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return dedup.distinct_rows(docs.filter(F.col("lang").isin(ALLOWED_LANGS)), ["lang", "source"])
+    return dedup.distinct_rows(periods.allow_list(docs, "lang", ALLOWED_LANGS), ["lang", "source"])
 
 
 def keyword_extract(spark, sf_dir):
@@ -127,17 +127,10 @@ def hierarchy_label(spark, sf_dir):
 
 def lookback_window(spark, sf_dir):
     """Orders of the 3 days before ``ref`` and of the 3 whole months
-    before ``ref``'s month, as range predicates on the raw timestamp so the
-    parquet scan can skip row groups."""
+    before ``ref``'s month (range predicates pushed to the parquet scan)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    ref = F.lit(LOOKBACK_REF).cast("date")
-    days = o.filter(
-        (F.col("o_orderdate") >= _ntz(F.date_sub(ref, 3))) & (F.col("o_orderdate") < _ntz(ref))
-    ).withColumn("lookback", F.lit("days"))
-    month0 = F.trunc(ref, "MM")
-    months = o.filter(
-        (F.col("o_orderdate") >= _ntz(F.add_months(month0, -3))) & (F.col("o_orderdate") < _ntz(month0))
-    ).withColumn("lookback", F.lit("months"))
+    days = periods.last_days(o, "o_orderdate", LOOKBACK_REF, 3).withColumn("lookback", F.lit("days"))
+    months = periods.last_months(o, "o_orderdate", LOOKBACK_REF, 3).withColumn("lookback", F.lit("months"))
     return days.unionByName(months).select(
         "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "lookback"
     )
