@@ -33,6 +33,7 @@ AIR_COLUMNS = [
 AIR_FLOAT_COLUMNS = ["coValue", "no2Value", "o3Value", "so2Value"]
 AIR_KEYS = ["sidoName", "cityName", "dataTime"]
 AIR_UPDATE = ["coValue", "no2Value", "o3Value", "pm10Value", "pm25Value", "so2Value"]
+AIR_PARTITION = "data_day"
 
 CENSUS_COLUMNS = ["PRD_DE", "C1", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
 CENSUS_KEYS = ["PRD_DE", "C1"]
@@ -49,11 +50,13 @@ def news_transform(bronze: DataFrame) -> DataFrame:
 
 
 def air_transform(bronze: DataFrame, roll_day: bool = False) -> DataFrame:
-    """Project the 11 Silver columns, distinct, float casts, hour-24 fix."""
+    """Project the 11 Silver columns, distinct, float casts, hour-24 fix.
+    ``data_day`` (the day of ``dataTime``, a key part) is the partition
+    column of the Silver table."""
     projected = distinct_rows(bronze, AIR_COLUMNS)
     casts = {c: clean.to_float(c) for c in AIR_FLOAT_COLUMNS}
     casts["dataTime"] = clean.hour24_timestamp("dataTime", roll_day=roll_day)
-    return projected.withColumns(casts)
+    return projected.withColumns(casts).withColumn(AIR_PARTITION, F.to_date("dataTime"))
 
 
 def census_transform(bronze: DataFrame) -> DataFrame:
@@ -76,11 +79,18 @@ class DatasetSpec:
     #: "purge" = M5 (delete duplicated keys, insert new); "update" = M1/M2.
     merge_kind: str
     update: list[str] = field(default_factory=list)
+    #: Silver partition columns.  Each must be a function of the merge key
+    #: (so a key never spans partitions); a run then rewrites only the
+    #: partitions its batch touches.  News keys (url, keyword) carry no
+    #: date, so that table is rewritten whole.
+    partition_by: tuple[str, ...] = ()
 
 
 NEWS = DatasetSpec("news_collection", NEWS_KEYS, news_transform, "purge")
-AIR = DatasetSpec("air_quality", AIR_KEYS, air_transform, "update", AIR_UPDATE)
-CENSUS = DatasetSpec("census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE)
+AIR = DatasetSpec("air_quality", AIR_KEYS, air_transform, "update", AIR_UPDATE, (AIR_PARTITION,))
+CENSUS = DatasetSpec(
+    "census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE, ("PRD_DE",)
+)
 SPECS = {s.name: s for s in (NEWS, AIR, CENSUS)}
 
 
@@ -102,14 +112,26 @@ def apply(spec: DatasetSpec, bronze: DataFrame, silver: DataFrame | None = None)
     return fold(spec, silver, spec.transform(bronze))
 
 
+def silver_table(spark, spec: DatasetSpec, path: str) -> SilverTable:
+    """The Silver table of a dataset, with the dataset's partitioning."""
+    return SilverTable(spark, path, partition_by=list(spec.partition_by))
+
+
 def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, batch_id: int | None = None) -> int:
     """R9, the batch job body: transform ``bronze``, merge it into the
     current version of ``table`` and commit the result as a new version.
 
     The transformed batch feeds several actions (size check, cardinality
     guard, joins), so it is staged once as parquet in the shared checkpoint
-    folder instead of being recomputed from Bronze for each of them.
+    folder instead of being recomputed from Bronze for each of them.  On a
+    partitioned table only the partitions present in the batch are read,
+    merged and rewritten; the rest of the table is not touched.
     """
     batch = stage(spec.transform(bronze), f"{spec.name}-batch")
-    target = table.read() if table.exists() else None
-    return table.write(fold(spec, target, batch), batch_id=batch_id)
+    if not table.exists():
+        return table.write(fold(spec, None, batch), batch_id=batch_id)
+    if table.partition_by:
+        touched = table.partition_values(batch)
+        target = table.read(partitions=touched)
+        return table.write(fold(spec, target, batch), batch_id=batch_id, replace=touched)
+    return table.write(fold(spec, table.read(), batch), batch_id=batch_id)

@@ -238,7 +238,7 @@ def schema_evolution(spark, sf_dir):
 def _two_runs(spark, spec, first: DataFrame, second: DataFrame) -> DataFrame:
     """Two scheduled runs into a fresh Silver table; the second run reads the
     first run's committed version."""
-    st = SilverTable(spark, scratch_path(spark, f"silver_{spec.name}"))
+    st = datasets.silver_table(spark, spec, scratch_path(spark, f"silver_{spec.name}"))
     datasets.run(spec, first, st)
     datasets.run(spec, second, st)
     return st.read()
@@ -251,7 +251,7 @@ def run_dataset_news(spark, sf_dir):
 
 def run_dataset_air(spark, sf_dir):
     first, second = derived.air_runs(spark, sf_dir)
-    out = _two_runs(spark, datasets.AIR, first, second)
+    out = _two_runs(spark, datasets.AIR, first, second).select(*datasets.AIR_COLUMNS)
     return out.withColumns(
         {"dataTime": _ntz(F.col("dataTime")), **{c: F.col(c).cast("double") for c in datasets.AIR_FLOAT_COLUMNS}}
     )

@@ -2,15 +2,16 @@
 
 Delta Lake is not on the local classpath and a parquet path cannot be
 overwritten while it is being read.  A ``SilverTable`` therefore writes
-each new state into a fresh ``v=<n>`` folder under the table path; a
-version counts once Spark's job commit has written its ``_SUCCESS`` marker,
-and readers take the highest committed version.  A failed or killed write
-leaves an uncommitted folder that readers ignore, so a job can simply be
+each new state into fresh folders under the table path and then commits it
+by writing a small JSON file, ``_meta/v=<n>.json``; readers take the
+highest committed version.  A failed or killed write leaves folders that no
+metadata file references, which readers ignore, so a job can simply be
 re-run after losing executors.
 
-A small JSON file per version (``_meta/v=<n>.json``) records the streaming
-batch id that produced it, which makes ``foreachBatch`` replays idempotent.
-There is no transaction log, concurrent-writer control or time travel.
+The metadata also records the streaming batch id that produced a version,
+which makes ``foreachBatch`` replays idempotent.  A partitioned table
+writes only the partitions a merge changes (see ``SilverTable``).  There is no transaction log, concurrent-writer control
+or time travel beyond reading an older version.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ from __future__ import annotations
 import json
 import math
 import re
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Reference target size of Silver files, in bytes.
 TARGET_FILE_BYTES = 104857600
@@ -52,6 +57,18 @@ class _Fs:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(base) if s.isDirectory()]
 
+    def list_files(self, *parts: str) -> list[str]:
+        base = self.path(*parts)
+        if not self.fs.exists(base):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(base) if s.isFile()]
+
+    def glob_rel(self, pattern: str) -> list[str]:
+        """Paths matching ``pattern`` under the root, relative to the root."""
+        found = self.fs.globStatus(self.path(pattern)) or []
+        root = self.fs.makeQualified(self.root).toString().rstrip("/") + "/"
+        return [self.fs.makeQualified(st.getPath()).toString()[len(root):] for st in found]
+
     def size(self, *parts: str) -> int:
         return int(self.fs.getContentSummary(self.path(*parts)).getLength())
 
@@ -83,19 +100,32 @@ class _Fs:
 
 
 class SilverTable:
-    """A mutable table addressed by path."""
+    """A mutable table addressed by path.
 
-    def __init__(self, spark: SparkSession, path: str):
+    Unpartitioned (``partition_by=None``): every version is a complete copy
+    in ``v=<n>/``.  Partitioned: data lives in
+    ``<col>=<value>/lf_v=<tag>/`` folders and a version only writes the
+    partitions it changes; the version's metadata maps every live partition
+    to the folder that holds it.  A merge whose keys include the partition
+    value (a date key, a period) then reads and rewrites only the partitions
+    the batch touches instead of the whole table.
+
+    In both layouts a version exists once its metadata file is written,
+    which happens after Spark's job commit succeeded.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self._fs = _Fs(spark, self.path)
+        self.partition_by = list(partition_by or [])
 
     # -- versions -------------------------------------------------------------
     def versions(self) -> list[int]:
         out = []
-        for name in self._fs.list_dirs():
-            m = _VERSION_RE.match(name)
-            if m and self._fs.exists(name, "_SUCCESS"):
+        for name in self._fs.list_files("_meta"):
+            m = _META_RE.match(name)
+            if m:
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -110,16 +140,9 @@ class SilverTable:
         return f"{self.path}/v={version:08d}"
 
     def _next_version(self) -> int:
-        names = [int(m.group(1)) for n in self._fs.list_dirs() if (m := _VERSION_RE.match(n))]
-        return (max(names) + 1) if names else 1
-
-    # -- read -----------------------------------------------------------------
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table (current version unless ``version`` is given)."""
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        return self.spark.read.parquet(self.version_path(v))
+        used = [int(m.group(1)) for n in self._fs.list_dirs() if (m := _VERSION_RE.match(n))]
+        used += self.versions()
+        return (max(used) + 1) if used else 1
 
     def meta(self, version: int | None = None) -> dict:
         v = self.current_version() if version is None else version
@@ -131,6 +154,39 @@ class SilverTable:
     def last_batch_id(self) -> int | None:
         return self.meta().get("batch_id")
 
+    # -- read -----------------------------------------------------------------
+    def read(self, version: int | None = None, partitions: list[tuple] | None = None) -> DataFrame:
+        """The table (current version unless ``version`` is given).
+
+        ``partitions`` (partitioned tables) restricts the read to the listed
+        partition values, as tuples in ``partition_by`` order."""
+        meta = self.meta(version)
+        if not meta:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        if meta.get("layout") != "partitioned":
+            return self.spark.read.parquet(self.version_path(meta["version"]))
+        schema = T.StructType.fromJson(json.loads(meta["schema"]))
+        live = meta["partitions"]
+        if partitions is not None:
+            wanted = {_partition_key(p) for p in partitions}
+            live = {rel: tag for rel, tag in live.items() if _values_of(rel) in wanted}
+        columns = meta.get("columns", schema.fieldNames())
+        if not live:
+            return self.spark.createDataFrame([], schema).select(*columns)
+        paths = [f"{self.path}/{rel}/{_TAG_COL}={tag}" for rel, tag in sorted(live.items())]
+        read_schema = T.StructType(schema.fields + [T.StructField(_TAG_COL, T.StringType())])
+        return (
+            self.spark.read.schema(read_schema)
+            .option("basePath", self.path)
+            .parquet(*paths)
+            .select(*columns)
+        )
+
+    def partition_values(self, df: DataFrame) -> list[tuple]:
+        """Distinct partition values present in ``df`` (one row per
+        partition, so the list is as small as the partition count)."""
+        return [tuple(r) for r in df.select(*self.partition_by).distinct().collect()]
+
     # -- write ----------------------------------------------------------------
     def write(
         self,
@@ -138,23 +194,58 @@ class SilverTable:
         batch_id: int | None = None,
         rebalance: bool = True,
         max_records_per_file: int | None = None,
+        replace: list[tuple] | None = None,
     ) -> int:
-        """K1: store ``df`` as the new current version (schema may differ
-        from the previous version: columns evolve freely).
+        """K1: store ``df`` as the new current version (columns may evolve).
 
-        ``rebalance`` adds an AQE rebalance before the write so that file
-        sizes follow the advisory partition size instead of the upstream
-        partitioning (the optimize-write behaviour).
+        Partitioned tables: ``replace`` lists the partition values whose old
+        content ``df`` supersedes (None: the whole table); other partitions
+        stay as they are.  ``rebalance`` adds an AQE rebalance before the
+        write so that file sizes follow the advisory partition size instead
+        of the upstream partitioning (the optimize-write behaviour).
         """
         version = self._next_version()
-        out = df.hint("rebalance") if rebalance else df
-        writer = out.write.mode("errorifexists")
-        if max_records_per_file:
-            writer = writer.option("maxRecordsPerFile", max_records_per_file)
-        writer.parquet(self.version_path(version))
         meta = {"version": version}
         if batch_id is not None:
             meta["batch_id"] = int(batch_id)
+        if not self.partition_by:
+            out = df.hint("rebalance") if rebalance else df
+            writer = out.write.mode("errorifexists")
+            if max_records_per_file:
+                writer = writer.option("maxRecordsPerFile", max_records_per_file)
+            writer.parquet(self.version_path(version))
+            meta["layout"] = "flat"
+        else:
+            tag = f"{version:08d}-{uuid.uuid4().hex[:8]}"
+            data_cols = [c for c in df.columns if c not in self.partition_by]
+            ordered = df.select(*data_cols, *self.partition_by)
+            # Rebalancing by the partition columns sends each partition to
+            # one task (AQE splits a skewed one), so a partition gets a few
+            # large files instead of one small file per upstream task.
+            writer = (
+                (ordered.hint("rebalance", *self.partition_by) if rebalance else ordered)
+                .withColumn(_TAG_COL, F.lit(tag))
+                .write.mode("append")
+                .partitionBy(*self.partition_by, _TAG_COL)
+            )
+            if max_records_per_file:
+                writer = writer.option("maxRecordsPerFile", max_records_per_file)
+            writer.parquet(self.path)
+            written = self._fs.glob_rel("/".join(["*"] * len(self.partition_by)) + f"/{_TAG_COL}={tag}")
+            previous = self.meta().get("partitions", {}) if self.exists() else {}
+            if replace is None:
+                kept = {}
+            else:
+                dropped = {_partition_key(p) for p in replace}
+                kept = {rel: t for rel, t in previous.items() if _values_of(rel) not in dropped}
+            kept.update({rel.rsplit("/", 1)[0]: tag for rel in written})
+            meta.update(
+                layout="partitioned",
+                partition_by=self.partition_by,
+                columns=df.columns,
+                schema=ordered.schema.json(),
+                partitions=kept,
+            )
         self._fs.write_text(json.dumps(meta), "_meta", f"v={version:08d}.json")
         return version
 
@@ -165,13 +256,17 @@ class SilverTable:
         return self.read()
 
     def compact(self, target_bytes: int = TARGET_FILE_BYTES) -> int:
-        """K2: rewrite the current version into files of about ``target_bytes``."""
-        v = self.current_version()
-        if v is None:
+        """K2: rewrite the current version into files of about ``target_bytes``
+        (unpartitioned tables; a partitioned table is rewritten whole with
+        AQE-rebalanced files)."""
+        meta = self.meta()
+        if not meta:
             raise FileNotFoundError(self.path)
-        total = self._fs.size(f"v={v:08d}")
+        if meta.get("layout") == "partitioned":
+            return self.write(self.read())
+        total = self._fs.size(f"v={meta['version']:08d}")
         n = max(1, math.ceil(total / target_bytes))
-        return self.write(self.read(v).repartition(n), rebalance=False)
+        return self.write(self.read().repartition(n), rebalance=False)
 
     def files(self, version: int | None = None) -> list[str]:
         """Live data files of a version."""
@@ -185,9 +280,35 @@ class SilverTable:
         return f"{self.path}/_symlink_format_manifest/manifest"
 
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
-        old = self.versions()[:-keep] if keep > 0 else self.versions()
+        """Delete the data and metadata of all but the newest ``keep``
+        versions (partition folders still referenced by a kept version stay)."""
+        versions = self.versions()
+        old = versions[:-keep] if keep > 0 else versions
+        live_tags = set()
+        for v in versions[len(old):]:
+            live_tags.update(self.meta(v).get("partitions", {}).values())
         for v in old:
-            self._fs.delete(f"v={v:08d}")
+            meta = self.meta(v)
+            if meta.get("layout") == "partitioned":
+                for rel, tag in meta.get("partitions", {}).items():
+                    if tag not in live_tags:
+                        self._fs.delete(rel, f"{_TAG_COL}={tag}")
+            else:
+                self._fs.delete(f"v={v:08d}")
             self._fs.delete("_meta", f"v={v:08d}.json")
         return old
+
+
+_TAG_COL = "lf_v"
+_META_RE = re.compile(r"^v=(\d+)\.json$")
+_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_key(values: tuple) -> tuple[str, ...]:
+    """Partition values as the text Spark writes in folder names."""
+    return tuple(_DEFAULT_PARTITION if v is None else str(v) for v in values)
+
+
+def _values_of(rel: str) -> tuple[str, ...]:
+    """``a=1/b=x%3Ay`` -> ``("1", "x:y")``."""
+    return tuple(unquote(part.split("=", 1)[1]) for part in rel.split("/"))
