@@ -33,7 +33,7 @@ AIR_COLUMNS = [
 AIR_FLOAT_COLUMNS = ["coValue", "no2Value", "o3Value", "so2Value"]
 AIR_KEYS = ["sidoName", "cityName", "dataTime"]
 AIR_UPDATE = ["coValue", "no2Value", "o3Value", "pm10Value", "pm25Value", "so2Value"]
-AIR_PARTITION = "data_day"
+AIR_PARTITION = "data_month"
 
 CENSUS_COLUMNS = ["PRD_DE", "C1", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
 CENSUS_KEYS = ["PRD_DE", "C1"]
@@ -51,12 +51,13 @@ def news_transform(bronze: DataFrame) -> DataFrame:
 
 def air_transform(bronze: DataFrame, roll_day: bool = False) -> DataFrame:
     """Project the 11 Silver columns, distinct, float casts, hour-24 fix.
-    ``data_day`` (the day of ``dataTime``, a key part) is the partition
-    column of the Silver table."""
+    ``data_month`` (the month of ``dataTime``, a key part) is the partition
+    column of the Silver table: hourly readings of one day are too few to
+    fill a partition of useful size."""
     projected = distinct_rows(bronze, AIR_COLUMNS)
     casts = {c: clean.to_float(c) for c in AIR_FLOAT_COLUMNS}
     casts["dataTime"] = clean.hour24_timestamp("dataTime", roll_day=roll_day)
-    return projected.withColumns(casts).withColumn(AIR_PARTITION, F.to_date("dataTime"))
+    return projected.withColumns(casts).withColumn(AIR_PARTITION, F.trunc(F.to_date("dataTime"), "MM"))
 
 
 def census_transform(bronze: DataFrame) -> DataFrame:

@@ -100,20 +100,27 @@ def merge_stream_job(
     batch)``.
 
     The first batch of a missing table is merged into an empty table of the
-    batch's schema (or into ``initial(batch)`` when given).  A batch id that
-    is not newer than the one recorded with the current version has already
-    been applied (a replay after a failure) and is skipped.
+    batch's schema (or into ``initial(batch)`` when given).  On a
+    partitioned table only the partitions present in the batch are read and
+    rewritten (the partition columns must be functions of the merge key).
+    A batch id that is not newer than the one recorded with the current
+    version has already been applied (a replay after a failure) and is
+    skipped.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = table.last_batch_id()
         if last is not None and batch_id <= last:
             return
-        if table.exists():
-            target = table.read()
-        else:
+        if not table.exists():
             target = initial(batch) if initial else batch.limit(0)
-        table.write(merge_batch(target, batch), batch_id=batch_id)
+            table.write(merge_batch(target, batch), batch_id=batch_id)
+        elif table.partition_by:
+            touched = table.partition_values(batch)
+            merged = merge_batch(table.read(partitions=touched), batch)
+            table.write(merged, batch_id=batch_id, replace=touched)
+        else:
+            table.write(merge_batch(table.read(), batch), batch_id=batch_id)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _run_once(writer)

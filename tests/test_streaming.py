@@ -59,3 +59,21 @@ def test_merge_stream_and_replay(spark, tmp_dir):
     # a rerun on the same checkpoint finds nothing new and writes no version
     jobs.merge_stream_job(spark.readStream.schema(df.schema).parquet(src), st, f"{tmp_dir}/ckpt", fold)
     assert st.versions() == versions
+
+
+def test_merge_stream_partitioned(spark, tmp_dir):
+    src = f"{tmp_dir}/events"
+    data = [(i % 5, i, i % 3) for i in range(30)]
+    df = spark.createDataFrame(data, "user_id long, seq long, bucket long")
+    df = df.withColumn("part", F.col("user_id") % 2)
+    df.repartition(5).write.parquet(src)
+    st = SilverTable(spark, f"{tmp_dir}/silver", partition_by=["part"])
+
+    def fold(target, batch):
+        return m.merge(target, batch, ["user_id"], update="all", insert="all",
+                       on_conflict="latest", order_by=["seq"], when_newer=["seq"])
+
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    jobs.merge_stream_job(stream, st, f"{tmp_dir}/ckpt", fold)
+    expected = sorted((u, max(s for uu, s, _ in data if uu == u)) for u in range(5))
+    assert sorted((r.user_id, r.seq) for r in st.read().collect()) == expected
