@@ -1,8 +1,8 @@
 """Join helpers: size-checked broadcast and null-key routing.
 
-A side is broadcast only after its row count has been measured against a
-bound; past the bound the join stays a shuffle join and AQE (skew split,
-runtime broadcast from measured shuffle sizes) takes over.
+A side is broadcast only after its row count and byte size have been
+measured against bounds; past them the join stays a shuffle join and AQE
+(skew split, runtime broadcast from measured shuffle sizes) takes over.
 """
 
 from __future__ import annotations
@@ -11,10 +11,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Session setting that overrides the default broadcast row bound.
+#: Session settings that override the default broadcast bounds.
 MAX_ROWS_CONF = "lakefold.broadcast.maxRows"
+MAX_BYTES_CONF = "lakefold.broadcast.maxBytes"
 DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
 
 
 def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
@@ -23,14 +31,39 @@ def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _byte_width(field: T.StructField) -> Column:
+    """Approximate in-memory bytes of one value (8 per value of overhead)."""
+    c, t = F.col(field.name), field.dataType
+    for cls, width in _FIXED_WIDTH.items():
+        if isinstance(t, cls):
+            return F.lit(width + 8)
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(t, T.DecimalType):
+        return F.lit(16 + 8)
+    return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 8
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
+    bytes.
 
-    Counts at most ``max_rows + 1`` rows, so the check costs little even when
-    the frame is large.
+    One job over at most ``max_rows + 1`` rows measures both, so the check
+    stays cheap when the frame is large; wide rows (whole texts) are caught
+    by the byte bound even when the row count is small.
     """
     bound = broadcast_bound(df, max_rows)
-    return df.limit(bound + 1).count() <= bound
+    byte_bound = max_bytes if max_bytes is not None else int(
+        df.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))
+    )
+    widths = [_byte_width(f) for f in df.schema.fields] or [F.lit(8)]
+    row_bytes = widths[0]
+    for w in widths[1:]:
+        row_bytes = row_bytes + w
+    stats = df.limit(bound + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")
+    ).first()
+    return stats["n"] <= bound and stats["b"] <= byte_bound
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:

@@ -223,8 +223,17 @@ def merge(
     if null_keys == "drop":
         source = source.filter(all_keys_present(on))
     # One size check on the source bounds everything derived from it
-    # (distinct keys, conflicting keys, the latest row per key).
-    small = fits_broadcast(source, max_broadcast_rows)
+    # (distinct keys, conflicting keys, the latest row per key).  Only the
+    # columns a join actually ships are measured.
+    shipped = list(on)
+    if update is not None and not delete:
+        if update == "all":
+            shipped = source.columns
+        elif isinstance(update, dict):
+            shipped = list(dict.fromkeys(on + list(update.values()) + list(when_newer or [])))
+        else:
+            shipped = list(dict.fromkeys(on + list(update) + list(when_newer or [])))
+    small = fits_broadcast(source.select(*shipped), max_broadcast_rows)
     if on_conflict == "latest":
         if not order_by:
             raise ValueError("on_conflict='latest' needs order_by")

@@ -19,7 +19,7 @@ from lakefold.functions import clean
 from lakefold.operators.dedup import distinct_rows, purge_duplicates
 from lakefold.operators.hierarchy import label_hierarchy
 from lakefold.operators.merge import merge
-from lakefold.session import stage
+from lakefold.session import staged
 from lakefold.sources.silver import SilverTable
 
 # Silver column lists, keys and refreshed columns per dataset.
@@ -124,15 +124,16 @@ def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, batch_id: int
 
     The transformed batch feeds several actions (size check, cardinality
     guard, joins), so it is staged once as parquet in the shared checkpoint
-    folder instead of being recomputed from Bronze for each of them.  On a
+    folder instead of being recomputed from Bronze for each of them (and
+    removed once the new version is committed).  On a
     partitioned table only the partitions present in the batch are read,
     merged and rewritten; the rest of the table is not touched.
     """
-    batch = stage(spec.transform(bronze), f"{spec.name}-batch")
-    if not table.exists():
-        return table.write(fold(spec, None, batch), batch_id=batch_id)
-    if table.partition_by:
-        touched = table.partition_values(batch)
-        target = table.read(partitions=touched)
-        return table.write(fold(spec, target, batch), batch_id=batch_id, replace=touched)
-    return table.write(fold(spec, table.read(), batch), batch_id=batch_id)
+    with staged(spec.transform(bronze), f"{spec.name}-batch") as batch:
+        if not table.exists():
+            return table.write(fold(spec, None, batch), batch_id=batch_id)
+        if table.partition_by:
+            touched = table.partition_values(batch)
+            target = table.read(partitions=touched)
+            return table.write(fold(spec, target, batch), batch_id=batch_id, replace=touched)
+        return table.write(fold(spec, table.read(), batch), batch_id=batch_id)

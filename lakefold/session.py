@@ -8,6 +8,7 @@ setting them on a running context has no effect.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -104,3 +105,19 @@ def stage(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextlib.contextmanager
+def staged(df, name: str):
+    """``stage`` for the length of a block: the copy is deleted afterwards
+    (use it when everything that reads the copy finishes inside the block,
+    for example a write that commits a new table version)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -252,3 +252,12 @@ def test_column_order_preserved(spark):
     assert dedup.purge_duplicates(t, s, ["key"]).columns == ["v", "w", "key"]
     assert m.update_insert(t.filter("w != 'b'"), s, ["key"], update=["v"]).columns == ["v", "w", "key"]
     assert m.delete_matched(t, s, ["key"]).columns == ["v", "w", "key"]
+
+
+def test_broadcast_check_bounds_bytes(spark):
+    from lakefold.operators.joins import fits_broadcast
+
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert fits_broadcast(wide.select("id"), max_rows=100, max_bytes=1_000)
+    assert not fits_broadcast(wide, max_rows=100, max_bytes=50_000)
+    assert not fits_broadcast(wide.select("id"), max_rows=5)
