@@ -26,7 +26,7 @@ def landing_day(ts: Column | None, time_zone: str, source_tz: str | None = None)
     instant = F.current_timestamp() if ts is None else ts
     local = instant.cast("timestamp_ntz")
     if source_tz is None:
-        shifted = F.convert_timezone(F.lit(time_zone), local)
+        shifted = F.convert_timezone(None, F.lit(time_zone), local)
     else:
         shifted = F.convert_timezone(F.lit(source_tz), F.lit(time_zone), local)
     return F.to_date(shifted)

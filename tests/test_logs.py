@@ -70,3 +70,14 @@ def test_datestamp_not_followed_by_digit(spark):
 def test_with_host(spark):
     df = spark.createDataFrame([("w1", "msg")], "h string, m string")
     assert df.select(logtext.with_host("h", "m")).first()[0] == "[w1] msg"
+
+
+def test_read_text_lines(spark, tmp_dir):
+    from lakefold.sources.files import preview, read_text_lines
+
+    with open(f"{tmp_dir}/a.log", "w") as fh:
+        fh.write("one\ntwo\n")
+    lines = read_text_lines(spark, f"{tmp_dir}/*.log")
+    assert sorted(r.line for r in lines.collect()) == ["one", "two"]
+    assert all(r.file_path.endswith("a.log") for r in lines.collect())
+    assert preview(lines, 1).count() == 1
