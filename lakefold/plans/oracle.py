@@ -355,7 +355,7 @@ UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey =
     sql["json_scan"] = """
 SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS _corrupt_record FROM nation
 UNION ALL
-SELECT NULL, NULL, NULL, '{bad json ' || CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey % 4 = 0"""
+SELECT NULL, NULL, NULL, '{bad json ' || CAST(n_nationkey AS VARCHAR) FROM nation"""
     sql["text_scan"] = (
         "SELECT CAST(n_nationkey AS VARCHAR) || '|' || n_name || '|' || CAST(n_regionkey AS VARCHAR) AS value "
         "FROM nation"
