@@ -60,9 +60,14 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w
-    stats = df.limit(bound + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")
-    ).first()
+    # Row widths are computed in the scan tasks; only one long per row goes
+    # through the limit's single-partition exchange.
+    stats = (
+        df.select(row_bytes.alias("b"))
+        .limit(bound + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
+        .first()
+    )
     return stats["n"] <= bound and stats["b"] <= byte_bound
 
 
