@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakefold.functions import logtext
+from lakefold.functions.logtext import EVENT_START
+from lakefold.operators.multiline import assemble_events
 from lakefold.sinks.bronze import with_day_parts, with_landing_day
 from lakefold.sources.silver import SilverTable
 
@@ -66,6 +68,17 @@ def log_append_job(stream: DataFrame, sink_path: str, checkpoint: str) -> Stream
     return append_job(decode_messages(stream), sink_path, checkpoint)
 
 
+def log_file_stream(spark: SparkSession, path_glob: str, start_pattern: str = EVENT_START) -> DataFrame:
+    """S11 + W2 as a stream: every new log file is read whole (one row per
+    file) and split into multi-line events.  Assembly is row-local, so it
+    runs directly on the stream; an event never straddles two micro-batches
+    because a file is never split between them."""
+    files = spark.readStream.text(path_glob, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), "value"
+    )
+    return assemble_events(files, "value", start_pattern, keep=["file_path"])
+
+
 def parse_log_stream(messages: DataFrame, message_col: str = "value", ts_col: str = "timestamp") -> DataFrame:
     """T5: clean and parse shipped log messages (F12-F15), with the
     ``year/month/day`` landing columns of K5."""

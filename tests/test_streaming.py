@@ -101,3 +101,21 @@ def test_kafka_source_and_sink_if_available(spark):
         pytest.skip("Kafka connector not on the classpath")
     assert stream.isStreaming and "value" in stream.columns
     assert callable(publish)
+
+
+def test_log_file_stream_assembles_per_file(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/logs")
+    for n in range(3):
+        with open(f"{tmp_dir}/logs/app{n}.log", "w") as fh:
+            fh.write(f"22/11/14 10:11:1{n} INFO A: start {n}\n\tat x\n22/11/14 10:11:2{n} WARN B: next {n}\n")
+    events = jobs.log_file_stream(spark, f"{tmp_dir}/logs/*.log")
+    parsed = jobs.parse_log_stream(events.withColumnRenamed("event", "value")
+                                   .withColumn("timestamp", F.lit(dt.datetime(2022, 11, 14)).cast("timestamp_ntz")))
+    jobs.append_job(parsed.drop("log_ts"), f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
+    out = spark.read.parquet(f"{tmp_dir}/sink")
+    assert out.count() == 6
+    assert sorted(r.log_level for r in out.collect()) == ["INFO"] * 3 + ["WARN"] * 3
+    firsts = [r for r in out.collect() if r.event_no == 1]
+    assert all(r.n_lines == 2 for r in firsts)
