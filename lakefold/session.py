@@ -90,8 +90,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one driver table (parquet) by name."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table (parquet) by name, spread over the cores."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df):
+    """Give row-local work at least one partition per core.
+
+    A scan cannot split below one parquet row group (or one gzip file), so
+    an input of a few large units would run its regexes, JSON parsing and
+    higher-order functions on a few cores.  Only then is the frame
+    round-robin repartitioned; a large, well-split input is returned as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stage(df, name: str):
