@@ -409,6 +409,13 @@ r AS (SELECT concat_ws(',', CASE WHEN c_custkey IS NULL THEN 'missing:c_custkey'
 SELECT CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS status, reasons, count(*) AS n_rows
 FROM r GROUP BY ALL"""
     sql["message_key"] = "SELECT count(*) AS n_rows, count(*) AS n_keys FROM events"
+    sql["topic_records"] = """
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS c_name, c_nationkey,
+                  CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer)
+SELECT CAST(json_object('c_custkey', CAST(c_custkey AS VARCHAR), 'c_name', c_name,
+                        'c_nationkey', CAST(c_nationkey AS VARCHAR), 'c_mktsegment', c_mktsegment) AS VARCHAR) AS value,
+       36 AS key_len
+FROM c WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL AND c_mktsegment IS NOT NULL"""
     sql["json_landing"] = f"""
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
        count(*) AS n_rows, count(*) FILTER (WHERE ({LEVEL_CASE}) = 'ERROR') AS n_error

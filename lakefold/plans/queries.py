@@ -23,7 +23,9 @@ from lakefold.operators.multiline import assemble_events
 from lakefold.plans import datasets, derived
 from lakefold.plans.derived import table
 from lakefold.session import scratch_path, stage
+from lakefold.schemas import Contract
 from lakefold.sinks.bronze import land_bronze
+from lakefold.sinks.kafka import to_records
 from lakefold.sources.catalog import register_table
 from lakefold.sources.files import all_string_schema, read_source
 from lakefold.sources.silver import SilverTable
@@ -495,12 +497,7 @@ CONTRACT_REQUIRED = ["c_custkey", "c_name", "c_mktsegment"]
 
 
 def contract_check(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        F.when(F.col("c_custkey") % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("c_name"),
-        "c_nationkey", "c_acctbal",
-        F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
-    )
+    c = _customers_with_gaps(spark, sf_dir)
     checked = ingest.contract_errors(c, CONTRACT_REQUIRED)
     reasons = F.array_join("contract_errors", ",")
     return checked.groupBy(
@@ -509,6 +506,27 @@ def contract_check(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+CUSTOMER_CONTRACT = Contract(
+    "customer_topic", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ("c_custkey", "c_name", "c_mktsegment")
+)
+
+
+def _customers_with_gaps(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("c_name"),
+        "c_nationkey", "c_acctbal",
+        F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+    )
+
+
+def topic_records(spark, sf_dir):
+    """K7 + R7 + R8: customer rows as keyed topic records; rows breaking the
+    contract are held back, the rest get a UUID key and a JSON value."""
+    records, _ = to_records(_customers_with_gaps(spark, sf_dir), CUSTOMER_CONTRACT, strict=False)
+    return records.select("value", F.length("key").alias("key_len"))
+
+
 def message_key(spark, sf_dir):
     keyed = ingest.with_message_key(table(spark, sf_dir, "events").select("event_id"))
     return keyed.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("message_key").alias("n_keys"))
@@ -555,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "request_plan_monthly": request_plan_monthly,
     "contract_check": contract_check,
     "message_key": message_key,
+    "topic_records": topic_records,
     "json_landing": json_landing,
     "open_or_create": open_or_create,
     "register_table": register_table_query,

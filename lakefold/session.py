@@ -91,19 +91,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """Read one driver table (parquet) by name, spread over the cores."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), key=path)
 
 
-def spread(df):
+_SCAN_PARTITIONS: dict[str, int] = {}
+
+
+def spread(df, key: str | None = None):
     """Give row-local work at least one partition per core.
 
     A scan cannot split below one parquet row group (or one gzip file), so
     an input of a few large units would run its regexes, JSON parsing and
     higher-order functions on a few cores.  Only then is the frame
     round-robin repartitioned; a large, well-split input is returned as is.
+    ``key`` (the input path) caches the scan's partition count.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if key is None or key not in _SCAN_PARTITIONS:
+        n = df.rdd.getNumPartitions()
+        if key is None:
+            return df.repartition(cores) if n < cores else df
+        _SCAN_PARTITIONS[key] = n
+    return df.repartition(cores) if _SCAN_PARTITIONS[key] < cores else df
 
 
 def stage(df, name: str):
