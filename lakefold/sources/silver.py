@@ -10,8 +10,10 @@ re-run after losing executors.
 
 The metadata also records the streaming batch id that produced a version,
 which makes ``foreachBatch`` replays idempotent.  A partitioned table
-writes only the partitions a merge changes (see ``SilverTable``).  There is no transaction log, concurrent-writer control
-or time travel beyond reading an older version.
+writes only the partitions a merge changes (see ``SilverTable``).  There
+is no transaction log and no time travel beyond reading an older version;
+of two writers racing for one version, the second fails with
+``ConcurrentCommitError`` instead of overwriting the first.
 """
 
 from __future__ import annotations
@@ -72,8 +74,10 @@ class _Fs:
     def size(self, *parts: str) -> int:
         return int(self.fs.getContentSummary(self.path(*parts)).getLength())
 
-    def write_text(self, text: str, *parts: str) -> None:
-        out = self.fs.create(self.path(*parts), True)
+    def write_text(self, text: str, *parts: str, overwrite: bool = True) -> None:
+        """Write a small text file; ``overwrite=False`` fails if it exists
+        (an atomic create on HDFS and local file systems)."""
+        out = self.fs.create(self.path(*parts), overwrite)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
@@ -99,6 +103,10 @@ class _Fs:
         self.fs.delete(self.path(*parts), True)
 
 
+class ConcurrentCommitError(RuntimeError):
+    """Another writer committed the same version number first."""
+
+
 class SilverTable:
     """A mutable table addressed by path.
 
@@ -246,7 +254,15 @@ class SilverTable:
                 schema=ordered.schema.json(),
                 partitions=kept,
             )
-        self._fs.write_text(json.dumps(meta), "_meta", f"v={version:08d}.json")
+        try:
+            self._fs.write_text(json.dumps(meta), "_meta", f"v={version:08d}.json", overwrite=False)
+        except Exception as e:  # noqa: BLE001 - py4j wraps the Java exception
+            if self._fs.exists("_meta", f"v={version:08d}.json"):
+                raise ConcurrentCommitError(
+                    f"version {version} of {self.path} was committed by another writer; "
+                    "re-run against the new current version"
+                ) from e
+            raise
         return version
 
     def open_or_create(self, df: DataFrame) -> DataFrame:

@@ -138,3 +138,16 @@ def test_dataset_run_partitioned_matches_unpartitioned(spark, tmp_dir):
     a = sorted(map(repr, part.read().select(*cols).collect()))
     b = sorted(map(repr, flat.read().select(*cols).collect()))
     assert a == b and len(a) > 0
+
+
+def test_concurrent_commit_detected(spark, tmp_dir):
+    from lakefold.sources.silver import ConcurrentCommitError
+
+    st = SilverTable(spark, f"{tmp_dir}/race")
+    st.write(spark.range(3))
+    other = SilverTable(spark, f"{tmp_dir}/race")
+    other._next_version = lambda: 2  # both writers picked version 2
+    st._next_version = lambda: 2
+    st._fs.write_text('{"version": 2, "layout": "flat"}', "_meta", "v=00000002.json")
+    with pytest.raises(ConcurrentCommitError):
+        other.write(spark.range(5))
