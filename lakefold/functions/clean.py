@@ -94,8 +94,11 @@ def binary_text(col: Column | str) -> Column:
 
 
 def url_term(col: Column | str) -> Column:
-    """URL-encode a query term (form encoding: space -> ``+``)."""
-    return F.url_encode(_c(col))
+    """URL-encode a query term the way the collector's form encoding
+    does: UTF-8 bytes percent-encoded, space as ``+``, ``~`` kept and ``*``
+    encoded (Java's encoder differs from it on exactly those two)."""
+    java = F.url_encode(_c(col))
+    return F.regexp_replace(F.regexp_replace(java, "%7E", "~"), "\\*", "%2A")
 
 
 def format_day(col: Column | str, fmt: str) -> Column:

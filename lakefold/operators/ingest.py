@@ -23,6 +23,9 @@ ENVELOPE_OK = "00"
 NO_DATA_CODE = "30"
 #: Search result paging: 10 results per page, first result number 1.
 PAGE_SIZE = 10
+#: Statistics API request parameters (the API key is session configuration
+#: and never part of a plan).
+STATS_PARAMS = "method=getList&orgId=101&tblId=DT_1B040A3&itmId=T20&loadGubun=2&prdSe=M&format=json&jsonVD=Y"
 
 
 # --------------------------------------------------------------------------
@@ -179,13 +182,16 @@ def request_plan(
     freq: str = "day",
     pages: int = 1,
     keep: Iterable[str] = (),
+    quote: bool = True,
 ) -> DataFrame:
     """One request row per keyword x period (x result page).
 
     Each keyword row generates its own period series (a generator, not a
-    cross join).  ``freq="day"`` formats the period ``yyyy.MM.dd`` and uses
-    it as both ends of the range; ``freq="month"`` formats ``yyyyMM``.
-    ``start_no = 1 + 10 * page`` is the first result number of the page.
+    cross join).  ``quote`` wraps the keyword in double quotes (an exact
+    phrase search, as the news collector sends it).  ``freq="day"``: the
+    search layout ``where=news&query=..&sort=1&pd=3&ds=D&de=D&start=N`` with
+    ``D`` as ``yyyy.MM.dd`` and ``N = 1 + 10 * page``; ``freq="month"``: the
+    statistics layout with ``startPrdDe=endPrdDe=yyyyMM``.
     """
     keep = list(keep)
     if freq == "day":
@@ -194,20 +200,21 @@ def request_plan(
         series, fmt = month_series(start, end), "yyyyMM"
     else:
         raise ValueError("freq must be 'day' or 'month'")
-    periods = keywords.select(*keep, F.col(keyword_col).alias("keyword"), F.explode(series).alias("period"))
+    term = F.concat(F.lit('"'), F.col(keyword_col), F.lit('"')) if quote else F.col(keyword_col)
+    periods = keywords.select(*keep, term.alias("keyword"), F.explode(series).alias("period"))
     paged = periods.select("*", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page"))
     label = format_day("period", fmt)
-    url = F.concat(
-        F.lit(base_url),
-        F.lit("?query="),
-        url_term("keyword"),
-        F.lit("&ds="),
-        label,
-        F.lit("&de="),
-        label,
-        F.lit("&start="),
-        (F.lit(1) + F.lit(PAGE_SIZE) * F.col("page")).cast("string"),
-    )
+    if freq == "day":
+        url = F.concat(
+            F.lit(base_url), F.lit("?where=news&query="), url_term("keyword"),
+            F.lit("&sort=1&pd=3&ds="), label, F.lit("&de="), label, F.lit("&start="),
+            (F.lit(1) + F.lit(PAGE_SIZE) * F.col("page")).cast("string"),
+        )
+    else:
+        url = F.concat(
+            F.lit(base_url), F.lit("?"), F.lit(STATS_PARAMS), F.lit("&objL1="), url_term("keyword"),
+            F.lit("&startPrdDe="), label, F.lit("&endPrdDe="), label,
+        )
     return paged.select(*keep, "keyword", label.alias("period"), "page", url.alias("url"))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from lakefold.functions.clean import KEYWORD_PATTERN
 from lakefold.functions.logtext import DATESTAMP, LOGLEVEL, USERNAME
+from lakefold.operators.ingest import STATS_PARAMS
 from lakefold.plans import derived as d
 from lakefold.plans import queries as q
 
@@ -207,22 +208,25 @@ SELECT page_id, CAST(i AS INTEGER) AS item_no, href[i] AS href,
 
 
 def plan_sql(daily: bool) -> str:
+    enc = "replace(url_encode(keyword), '%20', '+')"
     if daily:
         lo, hi = q.PLAN_DAILY
         series = f"generate_series(DATE '{lo}', DATE '{hi}', INTERVAL 1 DAY)"
         fmt, pages = "%Y.%m.%d", 2
+        url = (f"'{q.PLAN_BASE_URL}?where=news&query=' || {enc} || '&sort=1&pd=3&ds=' || period || '&de=' || period"
+               " || '&start=' || CAST(1 + 10 * page AS VARCHAR)")
     else:
         lo, hi = q.PLAN_MONTHLY
         series = f"generate_series(DATE '{lo}', DATE '{hi}', INTERVAL 1 MONTH)"
         fmt, pages = "%Y%m", 1
+        url = (f"'{q.PLAN_BASE_URL}?{STATS_PARAMS}&objL1=' || {enc} || '&startPrdDe=' || period"
+               " || '&endPrdDe=' || period")
     return f"""
 WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark),
-k AS (SELECT word || ' news' AS keyword FROM w),
+k AS (SELECT '"' || word || ' news"' AS keyword FROM w),
 p AS (SELECT keyword, CAST(unnest({series}) AS DATE) AS d FROM k),
 pg AS (SELECT keyword, strftime(d, '{fmt}') AS period, CAST(unnest(range(0, {pages})) AS INTEGER) AS page FROM p)
-SELECT keyword, period, page,
-       '{q.PLAN_BASE_URL}?query=' || replace(url_encode(keyword), '%20', '+') || '&ds=' || period || '&de=' || period
-       || '&start=' || CAST(1 + 10 * page AS VARCHAR) AS url FROM pg"""
+SELECT keyword, period, page, {url} AS url FROM pg"""
 
 
 def oracle_sql() -> dict[str, str]:

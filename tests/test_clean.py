@@ -56,8 +56,9 @@ def test_code_prefix_and_length(spark):
 
 
 def test_url_term_form_encoding(spark):
-    df = one_col(spark, ["a b", "x&y=z"])
-    assert col_values(df, clean.url_term("x")) == ["a+b", "x%26y%3Dz"]
+    df = one_col(spark, ["a b", "x&y=z", '"a~b*c"/é'])
+    # same text as Python's urllib.parse.urlencode value
+    assert col_values(df, clean.url_term("x")) == ["a+b", "x%26y%3Dz", "%22a~b%2Ac%22%2F%C3%A9"]
 
 
 def test_node_text(spark):

@@ -46,7 +46,8 @@ def test_request_plan(spark):
         kw, "kw", F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 2)), "https://x/s", "day", pages=2
     ).orderBy("period", "page").collect()
     assert len(out) == 4
-    assert out[1].url == "https://x/s?query=a+b&ds=2024.01.01&de=2024.01.01&start=11"
+    assert out[1].keyword == '"a b"'
+    assert out[1].url == "https://x/s?where=news&query=%22a+b%22&sort=1&pd=3&ds=2024.01.01&de=2024.01.01&start=11"
     monthly = ingest.request_plan(kw, "kw", F.lit(dt.date(2024, 1, 15)), F.lit(dt.date(2024, 3, 2)), "u", "month")
     assert sorted(r.period for r in monthly.collect()) == ["202401", "202402", "202403"]
 
