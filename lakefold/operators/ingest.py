@@ -147,14 +147,20 @@ def api_status(raw: Column) -> Column:
 
 
 def api_result(
-    df: DataFrame, raw_col: str, item_schema: T.StructType, keep: Iterable[str] = ()
+    df: DataFrame, raw_col: str, item_schema: T.StructType, keep: Iterable[str] = (), strict: bool = False
 ) -> DataFrame:
-    """List-of-lists payloads flattened to one row per item; ``empty``
-    payloads are skipped; ``error`` payloads give one row with null items.
-    Output: ``keep``, ``status``, ``item_no``, item fields."""
+    """One row per item of every successful payload (a JSON list of
+    rows; the rows of all requests form one flat table); ``empty`` payloads
+    (an ``err`` with the no-data code) are skipped; ``error`` payloads give
+    one row with null items, or raise with ``strict=True`` as the collector
+    does.  Output: ``keep``, ``status``, ``item_no``, item fields."""
     keep = list(keep)
-    nested = F.from_json(F.col(raw_col), T.ArrayType(T.ArrayType(item_schema)))
-    tagged = df.select(*keep, api_status(F.col(raw_col)).alias("status"), F.flatten(nested).alias("__items"))
+    rows = F.from_json(F.col(raw_col), T.ArrayType(item_schema))
+    tagged = df.select(*keep, api_status(F.col(raw_col)).alias("status"), rows.alias("__items"))
+    if strict:
+        bad = tagged.filter(F.col("status") == "error").limit(1).collect()
+        if bad:
+            raise ValueError(f"API error payload for {[bad[0][k] for k in keep]}")
     ok = tagged.filter(F.col("status") == "ok").select(
         *keep, "status", F.posexplode("__items").alias("item_no", "__it")
     )

@@ -212,10 +212,10 @@ def envelopes(events: DataFrame) -> DataFrame:
 
 def api_payloads(events: DataFrame) -> DataFrame:
     """Statistics-API style results: ``err`` 20 (failure) for error events,
-    ``err`` 30 (no data) for signups, otherwise a list of lists."""
+    ``err`` 30 (no data) for signups, otherwise a list of three rows."""
     listed = F.concat(
-        F.lit("[["), F.col("props"), F.lit('],[{"k": '), F.col("user_id").cast("string"),
-        F.lit("},"), F.col("props"), F.lit("]]"),
+        F.lit("["), F.col("props"), F.lit(',{"k": '), F.col("user_id").cast("string"),
+        F.lit("},"), F.col("props"), F.lit("]"),
     )
     raw = (
         F.when(F.col("event_type") == "error", F.lit('{"err":"20","errMsg":"failure"}'))

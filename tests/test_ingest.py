@@ -34,10 +34,13 @@ def test_envelope(spark):
 
 def test_api_result(spark):
     df = spark.createDataFrame(
-        [(1, '{"err":"30"}'), (2, '{"err":"20"}'), (3, '[[{"k":1}],[{"k":2},{"k":3}]]')], "id int, raw string"
+        [(1, '{"err":"30"}'), (2, '{"err":"20"}'), (3, '[{"k":1},{"k":2},{"k":3}]')], "id int, raw string"
     )
-    out = sorted((r.id, r.status, r.item_no, r.k) for r in ingest.api_result(df, "raw", ITEM, keep=["id"]).collect())
-    assert out == [(2, "error", None, None), (3, "ok", 1, 1), (3, "ok", 2, 2), (3, "ok", 3, 3)]
+    out = sorted(((r.id, r.status, r.item_no, r.k) for r in ingest.api_result(df, "raw", ITEM, keep=["id"]).collect()),
+                 key=repr)
+    assert out == sorted([(2, "error", None, None), (3, "ok", 1, 1), (3, "ok", 2, 2), (3, "ok", 3, 3)], key=repr)
+    with pytest.raises(ValueError):
+        ingest.api_result(df, "raw", ITEM, keep=["id"], strict=True)
 
 
 def test_request_plan(spark):
