@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from lakefold.functions import logtext
 from lakefold.operators.multiline import assemble_events, read_log_files
