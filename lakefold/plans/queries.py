@@ -26,7 +26,7 @@ from lakefold.session import scratch_path, stage
 from lakefold.schemas import Contract
 from lakefold.sinks.bronze import land_bronze
 from lakefold.sinks.kafka import to_records
-from lakefold.sources.catalog import register_table
+from lakefold.sources.catalog import register_silver, register_table
 from lakefold.sources.files import all_string_schema, read_source
 from lakefold.sources.silver import SilverTable
 from lakefold.streaming import jobs
@@ -340,12 +340,15 @@ def partition_arrival(spark, sf_dir):
 
 
 def open_or_create(spark, sf_dir):
-    """The first call creates the table, the second reopens it
-    (the second frame is ignored)."""
+    """The first call creates the table, the second reopens it
+    (the second frame is ignored); the table is then queried through SQL."""
     nation = table(spark, sf_dir, "nation")
     st = SilverTable(spark, scratch_path(spark, "silver_nation"))
     st.open_or_create(nation)
-    return st.open_or_create(nation.filter(F.col("n_regionkey") == 0))
+    st.open_or_create(nation.filter(F.col("n_regionkey") == 0))
+    name = f"silver_nation_{uuid.uuid4().hex[:10]}"
+    register_silver(spark, name, st)
+    return spark.sql(f"SELECT n_nationkey, n_name, n_regionkey FROM {name}")
 
 
 def register_table_query(spark, sf_dir):

@@ -151,3 +151,18 @@ def test_concurrent_commit_detected(spark, tmp_dir):
     st._fs.write_text('{"version": 2, "layout": "flat"}', "_meta", "v=00000002.json")
     with pytest.raises(ConcurrentCommitError):
         other.write(spark.range(5))
+
+
+def test_register_silver_follows_current_version(spark, tmp_dir):
+    from lakefold.sources.catalog import register_silver
+
+    st = SilverTable(spark, f"{tmp_dir}/reg_silver")
+    st.write(spark.range(4))
+    assert register_silver(spark, "silver_reg_test", st).count() == 4
+    st.write(spark.range(7))
+    assert register_silver(spark, "silver_reg_test", st).count() == 7
+    assert spark.sql("SELECT count(*) FROM silver_reg_test").first()[0] == 7
+    pt = SilverTable(spark, f"{tmp_dir}/reg_psilver", partition_by=["p"])
+    pt.write(spark.range(6).selectExpr("id", "id % 2 AS p"))
+    pt.write(spark.range(1).selectExpr("id", "0 AS p"), replace=[(0,)])
+    assert register_silver(spark, "psilver_reg_test", pt).count() == 4
