@@ -72,16 +72,19 @@ def order_struct(df: DataFrame, order_by: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in list(order_by) + rest])
 
 
-def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Iterable[str], order_by: Iterable[str], group_nulls: bool = False
+) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` (ties broken by
-    the remaining columns).  Rows with a null key part are kept as they are.
+    the remaining columns).  Rows with a null key part are kept as they are,
+    unless ``group_nulls`` (null-safe keys), where null is a key value too.
 
     Built as a grouped ``max`` over a struct, which combines map-side before
     the shuffle, so a key holding a large share of the rows is reduced in
     every task instead of being sorted in one.
     """
     keys, order_by = list(keys), list(order_by)
-    keyed, nulls = split_null_keys(df, keys)
+    keyed, nulls = (df, None) if group_nulls else split_null_keys(df, keys)
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in order_by + [c for c in others if c not in order_by]])
     latest = (
@@ -90,11 +93,15 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str])
         .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
         .select(*df.columns)
     )
-    return latest.unionByName(nulls)
+    return latest if nulls is None else latest.unionByName(nulls)
 
 
 def merge_conflicts(
-    target: DataFrame, source: DataFrame, on: Iterable[str], source_small: bool | None = None
+    target: DataFrame,
+    source: DataFrame,
+    on: Iterable[str],
+    source_small: bool | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """M8: keys with more than one source row that also exist in the target.
 
@@ -102,14 +109,14 @@ def merge_conflicts(
     matched rows is ambiguous for every key listed here.
     """
     on = list(on)
+    keyed = source if null_safe else source.filter(all_keys_present(on))
     dup = (
-        source.filter(all_keys_present(on))
-        .groupBy(*on)
+        keyed.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("n_source_rows"))
         .filter(F.col("n_source_rows") > 1)
     )
-    hit = matched_keys(dup.select(*on), target, on, known_small=source_small)
-    return _join(dup, hit, on, "left_semi", null_safe=False)
+    hit = matched_keys(dup.select(*on), target, on, known_small=source_small, null_safe=null_safe)
+    return _join(dup, hit, on, "left_semi", null_safe=null_safe)
 
 
 def matched_keys(
@@ -144,10 +151,10 @@ def matched_keys(
 
 
 def check_cardinality(
-    target: DataFrame, source: DataFrame, on: list[str], source_small: bool | None = None
+    target: DataFrame, source: DataFrame, on: list[str], source_small: bool | None = None, null_safe: bool = False
 ) -> None:
     """Raise ``MergeCardinalityError`` if a target row has several source rows."""
-    bad = merge_conflicts(target, source, on, source_small).limit(5).collect()
+    bad = merge_conflicts(target, source, on, source_small, null_safe).limit(5).collect()
     if bad:
         sample = ", ".join(str(tuple(r[k] for k in on)) for r in bad)
         raise MergeCardinalityError(
@@ -237,9 +244,9 @@ def merge(
     if on_conflict == "latest":
         if not order_by:
             raise ValueError("on_conflict='latest' needs order_by")
-        source = latest_per_key(source, on, order_by)
+        source = latest_per_key(source, on, order_by, group_nulls=null_safe)
     elif update is not None and not delete:
-        check_cardinality(target, source, on, small)
+        check_cardinality(target, source, on, small, null_safe)
 
     if null_safe:
         t_keyed, t_null, s_keyed, s_null = target, None, source, None

@@ -261,3 +261,12 @@ def test_broadcast_check_bounds_bytes(spark):
     assert fits_broadcast(wide.select("id"), max_rows=100, max_bytes=1_000)
     assert not fits_broadcast(wide, max_rows=100, max_bytes=50_000)
     assert not fits_broadcast(wide.select("id"), max_rows=5)
+
+
+def test_null_safe_duplicates_are_conflicts_or_reduced(spark):
+    t = spark.createDataFrame([(None, "t", 0)], "k int, v string, o int")
+    s = spark.createDataFrame([(None, "x", 1), (None, "y", 2)], "k int, v string, o int")
+    with pytest.raises(m.MergeCardinalityError):
+        m.merge(t, s, ["k"], update=["v"], null_keys="null_safe")
+    out = m.merge(t, s, ["k"], update="all", null_keys="null_safe", on_conflict="latest", order_by=["o"])
+    assert rows(out) == [(None, "y", 2)]
