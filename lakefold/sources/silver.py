@@ -245,6 +245,12 @@ class SilverTable:
                 kept = {}
             else:
                 dropped = {_partition_key(p) for p in replace}
+                stray = [rel for rel in written if _values_of(rel.rsplit("/", 1)[0]) not in dropped]
+                if stray:
+                    # Not committed: the folders stay unreferenced.
+                    raise ValueError(
+                        f"rows for partitions outside `replace` would drop their old rows: {stray[:3]}"
+                    )
                 kept = {rel: t for rel, t in previous.items() if _values_of(rel) not in dropped}
             kept.update({rel.rsplit("/", 1)[0]: tag for rel in written})
             meta.update(

@@ -166,3 +166,11 @@ def test_register_silver_follows_current_version(spark, tmp_dir):
     pt.write(spark.range(6).selectExpr("id", "id % 2 AS p"))
     pt.write(spark.range(1).selectExpr("id", "0 AS p"), replace=[(0,)])
     assert register_silver(spark, "psilver_reg_test", pt).count() == 4
+
+
+def test_partitioned_write_refuses_stray_partitions(spark, tmp_dir):
+    st = SilverTable(spark, f"{tmp_dir}/stray", partition_by=["p"])
+    st.write(spark.range(4).selectExpr("id", "id % 2 AS p"))
+    with pytest.raises(ValueError):
+        st.write(spark.range(2).selectExpr("id", "1 AS p"), replace=[(0,)])
+    assert st.current_version() == 1 and st.read().count() == 4
