@@ -51,10 +51,10 @@ def assemble_events(
 ) -> DataFrame:
     """One row per assembled event: ``keep`` columns + ``event_no``,
     ``first_line`` (1-based), ``n_lines`` and ``event`` (lines joined by
-    ``\\n``).  Continuation lines before the first start line form an
-    event of their own."""
+    ``\\n``; ``\\r\\n`` line ends are accepted).  Continuation lines before the
+    first start line form an event of their own."""
     keep = list(keep or [c for c in df.columns if c != text_col])
-    split = df.select(*keep, F.split(F.col(text_col), "\n", -1).alias("__lines"))
+    split = df.select(*keep, F.split(F.col(text_col), "\r?\n", -1).alias("__lines"))
     starts = split.select(*keep, "__lines", _start_lines(F.col("__lines"), start_pattern).alias("__starts"))
     return starts.select(
         *keep, F.explode(_events(F.col("__lines"), F.col("__starts"))).alias("__e")

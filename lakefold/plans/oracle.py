@@ -372,8 +372,8 @@ cal AS (SELECT CAST(unnest(generate_series(min(d) - 2, max(d) + 2, INTERVAL 1 DA
 c AS (SELECT d AS day, count(*) AS n FROM b GROUP BY d)
 SELECT cal.day, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) > 0 AS arrived FROM cal LEFT JOIN c ON cal.day = c.day"""
     sql["log_assemble"] = f"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-                  generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents),
+WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line,
+                  generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS ln FROM documents),
 s AS (SELECT *, sum(CASE WHEN ln = 1 OR regexp_matches(line, '{q.LINE_START}') THEN 1 ELSE 0 END)
                   OVER (PARTITION BY doc_id ORDER BY ln ROWS UNBOUNDED PRECEDING) AS event_no FROM l)
 SELECT doc_id, CAST(event_no AS INTEGER) AS event_no, CAST(min(ln) AS INTEGER) AS first_line,

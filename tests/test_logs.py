@@ -80,3 +80,9 @@ def test_read_text_lines(spark, tmp_dir):
     assert sorted(r.line for r in lines.collect()) == ["one", "two"]
     assert all(r.file_path.endswith("a.log") for r in lines.collect())
     assert preview(lines, 1).count() == 1
+
+
+def test_multiline_crlf(spark):
+    df = spark.createDataFrame([(1, "22/11/14 10:11:12 INFO A: x\r\n\tmore\r\n22/11/14 10:11:13 INFO B: y")], "id int, text string")
+    out = assemble_events(df, "text").orderBy("event_no").collect()
+    assert [r.event for r in out] == ["22/11/14 10:11:12 INFO A: x\n\tmore", "22/11/14 10:11:13 INFO B: y"]
