@@ -137,3 +137,24 @@ def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, batch_id: int
             target = table.read(partitions=touched)
             return table.write(fold(spec, target, batch), batch_id=batch_id, replace=touched)
         return table.write(fold(spec, table.read(), batch), batch_id=batch_id)
+
+
+def stream_run(spec: DatasetSpec, bronze_stream: DataFrame, table: SilverTable, checkpoint: str):
+    """T6 for a dataset: every micro-batch of Bronze is transformed and
+    merged into ``table`` (only new Bronze files are read, instead of the
+    whole feed on every run).  The first micro-batch of a missing table
+    follows the first-run rule (the table is created from the batch, then
+    the batch is merged into it).  Transforms are batch-local, as in the
+    batch job: the census label joins a code to the top-level rows of the
+    same micro-batch, so a feed must deliver a period's rows together.
+    Returns the finished streaming query."""
+    from lakefold.streaming.jobs import merge_stream_job
+
+    return merge_stream_job(
+        bronze_stream,
+        table,
+        checkpoint,
+        merge_batch=lambda target, batch: merge_batch(spec, target, batch),
+        initial=lambda batch: batch,
+        prepare=spec.transform,
+    )

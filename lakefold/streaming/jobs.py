@@ -108,12 +108,15 @@ def merge_stream_job(
     checkpoint: str,
     merge_batch: Callable[[DataFrame, DataFrame], DataFrame],
     initial: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Fold every micro-batch into ``table`` with ``merge_batch(target,
     batch)``.
 
-    The first batch of a missing table is merged into an empty table of the
-    batch's schema (or into ``initial(batch)`` when given).  On a
+    ``prepare`` (for example a dataset transform) turns each raw micro-batch
+    into the frame that is merged.  The first batch of a missing table is
+    merged into an empty table of the batch's schema (or into
+    ``initial(batch)`` when given).  On a
     partitioned table only the partitions present in the batch are read and
     rewritten (the partition columns must be functions of the merge key).
     A batch id that is not newer than the one recorded with the current
@@ -125,6 +128,8 @@ def merge_stream_job(
         last = table.last_batch_id()
         if last is not None and batch_id <= last:
             return
+        if prepare is not None:
+            batch = prepare(batch)
         if not table.exists():
             target = initial(batch) if initial else batch.limit(0)
             table.write(merge_batch(target, batch), batch_id=batch_id)
