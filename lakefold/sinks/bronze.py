@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reference landing settings: records per file and the landing time zone.
+#: Reference landing settings: the streaming connector's records per file
+#: (flush size) and the landing time zone.
 NEWS_RECORDS_PER_FILE = 1000
 AIR_RECORDS_PER_FILE = 1000
 CENSUS_RECORDS_PER_FILE = 500
@@ -48,20 +49,23 @@ def land_bronze(
     path: str,
     ts_col: str | None = None,
     time_zone: str = LANDING_TIME_ZONE,
-    max_records_per_file: int = NEWS_RECORDS_PER_FILE,
+    max_records_per_file: int | None = None,
     fmt: str = "parquet",
     source_tz: str | None = None,
 ) -> None:
-    """K4: append ``df`` under ``path/ingest_date=YYYY-MM-DD/``, at most
-    ``max_records_per_file`` rows per file."""
-    (
-        with_landing_day(df, ts_col, time_zone, source_tz=source_tz)
-        .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("ingest_date")
-        .format(fmt)
-        .save(path)
-    )
+    """K4: append ``df`` under ``path/ingest_date=YYYY-MM-DD/``.
+
+    Rows are rebalanced by landing day before the write, so each day gets a
+    few large files (AQE splits a heavy day).  ``max_records_per_file``
+    caps file size in records; pass ``NEWS_RECORDS_PER_FILE`` etc. to mimic
+    the streaming connector's flush size, which at batch scale would only
+    produce many tiny files.
+    """
+    landed = with_landing_day(df, ts_col, time_zone, source_tz=source_tz).hint("rebalance", "ingest_date")
+    writer = landed.write.mode("append").partitionBy("ingest_date").format(fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.save(path)
 
 
 def with_day_parts(df: DataFrame, ts_col: str) -> DataFrame:

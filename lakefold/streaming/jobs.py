@@ -88,17 +88,24 @@ def parse_log_stream(messages: DataFrame, message_col: str = "value", ts_col: st
 
 
 def landing_stream_job(
-    stream: DataFrame, sink_path: str, checkpoint: str, time_zone: str = "Asia/Seoul", max_records_per_file: int = 1000
+    stream: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    time_zone: str = "Asia/Seoul",
+    max_records_per_file: int | None = None,
 ) -> StreamingQuery:
-    """T4: continuous Bronze landing into ``ingest_date`` folders."""
+    """T4: continuous Bronze landing into ``ingest_date`` folders (the
+    landing day of the processing time).  ``max_records_per_file`` mimics
+    the connector's flush size when given."""
     landed = with_landing_day(stream, None, time_zone)
     writer = (
         landed.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("ingest_date")
     )
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     return _run_once(writer, sink_path)
 
 

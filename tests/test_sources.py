@@ -55,6 +55,8 @@ def test_seoul_day(spark):
 def test_land_bronze_partitions_and_file_size(spark, tmp_dir):
     df = spark.range(2500).select(F.col("id"), F.lit(dt.datetime(2024, 1, 1, 15, 0)).cast("timestamp_ntz").alias("ts"))
     land_bronze(df, f"{tmp_dir}/bronze", ts_col="ts", source_tz="UTC", max_records_per_file=1000)
+    land_bronze(df, f"{tmp_dir}/bronze_big", ts_col="ts", source_tz="UTC")
+    assert len(spark.read.parquet(f"{tmp_dir}/bronze_big").inputFiles()) == 1
     back = spark.read.parquet(f"{tmp_dir}/bronze")
     assert [tuple(r) for r in back.groupBy("ingest_date").count().collect()] == [(dt.date(2024, 1, 2), 2500)]
     assert back.filter(F.col("ingest_date") == dt.date(2024, 1, 2)).count() == 2500
