@@ -234,7 +234,9 @@ def arrival_report(
     aggregate over the (partition-pruned) Bronze scan.
     """
     counts = bronze.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
-    bounds = bronze.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
+    # The bounds come from the per-day counts (one row per day), not from a
+    # second scan of Bronze.
+    bounds = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     lo = start if start is not None else F.date_sub(F.col("lo"), pad_days)
     hi = end if end is not None else F.date_add(F.col("hi"), pad_days)
     calendar = bounds.select(F.explode(day_series(lo, hi)).alias("day"))
