@@ -176,3 +176,16 @@ def test_partitioned_write_refuses_stray_partitions(spark, tmp_dir):
     with pytest.raises(ValueError):
         st.write(spark.range(2).selectExpr("id", "1 AS p"), replace=[(0,)])
     assert st.current_version() == 1 and st.read().count() == 4
+
+
+def test_cli_runs_a_dataset_twice(spark, tmp_dir):
+    from lakefold.__main__ import main
+    from lakefold.plans import datasets, derived
+
+    first, second = derived.air_runs(spark, "/root/testdata/sf0.001")
+    first.write.parquet(f"{tmp_dir}/bronze1")
+    second.write.parquet(f"{tmp_dir}/bronze2")
+    for b in ("bronze1", "bronze2"):
+        assert main(["run", "air_quality", "--bronze", f"{tmp_dir}/{b}", "--silver", f"{tmp_dir}/silver"]) == 0
+    st = datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/silver")
+    assert st.current_version() == 2 and st.read().count() > 0
