@@ -1,7 +1,8 @@
-"""Job entry point: ``spark-submit -m lakefold`` style runs of one dataset.
+"""Job entry point: one scheduled run of one dataset.
 
     python -m lakefold run {news_collection,air_quality,census_data_collection}
         --bronze PATH --silver PATH [--format parquet] [--time-zone UTC]
+    spark-submit --py-files lakefold.zip lakefold/__main__.py run ...
 
 Reads the Bronze files, folds them into the Silver table (creating it on
 the first run) and prints the committed version.  Cluster settings (master,
