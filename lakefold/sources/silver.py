@@ -301,9 +301,17 @@ class SilverTable:
         self._fs.write_text("\n".join(files) + "\n", "_symlink_format_manifest", "manifest")
         return f"{self.path}/_symlink_format_manifest/manifest"
 
-    def vacuum(self, keep: int = 2) -> list[int]:
+    def vacuum(self, keep: int = 2, remove_orphans: bool = True) -> list[int]:
         """Delete the data and metadata of all but the newest ``keep``
-        versions (partition folders still referenced by a kept version stay)."""
+        versions (partition folders still referenced by a kept version stay).
+
+        ``remove_orphans`` also deletes folders no kept version references
+        whose version number is not above the current one: the leftovers of
+        jobs killed between their data write and their commit (a writer
+        with such a number either committed under another tag or lost the
+        race).  Folders of newer numbers may belong to a writer still
+        running and are left alone.
+        """
         versions = self.versions()
         old = versions[:-keep] if keep > 0 else versions
         live_tags = set()
@@ -318,6 +326,19 @@ class SilverTable:
             else:
                 self._fs.delete(f"v={v:08d}")
             self._fs.delete("_meta", f"v={v:08d}.json")
+        if remove_orphans and versions:
+            current = versions[-1]
+            kept_flat = set(versions[len(old):])
+            for name in self._fs.list_dirs():
+                m = _VERSION_RE.match(name)
+                if m and int(m.group(1)) <= current and int(m.group(1)) not in kept_flat:
+                    self._fs.delete(name)
+            if self.partition_by:
+                pattern = "/".join(["*"] * len(self.partition_by)) + f"/{_TAG_COL}=*"
+                for rel in self._fs.glob_rel(pattern):
+                    tag = rel.rsplit("=", 1)[1]
+                    if tag not in live_tags and int(tag.split("-", 1)[0]) <= current:
+                        self._fs.delete(rel)
         return old
 
 

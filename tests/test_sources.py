@@ -189,3 +189,24 @@ def test_cli_runs_a_dataset_twice(spark, tmp_dir):
         assert main(["run", "air_quality", "--bronze", f"{tmp_dir}/{b}", "--silver", f"{tmp_dir}/silver"]) == 0
     st = datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/silver")
     assert st.current_version() == 2 and st.read().count() > 0
+
+
+def test_vacuum_removes_orphans_of_killed_writes(spark, tmp_dir):
+    import os
+
+    st = SilverTable(spark, f"{tmp_dir}/orph", partition_by=["p"])
+    st.write(spark.range(4).selectExpr("id", "id % 2 AS p"))
+    # a killed attempt at version 2: data written, never committed
+    os.makedirs(f"{tmp_dir}/orph/p=0/lf_v=00000002-deadbeef")
+    st.write(spark.range(2).selectExpr("id", "0 AS p"), replace=[(0,)])
+    os.makedirs(f"{tmp_dir}/orph/p=1/lf_v=00000099-cafecafe")  # a writer still running
+    st.vacuum(keep=1)
+    assert not os.path.exists(f"{tmp_dir}/orph/p=0/lf_v=00000002-deadbeef")
+    assert os.path.exists(f"{tmp_dir}/orph/p=1/lf_v=00000099-cafecafe")
+    assert sorted(r.id for r in st.read().collect()) == [0, 1, 1, 3]
+    flat = SilverTable(spark, f"{tmp_dir}/orph_flat")
+    flat.write(spark.range(3))
+    os.makedirs(f"{tmp_dir}/orph_flat/v=00000002")  # killed before its commit
+    flat.write(spark.range(5))
+    flat.vacuum(keep=1)
+    assert not os.path.exists(f"{tmp_dir}/orph_flat/v=00000002") and flat.read().count() == 5
