@@ -95,25 +95,40 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spread(spark.read.parquet(path), key=path)
 
 
-_SCAN_PARTITIONS: dict[str, int] = {}
+#: Input bytes (compressed) per partition that ``spread`` aims for at least.
+SPREAD_MIN_BYTES = 256 << 10
+_SCAN_SHAPE: dict[str, tuple[int, int]] = {}
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
 
 def spread(df, key: str | None = None):
-    """Give row-local work at least one partition per core.
+    """Give row-local work up to one partition per core.
 
     A scan cannot split below one parquet row group (or one gzip file), so
     an input of a few large units would run its regexes, JSON parsing and
     higher-order functions on a few cores.  Only then is the frame
-    round-robin repartitioned; a large, well-split input is returned as is.
-    ``key`` (the input path) caches the scan's partition count.
+    round-robin repartitioned, to at most one partition per core and per
+    ``SPREAD_MIN_BYTES`` of input (a tiny table stays in one partition); a
+    well-split input is returned as is.  ``key`` (the input path) caches the
+    scan's partition count and size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if key is None or key not in _SCAN_PARTITIONS:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if key is not None and key in _SCAN_SHAPE:
+        n, size = _SCAN_SHAPE[key]
+    else:
         n = df.rdd.getNumPartitions()
-        if key is None:
-            return df.repartition(cores) if n < cores else df
-        _SCAN_PARTITIONS[key] = n
-    return df.repartition(cores) if _SCAN_PARTITIONS[key] < cores else df
+        size = _input_bytes(spark, key) if key is not None else cores * SPREAD_MIN_BYTES
+        if key is not None:
+            _SCAN_SHAPE[key] = (n, size)
+    target = min(cores, max(1, size // SPREAD_MIN_BYTES))
+    return df.repartition(target) if n < target else df
 
 
 def stage(df, name: str):

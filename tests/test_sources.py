@@ -210,3 +210,12 @@ def test_vacuum_removes_orphans_of_killed_writes(spark, tmp_dir):
     flat.write(spark.range(5))
     flat.vacuum(keep=1)
     assert not os.path.exists(f"{tmp_dir}/orph_flat/v=00000002") and flat.read().count() == 5
+
+
+def test_spread_bounds_partitions_by_input_size(spark):
+    from lakefold.session import read_table
+
+    tiny = read_table(spark, "/root/testdata/sf0.01", "nation")
+    assert tiny.rdd.getNumPartitions() == 1
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    assert 1 < docs.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
