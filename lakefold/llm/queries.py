@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .bpe import op2_bpe
 from .sharding import op1_sharding
+from .token_files import op4_token_files
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_bpe": op2_bpe,
+    "op4_token_files": op4_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
