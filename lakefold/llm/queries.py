@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from .ann import op6_nearest
 from .bpe import op2_bpe
+from .mixing import op5_mixing
 from .sharding import op1_sharding
+from . import warc
 from .token_files import op4_token_files
+from .warc import op7_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op4_token_files": op4_token_files,
+    "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
+    "op7_warc": op7_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_warc": warc.ORACLE,
+}
