@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from . import warc
 from .ann import op6_nearest
 from .bpe import op2_bpe
 from .mixing import op5_mixing
+from .quality import op8_quality
 from .sharding import op1_sharding
-from . import warc
 from .token_files import op4_token_files
 from .warc import op7_warc
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_nearest": op6_nearest,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
