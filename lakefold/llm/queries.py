@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import warc
+from . import minhash, warc
 from .ann import op6_nearest
 from .bpe import op2_bpe
+from .minhash import op10_minhash
 from .mixing import op5_mixing
 from .quality import op8_quality
 from .sharding import op1_sharding
@@ -19,8 +20,10 @@ QUERIES = {
     "op6_nearest": op6_nearest,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_warc": warc.ORACLE,
+    "op10_minhash": minhash.ORACLE,
 }
