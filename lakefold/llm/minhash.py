@@ -172,9 +172,8 @@ def sketch_documents(docs: DataFrame, n_words: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for lo, hi in text_slices(texts, 1 << 20):
-                sets = shingle_sets(texts[lo:hi], n_words)
+            for lo, hi, texts in text_slices(batch.column(2), 1 << 20):
+                sets = shingle_sets(texts, n_words)
                 n = np.diff(sets.starts)
                 some = n > 0
                 node = np.zeros(len(sets), np.int64)
@@ -226,16 +225,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) ->
 
     def run(batches):
         for batch in batches:
-            names = [batch.column(c).to_pylist() for c in (0, 1)]
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = []
-            for lo, hi in text_slices(left, 1 << 19):
-                x, y = shingle_sets(left[lo:hi], n_words), shingle_sets(right[lo:hi], n_words)
+            for lo, hi, left in text_slices(batch.column(2), 1 << 19):
+                x, y = shingle_sets(left, n_words), shingle_sets(batch.column(3).slice(lo, hi - lo).to_pylist(), n_words)
                 for i in range(hi - lo):
                     p, q = x.of(i), y.of(i)
                     both = len(np.intersect1d(p, q, assume_unique=True))
                     keep.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()) for n in names], ["a", "b"]).filter(
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
     a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")

@@ -18,9 +18,8 @@ counted, so lost executors and retries leave no wrong result.  Files live
 under the shared folder of the session and are opened with pyarrow's file
 systems.
 
-Encoding is the tokenizers library's: a text is cut before every space that
-follows a letter (where this pre-tokenizer always cuts), and each distinct
-piece is encoded once per worker.  One shuffle: the texts, by id range.
+Encoding is the tokenizers library's, each distinct piece of text encoded
+once per worker (a bounded cache).  One shuffle: the texts, by id range.
 
 Defined results: a null or empty text has the end id alone; a null id sorts
 first and is kept; repeated rows follow one another; ties of an id are
@@ -34,6 +33,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +46,8 @@ from .common import in_memory_cache, read, row_order, scratch_path, text_of
 VOCAB = "byte_bpe_50k.json"
 MAGIC = b"LFIDS\x01\r\n"
 BLOCK_IDS = 4096  # a multiple of 64
-FILE_IDS = 1 << 22
-CACHE_PIECES = 400_000
+FILE_IDS = 1 << 21
+CACHE_PIECES = 500_000
 END_ID = 0
 
 
@@ -142,13 +142,27 @@ class TokenFile:
 
 # --- encoding --------------------------------------------------------------
 
+class _Numbers(dict):
+    """Numbers keys in order of their first lookup."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class PieceEncoder:
-    """The library's ids of whole texts, each distinct piece encoded once."""
+    """The library's ids of whole texts, each distinct piece encoded once.
+
+    A text is cut before every space that follows something else than white
+    space, and between a Latin letter and the punctuation or line feed after
+    it.  This pre-tokenizer cuts there in any text, so the ids of the pieces
+    are the ids of the text."""
 
-    #: Where white space of any kind comes before a space, cuts depend on
+    #: Where white space of any kind comes before a space, the cut depends on
     #: what follows; such texts are cut before runs of white space only.
     uneven = re.compile(r"\s ").search
     runs = re.compile(r"\s*\S+|\s+").findall
+    marked = re.compile(r"[.,;:!?|#$%&*\n](?<=[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?|#$%&*\n])").sub
 
     def __init__(self, path: str):
         import os
@@ -159,44 +173,53 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Numbers()
         self.flat = np.empty(0, np.uint32)
         self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def pieces(self, text: str) -> list[str]:
-        if self.uneven(text):
+        if self.uneven(text) or "\x00" in text or any(s in text for s in self.special):
             return self.runs(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        out = self.marked("\x00\\g<0>", text).replace(" ", "\x00 ").split("\x00")
+        return out if out[0] else out[1:]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and offsets (one more than texts)."""
-        if len(self.index) > CACHE_PIECES:
-            self._reset()
-        cut = [self.pieces(t) if t else [] for t in texts]
-        new = list({p: None for ps in cut for p in ps if p not in self.index})
-        made, counts = [], []
+    def _learn(self, new: list[str]) -> None:
+        made: list[int] = []
+        count = []
         for i in range(0, len(new), 512):
             for e in self.tok.encode_batch_fast(new[i:i + 512], add_special_tokens=False):
                 ids = e.ids
                 made += ids
-                counts.append(len(ids))
-        if new:
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            count = np.array(counts, np.int64)
-            self.start = np.r_[self.start, len(self.flat) + np.cumsum(count) - count]
-            self.count = np.r_[self.count, count]
-            self.flat = np.r_[self.flat, np.array(made, np.uint32)]
-        which = np.fromiter((self.index[p] for ps in cut for p in ps), np.int64)
+                count.append(len(ids))
+        count = np.array(count, np.int64)
+        self.start = np.r_[self.start, len(self.flat) + np.cumsum(count) - count]
+        self.count = np.r_[self.count, count]
+        self.flat = np.r_[self.flat, np.array(made, np.uint32)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and offsets (one more than texts)."""
+        if len(self.index) > CACHE_PIECES:
+            self._reset()
+        cut: list[str] = []
+        ends = [0]
+        for t in texts:
+            if t:
+                cut += self.pieces(t)
+            ends.append(len(cut))
+        known = len(self.index)
+        which = np.fromiter(map(self.index.__getitem__, cut), np.int64, len(cut))
+        if len(self.index) > known:
+            self._learn(list(islice(self.index, known, None)))
         start, count = self.start[which], self.count[which]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(start - (ends - count), count) + np.arange(total)]
-        return ids, np.r_[0, ends][np.cumsum([0] + [len(ps) for ps in cut])]
+        to = np.cumsum(count)
+        total = int(to[-1]) if len(to) else 0
+        ids = self.flat[np.repeat(start - (to - count), count) + np.arange(total)]
+        return ids, np.r_[0, to][ends]
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -238,9 +261,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str = VOCAB, end_id: i
 
         for batch in batches:
             filesystem.create_dir(root, recursive=True)
-            texts, names = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for lo, hi in text_slices(texts):
-                ids, at = enc.encode(texts[lo:hi])
+            names = batch.column(0).to_pylist()
+            for lo, hi, texts in text_slices(batch.column(1), 1 << 20):
+                ids, at = enc.encode(texts)
                 held_ids.append(np.insert(ids, at[1:], end_id))
                 lens.append(np.diff(at) + 1)
                 held_docs += names[lo:hi]
