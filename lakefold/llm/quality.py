@@ -211,6 +211,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(run, f"{kept}score double")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The documents whose score reaches the threshold, all columns kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            yield batch.filter(pa.array([shared.value.score(t) >= threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predicted(threshold: float = THRESHOLD) -> Column:
     return (F.col("score") >= threshold).cast("int")
 
