@@ -4,7 +4,7 @@ The reference finds duplicates with ``ROW_NUMBER() OVER (PARTITION BY key
 ORDER BY ...) > 1``.  A window sends every row of a key to one task, so a
 key holding a third of the table would be sorted by a single core.  The
 operators here reach the same rows through grouped aggregates, which
-combine map-side before the shuffle, plus one equi-join that AQE can split
+combine map-side before the shuffle, plus equi-joins that AQE can split
 when a key is skewed.
 """
 
@@ -15,8 +15,8 @@ from typing import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.operators.joins import split_null_keys
-from lakefold.operators.merge import _join, insert_only, latest_per_key, order_struct
+from lakefold.operators.joins import all_keys_present, key_join
+from lakefold.operators.merge import latest_per_key
 
 PURGE_MODES = ("reference", "keep_latest")
 
@@ -42,33 +42,24 @@ def duplicate_rows(df: DataFrame, keys: Iterable[str], order_by: Iterable[str])
           SELECT *, ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ... DESC) rn
           FROM df) WHERE rn > 1
 
-    Every row of a duplicated key qualifies except the top one, which
-    qualifies only when it has an identical copy.
+    A narrow hash aggregate finds the repeated keys; only their rows are
+    compared as a whole.  Every row of such a key qualifies except the top
+    one, which qualifies only when it has an identical copy.
     """
     keys, order_by = list(keys), list(order_by)
     cols = df.columns
-    rank_key = order_struct(df, order_by)
-    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
-    per_key = (
-        copies.groupBy(*keys)
-        .agg(F.max(order_struct(df, order_by)).alias("__top"), F.sum("__copies").alias("__n"))
-        .filter(F.col("__n") > 1)
-        .drop("__n")
-    )
-    joined = _join(copies, per_key, keys, "inner", null_safe=True)
+    rank_key = F.struct(*order_by, *[c for c in cols if c not in order_by])
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
+    rows = key_join(df, repeated, keys, "left_semi", null_safe=True)
+    copies = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
+    top = copies.groupBy(*keys).agg(F.max(rank_key).alias("__top"))
+    joined = key_join(copies, top, keys, "left", null_safe=True)
     return joined.filter((rank_key != F.col("__top")) | (F.col("__copies") > 1)).select(*cols)
 
 
-def duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Non-null keys that occur more than once."""
-    keys = list(keys)
-    keyed, _ = split_null_keys(df, keys)
-    return (
-        keyed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > 1)
-        .select(*keys)
-    )
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per non-null key (``__n``)."""
+    return df.filter(all_keys_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def drop_duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -76,13 +67,7 @@ def drop_duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     duplicate rows as source: the survivor of the window goes too).  Rows
     with a null key part never match a delete and stay."""
     keys = list(keys)
-    # The duplicated-key set is an aggregate over the whole table; counting
-    # it first would compute that aggregate twice.  AQE measures its shuffle
-    # output at runtime and turns the anti join into a broadcast join when
-    # the set is small.
-    dup = duplicated_keys(df, keys)
-    keyed, nulls = split_null_keys(df, keys)
-    return _join(keyed, dup, keys, "left_anti", null_safe=False).unionByName(nulls)
+    return key_join(df, key_counts(df, keys).filter("__n > 1").select(*keys), keys, "left_anti")
 
 
 def purge_duplicates(
@@ -98,14 +83,20 @@ def purge_duplicates(
     ``mode="reference"`` deletes every row of a duplicated key, so such a
     key is replaced by whatever source rows carry it.  ``mode="keep_latest"``
     keeps the latest row per key (by ``order_by``) instead.
+
+    The target is read for its rows and for its keys; the one aggregate over
+    the keys serves the delete and the insert (its shuffle is reused).
     """
     on = list(on)
     if mode not in PURGE_MODES:
         raise ValueError(f"mode must be one of {PURGE_MODES}")
     if mode == "reference":
         kept = drop_duplicated_keys(target, on)
+        kept_keys = key_counts(target, on).filter("__n = 1").select(*on)
     else:
         if not order_by:
             raise ValueError("mode='keep_latest' needs order_by")
         kept = latest_per_key(target, on, order_by)
-    return insert_only(kept, source, on)
+        kept_keys = target.select(*on)
+    inserted = key_join(source, kept_keys, on, "left_anti")
+    return kept.unionByName(inserted, allowMissingColumns=True)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.functions.clean import code_length, code_prefix
-from lakefold.operators.joins import maybe_broadcast
 
 
 def label_hierarchy(
@@ -23,20 +22,21 @@ def label_hierarchy(
     prefix_col: str = "C1_SIDO",
     label_col: str = "C1_NM_SIDO",
     width: int = 2,
-    max_broadcast_rows: int | None = None,
+    top: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``prefix_col`` (the code's first ``width`` characters) and
     ``label_col`` (the name of the top-level row with that prefix in the same
     period).  Column order is kept, the new columns come last.  A null
     period never matches.
 
-    The top-level side is broadcast when it passes the row-count check;
-    otherwise both sides are shuffled on ``(period, prefix)``.
+    ``top`` gives top-level rows to look up beside those of ``df`` (default:
+    only its own).  ``df`` is read once per join side: pass a stored frame.
+    Spark chooses the join from file statistics and measured sizes.
     """
     with_prefix = df.withColumn(prefix_col, code_prefix(code, width)) if prefix_col not in df.columns else df
-    top = with_prefix.filter(code_length(code) == width).select(
-        F.col(period).alias("__p"), F.col(prefix_col).alias("__k"), F.col(name).alias(label_col)
-    )
-    top, _ = maybe_broadcast(top, max_broadcast_rows)
-    cond = (with_prefix[period] == top["__p"]) & (with_prefix[prefix_col] == top["__k"])
-    return with_prefix.join(top, cond, "left").select(*with_prefix.columns, label_col)
+    wanted = [F.col(period).alias("__p"), code_prefix(code, width).alias("__k"), F.col(name).alias(label_col)]
+    own = with_prefix.filter(code_length(code) == width).select(*wanted)
+    if top is not None:
+        own = own.unionByName(top.select(*wanted))
+    cond = (with_prefix[period] == own["__p"]) & (with_prefix[prefix_col] == own["__k"])
+    return with_prefix.join(own, cond, "left").select(*with_prefix.columns, label_col)

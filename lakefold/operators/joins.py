@@ -1,8 +1,8 @@
-"""Join helpers: size-checked broadcast and null-key routing.
+"""Join helpers for keys that may be null.
 
-A side is broadcast only after its row count and byte size have been
-measured against bounds; past them the join stays a shuffle join and AQE
-(skew split, runtime broadcast from measured shuffle sizes) takes over.
+Which side is broadcast is left to Spark: file statistics at planning time,
+measured shuffle sizes at run time (AQE).  Joins are written so that their
+streamed side can be split by AQE's skew handling.
 """
 
 from __future__ import annotations
@@ -11,90 +11,38 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Session settings that override the default broadcast bounds.
-MAX_ROWS_CONF = "lakefold.broadcast.maxRows"
-MAX_BYTES_CONF = "lakefold.broadcast.maxBytes"
-DEFAULT_MAX_ROWS = 1_000_000
-DEFAULT_MAX_BYTES = 64 * 1024 * 1024
-
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-
-
-def broadcast_bound(df: DataFrame, max_rows: int | None = None) -> int:
-    if max_rows is not None:
-        return max_rows
-    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-
-
-def _byte_width(field: T.StructField) -> Column:
-    """Approximate in-memory bytes of one value (8 per value of overhead)."""
-    c, t = F.col(field.name), field.dataType
-    for cls, width in _FIXED_WIDTH.items():
-        if isinstance(t, cls):
-            return F.lit(width + 8)
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
-    if isinstance(t, T.DecimalType):
-        return F.lit(16 + 8)
-    return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 8
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
-    bytes.
-
-    One job over at most ``max_rows + 1`` rows measures both, so the check
-    stays cheap when the frame is large; wide rows (whole texts) are caught
-    by the byte bound even when the row count is small.
-    """
-    bound = broadcast_bound(df, max_rows)
-    byte_bound = max_bytes if max_bytes is not None else int(
-        df.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))
-    )
-    widths = [_byte_width(f) for f in df.schema.fields] or [F.lit(8)]
-    row_bytes = widths[0]
-    for w in widths[1:]:
-        row_bytes = row_bytes + w
-    # Row widths are computed in the scan tasks; only one long per row goes
-    # through the limit's single-partition exchange.
-    stats = (
-        df.select(row_bytes.alias("b"))
-        .limit(bound + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
-        .first()
-    )
-    return stats["n"] <= bound and stats["b"] <= byte_bound
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if the size check passes, else ``(df, False)``."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+#: Shuffle buckets over which rows with a null key part are spread.
+NULL_SALTS = 1024
+_SALT = "__null_salt"
 
 
 def all_keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def any_key_null(keys: list[str]) -> Column:
-    return ~all_keys_present(keys)
-
+def key_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool = False) -> DataFrame:
+    """Equi-join (``left``, ``left_semi`` or ``left_anti``) on same-named
+    keys.  Keeps the left key columns only and the left side's column order.
 
-def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``(keyed, null_keyed)``.
-
-    Rows with a null key part can never match under SQL equality, yet a hash
-    shuffle sends all of them to one partition.  Routing them around the
-    join keeps that partition from holding a large share of the table.
+    Under SQL equality a left row with a null key part matches nothing, yet
+    hashed on its keys it would share one partition with all other such
+    rows.  A salt column, 0 where the keys are present, spreads them: they
+    stay in the join (no separate branch, one read of the left side) and
+    still match nothing.  Right rows with a null key part are left out.
     """
-    return df.filter(all_keys_present(keys)), df.filter(any_key_null(keys))
-
-
-def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    semi = how in ("left_semi", "left_anti")
+    rest = [c for c in right.columns if c not in on]
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    if null_safe:
+        cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in on])
+    else:
+        salt = F.when(all_keys_present(on), 0).otherwise(F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)) + 1)
+        columns, left = left.columns, left.withColumn(_SALT, salt)
+        # 0 too, but not a literal: that would be folded into a condition on the left side and no longer hashed
+        zero = F.pmod(F.xxhash64(*[f"__r_{k}" for k in on]), F.lit(1).cast("long"))
+        renamed = renamed.filter(all_keys_present([f"__r_{k}" for k in on])).withColumn(f"__r{_SALT}", zero)
+        cond = reduce(lambda a, b: a & b, [left[k] == renamed[f"__r_{k}"] for k in on]) & (
+            left[_SALT] == renamed[f"__r{_SALT}"])
+        return left.join(renamed, cond, how).select(*columns, *([] if semi else rest))
+    return left.join(renamed, cond, how).select(*left.columns, *([] if semi else rest))

@@ -13,12 +13,10 @@ AQE can split:
 * matched delete: ``target LEFT ANTI JOIN source keys``;
 * insert: ``source LEFT ANTI JOIN target keys``.
 
-Rows with a null key part bypass the joins entirely (they cannot match, and
-hashed together they would all land in one shuffle partition).  When the
-source passes a row-count check it is broadcast and the target is never
-shuffled: the matched keys are found with a broadcast semi join over the
-target's key columns, and that key set (bounded by the source) is broadcast
-to the insert anti join.
+Each side is read once per join: twice for an upsert.  Rows with a null key
+part stay in the joins and are spread by a salt (``joins.key_join``).  The
+cardinality guard, an eager check before an update, reads the source's keys;
+only if some key occurs more than once are the target's keys read as well.
 """
 
 from __future__ import annotations
@@ -26,15 +24,10 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakefold.operators.joins import (
-    all_keys_present,
-    fits_broadcast,
-    maybe_broadcast,
-    split_null_keys,
-)
+from lakefold.operators.joins import all_keys_present, key_join
 
 NULL_KEY_MODES = ("reinsert", "drop", "null_safe")
 CONFLICT_MODES = ("error", "latest")
@@ -49,27 +42,12 @@ class MergeCardinalityError(ValueError):
 # --------------------------------------------------------------------------
 
 
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
-    """Equi-join on same-named keys.  Keeps the left key columns only and the
-    left side's column order (a USING join would move the keys first)."""
-    semi = how in ("left_semi", "left_anti", "semi", "anti")
-    right_rest = [c for c in right.columns if c not in on]
-    if not null_safe:
-        out = left.join(right, on, how)
-    else:
-        renamed = right.select(
-            *[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns]
-        )
-        cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in on])
-        out = left.join(renamed, cond, how)
-    return out.select(*left.columns) if semi else out.select(*left.columns, *right_rest)
-
-
-def order_struct(df: DataFrame, order_by: list[str]) -> Column:
-    """Ordering key: ``order_by`` first, then every other column as a
-    tie-breaker, so that "the latest row" is unique up to identical copies."""
+def newest_first(df: DataFrame, order_by: list[str]) -> list[Column]:
+    """Descending order: ``order_by`` first, then every other column as a
+    tie-breaker, so that "the latest row" is unique up to identical copies
+    (nulls last, as the smallest values)."""
     rest = [c for c in df.columns if c not in order_by]
-    return F.struct(*[F.col(c) for c in list(order_by) + rest])
+    return [F.col(c).desc_nulls_last() for c in list(order_by) + rest]
 
 
 def latest_per_key(
@@ -79,82 +57,39 @@ def latest_per_key(
     the remaining columns).  Rows with a null key part are kept as they are,
     unless ``group_nulls`` (null-safe keys), where null is a key value too.
 
-    Built as a grouped ``max`` over a struct, which combines map-side before
-    the shuffle, so a key holding a large share of the rows is reduced in
-    every task instead of being sorted in one.
+    Written as ``row_number() = 1``, which Spark limits to one row per key
+    and task before the shuffle (``WindowGroupLimit``): a key that holds a
+    large share of the rows reaches the final window as one row per task.
     """
     keys, order_by = list(keys), list(order_by)
-    keyed, nulls = (df, None) if group_nulls else split_null_keys(df, keys)
-    others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in order_by + [c for c in others if c not in order_by]])
-    latest = (
-        keyed.groupBy(*keys)
-        .agg(F.max(packed).alias("__row"))
-        .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
-        .select(*df.columns)
-    )
-    return latest if nulls is None else latest.unionByName(nulls)
+    # each row with a null key part is a group of its own
+    lone = F.lit(0) if group_nulls else F.when(all_keys_present(keys), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    ranked = df.withColumn("__lone", lone.cast("long")).withColumn(
+        "__rn", F.row_number().over(Window.partitionBy(*keys, "__lone").orderBy(*newest_first(df, order_by))))
+    return ranked.filter("__rn = 1").select(*df.columns)
 
 
-def merge_conflicts(
-    target: DataFrame,
-    source: DataFrame,
-    on: Iterable[str],
-    source_small: bool | None = None,
-    null_safe: bool = False,
-) -> DataFrame:
+def repeated_keys(df: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
+    """Keys with more than one row, and ``n_source_rows``."""
+    keyed = df if null_safe else df.filter(all_keys_present(on))
+    return keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n_source_rows")).filter("n_source_rows > 1")
+
+
+def merge_conflicts(target: DataFrame, source: DataFrame, on: Iterable[str], null_safe: bool = False) -> DataFrame:
     """M8: keys with more than one source row that also exist in the target.
 
     ``n_source_rows`` counts the source rows per key.  A merge that updates
     matched rows is ambiguous for every key listed here.
     """
     on = list(on)
-    keyed = source if null_safe else source.filter(all_keys_present(on))
-    dup = (
-        keyed.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("n_source_rows"))
-        .filter(F.col("n_source_rows") > 1)
-    )
-    hit = matched_keys(dup.select(*on), target, on, known_small=source_small, null_safe=null_safe)
-    return _join(dup, hit, on, "left_semi", null_safe=null_safe)
+    return key_join(repeated_keys(source, on, null_safe), target.select(*on), on, "left_semi", null_safe)
 
 
-def matched_keys(
-    keys: DataFrame,
-    target: DataFrame,
-    on: list[str],
-    max_rows: int | None = None,
-    null_safe: bool = False,
-    known_small: bool | None = None,
-) -> DataFrame:
-    """Distinct keys of ``keys`` that occur in ``target``.
-
-    Under SQL equality (default) null key parts never match and are left
-    out; with ``null_safe`` they match like values.  If ``keys`` passes the
-    size check, the target's key columns are scanned against a broadcast
-    copy, so the target is not shuffled; the result is bounded by ``keys``
-    and is marked for broadcast as well.  ``known_small`` passes a size
-    decision already made for a frame that bounds ``keys`` (no recount).
-    """
-    if null_safe:
-        distinct_keys, target_keys = keys.select(*on).distinct(), target.select(*on)
-    else:
-        distinct_keys = keys.filter(all_keys_present(on)).select(*on).distinct()
-        target_keys = target.select(*on).filter(all_keys_present(on))
-    if known_small is None:
-        small, is_small = maybe_broadcast(distinct_keys, max_rows)
-    else:
-        is_small = known_small
-        small = F.broadcast(distinct_keys) if is_small else distinct_keys
-    hit = _join(target_keys, small, on, "left_semi", null_safe).distinct()
-    return F.broadcast(hit) if is_small else hit
-
-
-def check_cardinality(
-    target: DataFrame, source: DataFrame, on: list[str], source_small: bool | None = None, null_safe: bool = False
-) -> None:
+def check_cardinality(target: DataFrame, source: DataFrame, on: list[str], null_safe: bool = False) -> None:
     """Raise ``MergeCardinalityError`` if a target row has several source rows."""
-    bad = merge_conflicts(target, source, on, source_small, null_safe).limit(5).collect()
+    if repeated_keys(source, on, null_safe).isEmpty():
+        return
+    bad = merge_conflicts(target, source, on, null_safe).limit(5).collect()
     if bad:
         sample = ", ".join(str(tuple(r[k] for k in on)) for r in bad)
         raise MergeCardinalityError(
@@ -162,14 +97,6 @@ def check_cardinality(
         )
 
 
-def evolve_schema(target: DataFrame, source: DataFrame) -> DataFrame:
-    """M7: the target with every source-only column added as null."""
-    extra = [f for f in source.schema.fields if f.name not in target.columns]
-    return target.select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
-    )
-
-
 def union_evolving(frames: list[DataFrame]) -> DataFrame:
     """M7: ``unionByName`` that adds missing columns as nulls."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -192,7 +119,6 @@ def merge(
     on_conflict: str = "error",
     order_by: Iterable[str] | None = None,
     when_newer: Iterable[str] | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Fold ``source`` into ``target`` by key and return the resulting table.
 
@@ -229,37 +155,18 @@ def merge(
 
     if null_keys == "drop":
         source = source.filter(all_keys_present(on))
-    # One size check on the source bounds everything derived from it
-    # (distinct keys, conflicting keys, the latest row per key).  Only the
-    # columns a join actually ships are measured.
-    shipped = list(on)
-    if update is not None and not delete:
-        if update == "all":
-            shipped = source.columns
-        elif isinstance(update, dict):
-            shipped = list(dict.fromkeys(on + list(update.values()) + list(when_newer or [])))
-        else:
-            shipped = list(dict.fromkeys(on + list(update) + list(when_newer or [])))
-    small = fits_broadcast(source.select(*shipped), max_broadcast_rows)
     if on_conflict == "latest":
         if not order_by:
             raise ValueError("on_conflict='latest' needs order_by")
         source = latest_per_key(source, on, order_by, group_nulls=null_safe)
     elif update is not None and not delete:
-        check_cardinality(target, source, on, small, null_safe)
-
-    if null_safe:
-        t_keyed, t_null, s_keyed, s_null = target, None, source, None
-    else:
-        t_keyed, t_null = split_null_keys(target, on)
-        s_keyed, s_null = split_null_keys(source, on)
+        check_cardinality(target, source, on, null_safe)
 
     parts: list[DataFrame] = []
 
     # -- matched target rows ------------------------------------------------
     if delete:
-        src_keys = s_keyed.select(*on).distinct()
-        parts.append(_join(t_keyed, F.broadcast(src_keys) if small else src_keys, on, "left_anti", null_safe))
+        parts.append(key_join(target, source.select(*on), on, "left_anti", null_safe))
     elif update is not None:
         if update == "all":
             mapping = {c: c for c in source.columns if c not in on}
@@ -269,10 +176,8 @@ def merge(
             mapping = {c: c for c in update}
         newer = list(when_newer or [])
         s_cols = sorted(set(mapping.values()) | set(newer))
-        s_upd = s_keyed.select(
-            *on, *[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(True).alias("__hit")
-        )
-        joined = _join(t_keyed, F.broadcast(s_upd) if small else s_upd, on, "left", null_safe)
+        s_upd = source.select(*on, *[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(True).alias("__hit"))
+        joined = key_join(target, s_upd, on, "left", null_safe)
         hit = F.col("__hit").isNotNull()
         if newer:
             s_ord = F.struct(*[F.col(f"__s_{c}") for c in newer])
@@ -289,19 +194,11 @@ def merge(
                 out_cols.append(F.when(hit, F.col(f"__s_{mapping[c]}")).alias(c))
         parts.append(joined.select(*out_cols))
     else:
-        parts.append(t_keyed)
-    if t_null is not None:
-        parts.append(t_null)
+        parts.append(target)
 
     # -- inserts ------------------------------------------------------------
     if insert:
-        if small:
-            hit_keys = matched_keys(s_keyed.select(*on), t_keyed, on, max_broadcast_rows, null_safe, known_small=True)
-            parts.append(_join(s_keyed, hit_keys, on, "left_anti", null_safe))
-        else:
-            parts.append(_join(s_keyed, t_keyed.select(*on), on, "left_anti", null_safe))
-        if s_null is not None and null_keys == "reinsert":
-            parts.append(s_null)
+        parts.append(key_join(source, target.select(*on), on, "left_anti", null_safe))
 
     out = union_evolving(parts)
     return out.select(*target.columns, *[c for c in extra if c in out.columns])

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakefold.functions.logtext import with_host
-from lakefold.operators.joins import maybe_broadcast
 from lakefold.session import read_table
 
 # Fixed parameters of the derived feeds.
@@ -58,6 +57,22 @@ def news_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return first, bronze.drop("cycle_day")
 
 
+def listing_pages(documents: DataFrame) -> DataFrame:
+    """A result page per document: one item per line of the text, the title
+    with a tag inside and a line break, every third item without publisher."""
+    def item(line: Column, i: Column) -> Column:
+        no = (i + 1).cast("string")
+        press = F.when((i + 1) % 3 == 0, F.lit("")).otherwise(
+            F.concat(F.lit('<span class="press">'), F.col("source"), F.lit("</span>")))
+        return F.concat(
+            F.lit('<li class="item">\n<a target="_blank" class="title" href="'), F.lit(NEWS_BASE_URL), F.col("doc_id").cast("string"),
+            F.lit("/"), no, F.lit('"><b>'), F.regexp_replace(line, "[<>]", ""), F.lit("</b>\nno. "), no, F.lit("</a>"), press,
+            F.lit("<p>line "), no, F.lit("</p>\n</li>"))
+
+    lines = F.split("text", "\n", -1)
+    return documents.select("doc_id", F.concat(F.lit("<ul>"), F.array_join(F.transform(lines, item), "\n"), F.lit("</ul>")).alias("html"))
+
+
 # -- air quality -------------------------------------------------------------
 
 
@@ -120,8 +135,8 @@ def census_bronze(spark: SparkSession, sf_dir: str, tbl_id: str, before: str | N
     if before is not None:
         orders = orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation, _ = maybe_broadcast(table(spark, sf_dir, "nation"))
-    region, _ = maybe_broadcast(table(spark, sf_dir, "region"))
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
     per_nation = (
         orders.select("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("PRD_DE"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -9,11 +9,17 @@ setting them on a running context has no effect.
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
+from contextvars import ContextVar
+
 from pyspark.sql import SparkSession
 
+#: Scratch folders made inside the current ``staging`` block.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("lakefold_scratch", default=None)
+
 #: Session defaults.  AQE coalesces small shuffle partitions, splits skewed
 #: join partitions and converts joins to broadcast from measured sizes.
 DEFAULT_CONF = {
@@ -64,11 +70,13 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder, creating a local one only on a
+    local master.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3,
-    ...) and is used as is.  Only when nothing is configured (local tests)
-    is a private temporary folder set.
+    ...) and is used as is; without it nothing can be staged, since each
+    executor would write to its own disk.  On ``local[...]`` (tests) a
+    private temporary folder is set when nothing is configured.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set on {sc.master}: set it to a folder that all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="lakefold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -86,58 +98,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one driver table (parquet) by name, spread over the cores."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), key=path)
-
-
-#: Input bytes (compressed) per partition that ``spread`` aims for at least.
-SPREAD_MIN_BYTES = 256 << 10
-_SCAN_SHAPE: dict[str, tuple[int, int]] = {}
-
+    """Read one driver table (parquet) by name."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
 
-
-def spread(df, key: str | None = None):
-    """Give row-local work up to one partition per core.
-
-    A scan cannot split below one parquet row group (or one gzip file), so
-    an input of a few large units would run its regexes, JSON parsing and
-    higher-order functions on a few cores.  Only then is the frame
-    round-robin repartitioned, to at most one partition per core and per
-    ``SPREAD_MIN_BYTES`` of input (a tiny table stays in one partition); a
-    well-split input is returned as is.  ``key`` (the input path) caches the
-    scan's partition count and size.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if key is not None and key in _SCAN_SHAPE:
-        n, size = _SCAN_SHAPE[key]
-    else:
-        n = df.rdd.getNumPartitions()
-        size = _input_bytes(spark, key) if key is not None else cores * SPREAD_MIN_BYTES
-        if key is not None:
-            _SCAN_SHAPE[key] = (n, size)
-    target = min(cores, max(1, size // SPREAD_MIN_BYTES))
-    return df.repartition(target) if n < target else df
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def stage(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and return
     a DataFrame reading it back.
 
-    Used where a frame feeds several actions (size checks, cardinality
-    guards, joins): the lineage is cut once, the copy survives executor
-    loss, and later scans get column pruning and file statistics.
+    Used where a frame feeds several actions (guards, joins): the lineage is
+    cut once, the copy survives executor loss, and later scans get column
+    pruning and file statistics.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -145,16 +129,14 @@ def stage(df, name: str):
 
 
 @contextlib.contextmanager
-def staged(df, name: str):
-    """``stage`` for the length of a block: the copy is deleted afterwards
-    (use it when everything that reads the copy finishes inside the block,
-    for example a write that commits a new table version)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+def staging(spark: SparkSession):
+    """A scope for scratch folders: everything staged inside the block is
+    deleted at its end.  Use it when all that reads the copies finishes
+    inside the block, for example a write that commits a table."""
+    token = _SCOPE.set([])
     try:
-        yield spark.read.parquet(path)
+        yield
     finally:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        for path in _SCOPE.get():
+            delete_path(spark, path)
+        _SCOPE.reset(token)

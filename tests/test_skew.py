@@ -50,7 +50,7 @@ def test_merge_hot_target_key_is_split(spark):
     s = spark.range(0, 60_000, 2).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("seq"),
                                          F.lit("s").alias("v")).filter("k != 7")
     with conf(spark, SKEW_CONF):
-        out = m.update_insert(t, s, ["k"], update=["v"], max_broadcast_rows=0)
+        out = m.update_insert(t, s, ["k"], update=["v"])
         rows = out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
@@ -68,5 +68,17 @@ def test_dedup_with_hot_key(spark):
     # the hot key (30,001 rows, id 7 included) keeps all rows but its latest one
     assert dups.count() == 30_001 - 1
     latest = m.latest_per_key(df, ["k"], ["seq"])
+    # before the shuffle, every task keeps one row of the hot key
+    assert "WindowGroupLimit" in latest._jdf.queryExecution().executedPlan().toString()
     assert latest.filter("k = 7").first().seq == 89_997
     assert latest.count() == 60_000
+
+
+def test_null_keys_are_spread(spark):
+    """A third of the target without key: the rows do not share a partition."""
+    t = spark.range(30_000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    s = spark.range(100).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
+    with conf(spark, {**SKEW_CONF, "spark.sql.adaptive.enabled": "false"}):
+        out = m.merge(t, s, ["k"], update=["v"], insert=None)
+        sizes = [r["count"] for r in out.filter("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 2_500
