@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from lakefold.functions import clean
 from lakefold.operators.dedup import distinct_rows, purge_duplicates
 from lakefold.operators.hierarchy import label_hierarchy
-from lakefold.operators.merge import merge
-from lakefold.session import staged
-from lakefold.sources.silver import SilverTable
+from lakefold.operators.joins import key_join
+from lakefold.operators.merge import latest_per_key, merge
+from lakefold.operators.periods import last_days
+from lakefold.session import stage, staging
+from lakefold.sources.silver import SilverTable, key_bucket
 
 # Silver column lists, keys and refreshed columns per dataset.
 NEWS_COLUMNS = ["publish_date", "publisher", "title", "url", "description", "keyword"]
@@ -39,37 +41,54 @@ CENSUS_COLUMNS = ["PRD_DE", "C1", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
 CENSUS_KEYS = ["PRD_DE", "C1"]
 CENSUS_UPDATE = ["C1_NM_SIDO", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
 
+#: Partitions of the news table: hash buckets of its key, which has no date.
+NEWS_PARTITION, NEWS_BUCKETS = "key_bucket", 64
+#: Landing day of a Bronze row, and how it travels through a transform.
+LANDED, _LANDED = "ingest_date", "__landed"
 
-def news_transform(bronze: DataFrame) -> DataFrame:
+
+def _distinct(bronze: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct rows of ``columns``; where Bronze has a landing day, each
+    with its last one."""
+    if LANDED not in bronze.columns:
+        return distinct_rows(bronze, columns)
+    return bronze.groupBy(*columns).agg(F.max(LANDED).alias(_LANDED))
+
+
+def news_transform(bronze: DataFrame, **_) -> DataFrame:
     """Whole-row distinct first (before cleaning, as the reference does, so
     rows that become equal after cleaning are not collapsed again), then the
     keyword and date clean-up."""
-    return distinct_rows(bronze).withColumns(
-        {"keyword": clean.keyword("keyword"), "publish_date": clean.parse_date("publish_date")}
-    ).select(*NEWS_COLUMNS)
+    out = _distinct(bronze, [c for c in bronze.columns if c != LANDED]).withColumns(
+        {"keyword": clean.keyword("keyword"), "publish_date": clean.parse_date("publish_date")})
+    landed = [_LANDED] if _LANDED in out.columns else []
+    return out.select(*NEWS_COLUMNS, *landed, key_bucket(NEWS_KEYS, NEWS_BUCKETS).alias(NEWS_PARTITION))
 
 
-def air_transform(bronze: DataFrame, roll_day: bool = False) -> DataFrame:
+def air_transform(bronze: DataFrame, roll_day: bool = False, **_) -> DataFrame:
     """Project the 11 Silver columns, distinct, float casts, hour-24 fix.
     ``data_month`` (the month of ``dataTime``, a key part) is the partition
     column of the Silver table: hourly readings of one day are too few to
     fill a partition of useful size."""
-    projected = distinct_rows(bronze, AIR_COLUMNS)
+    projected = _distinct(bronze, AIR_COLUMNS)
     casts = {c: clean.to_float(c) for c in AIR_FLOAT_COLUMNS}
     casts["dataTime"] = clean.hour24_timestamp("dataTime", roll_day=roll_day)
     return projected.withColumns(casts).withColumn(AIR_PARTITION, F.trunc(F.to_date("dataTime"), "MM"))
 
 
-def census_transform(bronze: DataFrame) -> DataFrame:
-    """Project, distinct, period date, int value, top-level label join."""
-    projected = distinct_rows(bronze, CENSUS_COLUMNS).withColumns(
+def census_transform(bronze: DataFrame, top: Callable[[DataFrame], DataFrame] | None = None, **_) -> DataFrame:
+    """Project, distinct, period date, int value, top-level label join.  The
+    projected rows feed both sides of the join and are staged for it.
+    ``top`` gives, for the projected rows, top-level rows known from before."""
+    projected = _distinct(bronze, CENSUS_COLUMNS).withColumns(
         {
             "PRD_DE": clean.month_period("PRD_DE"),
             "DT": clean.to_int("DT"),
             "C1_SIDO": clean.code_prefix("C1", 2),
         }
     )
-    return label_hierarchy(projected)
+    projected = stage(projected, "census-rows")
+    return label_hierarchy(projected, top=top(projected) if top else None)
 
 
 @dataclass(frozen=True)
@@ -82,25 +101,47 @@ class DatasetSpec:
     update: list[str] = field(default_factory=list)
     #: Silver partition columns.  Each must be a function of the merge key
     #: (so a key never spans partitions); a run then rewrites only the
-    #: partitions its batch touches.  Only the high-volume hourly air feed is
-    #: partitioned (by month).  News keys (url, keyword) carry no date, and
-    #: census holds a few thousand codes per month, where monthly partitions
-    #: would only produce tiny files; both are rewritten whole.
+    #: partitions its batch touches: months of air readings, periods of the
+    #: census, hash buckets of the news key (which has no date).
     partition_by: tuple[str, ...] = ()
 
 
-NEWS = DatasetSpec("news_collection", NEWS_KEYS, news_transform, "purge")
+NEWS = DatasetSpec("news_collection", NEWS_KEYS, news_transform, "purge", [], (NEWS_PARTITION,))
 AIR = DatasetSpec("air_quality", AIR_KEYS, air_transform, "update", AIR_UPDATE, (AIR_PARTITION,))
-CENSUS = DatasetSpec("census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE)
+CENSUS = DatasetSpec("census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE, ("PRD_DE",))
 SPECS = {s.name: s for s in (NEWS, AIR, CENSUS)}
 
 
+@dataclass(frozen=True)
+class RunOptions:
+    """``on_conflict="latest"`` keeps, of several rows of a key, the one that
+    landed last (Bronze is append-only and read again: a revised value comes
+    beside the old one); ``"error"`` raises, as a plain merge does.
+    ``roll_day``: hour 24 is hour 0 of the next day, not of the same."""
+
+    on_conflict: str = "latest"
+    roll_day: bool = True
+
+
+#: The rules of the reference's jobs.
+REFERENCE = RunOptions(on_conflict="error", roll_day=False)
+
+
 def merge_batch(spec: DatasetSpec, target: DataFrame, batch: DataFrame) -> DataFrame:
     if spec.merge_kind == "purge":
         return purge_duplicates(target, batch, spec.keys, mode="reference")
     return merge(target, batch, spec.keys, update=spec.update, insert="all")
 
 
+def prepare(spec: DatasetSpec, bronze: DataFrame, options: RunOptions, **settings) -> DataFrame:
+    """The batch to merge: transformed, one row per key where asked for, and
+    staged (it feeds guards and joins)."""
+    batch = spec.transform(bronze, roll_day=options.roll_day, **settings)
+    if options.on_conflict == "latest" and spec.merge_kind == "update":
+        batch = latest_per_key(batch, spec.keys, [_LANDED] if _LANDED in batch.columns else [])
+    return stage(batch.drop(_LANDED), f"{spec.name}-batch")
+
+
 def fold(spec: DatasetSpec, target: DataFrame | None, batch: DataFrame) -> DataFrame:
     """Merge a transformed batch into ``target``; ``None`` is the first run,
     where the table is created from the batch and the batch is then merged
@@ -108,53 +149,55 @@ def fold(spec: DatasetSpec, target: DataFrame | None, batch: DataFrame) -> DataF
     return merge_batch(spec, batch if target is None else target, batch)
 
 
-def apply(spec: DatasetSpec, bronze: DataFrame, silver: DataFrame | None = None) -> DataFrame:
-    """Transform + merge as one lazy plan (no writes)."""
-    return fold(spec, silver, spec.transform(bronze))
-
-
 def silver_table(spark, spec: DatasetSpec, path: str) -> SilverTable:
     """The Silver table of a dataset, with the dataset's partitioning."""
     return SilverTable(spark, path, partition_by=list(spec.partition_by))
 
 
-def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, batch_id: int | None = None) -> int:
-    """R9, the batch job body: transform ``bronze``, merge it into the
-    current version of ``table`` and commit the result as a new version.
-
-    The transformed batch feeds several actions (size check, cardinality
-    guard, joins), so it is staged once as parquet in the shared checkpoint
-    folder instead of being recomputed from Bronze for each of them (and
-    removed once the new version is committed).  On a
-    partitioned table only the partitions present in the batch are read,
-    merged and rewritten; the rest of the table is not touched.
-    """
-    with staged(spec.transform(bronze), f"{spec.name}-batch") as batch:
-        if not table.exists():
-            return table.write(fold(spec, None, batch), batch_id=batch_id)
-        if table.partition_by:
-            touched = table.partition_values(batch)
-            target = table.read(partitions=touched)
-            return table.write(fold(spec, target, batch), batch_id=batch_id, replace=touched)
-        return table.write(fold(spec, table.read(), batch), batch_id=batch_id)
-
-
-def stream_run(spec: DatasetSpec, bronze_stream: DataFrame, table: SilverTable, checkpoint: str):
+def landed_between(bronze: DataFrame, ref: str, days: int) -> DataFrame:
+    """Bronze rows that landed on the ``days`` days before ``ref`` (P8; a
+    filter on the landing folders)."""
+    return last_days(bronze, LANDED, ref, days)
+
+
+def _store(spec: DatasetSpec, table: SilverTable, batch: DataFrame, applied: tuple[str, int] | None = None) -> None:
+    if not table.exists():
+        table.write(fold(spec, None, batch), applied)
+    elif table.partition_by:
+        touched = table.partition_values(batch)
+        table.replace(fold(spec, table.read(touched), batch), touched, applied)
+    else:
+        table.write(fold(spec, table.read(), batch), applied)
+
+
+def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, options: RunOptions = RunOptions()) -> None:
+    """R9, the batch job body: transform ``bronze`` and merge it into
+    ``table``.  On a partitioned table only the partitions present in the
+    batch are read, merged and rewritten.  Staged copies go with the run."""
+    with staging(bronze.sparkSession):
+        _store(spec, table, prepare(spec, bronze, options))
+
+
+def stream_run(spec: DatasetSpec, bronze_stream: DataFrame, table: SilverTable, checkpoint: str,
+               options: RunOptions = RunOptions()):
     """T6 for a dataset: every micro-batch of Bronze is transformed and
     merged into ``table`` (only new Bronze files are read, instead of the
     whole feed on every run).  The first micro-batch of a missing table
-    follows the first-run rule (the table is created from the batch, then
-    the batch is merged into it).  Transforms are batch-local, as in the
-    batch job: the census label joins a code to the top-level rows of the
-    same micro-batch, so a feed must deliver a period's rows together.
+    follows the first-run rule.  A code whose top-level row came in an
+    earlier micro-batch takes its label from the table; a top-level row that
+    comes after its codes relabels them when they are delivered again.
     Returns the finished streaming query."""
-    from lakefold.streaming.jobs import merge_stream_job
-
-    return merge_stream_job(
-        bronze_stream,
-        table,
-        checkpoint,
-        merge_batch=lambda target, batch: merge_batch(spec, target, batch),
-        initial=lambda batch: batch,
-        prepare=spec.transform,
-    )
+    from lakefold.streaming.jobs import apply_once
+
+    def known_top(projected: DataFrame) -> DataFrame:
+        """Top-level rows of the touched periods that this batch does not bring."""
+        stored = table.read(table.partition_values(projected)).filter(F.length("C1") == 2)
+        return key_join(stored, projected.select("PRD_DE", "C1"), ["PRD_DE", "C1"], "left_anti").select(
+            "PRD_DE", "C1", "C1_NM")
+
+    def apply(batch: DataFrame, applied: tuple[str, int]) -> None:
+        with staging(batch.sparkSession):
+            known = {"top": known_top} if spec is CENSUS and table.exists() else {}
+            _store(spec, table, prepare(spec, batch, options, **known), applied)
+
+    return apply_once(bronze_stream, table, checkpoint, apply)

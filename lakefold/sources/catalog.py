@@ -27,32 +27,10 @@ def register_table(
     return spark.table(name)
 
 
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """Session-scoped alternative: a temp view over a DataFrame."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def register_silver(spark: SparkSession, name: str, table) -> DataFrame:
-    """R6 for a versioned Silver table: SQL sees exactly the current version.
-
-    Registering the table root would read every version at once, so a flat
-    table is registered at its current version folder (and re-pointed when a
-    newer version exists); a partitioned table, whose live partitions sit in
-    different version folders, becomes a session view over them.
-    """
+    """R6 for a Silver table: a session view over its current data (a view
+    taken before a rewrite is to be registered again)."""
     if not _NAME_RE.match(name):
         raise ValueError(f"invalid table name {name!r}")
-    meta = table.meta()
-    if not meta:
-        raise FileNotFoundError(f"no committed version under {table.path}")
-    if meta.get("layout") == "partitioned":
-        table.read().createOrReplaceTempView(name)
-        return spark.table(name)
-    location = table.version_path(meta["version"]).replace("'", "\\'")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-    else:
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
-    spark.catalog.refreshTable(name)
+    table.read().createOrReplaceTempView(name)
     return spark.table(name)

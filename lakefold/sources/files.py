@@ -41,7 +41,8 @@ def read_source(
         reader = spark.read.format("avro").options(**opts)
         return reader.load(path)
     if fmt == "csv":
-        reader = spark.read.options(header="true", mode="DROPMALFORMED", **opts)
+        # without column pruning a row is malformed whichever columns are read
+        reader = spark.read.options(header="true", mode="DROPMALFORMED", columnPruning="false", **opts)
         if schema is not None:
             reader = reader.schema(schema)
         return reader.csv(path)
@@ -62,10 +63,24 @@ def read_source(
     raise ValueError(f"unknown source format {fmt!r}; expected one of {FORMATS}")
 
 
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, corrupt)`` rows of a JSON scan; ``good`` has no
+    ``_corrupt_record`` column, ``corrupt`` only that one."""
+    if CORRUPT_COL not in df.columns:
+        return df, df.sparkSession.createDataFrame([], f"{CORRUPT_COL} string")
+    bad = F.col(CORRUPT_COL).isNotNull()
+    # Spark refuses to read the corrupt column alone; this holds for any row, but needs the others
+    others = F.hash(*[c for c in df.columns if c != CORRUPT_COL]) >= F.lit(-(2**31))
+    return df.filter(~bad & others).drop(CORRUPT_COL), df.filter(bad & others).select(CORRUPT_COL)
+
+
 def read_text_lines(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Every line of the matching files with its file path."""
+    """Every line of the matching files, with its file path, the first
+    byte of the split that it was read in (``block``) and a number that
+    ascends within the split (``line_id``)."""
     return spark.read.option("encoding", "UTF-8").text(path_glob).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line")
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_id"), F.col("value").alias("line"),
     )
 
 

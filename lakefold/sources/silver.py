@@ -1,357 +1,174 @@
-"""Versioned Silver tables on plain parquet.
-
-Delta Lake is not on the local classpath and a parquet path cannot be
-overwritten while it is being read.  A ``SilverTable`` therefore writes
-each new state into fresh folders under the table path and then commits it
-by writing a small JSON file, ``_meta/v=<n>.json``; readers take the
-highest committed version.  A failed or killed write leaves folders that no
-metadata file references, which readers ignore, so a job can simply be
-re-run after losing executors.
-
-The metadata also records the streaming batch id that produced a version,
-which makes ``foreachBatch`` replays idempotent.  A partitioned table
-writes only the partitions a merge changes (see ``SilverTable``).  There
-is no transaction log and no time travel beyond reading an older version;
-of two writers racing for one version, the second fails with
-``ConcurrentCommitError`` instead of overwriting the first.
+"""Silver tables on plain parquet.
+
+A parquet path cannot be overwritten while it is being read.  A flat
+``SilverTable`` therefore writes each new state to a fresh ``v=<n>/`` folder
+and then replaces a one-line state file that names it; readers follow the
+state file.  The folder of a partitioned table is ordinary
+partitioned parquet: a merge reads the partitions that its batch touches, stages the
+result and replaces just these partitions through Spark's dynamic partition
+overwrite, so the others keep their files.
+
+One writer at a time.  A replace of several partitions is not atomic: a
+reader may see some of them new and others old, and a job that dies in
+between is to be run again (merges are repeatable for rows with full keys).
+There is no log, no concurrency control and no time travel; where Delta Lake
+is installed, ``sources.delta`` hands merges to it instead.
+
+The state file also holds, per streaming checkpoint, the last micro-batch
+applied, which makes ``foreachBatch`` replays idempotent.
 """
 
 from __future__ import annotations
 
 import json
-import math
-import re
 import uuid
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Reference target size of Silver files, in bytes.
-TARGET_FILE_BYTES = 104857600
-_VERSION_RE = re.compile(r"^v=(\d+)$")
-
-
-class _Fs:
-    """Hadoop FileSystem calls through the session's JVM (works for any
-    scheme the cluster is configured for: hdfs, s3a, file, ...)."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        self._jvm = jvm
-        self.conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self.root = jvm.org.apache.hadoop.fs.Path(path)
-        self.fs = self.root.getFileSystem(self.conf)
-
-    def path(self, *parts: str):
-        p = self.root
-        for part in parts:
-            p = self._jvm.org.apache.hadoop.fs.Path(p, part)
-        return p
+from lakefold.session import delete_path, stage, staging
 
-    def exists(self, *parts: str) -> bool:
-        return bool(self.fs.exists(self.path(*parts)))
+_STATE = "_state.json"
 
-    def list_dirs(self, *parts: str) -> list[str]:
-        base = self.path(*parts)
-        if not self.fs.exists(base):
-            return []
-        return [s.getPath().getName() for s in self.fs.listStatus(base) if s.isDirectory()]
 
-    def list_files(self, *parts: str) -> list[str]:
-        base = self.path(*parts)
-        if not self.fs.exists(base):
-            return []
-        return [s.getPath().getName() for s in self.fs.listStatus(base) if s.isFile()]
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
-    def glob_rel(self, pattern: str) -> list[str]:
-        """Paths matching ``pattern`` under the root, relative to the root."""
-        found = self.fs.globStatus(self.path(pattern)) or []
-        root = self.fs.makeQualified(self.root).toString().rstrip("/") + "/"
-        return [self.fs.makeQualified(st.getPath()).toString()[len(root):] for st in found]
 
-    def size(self, *parts: str) -> int:
-        return int(self.fs.getContentSummary(self.path(*parts)).getLength())
-
-    def write_text(self, text: str, *parts: str, overwrite: bool = True) -> None:
-        """Write a small text file; ``overwrite=False`` fails if it exists
-        (an atomic create on HDFS and local file systems)."""
-        out = self.fs.create(self.path(*parts), overwrite)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-
-    def read_text(self, *parts: str) -> str | None:
-        p = self.path(*parts)
-        if not self.fs.exists(p):
-            return None
-        stream = self.fs.open(p)
-        try:
-            reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            lines = []
-            line = reader.readLine()
-            while line is not None:
-                lines.append(line)
-                line = reader.readLine()
-            return "\n".join(lines)
-        finally:
-            stream.close()
-
-    def delete(self, *parts: str) -> None:
-        self.fs.delete(self.path(*parts), True)
-
-
-class ConcurrentCommitError(RuntimeError):
-    """Another writer committed the same version number first."""
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    """Hash bucket of a merge key, as a partition column for tables whose
+    keys carry no date.  Null key parts count as values."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 class SilverTable:
     """A mutable table addressed by path.
 
-    Unpartitioned (``partition_by=None``): every version is a complete copy
-    in ``v=<n>/``.  Partitioned: data lives in
-    ``<col>=<value>/lf_v=<tag>/`` folders and a version only writes the
-    partitions it changes; the version's metadata maps every live partition
-    to the folder that holds it.  A merge whose keys include the partition
-    value (a date key, a period) then reads and rewrites only the partitions
-    the batch touches instead of the whole table.
-
-    In both layouts a version exists once its metadata file is written,
-    which happens after Spark's job commit succeeded.
-    """
+    ``partition_by`` columns must be functions of the merge key, so that a
+    key never spans partitions."""
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._fs = _Fs(spark, self.path)
         self.partition_by = list(partition_by or [])
+        jvm = spark.sparkContext._jvm
+        self._path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        self._fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    # -- versions -------------------------------------------------------------
-    def versions(self) -> list[int]:
-        out = []
-        for name in self._fs.list_files("_meta"):
-            m = _META_RE.match(name)
-            if m:
-                out.append(int(m.group(1)))
-        return sorted(out)
+    # -- state ----------------------------------------------------------------
+    def _state(self) -> dict:
+        p = self._path(_STATE)
+        if not self._fs.exists(p):
+            return {}
+        stream = self._fs.open(p)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
 
-    def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+    def _save_state(self, state: dict) -> None:
+        out = self._fs.create(self._path(_STATE), True)
+        try:
+            out.write(bytearray(json.dumps(state).encode()))
+        finally:
+            out.close()
 
     def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:08d}"
+        return bool(self._state())
 
-    def _next_version(self) -> int:
-        used = [int(m.group(1)) for n in self._fs.list_dirs() if (m := _VERSION_RE.match(n))]
-        used += self.versions()
-        return (max(used) + 1) if used else 1
-
-    def meta(self, version: int | None = None) -> dict:
-        v = self.current_version() if version is None else version
-        if v is None:
-            return {}
-        text = self._fs.read_text("_meta", f"v={v:08d}.json")
-        return json.loads(text) if text else {}
-
-    def last_batch_id(self) -> int | None:
-        return self.meta().get("batch_id")
+    def applied(self, writer: str) -> int | None:
+        """Last batch id that ``writer`` (a checkpoint) has applied."""
+        return self._state().get("applied", {}).get(writer)
 
     # -- read -----------------------------------------------------------------
-    def read(self, version: int | None = None, partitions: list[tuple] | None = None) -> DataFrame:
-        """The table (current version unless ``version`` is given).
-
-        ``partitions`` (partitioned tables) restricts the read to the listed
-        partition values, as tuples in ``partition_by`` order."""
-        meta = self.meta(version)
-        if not meta:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        if meta.get("layout") != "partitioned":
-            return self.spark.read.parquet(self.version_path(meta["version"]))
-        schema = T.StructType.fromJson(json.loads(meta["schema"]))
-        live = meta["partitions"]
-        if partitions is not None:
-            wanted = {_partition_key(p) for p in partitions}
-            live = {rel: tag for rel, tag in live.items() if _values_of(rel) in wanted}
-        columns = meta.get("columns", schema.fieldNames())
-        if not live:
-            return self.spark.createDataFrame([], schema).select(*columns)
-        paths = [f"{self.path}/{rel}/{_TAG_COL}={tag}" for rel, tag in sorted(live.items())]
-        read_schema = T.StructType(schema.fields + [T.StructField(_TAG_COL, T.StringType())])
-        return (
-            self.spark.read.schema(read_schema)
-            .option("basePath", self.path)
-            .parquet(*paths)
-            .select(*columns)
-        )
+    def location(self) -> str:
+        """Folder of the current data."""
+        state = self._state()
+        if not state:
+            raise FileNotFoundError(f"no table under {self.path}")
+        return f"{self.path}/{state['folder']}"
+
+    def read(self, partitions: list[tuple] | None = None) -> DataFrame:
+        """The current table; ``partitions`` (values in ``partition_by``
+        order) restricts the read to these partitions."""
+        state = self._state()
+        if not state:
+            raise FileNotFoundError(f"no table under {self.path}")
+        schema = T.StructType.fromJson(state["schema"])
+        df = self.spark.read.schema(schema).parquet(f"{self.path}/{state['folder']}").select(*schema.fieldNames())
+        return df if partitions is None else df.filter(self._any_of(partitions))
+
+    def _any_of(self, values: list[tuple]) -> Column:
+        """Predicate on the partition columns (prunes folders)."""
+        if len(self.partition_by) == 1:
+            own = [v[0] for v in values]
+            known = F.col(self.partition_by[0]).isin([v for v in own if v is not None])
+            return (known | F.col(self.partition_by[0]).isNull()) if None in own else known
+        out = F.lit(False)
+        for v in values:
+            one = F.lit(True)
+            for c, x in zip(self.partition_by, v):
+                one = one & F.col(c).eqNullSafe(F.lit(x))
+            out = out | one
+        return out
 
     def partition_values(self, df: DataFrame) -> list[tuple]:
-        """Distinct partition values present in ``df`` (one row per
-        partition, so the list is as small as the partition count)."""
+        """Distinct partition values of ``df``: as many as the partition
+        columns can take, which must be bounded (hash buckets, months)."""
         return [tuple(r) for r in df.select(*self.partition_by).distinct().collect()]
 
     # -- write ----------------------------------------------------------------
-    def write(
-        self,
-        df: DataFrame,
-        batch_id: int | None = None,
-        rebalance: bool = True,
-        max_records_per_file: int | None = None,
-        replace: list[tuple] | None = None,
-    ) -> int:
-        """K1: store ``df`` as the new current version (columns may evolve).
-
-        Partitioned tables: ``replace`` lists the partition values whose old
-        content ``df`` supersedes (None: the whole table); other partitions
-        stay as they are.  ``rebalance`` adds an AQE rebalance before the
-        write so that file sizes follow the advisory partition size instead
-        of the upstream partitioning (the optimize-write behaviour).
-        """
-        version = self._next_version()
-        meta = {"version": version}
-        if batch_id is not None:
-            meta["batch_id"] = int(batch_id)
-        if not self.partition_by:
-            out = df.hint("rebalance") if rebalance else df
-            writer = out.write.mode("errorifexists")
-            if max_records_per_file:
-                writer = writer.option("maxRecordsPerFile", max_records_per_file)
-            writer.parquet(self.version_path(version))
-            meta["layout"] = "flat"
-        else:
-            tag = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-            data_cols = [c for c in df.columns if c not in self.partition_by]
-            ordered = df.select(*data_cols, *self.partition_by)
-            # Rebalancing by the partition columns sends each partition to
-            # one task (AQE splits a skewed one), so a partition gets a few
-            # large files instead of one small file per upstream task.
-            writer = (
-                (ordered.hint("rebalance", *self.partition_by) if rebalance else ordered)
-                .withColumn(_TAG_COL, F.lit(tag))
-                .write.mode("append")
-                .partitionBy(*self.partition_by, _TAG_COL)
-            )
-            if max_records_per_file:
-                writer = writer.option("maxRecordsPerFile", max_records_per_file)
-            writer.parquet(self.path)
-            written = self._fs.glob_rel("/".join(["*"] * len(self.partition_by)) + f"/{_TAG_COL}={tag}")
-            previous = self.meta().get("partitions", {}) if self.exists() else {}
-            if replace is None:
-                kept = {}
-            else:
-                dropped = {_partition_key(p) for p in replace}
-                stray = [rel for rel in written if _values_of(rel.rsplit("/", 1)[0]) not in dropped]
-                if stray:
-                    # Not committed: the folders stay unreferenced.
-                    raise ValueError(
-                        f"rows for partitions outside `replace` would drop their old rows: {stray[:3]}"
-                    )
-                kept = {rel: t for rel, t in previous.items() if _values_of(rel) not in dropped}
-            kept.update({rel.rsplit("/", 1)[0]: tag for rel in written})
-            meta.update(
-                layout="partitioned",
-                partition_by=self.partition_by,
-                columns=df.columns,
-                schema=ordered.schema.json(),
-                partitions=kept,
-            )
-        try:
-            self._fs.write_text(json.dumps(meta), "_meta", f"v={version:08d}.json", overwrite=False)
-        except Exception as e:  # noqa: BLE001 - py4j wraps the Java exception
-            if self._fs.exists("_meta", f"v={version:08d}.json"):
-                raise ConcurrentCommitError(
-                    f"version {version} of {self.path} was committed by another writer; "
-                    "re-run against the new current version"
-                ) from e
-            raise
-        return version
+    def write(self, df: DataFrame, applied: tuple[str, int] | None = None) -> None:
+        """K1: ``df`` becomes the whole table (columns may evolve).  Rows are
+        rebalanced before the write, so file sizes follow the advisory
+        partition size instead of the upstream partitioning.  ``applied``
+        records a streaming batch as (writer, batch id)."""
+        state = self._state()
+        folder = f"v={uuid.uuid4().hex[:12]}"
+        out = df.hint("rebalance", *self.partition_by) if self.partition_by else df.hint("rebalance")
+        writer = out.write.partitionBy(*self.partition_by) if self.partition_by else out.write
+        writer.parquet(f"{self.path}/{folder}")
+        self._commit(state, applied, folder=folder, previous=state.get("folder"), schema=_nullable(df.schema).jsonValue())
+        if state.get("previous"):  # the last state stays for readers that have begun
+            delete_path(self.spark, f"{self.path}/{state['previous']}")
+
+    def replace(self, df: DataFrame, partitions: list[tuple], applied: tuple[str, int] | None = None) -> None:
+        """``df`` becomes the content of ``partitions``; the files of other
+        partitions stay as they are.  ``df`` may read the table."""
+        state = self._state()
+        with staging(self.spark):
+            new = stage(df, "silver-replace")
+            stray = new.filter(~F.coalesce(self._any_of(partitions), F.lit(False))).limit(1)
+            if not stray.isEmpty():
+                raise ValueError(f"rows outside the partitions to replace: {stray.first()}")
+            produced = set(self.partition_values(new))
+            data = f"{self.path}/{state['folder']}"
+            (new.hint("rebalance", *self.partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*self.partition_by).parquet(data))
+        emptied = [p for p in partitions if p not in produced]
+        if emptied:  # a dynamic overwrite leaves partitions without new rows alone
+            self._drop(state["folder"], emptied)
+        known = T.StructType.fromJson(state["schema"])
+        added = [f for f in _nullable(df.schema).fields if f.name not in known.fieldNames()]
+        self._commit(state, applied, schema=T.StructType(known.fields + added).jsonValue())
+
+    def _drop(self, folder: str, partitions: list[tuple]) -> None:
+        """Delete partitions by the folders that hold them."""
+        schema = T.StructType.fromJson(self._state()["schema"])
+        held = (self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").filter(self._any_of(partitions))
+                .select(F.url_decode(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)).alias("p")).distinct())
+        for r in held.collect():  # one row per partition
+            delete_path(self.spark, r.p)
+
+    def _commit(self, state: dict, applied: tuple[str, int] | None, **changed) -> None:
+        marks = dict(state.get("applied", {}))
+        if applied:
+            marks[applied[0]] = int(applied[1])
+        self._save_state(state | changed | {"applied": marks})
 
     def open_or_create(self, df: DataFrame) -> DataFrame:
         """The current table, created from ``df`` when none exists yet."""
         if not self.exists():
             self.write(df)
         return self.read()
-
-    def compact(self, target_bytes: int = TARGET_FILE_BYTES) -> int:
-        """K2: rewrite the current version into files of about ``target_bytes``
-        (unpartitioned tables; a partitioned table is rewritten whole with
-        AQE-rebalanced files)."""
-        meta = self.meta()
-        if not meta:
-            raise FileNotFoundError(self.path)
-        if meta.get("layout") == "partitioned":
-            return self.write(self.read())
-        total = self._fs.size(f"v={meta['version']:08d}")
-        n = max(1, math.ceil(total / target_bytes))
-        return self.write(self.read().repartition(n), rebalance=False)
-
-    def files(self, version: int | None = None) -> list[str]:
-        """Live data files of a version."""
-        return sorted(self.read(version).inputFiles())
-
-    def manifest(self) -> str:
-        """K3: write ``_symlink_format_manifest/manifest`` listing the live
-        files of the current version, for engines that read plain file lists."""
-        files = self.files()
-        self._fs.write_text("\n".join(files) + "\n", "_symlink_format_manifest", "manifest")
-        return f"{self.path}/_symlink_format_manifest/manifest"
-
-    def vacuum(self, keep: int = 2, remove_orphans: bool = True) -> list[int]:
-        """Delete the data and metadata of all but the newest ``keep``
-        versions (partition folders still referenced by a kept version stay).
-
-        ``remove_orphans`` also deletes folders no kept version references
-        whose version number is not above the current one: the leftovers of
-        jobs killed between their data write and their commit (a writer
-        with such a number either committed under another tag or lost the
-        race).  Folders of newer numbers may belong to a writer still
-        running and are left alone.
-        """
-        versions = self.versions()
-        old = versions[:-keep] if keep > 0 else versions
-        live_tags = set()
-        for v in versions[len(old):]:
-            live_tags.update(self.meta(v).get("partitions", {}).values())
-        for v in old:
-            meta = self.meta(v)
-            if meta.get("layout") == "partitioned":
-                for rel, tag in meta.get("partitions", {}).items():
-                    if tag not in live_tags:
-                        self._fs.delete(rel, f"{_TAG_COL}={tag}")
-            else:
-                self._fs.delete(f"v={v:08d}")
-            self._fs.delete("_meta", f"v={v:08d}.json")
-        if remove_orphans and versions:
-            current = versions[-1]
-            kept_flat = set(versions[len(old):])
-            for name in self._fs.list_dirs():
-                m = _VERSION_RE.match(name)
-                if m and int(m.group(1)) <= current and int(m.group(1)) not in kept_flat:
-                    self._fs.delete(name)
-            if self.partition_by:
-                pattern = "/".join(["*"] * len(self.partition_by)) + f"/{_TAG_COL}=*"
-                for rel in self._fs.glob_rel(pattern):
-                    tag = rel.rsplit("=", 1)[1]
-                    if tag not in live_tags and int(tag.split("-", 1)[0]) <= current:
-                        self._fs.delete(rel)
-        return old
-
-
-_TAG_COL = "lf_v"
-_META_RE = re.compile(r"^v=(\d+)\.json$")
-_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _partition_key(values: tuple) -> tuple[str, ...]:
-    """Partition values as the text Spark writes in folder names."""
-    return tuple(_DEFAULT_PARTITION if v is None else str(v) for v in values)
-
-
-def _values_of(rel: str) -> tuple[str, ...]:
-    """``a=1/b=x%3Ay`` -> ``("1", "x:y")``."""
-    return tuple(unquote(part.split("=", 1)[1]) for part in rel.split("/"))

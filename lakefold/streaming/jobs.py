@@ -2,14 +2,15 @@
 
 Stateless operators (casts, parsing, landing columns) run directly on the
 streaming DataFrame.  Row-number windows and merges are not allowed on a
-stream, so they run per micro-batch inside ``foreachBatch`` against the
-versioned Silver table, with the batch id stored beside each version so a
+stream, so they run per micro-batch inside ``foreachBatch`` against a
+Silver table, which records per checkpoint the last batch applied, so a
 replayed batch is skipped.  Every job uses the run-once ``availableNow``
 trigger and waits for completion.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakefold.functions import logtext
 from lakefold.functions.logtext import EVENT_START
-from lakefold.operators.multiline import assemble_events
+from lakefold.operators.multiline import events_of_lines
 from lakefold.sinks.bronze import with_day_parts, with_landing_day
+from lakefold.session import stage, staging
 from lakefold.sources.silver import SilverTable
 
 
@@ -68,15 +70,50 @@ def log_append_job(stream: DataFrame, sink_path: str, checkpoint: str) -> Stream
     return append_job(decode_messages(stream), sink_path, checkpoint)
 
 
-def log_file_stream(spark: SparkSession, path_glob: str, start_pattern: str = EVENT_START) -> DataFrame:
-    """S11 + W2 as a stream: every new log file is read whole (one row per
-    file) and split into multi-line events.  Assembly is row-local, so it
-    runs directly on the stream; an event never straddles two micro-batches
-    because a file is never split between them."""
-    files = spark.readStream.text(path_glob, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), "value"
-    )
-    return assemble_events(files, "value", start_pattern, keep=["file_path"])
+class GrownFileError(RuntimeError):
+    """A log file that was read already has grown since."""
+
+
+def log_file_job(
+    spark: SparkSession, path_glob: str, sink_path: str, checkpoint: str, start_pattern: str = EVENT_START
+) -> StreamingQuery:
+    """S11 + W2: append the events of new log files to ``sink_path``
+    (``file_path, file_size, event_no, first_line, n_lines, event``).
+
+    Rule for growing files: a file is read once, so only rotated files
+    belong under ``path_glob``.  Every event carries the size its file had
+    when it was read; before a run, a file that has another size by now
+    raises ``GrownFileError`` instead of losing its new lines.  Each
+    micro-batch is assembled by splits; an event never straddles two
+    micro-batches, because a file is never divided between them.
+    """
+    def listing() -> DataFrame:
+        return spark.read.format("binaryFile").load(path_glob).select(
+            F.url_decode("path").alias("file_path"), F.col("length").alias("size_now"))
+
+    sink = spark._jvm.org.apache.hadoop.fs.Path(sink_path)
+    if sink.getFileSystem(spark._jsc.hadoopConfiguration()).exists(sink):
+        read_as = spark.read.parquet(sink_path).groupBy("file_path").agg(F.max("file_size").alias("size_read"))
+        grown = read_as.join(listing(), "file_path").filter("size_read <> size_now").limit(5).collect()
+        if grown:
+            raise GrownFileError("only rotated files can be read; these have grown: "
+                                 + ", ".join(f"{r.file_path} ({r.size_read} to {r.size_now} bytes)" for r in grown))
+
+    lines = spark.readStream.option("encoding", "UTF-8").text(path_glob).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("line_id", F.monotonically_increasing_id())
+        with staging(spark):
+            own = stage(numbered, "log-lines")
+            sizes = own.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
+            out = events_of_lines(own.drop("file_size"), start_pattern).join(sizes, "file_path")
+            # one folder per batch, written anew if the batch is replayed
+            (out.withColumn("file_path", F.url_decode("file_path")).withColumn("batch", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sink_path))
+
+    return _run_once(lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint))
 
 
 def parse_log_stream(messages: DataFrame, message_col: str = "value", ts_col: str = "timestamp") -> DataFrame:
@@ -109,6 +146,33 @@ def landing_stream_job(
     return _run_once(writer, sink_path)
 
 
+def apply_once(
+    stream: DataFrame, table: SilverTable, checkpoint: str, apply: Callable[[DataFrame, tuple[str, int]], None]
+) -> StreamingQuery:
+    """Call ``apply(batch, (writer, batch id))`` for every micro-batch that
+    ``table`` has not applied yet.  A writer is a checkpoint (Spark's id of
+    the query, kept in the checkpoint): batch ids of different streams, or
+    of a stream started afresh, do not stand in each other's way."""
+    spark = stream.sparkSession
+    id_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+
+    def writer_id() -> str:
+        fs = id_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        stream_in = fs.open(id_path)
+        try:
+            return json.loads(bytes(stream_in.readAllBytes()).decode())["id"]
+        finally:
+            stream_in.close()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        writer = writer_id()
+        last = table.applied(writer)
+        if last is None or batch_id > last:
+            apply(batch, (writer, batch_id))
+
+    return _run_once(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
+
+
 def merge_stream_job(
     stream: DataFrame,
     table: SilverTable,
@@ -120,32 +184,25 @@ def merge_stream_job(
     """Fold every micro-batch into ``table`` with ``merge_batch(target,
     batch)``.
 
-    ``prepare`` (for example a dataset transform) turns each raw micro-batch
-    into the frame that is merged.  The first batch of a missing table is
-    merged into an empty table of the batch's schema (or into
-    ``initial(batch)`` when given).  On a
-    partitioned table only the partitions present in the batch are read and
-    rewritten (the partition columns must be functions of the merge key).
-    A batch id that is not newer than the one recorded with the current
-    version has already been applied (a replay after a failure) and is
-    skipped.
+    ``prepare`` turns each raw micro-batch into the frame that is merged; it
+    is staged, since the merge reads it more than once.  The first batch of
+    a missing table is merged into an empty table of the batch's schema (or
+    into ``initial(batch)`` when given).  On a partitioned table only the
+    partitions present in the batch are read and rewritten (the partition
+    columns must be functions of the merge key).  A batch that this
+    checkpoint has already applied (a replay after a failure) is skipped.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        last = table.last_batch_id()
-        if last is not None and batch_id <= last:
-            return
-        if prepare is not None:
-            batch = prepare(batch)
-        if not table.exists():
-            target = initial(batch) if initial else batch.limit(0)
-            table.write(merge_batch(target, batch), batch_id=batch_id)
-        elif table.partition_by:
-            touched = table.partition_values(batch)
-            merged = merge_batch(table.read(partitions=touched), batch)
-            table.write(merged, batch_id=batch_id, replace=touched)
-        else:
-            table.write(merge_batch(table.read(), batch), batch_id=batch_id)
-
-    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return _run_once(writer)
+    def apply(batch: DataFrame, applied: tuple[str, int]) -> None:
+        with staging(batch.sparkSession):
+            own = stage(prepare(batch) if prepare else batch, "micro-batch")
+            if not table.exists():
+                target = initial(own) if initial else own.limit(0)
+                table.write(merge_batch(target, own), applied)
+            elif table.partition_by:
+                touched = table.partition_values(own)
+                table.replace(merge_batch(table.read(touched), own), touched, applied)
+            else:
+                table.write(merge_batch(table.read(), own), applied)
+
+    return apply_once(stream, table, checkpoint, apply)

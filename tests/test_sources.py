@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from lakefold.sinks.bronze import land_bronze, land_json_lines, landing_day
 from lakefold.sources.catalog import register_table
-from lakefold.sources.files import all_string_schema, read_source
+from lakefold.sources.files import all_string_schema, read_source, split_corrupt
 from lakefold.sources.silver import SilverTable
 
 
@@ -69,31 +69,6 @@ def test_json_lines_by_day(spark, tmp_dir):
     assert os.path.isdir(f"{tmp_dir}/jl/year=2024/month=3/day=5")
 
 
-def test_silver_versions(spark, tmp_dir):
-    st = SilverTable(spark, f"{tmp_dir}/silver")
-    assert not st.exists()
-    first = spark.range(10)
-    assert st.open_or_create(first).count() == 10
-    assert st.open_or_create(spark.range(3)).count() == 10
-    v2 = st.write(st.read().filter("id < 5"), batch_id=7)
-    assert st.current_version() == v2 == 2 and st.last_batch_id() == 7
-    assert st.read(1).count() == 10 and st.read().count() == 5
-    os.makedirs(f"{tmp_dir}/silver/v=00000009")  # an uncommitted (crashed) write
-    assert st.current_version() == 2
-    assert st.vacuum(keep=1) == [1]
-
-
-def test_compact_and_manifest(spark, tmp_dir):
-    st = SilverTable(spark, f"{tmp_dir}/silver")
-    st.write(spark.range(1000).repartition(10), rebalance=False)
-    assert len(st.files()) == 10
-    st.compact()
-    assert len(st.files()) == 1 and st.read().count() == 1000
-    with open(st.manifest()) as fh:
-        listed = [line.strip() for line in fh if line.strip()]
-    assert listed == st.files()
-
-
 def test_register_table(spark, tmp_dir):
     spark.range(6).select("id", (F.col("id") % 2).alias("p")).write.partitionBy("p").parquet(f"{tmp_dir}/reg")
     df = register_table(spark, "reg_test_tbl", f"{tmp_dir}/reg")
@@ -104,27 +79,85 @@ def test_register_table(spark, tmp_dir):
         register_table(spark, "bad name;", f"{tmp_dir}/reg")
 
 
-def test_partitioned_silver_rewrites_only_touched(spark, tmp_dir):
-    st = SilverTable(spark, f"{tmp_dir}/psilver", partition_by=["d"])
-    base = spark.createDataFrame(
-        [(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2)), (3, "n", None)], "k int, v string, d date"
-    )
-    st.write(base)
-    assert st.read().columns == ["k", "v", "d"]
-    before = {f for f in st.files() if "d=2024-01-01" in f}
+def data_files(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_csv_rows_dropped_do_not_depend_on_the_columns_read(spark, tmp_dir):
+    write(f"{tmp_dir}/csv/a.csv", "a,b\n1,2\n3\n4,5,6\n")
+    df = read_source(spark, f"{tmp_dir}/csv", "csv", schema=all_string_schema(["a", "b"]))
+    assert [r.a for r in df.select("a").collect()] == ["1"] and df.count() == 1
+
+
+def test_split_corrupt(spark, tmp_dir):
+    write(f"{tmp_dir}/json/a.json", '{"a":1}\n{bad\n{"a":2}\n')
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    good, bad = split_corrupt(read_source(spark, f"{tmp_dir}/json", "json", schema=schema))
+    assert sorted(r.a for r in good.collect()) == [1, 2] and good.columns == ["a"]
+    assert [r[0] for r in bad.collect()] == ["{bad"]
+    good, bad = split_corrupt(spark.range(2))
+    assert good.count() == 2 and bad.count() == 0
+
+
+def test_silver_flat(spark, tmp_dir):
+    st = SilverTable(spark, f"{tmp_dir}/silver")
+    assert not st.exists()
+    assert st.open_or_create(spark.range(10)).count() == 10
+    assert st.open_or_create(spark.range(3)).count() == 10
+    st.write(st.read().filter("id < 5"), ("w", 7))
+    assert st.read().count() == 5 and st.applied("w") == 7 and st.applied("other") is None
+    os.makedirs(f"{tmp_dir}/silver/v=crashed")  # an uncommitted write
+    st.write(st.read().withColumn("x", F.lit(1)))
+    assert st.read().columns == ["id", "x"] and st.read().count() == 5
+    assert st.applied("w") == 7  # carried over
+
+
+def test_silver_replaces_only_touched_partitions(spark, tmp_dir):
+    st = SilverTable(spark, f"{tmp_dir}/silver", partition_by=["d"])
+    schema = "k int, v string, d date"
+    st.write(spark.createDataFrame(
+        [(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2)), (3, "n", None)], schema), ("w", 1))
+    before = data_files(f"{tmp_dir}/silver")
     touched = [(dt.date(2024, 1, 2),), (dt.date(2024, 1, 3),)]
-    new = spark.createDataFrame([(2, "B", dt.date(2024, 1, 2)), (4, "c", dt.date(2024, 1, 3))], "k int, v string, d date")
-    st.write(new, replace=touched)
-    got = sorted((r.k, r.v) for r in st.read().collect())
-    assert got == [(1, "a"), (2, "B"), (3, "n"), (4, "c")]
-    assert {f for f in st.files() if "d=2024-01-01" in f} == before
-    assert sorted(r.k for r in st.read(partitions=touched).collect()) == [2, 4]
-    assert sorted(r.k for r in st.read(partitions=[(None,)]).collect()) == [3]
-    assert sorted(r.k for r in st.read(1).collect()) == [1, 2, 3]
-    st.write(spark.createDataFrame([], "k int, v string, d date"), replace=[(dt.date(2024, 1, 3),)])
-    assert sorted(r.k for r in st.read().collect()) == [1, 2, 3]
-    assert st.vacuum(keep=1) == [1, 2]
-    assert sorted(r.k for r in st.read().collect()) == [1, 2, 3]
+    new = [(2, "B", dt.date(2024, 1, 2)), (4, "c", dt.date(2024, 1, 3))]
+    st.replace(spark.createDataFrame(new, schema), touched)
+    assert sorted((r.k, r.v) for r in st.read().collect()) == [(1, "a"), (2, "B"), (3, "n"), (4, "c")]
+    after = data_files(f"{tmp_dir}/silver")
+    kept = {f for f in before if "d=2024-01-02" not in f}
+    assert len(kept) == 2 and all(after[f] == before[f] for f in kept)
+    assert sorted(r.k for r in st.read(touched).collect()) == [2, 4]
+    assert sorted(r.k for r in st.read([(None,)]).collect()) == [3]
+    plan = st.read(touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d#" in plan
+    # an emptied partition goes; the result may read the table; columns may be added
+    st.replace(st.read(touched).filter("k = 2").withColumn("x", F.lit("new")), touched)
+    assert sorted((r.k, r.x) for r in st.read().collect()) == [(1, None), (2, "new"), (3, None)]
+    assert st.applied("w") == 1
+    with pytest.raises(ValueError):
+        st.replace(spark.createDataFrame(new, schema), [(dt.date(2024, 1, 2),)])
+
+
+def test_silver_boolean_partition(spark, tmp_dir):
+    st = SilverTable(spark, f"{tmp_dir}/silver", partition_by=["b"])
+    st.write(spark.createDataFrame([(1, True), (2, False)], "k int, b boolean"))
+    assert [r.k for r in st.read([(True,)]).collect()] == [1]
+    st.replace(spark.createDataFrame([(3, True)], "k int, b boolean"), [(True,)])
+    assert sorted(r.k for r in st.read().collect()) == [2, 3]
+
+
+def test_one_key_batch_leaves_other_news_buckets(spark, tmp_dir):
+    from lakefold.plans import datasets, derived
+
+    bronze, _ = derived.news_runs(spark, "/root/testdata/sf0.001")
+    st = datasets.silver_table(spark, datasets.NEWS, f"{tmp_dir}/news")
+    datasets.run(datasets.NEWS, bronze, st)
+    before = data_files(f"{tmp_dir}/news")
+    one = bronze.limit(1).withColumn("url", F.lit("https://news.example.com/one"))
+    datasets.run(datasets.NEWS, one, st)
+    after = data_files(f"{tmp_dir}/news")
+    assert len(set(before) - set(after)) <= 1 and len(set(before) & set(after)) > 10
+    assert st.read().filter("url = 'https://news.example.com/one'").count() == 1
 
 
 def test_dataset_run_partitioned_matches_unpartitioned(spark, tmp_dir):
@@ -134,88 +167,103 @@ def test_dataset_run_partitioned_matches_unpartitioned(spark, tmp_dir):
     part = datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/air_p")
     flat = SilverTable(spark, f"{tmp_dir}/air_f")
     for st in (part, flat):
-        datasets.run(datasets.AIR, first, st)
-        datasets.run(datasets.AIR, second, st)
+        datasets.run(datasets.AIR, first, st, datasets.REFERENCE)
+        datasets.run(datasets.AIR, second, st, datasets.REFERENCE)
     cols = datasets.AIR_COLUMNS
     a = sorted(map(repr, part.read().select(*cols).collect()))
     b = sorted(map(repr, flat.read().select(*cols).collect()))
     assert a == b and len(a) > 0
 
 
-def test_concurrent_commit_detected(spark, tmp_dir):
-    from lakefold.sources.silver import ConcurrentCommitError
-
-    st = SilverTable(spark, f"{tmp_dir}/race")
-    st.write(spark.range(3))
-    other = SilverTable(spark, f"{tmp_dir}/race")
-    other._next_version = lambda: 2  # both writers picked version 2
-    st._next_version = lambda: 2
-    st._fs.write_text('{"version": 2, "layout": "flat"}', "_meta", "v=00000002.json")
-    with pytest.raises(ConcurrentCommitError):
-        other.write(spark.range(5))
-
-
-def test_register_silver_follows_current_version(spark, tmp_dir):
+def test_register_silver(spark, tmp_dir):
     from lakefold.sources.catalog import register_silver
 
-    st = SilverTable(spark, f"{tmp_dir}/reg_silver")
-    st.write(spark.range(4))
+    st = SilverTable(spark, f"{tmp_dir}/reg_silver", partition_by=["p"])
+    st.write(spark.range(6).selectExpr("id", "id % 2 AS p"))
+    assert register_silver(spark, "silver_reg_test", st).count() == 6
+    st.replace(spark.range(1).selectExpr("id", "id AS p"), [(0,)])
     assert register_silver(spark, "silver_reg_test", st).count() == 4
-    st.write(spark.range(7))
-    assert register_silver(spark, "silver_reg_test", st).count() == 7
-    assert spark.sql("SELECT count(*) FROM silver_reg_test").first()[0] == 7
-    pt = SilverTable(spark, f"{tmp_dir}/reg_psilver", partition_by=["p"])
-    pt.write(spark.range(6).selectExpr("id", "id % 2 AS p"))
-    pt.write(spark.range(1).selectExpr("id", "0 AS p"), replace=[(0,)])
-    assert register_silver(spark, "psilver_reg_test", pt).count() == 4
-
-
-def test_partitioned_write_refuses_stray_partitions(spark, tmp_dir):
-    st = SilverTable(spark, f"{tmp_dir}/stray", partition_by=["p"])
-    st.write(spark.range(4).selectExpr("id", "id % 2 AS p"))
-    with pytest.raises(ValueError):
-        st.write(spark.range(2).selectExpr("id", "1 AS p"), replace=[(0,)])
-    assert st.current_version() == 1 and st.read().count() == 4
+    spark.catalog.dropTempView("silver_reg_test")
 
 
-def test_cli_runs_a_dataset_twice(spark, tmp_dir):
+def test_cli_runs_a_dataset(spark, tmp_dir, capsys):
     from lakefold.__main__ import main
     from lakefold.plans import datasets, derived
 
     first, second = derived.air_runs(spark, "/root/testdata/sf0.001")
-    first.write.parquet(f"{tmp_dir}/bronze1")
-    second.write.parquet(f"{tmp_dir}/bronze2")
-    for b in ("bronze1", "bronze2"):
-        assert main(["run", "air_quality", "--bronze", f"{tmp_dir}/{b}", "--silver", f"{tmp_dir}/silver"]) == 0
+    bronze = f"{tmp_dir}/bronze"
+    for day, df in (("2024-02-01", first), ("2024-02-02", second)):
+        df.write.parquet(f"{bronze}/ingest_date={day}")
+        # Bronze is cumulative: the second run reads two revisions of a key
+        assert main(["run", "air_quality", "--bronze", bronze, "--silver", f"{tmp_dir}/silver"]) == 0
     st = datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/silver")
-    assert st.current_version() == 2 and st.read().count() > 0
-
-
-def test_vacuum_removes_orphans_of_killed_writes(spark, tmp_dir):
-    import os
-
-    st = SilverTable(spark, f"{tmp_dir}/orph", partition_by=["p"])
-    st.write(spark.range(4).selectExpr("id", "id % 2 AS p"))
-    # a killed attempt at version 2: data written, never committed
-    os.makedirs(f"{tmp_dir}/orph/p=0/lf_v=00000002-deadbeef")
-    st.write(spark.range(2).selectExpr("id", "0 AS p"), replace=[(0,)])
-    os.makedirs(f"{tmp_dir}/orph/p=1/lf_v=00000099-cafecafe")  # a writer still running
-    st.vacuum(keep=1)
-    assert not os.path.exists(f"{tmp_dir}/orph/p=0/lf_v=00000002-deadbeef")
-    assert os.path.exists(f"{tmp_dir}/orph/p=1/lf_v=00000099-cafecafe")
-    assert sorted(r.id for r in st.read().collect()) == [0, 1, 1, 3]
-    flat = SilverTable(spark, f"{tmp_dir}/orph_flat")
-    flat.write(spark.range(3))
-    os.makedirs(f"{tmp_dir}/orph_flat/v=00000002")  # killed before its commit
-    flat.write(spark.range(5))
-    flat.vacuum(keep=1)
-    assert not os.path.exists(f"{tmp_dir}/orph_flat/v=00000002") and flat.read().count() == 5
-
-
-def test_spread_bounds_partitions_by_input_size(spark):
-    from lakefold.session import read_table
-
-    tiny = read_table(spark, "/root/testdata/sf0.01", "nation")
-    assert tiny.rdd.getNumPartitions() == 1
-    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
-    assert 1 < docs.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert st.read().count() > 0
+    with pytest.raises(ValueError):
+        main(["run", "air_quality", "--bronze", bronze, "--silver", f"{tmp_dir}/silver_e", "--on-conflict", "error"])
+    main(["run", "air_quality", "--bronze", bronze, "--silver", f"{tmp_dir}/silver_w", "--ref", "2024-02-02", "--days", "1"])
+    window = datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/silver_w").read()
+    assert window.count() < st.read().count()
+    pruned = datasets.landed_between(spark.read.parquet(bronze), "2024-02-02", 1)
+    assert "PartitionFilters: [isnotnull(ingest_date" in pruned._jdf.queryExecution().executedPlan().toString()
+    # corrupt JSON lines are counted, not merged
+    write(f"{tmp_dir}/json/a.json", '{"dataTime":"2024-01-01 01:00","sidoName":"s","cityName":"c"}\n{bad\n')
+    main(["run", "air_quality", "--bronze", f"{tmp_dir}/json", "--silver", f"{tmp_dir}/silver_j", "--format", "json"])
+    assert "corrupt lines left out: 1" in capsys.readouterr().out
+    assert datasets.silver_table(spark, datasets.AIR, f"{tmp_dir}/silver_j").read().count() == 1
+
+
+def test_runs_leave_no_staged_copies(spark, tmp_dir):
+    from lakefold.plans import datasets, derived
+    from lakefold.session import ensure_checkpoint_dir
+
+    scratch = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "lakefold")
+    bronze = derived.census_bronze(spark, "/root/testdata/sf0.001", "DT_1")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    datasets.run(datasets.CENSUS, bronze, datasets.silver_table(spark, datasets.CENSUS, f"{tmp_dir}/census"))
+    datasets.run(datasets.CENSUS, bronze, datasets.silver_table(spark, datasets.CENSUS, f"{tmp_dir}/census"))
+    assert set(os.listdir(scratch)) == before
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from lakefold.session import ensure_checkpoint_dir
+
+    def session(master, folder=None):
+        seen = {"dir": folder}
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: seen["dir"], setCheckpointDir=lambda d: seen.update(dir=d),
+            getConf=lambda: SimpleNamespace(get=lambda k, d=None: d))
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(session(master))
+    assert ensure_checkpoint_dir(session("yarn", "hdfs:///ckpt")) == "hdfs:///ckpt"
+    assert ensure_checkpoint_dir(session("local[4]"))
+
+
+def test_delta_merge_is_handed_over(monkeypatch):
+    """With Delta's package and extension present, its own merge is called."""
+    import sys
+    from types import ModuleType, SimpleNamespace
+
+    from lakefold.sources import delta
+
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: "io.delta.sql.DeltaSparkSessionExtension"))
+    monkeypatch.setitem(sys.modules, "delta", None)
+    assert not delta.available(spark)
+    calls = []
+
+    class Builder:
+        def __getattr__(self, name):
+            return lambda *a, **k: calls.append((name, a, k)) or self
+
+    tables = ModuleType("delta.tables")
+    tables.DeltaTable = SimpleNamespace(isDeltaTable=lambda s, p: True, forPath=lambda s, p: Builder())
+    monkeypatch.setitem(sys.modules, "delta", ModuleType("delta"))
+    monkeypatch.setitem(sys.modules, "delta.tables", tables)
+    assert delta.available(spark)
+    delta.merge_into(spark, "/t", SimpleNamespace(alias=lambda n: n), ["a", "b"], ["v"])
+    assert [c[0] for c in calls] == ["alias", "merge", "whenMatchedUpdate", "whenNotMatchedInsertAll", "execute"]
+    assert calls[1][1] == ("s", "t.`a` = s.`a` AND t.`b` = s.`b`") and calls[2][2] == {"set": {"v": "s.`v`"}}

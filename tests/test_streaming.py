@@ -55,10 +55,56 @@ def test_merge_stream_and_replay(spark, tmp_dir):
     jobs.merge_stream_job(stream, st, f"{tmp_dir}/ckpt", fold)
     expected = sorted((u, max(s for uu, s, _ in data if uu == u)) for u in range(7))
     assert sorted((r.user_id, r.seq) for r in st.read().collect()) == expected
-    versions = st.versions()
-    # a rerun on the same checkpoint finds nothing new and writes no version
+    # a rerun on the same checkpoint finds nothing new
+    before = st.location()
     jobs.merge_stream_job(spark.readStream.schema(df.schema).parquet(src), st, f"{tmp_dir}/ckpt", fold)
-    assert st.versions() == versions
+    assert st.location() == before
+
+
+def count_all(target, batch):
+    """Not repeatable: a batch applied twice shows."""
+    return target.unionByName(batch)
+
+
+def test_two_sources_and_a_fresh_checkpoint_lose_nothing(spark, tmp_dir):
+    st = SilverTable(spark, f"{tmp_dir}/silver")
+
+    def feed(name, n, ckpt):
+        spark.range(n).withColumn("src", F.lit(name)).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{name}")
+        stream = spark.readStream.schema("id long, src string").parquet(f"{tmp_dir}/{name}")
+        jobs.merge_stream_job(stream, st, f"{tmp_dir}/{ckpt}", count_all)
+
+    feed("a", 1, "ckpt_a")
+    feed("b", 2, "ckpt_b")  # batch ids start at 0 again
+    assert st.read().count() == 3
+    feed("a", 3, "ckpt_a")
+    st.write(st.read())  # a rewrite in between keeps the marks
+    feed("b", 1, "ckpt_b")
+    assert st.read().count() == 7
+    feed("c", 5, "ckpt_c")
+    feed("c", 0, "ckpt_c2")  # a fresh checkpoint reads the source again
+    assert st.read().filter("src = 'c'").count() == 10
+
+
+def test_replayed_batch_is_skipped(spark, tmp_dir):
+    """The same batch id applied twice, as after a crash between the table
+    write and the checkpoint's commit."""
+    import glob
+    import os
+
+    src, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/ckpt"
+    st = SilverTable(spark, f"{tmp_dir}/silver")
+    spark.range(4).coalesce(1).write.parquet(src)
+
+    def job():
+        jobs.merge_stream_job(spark.readStream.schema("id long").parquet(src), st, ckpt, count_all)
+
+    job()
+    for f in glob.glob(f"{ckpt}/commits/*") + glob.glob(f"{ckpt}/commits/.*.crc"):
+        os.remove(f)  # the batch is planned, not committed: it runs again
+    before = st.location()
+    job()
+    assert st.read().count() == 4 and st.location() == before
 
 
 def test_merge_stream_partitioned(spark, tmp_dir):
@@ -103,22 +149,31 @@ def test_kafka_source_and_sink_if_available(spark):
     assert callable(publish)
 
 
-def test_log_file_stream_assembles_per_file(spark, tmp_dir):
+def write_log(path, n, extra=""):
+    with open(path, "w") as fh:
+        fh.write(f"22/11/14 10:11:1{n} INFO A: start {n}\n\tat x\n22/11/14 10:11:2{n} WARN B: next {n}\n{extra}")
+
+
+def test_log_file_job_assembles_per_file_and_rejects_growth(spark, tmp_dir):
     import os
 
+    import pytest
+
     os.makedirs(f"{tmp_dir}/logs")
     for n in range(3):
-        with open(f"{tmp_dir}/logs/app{n}.log", "w") as fh:
-            fh.write(f"22/11/14 10:11:1{n} INFO A: start {n}\n\tat x\n22/11/14 10:11:2{n} WARN B: next {n}\n")
-    events = jobs.log_file_stream(spark, f"{tmp_dir}/logs/*.log")
-    parsed = jobs.parse_log_stream(events.withColumnRenamed("event", "value")
-                                   .withColumn("timestamp", F.lit(dt.datetime(2022, 11, 14)).cast("timestamp_ntz")))
-    jobs.append_job(parsed.drop("log_ts"), f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
-    out = spark.read.parquet(f"{tmp_dir}/sink")
-    assert out.count() == 6
-    assert sorted(r.log_level for r in out.collect()) == ["INFO"] * 3 + ["WARN"] * 3
-    firsts = [r for r in out.collect() if r.event_no == 1]
-    assert all(r.n_lines == 2 for r in firsts)
+        write_log(f"{tmp_dir}/logs/app.log.{n}", n)
+    args = (spark, f"{tmp_dir}/logs/app.log.*", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
+    jobs.log_file_job(*args)
+    jobs.log_file_job(*args)
+    out = spark.read.parquet(f"{tmp_dir}/sink").collect()
+    assert len(out) == 6
+    assert all(r.n_lines == 2 and r.event.endswith("at x") for r in out if r.event_no == 1)
+    write_log(f"{tmp_dir}/logs/app.log.3", 3)
+    jobs.log_file_job(*args)
+    assert spark.read.parquet(f"{tmp_dir}/sink").count() == 8
+    write_log(f"{tmp_dir}/logs/app.log.1", 1, "22/11/14 10:11:30 INFO C: late\n")  # it was not rotated yet
+    with pytest.raises(jobs.GrownFileError, match="app.log.1"):
+        jobs.log_file_job(*args)
 
 
 def test_dataset_stream_run_equals_batch_run(spark, tmp_dir):
@@ -136,3 +191,23 @@ def test_dataset_stream_run_equals_batch_run(spark, tmp_dir):
     a = sorted(map(repr, streamed.read().select(*cols).collect()))
     b = sorted(map(repr, batched.read().select(*cols).collect()))
     assert a == b and len(a) > 0
+
+
+def test_child_only_batch_keeps_labels(spark, tmp_dir):
+    """A later micro-batch that brings only a revised code takes its label
+    from the table's top-level row."""
+    from lakefold.plans import datasets
+
+    schema = "PRD_DE string, C1 string, C1_NM string, C1_NM_ENG string, TBL_ID string, DT string"
+    src = f"{tmp_dir}/bronze"
+    spark.createDataFrame([("202401", "11", "Seoul", "seoul", "T", "9"), ("202401", "11010", "Jongno", "jongno", "T", "5")],
+                          schema).coalesce(1).write.parquet(src)
+    st = datasets.silver_table(spark, datasets.CENSUS, f"{tmp_dir}/silver")
+
+    def job():
+        datasets.stream_run(datasets.CENSUS, spark.readStream.schema(schema).parquet(src), st, f"{tmp_dir}/ckpt")
+
+    job()
+    spark.createDataFrame([("202401", "11010", "Jongno", "jongno", "T", "6")], schema).coalesce(1).write.mode("append").parquet(src)
+    job()
+    assert sorted((r.C1, r.DT, r.C1_NM_SIDO) for r in st.read().collect()) == [("11", 9, "Seoul"), ("11010", 6, "Seoul")]
