@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakefold.functions.clean import day_series, format_day, month_series, node_text, url_term
+from lakefold.session import stage
 
 # Fixed values of the public APIs' envelopes.
 #: Air-quality API: success code in ``response.header.resultCode``.
@@ -25,6 +26,8 @@ NO_DATA_CODE = "30"
 PAGE_SIZE = 10
 #: Statistics API request parameters (the API key is session configuration
 #: and never part of a plan).
+#: News search request layout up to the keyword, the days and the result number.
+SEARCH_QUERY, SEARCH_FROM, SEARCH_TO, SEARCH_START = "?where=news&query=", "&sort=1&pd=3&ds=", "&de=", "&start="
 STATS_PARAMS = "method=getList&orgId=101&tblId=DT_1B040A3&itmId=T20&loadGubun=2&prdSe=M&format=json&jsonVD=Y"
 
 
@@ -70,6 +73,29 @@ def listing_extract(
     )
 
 
+def listing_items(
+    df: DataFrame,
+    html_col: str,
+    item: str,
+    fields: dict[str, str],
+    keep: Iterable[str] = (),
+    text_fields: Iterable[str] = (),
+) -> DataFrame:
+    """One row per listed item of each page, fields taken from the item's own
+    block: ``item`` matches a block (use ``(?s)`` where it spans lines), a
+    field is group 1 of its pattern's first match inside the block, or null.
+    A field that one item lacks cannot shift the fields of the others."""
+    keep = list(keep)
+    text_fields = set(text_fields)
+    blocks = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(item), F.lit(0))).alias("__pos", "__block"))
+
+    def field(name: str, pattern: str) -> Column:
+        value = F.when(F.col("__block").rlike(pattern), F.regexp_extract("__block", pattern, 1))
+        return (node_text(value) if name in text_fields else value).alias(name)
+
+    return blocks.select(*keep, (F.col("__pos") + 1).alias("item_no"), *[field(n, p) for n, p in fields.items()])
+
+
 # --------------------------------------------------------------------------
 # R2 / R3 API payloads
 # --------------------------------------------------------------------------
@@ -134,11 +160,12 @@ def envelope_errors(df: DataFrame, raw_col: str, item_schema: T.StructType) -> D
     ).drop("items")
 
 
-def api_status(raw: Column) -> Column:
-    """``ok`` (a list payload), ``empty`` (``err`` containing the no-data
-    code) or ``error`` (any other ``err``, or unparseable text)."""
+def api_status(raw: Column, rows: Column) -> Column:
+    """``ok`` (a list payload that parsed as ``rows``), ``empty`` (``err``
+    containing the no-data code) or ``error`` (any other ``err``, a list
+    that is cut off, or other unparseable text)."""
     err = F.get_json_object(raw, "$.err")
-    is_list = F.ltrim(raw).startswith("[")
+    is_list = F.ltrim(raw).startswith("[") & rows.isNotNull()
     return (
         F.when(is_list, F.lit("ok"))
         .when(err.contains(NO_DATA_CODE), F.lit("empty"))
@@ -156,7 +183,8 @@ def api_result(
     does.  Output: ``keep``, ``status``, ``item_no``, item fields."""
     keep = list(keep)
     rows = F.from_json(F.col(raw_col), T.ArrayType(item_schema))
-    tagged = df.select(*keep, api_status(F.col(raw_col)).alias("status"), rows.alias("__items"))
+    parsed = df.withColumn("__items", rows)
+    tagged = parsed.select(*keep, api_status(F.col(raw_col), F.col("__items")).alias("status"), "__items")
     if strict:
         bad = tagged.filter(F.col("status") == "error").limit(1).collect()
         if bad:
@@ -212,8 +240,8 @@ def request_plan(
     label = format_day("period", fmt)
     if freq == "day":
         url = F.concat(
-            F.lit(base_url), F.lit("?where=news&query="), url_term("keyword"),
-            F.lit("&sort=1&pd=3&ds="), label, F.lit("&de="), label, F.lit("&start="),
+            F.lit(base_url), F.lit(SEARCH_QUERY), url_term("keyword"),
+            F.lit(SEARCH_FROM), label, F.lit(SEARCH_TO), label, F.lit(SEARCH_START),
             (F.lit(1) + F.lit(PAGE_SIZE) * F.col("page")).cast("string"),
         )
     else:
@@ -228,21 +256,18 @@ def arrival_report(
     bronze: DataFrame, day_col: str, start: Column | None = None, end: Column | None = None, pad_days: int = 0
 ) -> DataFrame:
     """One row per expected day with the rows that arrived and a flag.
+    The per-day counts are staged: bounds and report both read them.
 
     The expected days run from ``start`` to ``end`` (default: the data's own
     first and last day, widened by ``pad_days``).  The per-day counts are an
     aggregate over the (partition-pruned) Bronze scan.
     """
-    counts = bronze.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
-    # The bounds come from the per-day counts (one row per day), not from a
-    # second scan of Bronze.
+    counts = stage(bronze.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("n_rows")), "arrival-counts")
     bounds = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     lo = start if start is not None else F.date_sub(F.col("lo"), pad_days)
     hi = end if end is not None else F.date_add(F.col("hi"), pad_days)
     calendar = bounds.select(F.explode(day_series(lo, hi)).alias("day"))
     counts = counts.filter(F.col("day").isNotNull())
-    # Both sides have one row per day; AQE picks the join from their
-    # measured sizes (recounting the per-day aggregate would rescan Bronze).
     report = calendar.join(counts, "day", "left")
     n = F.coalesce(F.col("n_rows"), F.lit(0))
     return report.select("day", n.alias("n_rows"), (n > 0).alias("arrived"))

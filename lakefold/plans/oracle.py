@@ -10,12 +10,29 @@ parquet files.
 
 from __future__ import annotations
 
-from lakefold.functions.clean import KEYWORD_PATTERN
-from lakefold.functions.logtext import DATESTAMP, LOGLEVEL, USERNAME
-from lakefold.operators.ingest import STATS_PARAMS
 from lakefold.plans import derived as d
 from lakefold.plans import queries as q
 
+# Expected literals, written out here so that a wrong pattern in the library
+# cannot pass on both sides (fixed values of the feeds and of the public grok
+# definitions).
+KEYWORD_PATTERN = "[가-힣a-zA-Z0-9]+"
+USERNAME = "([a-zA-Z0-9._-]+)"
+LOGLEVEL = (
+    "([Aa]lert|ALERT|[Tt]race|TRACE|[Dd]ebug|DEBUG|[Nn]otice|NOTICE|"
+    "[Ii]nfo?(?:rmation)?|INFO?(?:RMATION)?|[Ww]arn?(?:ing)?|WARN?(?:ING)?|"
+    "[Ee]rr?(?:or)?|ERR?(?:OR)?|[Cc]rit?(?:ical)?|CRIT?(?:ICAL)?|[Ff]atal|"
+    "FATAL|[Ss]evere|SEVERE|EMERG(?:ENCY)?|[Ee]merg(?:ency)?)"
+)
+DATESTAMP = (
+    "((?:(?:0?[1-9]|1[0-2])[/-](?:(?:0[1-9])|(?:[12][0-9])|(?:3[01])|[1-9])[/-](?:[0-9][0-9]){1,2}"
+    "|(?:(?:0[1-9])|(?:[12][0-9])|(?:3[01])|[1-9])[./-](?:0?[1-9]|1[0-2])[./-](?:[0-9][0-9]){1,2})"
+    "[- ](?:2[0123]|[01]?[0-9]):(?:[0-5][0-9])(?::(?:(?:[0-5]?[0-9]|60)(?:[:.,][0-9]+)?)))(?:[^0-9]|$)"
+)
+STATS_PARAMS = "method=getList&orgId=101&tblId=DT_1B040A3&itmId=T20&loadGubun=2&prdSe=M&format=json&jsonVD=Y"
+LISTING_HREF, LISTING_TITLE = '<a href="([^"]*)">', '<a href="[^"]*">(.*?)</a>'
+LINE_START = "^[A-Z]"
+
 
 def _date_minus(day: str, n: int) -> str:
     return f"CAST(DATE '{day}' - INTERVAL {n} DAY AS TIMESTAMP)"
@@ -77,7 +94,7 @@ s2 AS ({transform('nb2')}),{purge('s1', 's1', 1)},{purge('r1', 's2', 2)}"""
 AIR_KEYS_EQ = "t.sidoName = s.sidoName AND t.cityName = s.cityName AND t.dataTime = s.dataTime"
 
 
-def air_ctes() -> str:
+def air_ctes(cumulative: bool = False) -> str:
     def bronze(name: str, where: str, rev: int) -> str:
         return f"""
 {name}h AS (SELECT event_type AS sidoName, user_id % 10 AS city_no, date_trunc('hour', ts) AS hour_ts,
@@ -99,6 +116,13 @@ def air_ctes() -> str:
        FROM (SELECT DISTINCT sidoName, cityName, cityNameEng, districtCode, dataTime, coValue, no2Value,
                     o3Value, pm10Value, pm25Value, so2Value FROM {src})"""
 
+    def latest(old: str, new: str) -> str:
+        """Both landings; per full key the row of the second, else the first."""
+        return f"""SELECT * EXCLUDE (landed) FROM (SELECT *, 1 AS landed FROM ({transform(old)})
+                   UNION ALL SELECT *, 2 AS landed FROM ({transform(new)}))
+       QUALIFY cityName IS NULL OR sidoName IS NULL OR dataTime IS NULL
+               OR row_number() OVER (PARTITION BY sidoName, cityName, dataTime ORDER BY landed DESC) = 1"""
+
     def upd(c: str) -> str:
         return f"CASE WHEN s.hit THEN s.{c} ELSE t.{c} END AS {c}"
 
@@ -114,7 +138,7 @@ r{n} AS (SELECT t.sidoName, t.cityName, t.cityNameEng, t.districtCode, t.dataTim
     return (
         bronze("ab1", f"WHERE ts < TIMESTAMP '{d.AIR_RUN1_END}'", 0) + ","
         + bronze("ab2", "", 1) + ","
-        + f"\ns1 AS ({transform('ab1')}),\ns2 AS ({transform('ab2')}),"
+        + f"\ns1 AS ({transform('ab1')}),\ns2 AS ({latest('ab1', 'ab2') if cumulative else transform('ab2')}),"
         + merge("s1", "s1", 1) + "," + merge("r1", "s2", 2)
     )
 
@@ -198,7 +222,7 @@ s AS ({EVENTS_LATEST.format(src='SELECT * FROM sr')})"""
 
 
 def listing_sql() -> str:
-    href, title = q.LISTING_FIELDS["href"], q.LISTING_FIELDS["title"]
+    href, title = LISTING_HREF, LISTING_TITLE
     return f"""
 WITH x AS (SELECT page_id, regexp_extract_all(html, '{href}', 1) AS href,
                   regexp_extract_all(html, '{title}', 1) AS title FROM pages),
@@ -337,12 +361,17 @@ FROM t LEFT JOIN (SELECT *, true AS hit FROM s) s ON t.c_custkey = s.c_custkey
 UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = s.c_custkey)"""
 
     sql["run_dataset_news"] = "WITH " + news_ctes().strip() + "\nSELECT * FROM r2"
-    sql["run_dataset_air"] = (
-        "WITH " + air_ctes().strip()
-        + "\nSELECT sidoName, cityName, cityNameEng, districtCode, dataTime, CAST(coValue AS DOUBLE) AS coValue,"
+    air_out = (
+        "\nSELECT sidoName, cityName, cityNameEng, districtCode, dataTime, CAST(coValue AS DOUBLE) AS coValue,"
         " CAST(no2Value AS DOUBLE) AS no2Value, CAST(o3Value AS DOUBLE) AS o3Value, pm10Value, pm25Value,"
         " CAST(so2Value AS DOUBLE) AS so2Value FROM r2"
     )
+    sql["run_dataset_air"] = "WITH " + air_ctes().strip() + air_out
+    sql["run_dataset_air_cumulative"] = "WITH " + air_ctes(cumulative=True).strip() + air_out
+    sql["stream_run_census"] = (
+        "WITH " + census_bronze_ctes("cb", "DT_S", None).strip() + ","
+        + census_transform_ctes("cb", "ct") + "\nSELECT * FROM ct"
+    )
     sql["run_dataset_census"] = (
         "WITH " + census_bronze_ctes("ca", "DT_A", d.CENSUS_RUN1_END).strip() + ","
         + census_bronze_ctes("cb", "DT_B", None) + ","
@@ -352,17 +381,16 @@ UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey =
     )
 
     sql["topic_drain"] = "SELECT event_type, count(*) AS n_messages FROM events GROUP BY event_type"
-    sql["csv_scan"] = (
-        "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey "
-        "FROM nation"
-    )
+    as_text = ("CAST(c_custkey AS VARCHAR) AS c_custkey", "c_name", "CAST(c_nationkey AS VARCHAR) AS c_nationkey")
+    sql["csv_scan"] = f"SELECT {', '.join(as_text)} FROM customer"
+    sql["csv_scan_one_column"] = f"SELECT {as_text[0]} FROM customer"
     sql["json_scan"] = """
-SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS _corrupt_record FROM nation
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       CAST(NULL AS VARCHAR) AS _corrupt_record FROM customer
 UNION ALL
-SELECT NULL, NULL, NULL, '{bad json ' || CAST(n_nationkey AS VARCHAR) FROM nation"""
+SELECT NULL, NULL, NULL, '{bad json ' || CAST(c_custkey AS VARCHAR) FROM customer"""
     sql["text_scan"] = (
-        "SELECT CAST(n_nationkey AS VARCHAR) || '|' || n_name || '|' || CAST(n_regionkey AS VARCHAR) AS value "
-        "FROM nation"
+        "SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|' || CAST(c_nationkey AS VARCHAR) AS value FROM customer"
     )
     seoul_day = "CAST(ts + INTERVAL 9 HOUR AS DATE)"
     sql["bronze_landing"] = f"SELECT {seoul_day} AS ingest_date, count(*) AS n_rows FROM events GROUP BY 1"
@@ -374,7 +402,7 @@ SELECT cal.day, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) > 0 AS arrived FROM
     sql["log_assemble"] = f"""
 WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line,
                   generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS ln FROM documents),
-s AS (SELECT *, sum(CASE WHEN ln = 1 OR regexp_matches(line, '{q.LINE_START}') THEN 1 ELSE 0 END)
+s AS (SELECT *, sum(CASE WHEN ln = 1 OR regexp_matches(line, '{LINE_START}') THEN 1 ELSE 0 END)
                   OVER (PARTITION BY doc_id ORDER BY ln ROWS UNBOUNDED PRECEDING) AS event_no FROM l)
 SELECT doc_id, CAST(event_no AS INTEGER) AS event_no, CAST(min(ln) AS INTEGER) AS first_line,
        CAST(count(*) AS INTEGER) AS n_lines, string_agg(line, chr(10) ORDER BY ln) AS event
@@ -391,6 +419,13 @@ SELECT *, try_strptime(spark_datestamp, '%y/%m/%d %H:%M:%S') AS log_ts FROM p"""
     sql["log_stream_append"] = f"SELECT ts AS timestamp, {LOG_LINE} AS value FROM events"
     sql["stream_merge"] = _events_latest("")
     sql["listing_extract"] = listing_sql()
+    sql["listing_items"] = """
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+SELECT doc_id, CAST(i AS INTEGER) AS item_no,
+       trim(regexp_replace(line, '[<>]', '', 'g') || chr(10) || 'no. ' || CAST(i AS VARCHAR)) AS title,
+       'https://news.example.com/' || CAST(doc_id AS VARCHAR) || '/' || CAST(i AS VARCHAR) AS url,
+       CASE WHEN i % 3 <> 0 THEN trim(source) END AS publisher, 'line ' || CAST(i AS VARCHAR) AS description FROM l"""
     sql["json_envelope"] = """
 SELECT event_id, 1 AS item_no, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 WHERE coalesce(event_type, '') NOT IN ('error', 'view')
@@ -402,6 +437,13 @@ SELECT event_id, 'ok' AS status, 1 AS item_no, CAST(json_extract_string(props, '
 UNION ALL SELECT event_id, 'ok', 2, user_id FROM ok
 UNION ALL SELECT event_id, 'ok', 3, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM ok
 UNION ALL SELECT event_id, 'error', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM events WHERE event_type = 'error'"""
+    sql["api_result_broken"] = """
+WITH ok AS (SELECT * FROM events WHERE coalesce(event_type, '') NOT IN ('error', 'signup'))
+SELECT event_id, false AS cut, 'ok' AS status, 1 AS item_no, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM ok
+UNION ALL SELECT event_id, false, 'ok', 2, user_id FROM ok
+UNION ALL SELECT event_id, false, 'ok', 3, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM ok
+UNION ALL SELECT event_id, false, 'error', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM events WHERE event_type = 'error'
+UNION ALL SELECT event_id, true, 'error', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM events"""
     sql["request_plan_daily"] = plan_sql(True)
     sql["request_plan_monthly"] = plan_sql(False)
     sql["contract_check"] = """
@@ -414,7 +456,8 @@ SELECT CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS status, reason
 FROM r GROUP BY ALL"""
     sql["message_key"] = "SELECT count(*) AS n_rows, count(*) AS n_keys FROM events"
     sql["topic_records"] = """
-WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS c_name, c_nationkey,
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS c_name,
+                  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
                   CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer)
 SELECT CAST(json_object('c_custkey', CAST(c_custkey AS VARCHAR), 'c_name', c_name,
                         'c_nationkey', CAST(c_nationkey AS VARCHAR), 'c_mktsegment', c_mktsegment) AS VARCHAR) AS value,
@@ -424,7 +467,8 @@ FROM c WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL AND c_mktsegment IS NO
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
        count(*) AS n_rows, count(*) FILTER (WHERE ({LEVEL_CASE}) = 'ERROR') AS n_error
 FROM events GROUP BY ALL"""
-    sql["open_or_create"] = "SELECT * FROM nation"
-    sql["register_table"] = "SELECT n_regionkey, count(*) AS n_nations FROM nation GROUP BY n_regionkey"
+    sql["landing_stream"] = "SELECT * FROM events"
+    sql["open_or_create"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+    sql["register_table"] = "SELECT CAST(c_nationkey AS INTEGER) AS c_nationkey, count(*) AS n_customers FROM customer GROUP BY c_nationkey"
     sql["compaction"] = "SELECT * FROM events"
     return sql

@@ -123,8 +123,7 @@ def month_period(spark, sf_dir):
 
 
 def hierarchy_label(spark, sf_dir):
-    bronze = stage(derived.census_bronze(spark, sf_dir, "DT_1"), "census_bronze")
-    return datasets.census_transform(bronze)
+    return datasets.census_transform(derived.census_bronze(spark, sf_dir, "DT_1"))
 
 
 def lookback_window(spark, sf_dir):
@@ -238,30 +237,60 @@ def schema_evolution(spark, sf_dir):
 
 
 def _two_runs(spark, spec, first: DataFrame, second: DataFrame) -> DataFrame:
-    """Two scheduled runs into a fresh Silver table; the second run reads the
-    first run's committed version."""
+    """Two scheduled runs, by the reference's rules, into a fresh Silver
+    table; the second run folds into the state the first one left."""
     st = datasets.silver_table(spark, spec, scratch_path(spark, f"silver_{spec.name}"))
-    datasets.run(spec, first, st)
-    datasets.run(spec, second, st)
+    datasets.run(spec, first, st, datasets.REFERENCE)
+    datasets.run(spec, second, st, datasets.REFERENCE)
     return st.read()
 
 
 def run_dataset_news(spark, sf_dir):
     first, second = derived.news_runs(spark, sf_dir)
-    return _two_runs(spark, datasets.NEWS, first, second)
+    return _two_runs(spark, datasets.NEWS, first, second).select(*datasets.NEWS_COLUMNS)
 
 
-def run_dataset_air(spark, sf_dir):
-    first, second = derived.air_runs(spark, sf_dir)
-    out = _two_runs(spark, datasets.AIR, first, second).select(*datasets.AIR_COLUMNS)
-    return out.withColumns(
+def _air_out(silver: DataFrame) -> DataFrame:
+    return silver.select(*datasets.AIR_COLUMNS).withColumns(
         {"dataTime": _ntz(F.col("dataTime")), **{c: F.col(c).cast("double") for c in datasets.AIR_FLOAT_COLUMNS}}
     )
 
 
+def run_dataset_air(spark, sf_dir):
+    first, second = derived.air_runs(spark, sf_dir)
+    return _air_out(_two_runs(spark, datasets.AIR, first, second))
+
+
+def run_dataset_air_cumulative(spark, sf_dir):
+    """R9 by the production rules: Bronze is append-only, so the second run
+    reads both revisions of every measurement and the one that landed last
+    wins."""
+    first, second = derived.air_runs(spark, sf_dir)
+    day = lambda df, d: df.withColumn(datasets.LANDED, F.lit(d).cast("date"))
+    st = datasets.silver_table(spark, datasets.AIR, scratch_path(spark, "silver_air"))
+    landed = day(first, "2024-02-01"), day(second, "2024-02-02")
+    options = datasets.RunOptions(roll_day=False)
+    datasets.run(datasets.AIR, landed[0], st, options)
+    datasets.run(datasets.AIR, landed[0].unionByName(landed[1]), st, options)
+    return _air_out(st.read())
+
+
 def run_dataset_census(spark, sf_dir):
     first, second = derived.census_runs(spark, sf_dir)
-    return _two_runs(spark, datasets.CENSUS, stage(first, "census_bronze"), stage(second, "census_bronze"))
+    return _two_runs(spark, datasets.CENSUS, first, second)
+
+
+def stream_run_census(spark, sf_dir):
+    """T6 for a dataset: the top-level rows arrive in the first micro-batch,
+    the other codes in later ones; labels come from the table."""
+    src = scratch_path(spark, "census_stream")
+    bronze = stage(derived.census_bronze(spark, sf_dir, "DT_S"), "census_bronze")
+    bronze.filter(F.length("C1") == 2).coalesce(1).write.parquet(src)
+    bronze.filter(F.length("C1") != 2).repartition(2).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    st = datasets.silver_table(spark, datasets.CENSUS, scratch_path(spark, "silver_census"))
+    datasets.stream_run(datasets.CENSUS, stream, st, scratch_path(spark, "census_ckpt"))
+    return st.read()
 
 
 # -- sources and sinks -----------------------------------------------------------------
@@ -278,36 +307,41 @@ def topic_drain(spark, sf_dir):
     )
 
 
-NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
+SCAN_COLUMNS = ["c_custkey", "c_name", "c_nationkey"]
 
 
-def _nation_lines(nation: DataFrame, sep: str) -> DataFrame:
-    return nation.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in NATION_COLUMNS]).alias("line"))
+def _csv_files(spark, sf_dir) -> DataFrame:
+    """CSV files with a header, plus files where every customer appears again
+    as a short (one field) and a long (four fields) row."""
+    customer = table(spark, sf_dir, "customer").select(*[F.col(c).cast("string") for c in SCAN_COLUMNS])
+    path = scratch_path(spark, "csv_scan")
+    customer.write.option("header", True).csv(path)
+    customer.select("c_custkey").write.mode("append").option("header", True).csv(path)
+    customer.withColumn("extra", F.lit("x")).write.mode("append").option("header", True).csv(path)
+    return read_source(spark, path, "csv", schema=all_string_schema(SCAN_COLUMNS))
 
 
 def csv_scan(spark, sf_dir):
-    """CSV files with a header, plus files where every nation appears
-    again as a short (one field) and a long (four fields) row; malformed rows
-    are dropped on read."""
-    nation = table(spark, sf_dir, "nation").select(*[F.col(c).cast("string") for c in NATION_COLUMNS])
-    path = scratch_path(spark, "csv_scan")
-    nation.write.option("header", True).csv(path)
-    nation.select("n_nationkey").write.mode("append").option("header", True).csv(path)
-    nation.withColumn("extra", F.lit("x")).write.mode("append").option("header", True).csv(path)
-    return read_source(spark, path, "csv", schema=all_string_schema(NATION_COLUMNS))
+    """Malformed rows are dropped on read."""
+    return _csv_files(spark, sf_dir)
+
+
+def csv_scan_one_column(spark, sf_dir):
+    """S3: the same rows are dropped when only one column is read."""
+    return _csv_files(spark, sf_dir).select("c_custkey")
 
 
 def json_scan(spark, sf_dir):
-    """JSON lines (each nation once as valid JSON, once corrupt); the
-    corrupt lines are kept whole in ``_corrupt_record``."""
-    nation = table(spark, sf_dir, "nation")
-    good = nation.select(F.to_json(F.struct(*NATION_COLUMNS)).alias("value"))
-    bad = nation.select(F.concat(F.lit("{bad json "), F.col("n_nationkey").cast("string")).alias("value"))
+    """JSON lines (each customer once as valid JSON, once corrupt);
+    the corrupt lines are kept whole in ``_corrupt_record``."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long"), "c_name", F.col("c_nationkey").cast("long"))
+    good = customer.select(F.to_json(F.struct(*SCAN_COLUMNS)).alias("value"))
+    bad = customer.select(F.concat(F.lit("{bad json "), F.col("c_custkey").cast("string")).alias("value"))
     path = scratch_path(spark, "json_scan")
     good.unionByName(bad).write.text(path)
     schema = T.StructType(
-        [T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
-         T.StructField("n_regionkey", T.IntegerType())]
+        [T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+         T.StructField("c_nationkey", T.LongType())]
     )
     return read_source(spark, path, "json", schema=schema)
 
@@ -315,7 +349,8 @@ def json_scan(spark, sf_dir):
 def text_scan(spark, sf_dir):
     """Plain text lines."""
     path = scratch_path(spark, "text_scan")
-    _nation_lines(table(spark, sf_dir, "nation"), "|").write.text(path)
+    customer = table(spark, sf_dir, "customer")
+    customer.select(F.concat_ws("|", *[F.col(c).cast("string") for c in SCAN_COLUMNS]).alias("line")).write.text(path)
     return read_source(spark, path, "txt")
 
 
@@ -342,48 +377,38 @@ def partition_arrival(spark, sf_dir):
 def open_or_create(spark, sf_dir):
     """The first call creates the table, the second reopens it
     (the second frame is ignored); the table is then queried through SQL."""
-    nation = table(spark, sf_dir, "nation")
-    st = SilverTable(spark, scratch_path(spark, "silver_nation"))
-    st.open_or_create(nation)
-    st.open_or_create(nation.filter(F.col("n_regionkey") == 0))
-    name = f"silver_nation_{uuid.uuid4().hex[:10]}"
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    st = SilverTable(spark, scratch_path(spark, "silver_customer"))
+    st.open_or_create(customer)
+    st.open_or_create(customer.filter(F.col("c_nationkey") == 0))
+    name = f"silver_customer_{uuid.uuid4().hex[:10]}"
     register_silver(spark, name, st)
-    return spark.sql(f"SELECT n_nationkey, n_name, n_regionkey FROM {name}")
+    out = spark.sql(f"SELECT c_custkey, c_name, c_nationkey FROM {name}")
+    spark.catalog.dropTempView(name)
+    return out
 
 
 def register_table_query(spark, sf_dir):
     """Partitioned folder registered as a table, queried through SQL."""
-    path = scratch_path(spark, "registered_nation")
-    table(spark, sf_dir, "nation").write.partitionBy("n_regionkey").parquet(path)
-    name = f"nation_{uuid.uuid4().hex[:10]}"
+    path = scratch_path(spark, "registered_customer")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customer.repartition("c_nationkey").write.partitionBy("c_nationkey").parquet(path)
+    name = f"customer_{uuid.uuid4().hex[:10]}"
     register_table(spark, name, path)
-    return spark.sql(f"SELECT n_regionkey, count(*) AS n_nations FROM {name} GROUP BY n_regionkey")
+    out = stage(spark.sql(f"SELECT c_nationkey, count(*) AS n_customers FROM {name} GROUP BY c_nationkey"), "registered")
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return out
 
 
 def compaction(spark, sf_dir):
-    """K2: many small files compacted into target-sized files; the content
-    must not change."""
+    """K1/K2: a table written from many small partitions is rewritten by
+    Spark's rebalance; the content must not change."""
     st = SilverTable(spark, scratch_path(spark, "silver_events"))
-    st.write(table(spark, sf_dir, "events").repartition(16), rebalance=False)
-    st.compact()
+    st.write(table(spark, sf_dir, "events").repartition(16))
+    st.write(st.read())
     return st.read()
 
 
-def manifest(spark, sf_dir):
-    """K3: the manifest lists exactly the live files; rows per listed file.
-    Files are matched by name: the manifest holds qualified URIs while the
-    scan's file metadata may spell the scheme differently."""
-    st = SilverTable(spark, scratch_path(spark, "silver_manifest"))
-    st.write(table(spark, sf_dir, "events"))
-    name = lambda c: F.element_at(F.split(c, "/"), -1)
-    listed = spark.read.text(st.manifest()).select(F.col("value").alias("file_path"))
-    listed = listed.withColumn("file_name", name(F.col("file_path")))
-    per_file = st.read().groupBy(name(F.col("_metadata.file_path")).alias("file_name")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    return listed.join(per_file, "file_name", "left").select("file_path", "n_rows")
-
-
 # -- logs ----------------------------------------------------------------------------
 
 
@@ -440,6 +465,19 @@ def json_landing(spark, sf_dir):
     )
 
 
+def landing_stream(spark, sf_dir):
+    """T4: run-once landing of the event stream into ``ingest_date`` folders;
+    the second run on the same checkpoint must add nothing."""
+    src = scratch_path(spark, "landing_src")
+    events = table(spark, sf_dir, "events")
+    events.repartition(4).write.parquet(src)
+    sink, ckpt = scratch_path(spark, "landing_sink"), scratch_path(spark, "landing_ckpt")
+    for _ in range(2):
+        jobs.landing_stream_job(spark.readStream.schema(events.schema).parquet(src), sink, ckpt)
+    landed = spark.read.parquet(sink).filter(F.col("ingest_date").isNotNull())
+    return landed.select(*events.columns)
+
+
 def stream_merge(spark, sf_dir):
     """Micro-batches folded into a Silver table by ``foreachBatch``
     (latest event per user; order-insensitive, so batch order and replays
@@ -466,6 +504,23 @@ def listing_extract(spark, sf_dir):
     return ingest.listing_extract(pages, "html", LISTING_FIELDS, keep=["page_id"], text_fields=["title"])
 
 
+ITEM_BLOCK = r'(?s)<li class="item">.*?</li>'
+ITEM_FIELDS = {
+    "title": r'(?s)<a [^>]*class="title"[^>]*>(.*?)</a>',
+    "url": r'<a [^>]*href="([^"]*)"',
+    "publisher": r'(?s)<span class="press">(.*?)</span>',
+    "description": r'(?s)<p>(.*?)</p>',
+}
+
+
+def listing_items(spark, sf_dir):
+    """Title, url, publisher and description of every item; titles span
+    lines and every third item has no publisher."""
+    pages = derived.listing_pages(table(spark, sf_dir, "documents"))
+    return ingest.listing_items(pages, "html", ITEM_BLOCK, ITEM_FIELDS, keep=["doc_id"],
+                                text_fields=["title", "publisher", "description"])
+
+
 ITEM_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 
 
@@ -479,6 +534,15 @@ def api_result(spark, sf_dir):
     return ingest.api_result(payloads, "raw", ITEM_SCHEMA, keep=["event_id"])
 
 
+def api_result_broken(spark, sf_dir):
+    """Every payload a second time, cut off before its end: a list that
+    does not parse is an error, not silence."""
+    payloads = derived.api_payloads(table(spark, sf_dir, "events"))
+    cut = payloads.select("event_id", F.expr("substring(raw, 1, length(raw) - 1)").alias("raw"))
+    both = payloads.withColumn("cut", F.lit(False)).unionByName(cut.withColumn("cut", F.lit(True)))
+    return ingest.api_result(both, "raw", ITEM_SCHEMA, keep=["event_id", "cut"])
+
+
 def _plan_keywords(spark, sf_dir) -> DataFrame:
     words = table(spark, sf_dir, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("word")
@@ -518,7 +582,8 @@ def _customers_with_gaps(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.when(F.col("c_custkey") % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("c_name"),
-        "c_nationkey", "c_acctbal",
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("c_nationkey")).alias("c_nationkey"),
+        "c_acctbal",
         F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
     )
 
@@ -556,10 +621,13 @@ QUERIES: dict[str, Query] = {
     "schema_evolution": schema_evolution,
     "run_dataset_news": run_dataset_news,
     "run_dataset_air": run_dataset_air,
+    "run_dataset_air_cumulative": run_dataset_air_cumulative,
     "run_dataset_census": run_dataset_census,
+    "stream_run_census": stream_run_census,
     "topic_drain": topic_drain,
     "merge_conflict": merge_conflict,
     "csv_scan": csv_scan,
+    "csv_scan_one_column": csv_scan_one_column,
     "json_scan": json_scan,
     "text_scan": text_scan,
     "bronze_landing": bronze_landing,
@@ -569,9 +637,12 @@ QUERIES: dict[str, Query] = {
     "log_parse": log_parse,
     "log_stream_append": log_stream_append,
     "stream_merge": stream_merge,
+    "landing_stream": landing_stream,
     "listing_extract": listing_extract,
+    "listing_items": listing_items,
     "json_envelope": json_envelope,
     "api_result": api_result,
+    "api_result_broken": api_result_broken,
     "request_plan_daily": request_plan_daily,
     "request_plan_monthly": request_plan_monthly,
     "contract_check": contract_check,
@@ -581,5 +652,4 @@ QUERIES: dict[str, Query] = {
     "open_or_create": open_or_create,
     "register_table": register_table_query,
     "compaction": compaction,
-    "manifest": manifest,
 }

@@ -50,19 +50,6 @@ CENSUS = Contract(
     ),
     ("PRD_DE", "TBL_ID", "ITM_ID", "ORG_ID", "DT", "C1"),
 )
-MESSAGE_KEY = Contract("message_key", ("message_key",), ("message_key",))
 TEST = Contract("test", ("name", "email"), ("name", "email"))
 
 CONTRACTS = {c.name: c for c in (NEWS, AIR, CENSUS, TEST)}
-
-#: Kafka record layout of the stock Spark Kafka source.
-KAFKA_RECORD = T.StructType(
-    [
-        T.StructField("key", T.BinaryType()),
-        T.StructField("value", T.BinaryType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-    ]
-)

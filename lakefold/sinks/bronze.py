@@ -10,11 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reference landing settings: the streaming connector's records per file
-#: (flush size) and the landing time zone.
-NEWS_RECORDS_PER_FILE = 1000
-AIR_RECORDS_PER_FILE = 1000
-CENSUS_RECORDS_PER_FILE = 500
+#: Landing time zone of the feeds.
 LANDING_TIME_ZONE = "Asia/Seoul"
 
 
@@ -57,9 +53,8 @@ def land_bronze(
 
     Rows are rebalanced by landing day before the write, so each day gets a
     few large files (AQE splits a heavy day).  ``max_records_per_file``
-    caps file size in records; pass ``NEWS_RECORDS_PER_FILE`` etc. to mimic
-    the streaming connector's flush size, which at batch scale would only
-    produce many tiny files.
+    caps file size in records (the streaming connector flushes every 500 to
+    1,000 records, which at batch scale would only produce many tiny files).
     """
     landed = with_landing_day(df, ts_col, time_zone, source_tz=source_tz).hint("rebalance", "ingest_date")
     writer = landed.write.mode("append").partitionBy("ingest_date").format(fmt)

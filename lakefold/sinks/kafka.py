@@ -17,11 +17,12 @@ from lakefold.schemas import Contract
 
 def to_records(df: DataFrame, contract: Contract, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(records, rejected)``: ``records`` has ``key`` (a UUID) and ``value``
-    (the contract's fields as a JSON object of strings)."""
-    cols = [c for c in contract.fields if c in df.columns]
+    (the contract's fields as a JSON object of strings).  Optional fields
+    that are null, or that ``df`` does not have, are written as null."""
+    cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in contract.fields]
     valid, rejected = split_contract(df.select(*cols), contract.required, coerce=True, strict=strict)
     keyed = with_message_key(valid, "key")
-    records = keyed.select("key", F.to_json(F.struct(*cols)).alias("value"))
+    records = keyed.select("key", F.to_json(F.struct(*contract.fields), {"ignoreNullFields": "false"}).alias("value"))
     return records, rejected
 
 

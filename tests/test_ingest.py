@@ -43,6 +43,34 @@ def test_api_result(spark):
         ingest.api_result(df, "raw", ITEM, keep=["id"], strict=True)
 
 
+def test_api_result_cut_off_list_is_an_error(spark):
+    df = spark.createDataFrame([(1, '[{"k":1},{"k":'), (2, '[{"k":1}]'), (3, "[]"), (4, None)], "id int, raw string")
+    out = sorted(((r.id, r.status, r.k) for r in ingest.api_result(df, "raw", ITEM, keep=["id"]).collect()), key=repr)
+    assert out == [(1, "error", None), (2, "ok", 1), (4, "error", None)]
+    with pytest.raises(ValueError):
+        ingest.api_result(df.filter("id = 1"), "raw", ITEM, keep=["id"], strict=True)
+
+
+def test_listing_items_take_fields_from_their_own_block(spark):
+    html = ('<li><a class="t" href="u1">one\nline</a><i>p1</i></li><li><a href="u2" class="t">two</a></li>'
+            '<li><a href="u3">three</a><i>p3</i></li>')
+    df = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    out = ingest.listing_items(df, "html", "(?s)<li>.*?</li>", {
+        "url": 'href="([^"]*)"', "title": "(?s)<a [^>]*>(.*?)</a>", "publisher": "<i>(.*?)</i>", "description": "<p>(.*?)</p>"},
+        keep=["page_id"], text_fields=["title"]).collect()
+    assert [(r.item_no, r.url, r.title, r.publisher, r.description) for r in sorted(out, key=lambda r: r.item_no)] == [
+        (1, "u1", "one\nline", "p1", None), (2, "u2", "two", None, None), (3, "u3", "three", "p3", None)]
+
+
+def test_records_keep_null_fields(spark):
+    from lakefold.schemas import Contract
+    from lakefold.sinks.kafka import to_records
+
+    df = spark.createDataFrame([("n", None)], "name string, note string")
+    records, _ = to_records(df, Contract("c", ("name", "note", "absent"), ("name",)))
+    assert records.first().value == '{"name":"n","note":null,"absent":null}'
+
+
 def test_request_plan(spark):
     kw = spark.createDataFrame([("a b",)], "kw string")
     out = ingest.request_plan(

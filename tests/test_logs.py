@@ -86,3 +86,21 @@ def test_multiline_crlf(spark):
     df = spark.createDataFrame([(1, "22/11/14 10:11:12 INFO A: x\r\n\tmore\r\n22/11/14 10:11:13 INFO B: y")], "id int, text string")
     out = assemble_events(df, "text").orderBy("event_no").collect()
     assert [r.event for r in out] == ["22/11/14 10:11:12 INFO A: x\n\tmore", "22/11/14 10:11:13 INFO B: y"]
+
+
+def test_file_cut_into_splits_gives_the_same_events(spark, tmp_dir):
+    from test_skew import conf
+
+    lines = ["orphan"]
+    for i in range(400):
+        lines.append(f"22/11/14 10:{i // 60:02d}:{i % 60:02d} INFO App: event {i}")
+        lines += [f"\tframe {j} of {i} " + "x" * (i % 40) for j in range(i % 7)]
+    text = "\n".join(lines)
+    with open(f"{tmp_dir}/big.log", "w") as fh:
+        fh.write(text)
+    with conf(spark, {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}):
+        split = read_log_files(spark, f"{tmp_dir}/*.log").drop("file_path")
+        assert spark.read.text(f"{tmp_dir}/big.log").rdd.getNumPartitions() > 5
+        got = sorted(tuple(r) for r in split.collect())
+    whole = assemble_events(spark.createDataFrame([(1, text)], "id int, text string"), "text").drop("id")
+    assert got == sorted(tuple(r) for r in whole.collect())

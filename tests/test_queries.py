@@ -7,11 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from lakefold.plans import oracle
+from lakefold.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,9 +29,9 @@ def bag(table):
     return names, sorted(repr(tuple(c[i] for c in cols)) for i in range(table.num_rows))
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"manifest"}
+def test_every_query_has_an_oracle():
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -41,11 +42,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert bag(got) == bag(want)
 
 
-def test_rows_only_queries(spark):
-    out = QUERIES["manifest"](spark, SF_SMALL).collect()
-    assert out and all(r.n_rows and r.n_rows > 0 for r in out)
-
-
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["publish_date", "publisher", "title", "url", "description", "keyword"]
