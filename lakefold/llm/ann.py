@@ -215,3 +215,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return nearest(vectors, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score")
+
+
+ORACLE = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda x, y: x + y)
+         / sqrt(list_reduce(list_transform(q.e, lambda x: x * x), lambda x, y: x + y)
+                * list_reduce(list_transform(c.e, lambda x: x * x), lambda x, y: x + y)) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import minhash, warc
+from . import ann, minhash, warc
 from .ann import op6_nearest
 from .bpe import op2_bpe
 from .minhash import op10_minhash
@@ -28,6 +28,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_nearest": ann.ORACLE,
     "op7_warc": warc.ORACLE,
     "op10_minhash": minhash.ORACLE,
 }

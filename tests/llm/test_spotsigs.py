@@ -1,0 +1,106 @@
+import hashlib
+import random
+import re
+
+import pytest
+from conftest import words as some_words, multiset
+from pyspark.sql import functions as F
+
+from lakefold.llm import spotsigs as sp
+from lakefold.llm.queries import QUERIES
+
+op3 = QUERIES["op3_spotsigs"]
+
+
+def slow_signatures(text):
+    """The signatures as tuples, one word at a time."""
+    w = [x for x in re.split(r"[\W_]+", text.lower()) if x]
+    common = set(sp.ANCHORS)
+    out = set()
+    for i, x in enumerate(w):
+        if x in common:
+            chain = [y for y in w[i + 1:i + 1 + sp.AHEAD] if y not in common][:sp.CHAIN]
+            if chain:
+                out.add((True, x, tuple(chain)))
+        elif not common & set(w[max(0, i - sp.GAP):i]):
+            out.add((False, x, tuple(w[i + 1:i + 1 + sp.CHAIN])))
+    n = len(text)
+    if n and (n < sp.SHORT or len(w) * sp.SHORT < n):
+        low = text.lower()
+        out |= {low[i:i + sp.GRAM] for i in range(max(1, len(low) - sp.GRAM + 1))}
+    return out
+
+
+def jaccard(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def check(got, source):
+    order = sorted(((d, t or "") for d, t in source), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    want, seen = [], {}
+    for (d, t), (_, after) in zip(order, order[1:] + order[:1]):
+        k = len(t) // 4
+        edited = t[:len(t) - k] + after[:k]
+        own, changed, following = map(slow_signatures, (t, edited, after))
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(),
+                     round(jaccard(own, changed), 9), round(jaccard(own, following), 9)))
+    assert multiset((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == multiset(want)
+    prints = {}
+    texts = dict(((d, len(t)), t) for d, t in order)
+    for r in got:
+        prints.setdefault(texts[r.doc_id, r.n_chars], set()).add(r.fingerprint)
+    assert all(len(p) == 1 for p in prints.values())
+    return seen
+
+
+def test_whole_table(spark, small_sf):
+    check(op3(spark, small_sf).collect(), [(r.doc_id, r.text) for r in spark.read.parquet(f"{small_sf}/documents.parquet").collect()])
+
+
+def test_edges(spark, edge_sf, edge_rows):
+    check(op3(spark, edge_sf).collect(), [r[:2] for r in edge_rows])
+
+
+def test_buckets_do_not_change_the_next_document(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.randint(-50, 400), some_words(rng, rng.randint(0, 30))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(sp, "BUCKET_ROWS", 10)
+    got = sp.fingerprints(df).select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "signature", "next_signature").collect()
+    order = sorted(rows, key=lambda r: (r[0], r[1].encode()))
+    want = []
+    for (d, t), (_, after) in zip(order, order[1:] + order[:1]):
+        k = len(t) // 4
+        want.append((d, len(t), hashlib.sha256((t[:len(t) - k] + after[:k]).encode()).hexdigest()))
+    assert multiset((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == multiset(want)
+
+
+def test_empty_and_single(spark, empty_sf):
+    assert op3(spark, empty_sf).collect() == []
+    one = sp.fingerprints(spark.createDataFrame([(1, "the quick brown fox")], "doc_id long, text string")).collect()
+    assert len(one) == 1 and one[0].edited == "the quick brown" + "the " and one[0].signature == one[0].next_signature
+
+
+def test_no_python_in_the_plan(spark, small_sf):
+    plan = op3(spark, small_sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_similar_pairs_against_all_pairs(spark):
+    rng = random.Random(9)
+    sets = []
+    for _ in range(40):
+        base = rng.sample(range(2000), rng.randint(1, 60))
+        sets.append(base)
+        for _ in range(rng.randint(0, 3)):
+            keep = [x for x in base if rng.random() < 0.93]
+            sets.append(keep + rng.sample(range(2000, 4000), rng.randint(0, 3)))
+    sets += [[], [], sets[0]]
+    rows = [(i, sorted(set(s))) for i, s in enumerate(sets)]
+    got = sp.similar_pairs(spark.createDataFrame(rows, "doc_id long, signature array<int>"), 0.8).collect()
+    first = {}
+    for i, s in rows:
+        first.setdefault(tuple(s), i)
+    distinct = [(i, set(s)) for s, i in first.items() if s]
+    want = {(a, b): jaccard(x, y) for a, x in distinct for b, y in distinct if a < b and jaccard(x, y) >= 0.8}
+    assert {(r.a, r.b): pytest.approx(r.likeness) for r in got} == want and len(want) > 10
