@@ -262,7 +262,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str = VOCAB, end_id: i
         for batch in batches:
             filesystem.create_dir(root, recursive=True)
             names = batch.column(0).to_pylist()
-            for lo, hi, texts in text_slices(batch.column(1), 1 << 20):
+            for lo, hi, texts in text_slices(batch.column(1), min(1 << 20, file_ids)):
                 ids, at = enc.encode(texts)
                 held_ids.append(np.insert(ids, at[1:], end_id))
                 lens.append(np.diff(at) + 1)
