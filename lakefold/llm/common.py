@@ -6,9 +6,9 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakefold.session import scratch_path, stage
+from lakefold.session import scratch_path, stage, staging
 
-__all__ = ["WORD", "in_memory_cache", "read", "row_order", "scratch_path", "stage", "text_of"]
+__all__ = ["WORD", "in_memory_cache", "read", "row_order", "scratch_path", "stage", "staging", "text_of"]
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form
 #: feed and carriage return (what ``bytes.split()`` splits at).

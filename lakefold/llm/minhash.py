@@ -3,16 +3,16 @@
 A document is its set of distinct word shingles (hashes of 64 bits).  One
 permutation MinHash gives ``SAMPLES`` samples (empty bins borrow from others
 by a fixed random order per bin).  Bands of ``ROWS`` samples bring candidates
-together; all samples, folded into a bitmap by parity (the odd sketch), tell
-from the population count of the XOR of two bitmaps how many samples differ.
-Candidates whose estimate is far below the threshold go; the others are
+together; samples folded into a bitmap by parity (the odd sketch) tell, from
+the population count of the XOR of two bitmaps, how many differ.  Candidates
+further apart than a pair at the threshold can be go; the others are
 confirmed on their full sets.
 
 Documents with equal sets form one node, so copies never meet.  Within a band
 bucket members meet the bucket's smallest node, not each other; confirmed
 links give components, and only where a bucket holds several components do
-members of different ones meet, in as many rounds as named in
-``near_duplicates``.  A link between two nodes is thereby either confirmed or
+members of different ones meet: their sketches, block by block inside a task
+and each pair in the first band that it shares.  A link between two nodes is thereby either confirmed or
 implied by others, with the odds of the bands: at a similarity of 0.8, a pair
 shares no band with a probability of 5e-9.
 
@@ -38,15 +38,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import text_slices
-from .common import in_memory_cache, read, stage, text_of
+from .common import in_memory_cache, read, stage, staging, text_of
 from .components import connected_components
 
 ROWS, BANDS = 5, 48
 SAMPLES = ROWS * BANDS
-SKETCH_BITS = 1024
-#: Candidates stay if the sketch puts them above this part of the threshold;
-#: about eight standard deviations of the estimate at a threshold of 0.8.
-SKETCH_FLOOR = 0.625
+SKETCH_BITS = 4096
+#: Candidates go if their sketches differ in more bits than those of a pair
+#: at the threshold would, by this many standard deviations.
+SKETCH_SIGMAS = 6.0
+#: Members of a bucket that are compared with each other at a time.
+BUCKET_BLOCK = 1024
+#: Pairs whose sketches are compared in one step.
+PAIR_STEP = 1 << 15
 
 U = np.uint64
 _SEED = 0x5EED
@@ -107,10 +111,10 @@ def shingle_sets(texts: list[str | None], n_words: int) -> Sets:
     whole = (n[doc] < n_words) & np.r_[True, doc[1:] != doc[:-1]]
     h, ok = np.full(len(word), n_words, U), np.ones(len(word), bool)
     for i in range(n_words):
-        inside = np.zeros(len(word), bool)
-        inside[:len(word) - i] = doc[i:] == doc[:len(word) - i]
-        step = np.zeros(len(word), U)
-        step[:len(word) - i] = word[i:]
+        last = max(0, len(word) - i)
+        inside, step = np.zeros(len(word), bool), np.zeros(len(word), U)
+        inside[:last] = doc[i:] == doc[:last]
+        step[:last] = word[i:]
         h = np.where(inside, mix(h * U(0x9E3779B97F4A7C15) + step), h)
         ok &= inside
     keep = ok | whole
@@ -134,10 +138,15 @@ def samples(sets: Sets) -> np.ndarray:
     out[cell[smallest]] = sets.hashes[smallest]  # ascending, so the first of a cell is its smallest
     full[cell[smallest]] = True
     out, full = out.reshape(n, SAMPLES), full.reshape(n, SAMPLES)
-    for i in np.flatnonzero(full.any(axis=1) & ~full.all(axis=1)):
-        gaps = np.flatnonzero(~full[i])
-        from_bin = order[gaps, full[i][order[gaps]].argmax(axis=1)]
-        out[i, gaps] = out[i, from_bin]
+    row, gap = np.nonzero(~full & full.any(axis=1)[:, None])
+    for probe in range(16):  # all gaps at once, while most find a full bin
+        source = order[gap, probe]
+        found = full[row, source]
+        out[row[found], gap[found]] = out[row[found], source[found]]
+        row, gap = row[~found], gap[~found]
+    for i in np.unique(row):  # sets of few bins
+        gaps = gap[row == i]
+        out[i, gaps] = out[i, order[gaps, full[i][order[gaps]].argmax(axis=1)]]
     return out
 
 
@@ -150,18 +159,33 @@ def band_keys(sample: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def odd_sketches(sample: np.ndarray) -> np.ndarray:
-    """Parity bitmaps: every sample, with its number, flips one bit."""
-    n = len(sample)
-    bit = (mix(sample + np.arange(1, SAMPLES + 1, dtype=U) * U(0xD6E8FEB86659FD93)) % U(SKETCH_BITS)).astype(np.int64)
-    flips = np.bincount((np.arange(n)[:, None] * SKETCH_BITS + bit).ravel(), minlength=n * SKETCH_BITS)
+def odd_sketches(sets: Sets) -> np.ndarray:
+    """Parity bitmaps: every sample flips one bit.  The samples folded are the
+    finest there are, one bin per hash value, so all hashes of the set: then
+    the differing bits follow from the sets' sizes and similarity alone."""
+    n = len(sets)
+    doc = np.repeat(np.arange(n), np.diff(sets.starts))
+    bit = (mix(sets.hashes * U(0xD6E8FEB86659FD93)) % U(SKETCH_BITS)).astype(np.int64)
+    flips = np.bincount(doc * SKETCH_BITS + bit, minlength=n * SKETCH_BITS)
     return np.packbits((flips & 1).astype(np.uint8).reshape(n, SKETCH_BITS), axis=1)
 
 
-def similarity_estimate(differing_bits: np.ndarray) -> np.ndarray:
-    """Similarity from the population count of the XOR of two odd sketches."""
-    left = np.maximum(1.0 - 2.0 * differing_bits / SKETCH_BITS, 1e-9)
-    return 1.0 + SKETCH_BITS * np.log(left) / (4.0 * SAMPLES)
+def similarity_estimate(bits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Similarity from the population count of the XOR of two odd sketches
+    and the sum of the set sizes."""
+    left = np.maximum(1.0 - 2.0 * bits / SKETCH_BITS, 1e-9)
+    differing = -SKETCH_BITS / 2.0 * np.log(left)
+    return (sizes - differing) / (sizes + differing)
+
+
+def most_bits(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Differing bits that a pair of the threshold's similarity stays below:
+    the mean for its symmetric difference, plus ``SKETCH_SIGMAS`` standard
+    deviations (exact moments of the parities of that many balls in bins)."""
+    balls = np.asarray(sizes, np.float64) * (1 - threshold) / (1 + threshold)
+    one, two = (1 - 2 / SKETCH_BITS) ** balls, (1 - 4 / SKETCH_BITS) ** balls
+    variance = (SKETCH_BITS + SKETCH_BITS * (SKETCH_BITS - 1.0) * two - SKETCH_BITS ** 2 * one ** 2) / 4
+    return SKETCH_BITS / 2 * (1 - one) + SKETCH_SIGMAS * np.sqrt(np.maximum(variance, 0)) + 1
 
 
 SKETCHED = "doc_id long, content long, n_shingles long, node long, bands array<long>, sketch binary"
@@ -184,7 +208,7 @@ def sketch_documents(docs: DataFrame, n_words: int) -> DataFrame:
                     node[some] = mix(mix(total + n[some].astype(U)) ^ parity).astype(np.int64)
                 sample = samples(sets)
                 keys = band_keys(sample)
-                sketch = odd_sketches(sample)
+                sketch = odd_sketches(sets)
                 empty = ~some
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(n, pa.int64()),
@@ -199,24 +223,78 @@ def sketch_documents(docs: DataFrame, n_words: int) -> DataFrame:
 
 
 def promising(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a``, ``b`` whose sketches do not rule them out, with ``bits``,
-    the differing bits of their sketches."""
-    floor = SKETCH_FLOOR * threshold
+    """Pairs ``a``, ``b`` whose sketches do not rule them out, with ``gap``,
+    how far they are apart by them."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-                    for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), U).reshape(batch.num_rows, -1) for c in (2, 3))
+            sizes = batch.column(4).to_numpy()
             bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            keep = pa.array(similarity_estimate(bits) >= floor)
-            found = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits)], ["a", "b", "bits"])
-            yield found.filter(keep)
+            found = pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(1.0 - similarity_estimate(bits, sizes))], ["a", "b", "gap"])
+            yield found.filter(pa.array(bits <= most_bits(sizes, threshold)))
+
+    a, b = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch"), F.col("n_shingles").alias(f"{c}_n")) for c in "ab")
+    return (pairs.join(a, "a").join(b, "b").select("a", "b", "a_sketch", "b_sketch", (F.col("a_n") + F.col("b_n")).alias("sizes"))
+            .mapInArrow(run, "a long, b long, gap double"))
+
+
+def bucket_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Promising pairs ``a`` > ``b`` of nodes in different components that
+    share a bucket, each pair from the first band that they share.
+
+    ``members``: ``key``, ``lo``, ``hi``, ``block``, ``node``, ``comp``,
+    ``n_shingles``, ``bands``, ``sketch``; a group (key, lo, hi) holds blocks
+    lo and hi of a bucket.  Pairs stay inside the task as positions; what leaves it has
+    passed the sketches."""
+    names = ["key", "lo", "hi", "block", "node", "comp", "n_shingles", "bands", "sketch"]
+
+    def found(rows: pa.Table):
+        key, lo, hi, block, node, comp, n = (rows.column(c).to_numpy() for c in names[:7])
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), U).reshape(len(rows), -1)
+        new = np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
+        before = np.arange(len(rows)) - first  # rows of the group before each row
+        to = np.cumsum(before)
+        start = 0
+        while start < len(rows):  # rows start..end make about PAIR_STEP pairs
+            end = max(start + 1, int(np.searchsorted(to, (to[start - 1] if start else 0) + PAIR_STEP, "right")))
+            i = np.repeat(np.arange(start, end), before[start:end])
+            j = np.arange(len(i)) - np.repeat(np.cumsum(before[start:end]) - before[start:end], before[start:end]) + first[i]
+            start = end
+            go = (comp[i] != comp[j]) & ((lo[i] == hi[i]) | (block[i] != block[j]))
+            i, j = i[go], j[go]
+            bits = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+            go = bits <= most_bits(n[i] + n[j], threshold)
+            i, j = i[go], j[go]
+            shared = bands[i] == bands[j]
+            go = bands[i, shared.argmax(axis=1)] == key[i]
+            i, j = i[go], j[go]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j]))], ["a", "b"])
 
-    a, b = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch")) for c in "ab")
-    return (pairs.join(a, "a").join(b, "b").select("a", "b", "a_sketch", "b_sketch")
-            .mapInArrow(run, "a long, b long, bits long"))
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch.select(names)])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            group = np.stack([held.column(c).to_numpy() for c in names[:3]])
+            last = np.flatnonzero((group != group[:, -1:]).any(axis=0))
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
+            if cut:
+                yield from found(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None:
+            yield from found(held)
+
+    dealt = members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return dealt.select(*names).mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
@@ -240,15 +318,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) ->
             .mapInArrow(run, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``: ``doc_id``, ``text``.  One row per document: ``doc_id``,
-    ``content`` (hash of the text), ``n_shingles``, ``component_id`` (smallest
-    id of its group), ``component`` (the group's name, null without shingles)
-    and ``first`` (it has the smallest id and, of these, content)."""
+def _grouped(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``content``, ``n_shingles``, ``component`` of every document."""
     threshold = percent / 100
     sketched = stage(sketch_documents(docs, n_words), "near-sketches")
     nodes = stage(sketched.filter("node is not null").dropDuplicates(["node"]), "near-nodes")
-    sketches = nodes.select("node", "sketch")
+    sketches = nodes.select("node", "sketch", "n_shingles")
 
     # buckets of several nodes; each member beside the smallest
     keyed = nodes.select("node", F.explode("bands").alias("key")).repartition("key")
@@ -269,7 +344,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     # round 1: every node and the most alike of its buckets' smallest nodes
     stars = members.filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     stars = stage(promising(stars, sketches, threshold), "near-stars")
-    best = stars.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", F.col("x.b").alias("b"), F.col("x.bits").alias("bits"))
+    best = stars.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     tested = stage(best, "near-best")
     links = stage(confirmed(tested, texts, n_words, percent), "near-links")
     comp = connected_components(links)
@@ -283,18 +358,28 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     own = stage(members.select("key", "node").join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "near-comps")
     split = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     open_ = stage(own.join(split, "key", "left_semi"), "near-open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("comp").alias("b_comp"))
-    pairs = (open_.withColumnRenamed("node", "a").join(other, "key").filter("comp < b_comp")
-             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-             .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    pairs = stage(promising(pairs, sketches, threshold), "near-last")
+    sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BUCKET_BLOCK).alias("blocks"))
+    blocked = (open_.join(sizes, "key").join(nodes.select("node", "n_shingles", "bands", "sketch"), "node")
+               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+               .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}))
+    pairs = bucket_pairs(blocked, threshold).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stage(pairs, "near-last")
     if not pairs.isEmpty():
         links = stage(links.union(confirmed(pairs, texts, n_words, percent)), "near-links")
         comp = connected_components(links)
 
-    rows = sketched.select("doc_id", "content", "n_shingles", "node").join(comp, "node", "left").select(
+    return sketched.select("doc_id", "content", "n_shingles", "node").join(comp, "node", "left").select(
         "doc_id", "content", "n_shingles", F.coalesce("comp", "node").alias("component"))
-    rows = stage(rows, "near-rows")
+
+
+def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``: ``doc_id``, ``text``.  One row per document: ``doc_id``,
+    ``content`` (hash of the text), ``n_shingles``, ``component_id`` (smallest
+    id of its group), ``component`` (the group's name, null without shingles)
+    and ``first`` (it has the smallest id and, of these, content)."""
+    with staging(docs.sparkSession):  # what the groups are found from goes with the search
+        rows = stage(_grouped(docs, n_words, percent), "near-rows", kept=True)
     least = rows.filter("component is not null").groupBy("component").agg(
         F.min("doc_id").alias("component_id"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content")).alias("least"))

@@ -39,6 +39,7 @@ def brute(rows, n=2, percent=80):
     for i, (d, _) in enumerate(rows):
         r = root(i)
         least[r] = d if least.get(r) is None else min(least[r], d) if d is not None else least[r]
+    brute.groups = [least[r] for r in {root(i) for i, s in enumerate(sets) if s}]
     return [(d, len(s), least[root(i)] if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))]
 
 
@@ -93,9 +94,8 @@ def test_deduplicated_keeps_one_of_each_group(spark, edge_sf):
     want = brute(rows, 5)
     kept = out.collect()
     assert sum(not slow_set(r.text, 5) for r in kept) == sum(n == 0 for _, n, _ in want)  # documents without words stay
-    groups = {c for _, n, c in want if n}
     some = [r for r in kept if slow_set(r.text, 5)]
-    assert multiset(r.doc_id for r in some) == multiset(groups)
+    assert multiset(r.doc_id for r in some) == multiset(brute.groups)
 
 
 @settings(max_examples=100, deadline=None)
@@ -110,19 +110,36 @@ def test_shingle_sets(texts, n):
             assert len(np.intersect1d(sets.of(i), sets.of(j))) == len(slow[i] & slow[j])
 
 
-def test_samples_and_sketches_estimate_similarity():
-    rng = random.Random(5)
-    for size in (12, 60, 300, 3000):
-        errors = []
-        for _ in range(20):
-            a = [rng.getrandbits(64) for _ in range(size)]
-            b = a[:int(size * 0.9)] + [rng.getrandbits(64) for _ in range(size - int(size * 0.9))]
-            flat = [np.unique(np.array(x, np.uint64)) for x in (a, b)]
-            sample = mh.samples(mh.Sets(np.concatenate(flat), np.array([0, len(flat[0]), len(flat[0]) + len(flat[1])])))
-            bits = np.bitwise_count(np.bitwise_xor(*mh.odd_sketches(sample))).sum()
-            true = len(np.intersect1d(*flat)) / len(np.union1d(*flat))
-            errors.append(mh.similarity_estimate(np.array([float(bits)]))[0] - true)
-        assert abs(np.mean(errors)) < 0.06 and max(map(abs, errors)) < 0.3
+def test_sketches_rule_out_no_pair_at_the_threshold():
+    rng = np.random.default_rng(5)
+    for size in (1, 3, 12, 60, 300, 3000, 30_000):
+        errors, over = [], 0
+        for _ in range(30):
+            shared = int(np.ceil(size * 8 / 9))
+            a = rng.integers(0, 2**64, size, dtype=np.uint64)
+            b = np.r_[a[:shared], rng.integers(0, 2**64, size - shared, dtype=np.uint64)]
+            sketch = mh.odd_sketches(mh.Sets(np.r_[a, b], np.array([0, size, 2 * size]))).view(np.uint64)
+            bits = np.array([int(np.bitwise_count(sketch[0] ^ sketch[1]).sum())])
+            sizes = np.array([2 * size])
+            errors.append(mh.similarity_estimate(bits, sizes)[0] - shared / (2 * size - shared))
+            over += bool(bits[0] > mh.most_bits(sizes, 0.8)[0])
+        assert not over
+        if size <= 3000:
+            assert max(map(abs, errors)) < 0.02
+    far = mh.most_bits(np.array([600]), 0.8)[0]  # 300 and 300 shingles, 0.75 alike: ruled out
+    assert far < 600 * 0.25 / 1.75
+
+
+def test_samples_agree_as_often_as_sets_are_alike():
+    rng = np.random.default_rng(6)
+    for size in (5, 40, 400, 4000):
+        same = []
+        for _ in range(30):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            b = np.unique(np.r_[a[:int(size * 0.9)], rng.integers(0, 2**64, size - int(size * 0.9), dtype=np.uint64)])
+            s = mh.samples(mh.Sets(np.r_[a, b], np.array([0, len(a), len(a) + len(b)])))
+            same.append((s[0] == s[1]).mean() - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+        assert abs(np.mean(same)) < 0.04
 
 
 def test_connected_components(spark):
