@@ -17,8 +17,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
-#: Scratch folders made inside the current ``staging`` block.
-_SCOPE: ContextVar[list[str] | None] = ContextVar("lakefold_scratch", default=None)
+#: Scratch folders made inside the open ``staging`` blocks, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("lakefold_scratch", default=())
 
 #: Session defaults.  AQE coalesces small shuffle partitions, splits skewed
 #: join partitions and converts joins to broadcast from measured sizes.
@@ -95,13 +95,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for intermediate tables."""
+def scratch_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A fresh folder under the shared checkpoint folder for intermediate
+    tables.  ``kept``: it outlives the current ``staging`` block (but not one
+    around that)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/lakefold/{name}-{uuid.uuid4().hex[:12]}"
-    scope = _SCOPE.get()
-    if scope is not None:
-        scope.append(path)
+    scopes = _SCOPES.get()[:-1] if kept else _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -115,15 +117,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage(df, name: str):
+def stage(df, name: str, kept: bool = False):
     """Write ``df`` as parquet under the shared checkpoint folder and return
     a DataFrame reading it back.
 
     Used where a frame feeds several actions (guards, joins): the lineage is
     cut once, the copy survives executor loss, and later scans get column
-    pruning and file statistics.
+    pruning and file statistics.  ``kept``: see ``scratch_path``.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, kept)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -133,10 +135,10 @@ def staging(spark: SparkSession):
     """A scope for scratch folders: everything staged inside the block is
     deleted at its end.  Use it when all that reads the copies finishes
     inside the block, for example a write that commits a table."""
-    token = _SCOPE.set([])
+    token = _SCOPES.set((*_SCOPES.get(), []))
     try:
         yield
     finally:
-        for path in _SCOPE.get():
+        for path in _SCOPES.get()[-1]:
             delete_path(spark, path)
-        _SCOPE.reset(token)
+        _SCOPES.reset(token)
