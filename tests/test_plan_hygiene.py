@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lakefold.operators import dedup
 from lakefold.operators import merge as m
 from lakefold.plans.queries import QUERIES

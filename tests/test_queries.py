@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lakefold.plans import oracle
 from lakefold.plans.queries import QUERIES
 
