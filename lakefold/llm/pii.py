@@ -6,13 +6,25 @@ also with a spelt-out at sign, and number-like strings with narrow and with
 loose separators.  Each candidate has format features (digits, groups,
 separators, a valid dotted quad, the Luhn check) and context features (words
 before it, neighbouring letters).  Weak labels say which candidates agree
-with a base span of a kind; the features leave out what the base rules
-insist on (a plus sign, a literal @), so the trees carry a kind's other
-marks over to strings that the rules miss.  Per kind, boosted trees are fitted
-on four fifths of all documents, and the lowest score whose precision on the
-other fifth is high enough (a lower confidence bound of ``PRECISION``)
-selects what is added.  Base spans always stay; a candidate that meets one
-is not added.
+with a base span of a kind (positives); the features leave out what the base
+rules insist on (a plus sign, a literal @ or dot), so the trees carry a
+kind's other marks over to strings that the rules miss.
+
+Negatives are true ones: candidates that fail the kind's check (digits,
+Luhn, quad, a dotted host) or meet a base span that they do not agree with.
+The check's own feature is hidden from the kind's trees (``HIDDEN``), else it
+would tell the classes apart by itself.  Of numbers that are no cards, one in
+ten passes Luhn, so a failed Luhn counts as a ninth of a wrong addition.  All
+other candidates are unlabelled and no negatives, however many they are,
+unless they are reliably unlike the kind: positives of the fold aside are
+held out as spies, and what scores below nearly all of them under trees that
+tell positives from all the rest is a negative, too.
+
+Per kind, boosted trees are fitted on four fifths of all documents, and the
+lowest score whose precision on the other fifth is high enough (a lower
+confidence bound of ``PRECISION``) selects what is added of the candidates
+that pass the kind's check.  Base spans always stay; a candidate that meets
+one is not added.
 
 The features are small integers, so all candidates of all documents enter
 the fit as counts per feature combination (a bounded table: ``RADIX``
@@ -26,8 +38,9 @@ possessively, so long runs cost linear time.
 
 Defined results: null and empty texts have no spans; texts are taken whole;
 offsets count code points; null ids belong to the fit; repeated rows count
-as often as they occur; without candidates nothing is added; an empty table
-gives no rows.
+as often as they occur; without candidates, or with too few base spans of a
+kind to bear out the precision, nothing is added; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -61,6 +74,9 @@ GENERATORS = {
     "number": r"[0-9]++(?:[\x20.-][0-9]++)*+",
     "loose_number": r"[+(]{0,2}[0-9]++(?:[\x20().-]{1,3}[0-9]++)*+",
 }
+#: Spellings of @ and of the dot in an address, and a whole address.
+AT, DOT = r"\x20?[\[(](?:at|@)[\])]\x20?", r"\x20?[\[(](?:dot|\.)[\])]\x20?"
+ADDRESS = r"^[^@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"
 #: Words before a candidate that tell kinds apart.
 CONTEXT = (r"tel|phone|call|mobile|fax|sms", r"card|visa|credit|pay|account", r"host|server|addr|\bip\b", r"mail|contact|write")
 CONTEXT_CHARS = 24
@@ -68,7 +84,13 @@ CONTEXT_CHARS = 24
 FEATURES = {"generator": 3, "digits": 21, "groups": 7, "longest": 9, "separators": 16, "quad": 2, "luhn": 2,
             "context": 5, "letters": 4}
 RADIX = math.prod(FEATURES.values())
+#: The features that a kind's check decides on.
+HIDDEN = {"email": (), "ip": ("quad",), "card": ("luhn",), "phone": ("digits",)}
 PRECISION = 0.95
+#: The share of spies that may score below a candidate that is no negative.
+SPIES_BELOW = 0.05
+#: Numbers that fail Luhn for one that passes by chance.
+LUHN_FAILS = 9
 FOLDS = 5
 
 
@@ -166,7 +188,8 @@ def _span(m: Column, kind: int) -> Column:
 # --- candidates ------------------------------------------------------------
 
 def candidates(text: Column, columns: dict[str, Column]) -> Column:
-    """Candidate spans with their features."""
+    """Candidate spans with their features; ``passes``: bits of the kinds
+    whose check holds."""
     def described(no: int, name: str, m: Column) -> Column:
         hit, d = m["hit"], digits_of(m["hit"])
         before = F.substring(text, F.greatest(m["start"] + 1 - CONTEXT_CHARS, F.lit(1)),
@@ -177,7 +200,9 @@ def candidates(text: Column, columns: dict[str, Column]) -> Column:
             context = F.when(words.rlike(pattern), i).otherwise(context)
         letter = r"[A-Za-z0-9]$"
         after = F.substring(text, m["end"] + 1, F.lit(1))
-        groups = F.filter(F.split(hit, "[^A-Za-z0-9]+"), lambda g: g != "")
+        # an address in its plain spelling
+        plain = F.regexp_replace(F.regexp_replace(hit, AT, "@"), DOT, ".") if name == "address" else hit
+        groups = F.filter(F.split(plain, "[^A-Za-z0-9]+"), lambda g: g != "")
         marks = [F.contains(hit, F.lit(c)).cast("int") * 2 ** i for i, c in enumerate(" .-(")]
         values = {
             "generator": F.lit(no), "digits": F.least(F.length(d), F.lit(20)), "groups": F.least(F.size(groups), F.lit(6)),
@@ -186,7 +211,9 @@ def candidates(text: Column, columns: dict[str, Column]) -> Column:
             "separators": F.lit(0) if name == "address" else marks[0] + marks[1] + marks[2] + marks[3],
             "quad": hit.rlike(QUAD).cast("int"), "luhn": luhn(d).cast("int"), "context": context,
             "letters": before.rlike(letter).cast("int") + 2 * after.rlike(letter).cast("int")}
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"),
+        kinds = ("email",) if name == "address" else KINDS[1:]
+        passes = sum(((plain.rlike(ADDRESS) if k == "email" else _passes(k, hit)).cast("int") * 2 ** KINDS.index(k) for k in kinds), F.lit(0))
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), passes.alias("passes"),
                         *[F.coalesce(v, F.lit(0)).cast("int").alias(k) for k, v in values.items()])
 
     def of(no: int, name: str, found: Column) -> Column:
@@ -223,7 +250,7 @@ class Tree:
     def score(self, x: dict[str, int]) -> float:
         return self.value if self.low is None else (self.low if x[self.feature] <= self.at else self.high).score(x)
 
-    def expression(self, row: Column) -> Column:
+    def expression(self, row: Column | dict[str, Column]) -> Column:
         if self.low is None:
             return F.lit(float(self.value))
         return F.when(row[self.feature] <= self.at, self.low.expression(row)).otherwise(self.high.expression(row))
@@ -266,8 +293,8 @@ class Booster:
     def score(self, x: dict[str, int]) -> float:
         return self.prior + sum(t.score(x) for t in self.trees)
 
-    def selects(self, row: Column) -> Column:
-        if not self.trees or self.threshold == math.inf:
+    def selects(self, row: Column | dict[str, Column]) -> Column:
+        if self.threshold == math.inf:
             return F.lit(False)
         total = F.lit(float(self.prior))
         for t in self.trees:
@@ -313,31 +340,68 @@ def calibrate(model: Booster, rows: list[tuple[dict[str, int], float, float]], p
                 model.threshold = score
 
 
+def passes(c: Column, kind: int) -> Column:
+    return c["passes"].bitwiseAND(F.lit(1 << kind)) != 0
+
+
+def spies_floor(model: Booster, rows: list[tuple[dict[str, int], float, float]]) -> float:
+    """The score below which at most ``SPIES_BELOW`` of the positives lie."""
+    scored = sorted((model.score(x), p) for x, p, _ in rows if p)
+    below, most = 0.0, SPIES_BELOW * sum(p for _, p in scored)
+    for score, p in scored:
+        below += p
+        if below > most:
+            return score - 1e-9
+    return -math.inf
+
+
+def fit(rows: list[tuple[bool, dict[str, int], float, float, float]]) -> Booster:
+    """Trees and threshold of a kind from (aside, features, positives, true
+    negatives, unlabelled) counts."""
+    apart = boost([(x, p, n + u) for aside, x, p, n, u in rows if not aside])
+    floor = spies_floor(apart, [(x, p, n) for aside, x, p, n, _ in rows if aside])
+    unlike = [apart.score(x) < floor for _, x, *_ in rows]
+    known = [(aside, (x, p, n + (u if far else 0.0))) for (aside, x, p, n, u), far in zip(rows, unlike)]
+    model = boost([r for aside, r in known if not aside])
+    calibrate(model, [r for aside, r in known if aside])
+    return model
+
+
 def train(found: DataFrame) -> dict[str, Booster]:
     """Fit from the stored result of ``find`` (with ``doc_id``): counts per
     feature combination, kind and fold over all documents."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
     each = found.select(fold.alias("aside"), "pii_base", F.explode("pii_candidates").alias("c"))
+    c = F.col("c")
 
     def agrees(kind: int) -> Column:
         same = lambda s: (s["kind"] == kind) & (  # noqa: E731  overlap of at least 0.8 of the union
-            10 * _overlap(F.col("c"), s) >= 8 * (F.greatest(F.col("c.end"), s["end"]) - F.least(F.col("c.start"), s["start"])))
-        return F.exists("pii_base", same).cast("long")
-
-    counts = each.select("aside", *[F.col(f"c.{k}").alias(k) for k in FEATURES],
-                         *[agrees(i).alias(f"is_{k}") for i, k in enumerate(KINDS)]).groupBy("aside", *FEATURES).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(f"is_{k}").alias(f"is_{k}") for k in KINDS])
+            10 * _overlap(c, s) >= 8 * (F.greatest(c["end"], s["end"]) - F.least(c["start"], s["start"])))
+        return F.exists("pii_base", same)
+
+    each = each.select("aside", "c", F.exists("pii_base", lambda s: _overlap(c, s) > 0).alias("meets"),
+                       *[agrees(i).alias(f"agrees_{k}") for i, k in enumerate(KINDS)])
+    # a Luhn check that fails where nothing else does
+    by_luhn = ~F.col("meets") & c["digits"].between(12, 19) & (c["luhn"] == 0)
+    labels = {}
+    for i, k in enumerate(KINDS):
+        wrong = ~F.col(f"agrees_{k}") & (F.col("meets") | ~passes(c, i))
+        labels |= {f"is_{k}": F.col(f"agrees_{k}"), f"not_{k}": wrong & ~by_luhn if k == "card" else wrong}
+    labels["luhn_fails"] = by_luhn & ~F.col("agrees_card")
+    counts = each.select("aside", *[c[k].alias(k) for k in FEATURES], *[v.cast("long").alias(k) for k, v in labels.items()]).groupBy(
+        "aside", *FEATURES).agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in labels])
     table = [r.asDict() for r in counts.collect()]  # at most 2 * RADIX rows, in practice a few hundred
     table.sort(key=lambda r: [r[k] for k in ("aside", *FEATURES)])
     models = {}
     for kind in KINDS:
-        address = kind == "email"
-        rows = [(bool(r["aside"]), ({k: r[k] for k in FEATURES}, float(r[f"is_{kind}"]), float(r["n"] - r[f"is_{kind}"])))
-                for r in table if (r["generator"] == 0) == address]
-        models[kind] = boost([x for aside, x in rows if not aside])
-        if not models[kind].trees:  # nothing but one class seen: nothing to tell apart, so nothing to add
-            continue
-        calibrate(models[kind], [x for aside, x in rows if aside])
+        rows = []
+        for r in table:
+            if (r["generator"] == 0) != (kind == "email"):
+                continue
+            fails = r["luhn_fails"] if kind == "card" else 0
+            rows.append((bool(r["aside"]), {k: 0 if k in HIDDEN[kind] else r[k] for k in FEATURES}, float(r[f"is_{kind}"]),
+                         r[f"not_{kind}"] + fails / LUHN_FAILS, float(r["n"] - r[f"is_{kind}"] - r[f"not_{kind}"] - fails)))
+        models[kind] = fit(rows)
     return models
 
 
@@ -345,7 +409,9 @@ def all_spans(models: dict[str, Booster]) -> Column:
     """Base spans and selected candidates that meet none of them, by start,
     kind and end."""
     def added(no: int, model: Booster) -> Column:
-        chosen = F.filter("pii_candidates", lambda c: model.selects(c) & ~F.exists(
+        hidden = {k: F.lit(0) for k in HIDDEN[KINDS[no]]}
+        chosen = F.filter("pii_candidates", lambda c: ((c["generator"] == 0) == (KINDS[no] == "email")) & passes(c, no) & model.selects(
+            {k: hidden.get(k, c[k]) for k in FEATURES}) & ~F.exists(
             "pii_base", lambda s: _overlap(c, s) > 0))
         return F.transform(chosen, lambda c: _span(c, no))
 
