@@ -2,8 +2,10 @@
 
 Base spans follow fixed rules (``BASE``).  Beyond them, high-recall
 generators propose spans that may overlap each other: address-like strings,
-also with a spelt-out at sign, and number-like strings with narrow and with
-loose separators.  Each candidate has format features (digits, groups,
+also with a spelt-out at sign, number-like strings with narrow and with
+loose separators, and within every number string, however long, all windows
+of consecutive digit groups with 7 to 19 digits (a number beside another
+one; a start group has at most ``WINDOW`` windows).  Each candidate has format features (digits, groups,
 separators, a valid dotted quad, the Luhn check) and context features (words
 before it, neighbouring letters).  Weak labels say which candidates agree
 with a base span of a kind (positives); the features leave out what the base
@@ -24,7 +26,11 @@ Per kind, boosted trees are fitted on four fifths of all documents, and the
 lowest score whose precision on the other fifth is high enough (a lower
 confidence bound of ``PRECISION``) selects what is added of the candidates
 that pass the kind's check.  Base spans always stay; a candidate that meets
-one is not added.
+one is not added.  Of selected candidates of a kind that overlap, the one
+stays whose numbers of digits and groups are most frequent among the kind's
+positives, then the best score, the longest, the first (settled in blocks of
+``BLOCK`` selected candidates of a document, so two that overlap across a
+block's end both stay).
 
 The features are small integers, so all candidates of all documents enter
 the fit as counts per feature combination (a bounded table: ``RADIX``
@@ -80,8 +86,10 @@ ADDRESS = r"^[^@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"
 #: Words before a candidate that tell kinds apart.
 CONTEXT = (r"tel|phone|call|mobile|fax|sms", r"card|visa|credit|pay|account", r"host|server|addr|\bip\b", r"mail|contact|write")
 CONTEXT_CHARS = 24
+#: Digits, and so digit groups at most, of a window.
+WINDOW = 19
 #: Features and their numbers of levels.
-FEATURES = {"generator": 3, "digits": 21, "groups": 7, "longest": 9, "separators": 16, "quad": 2, "luhn": 2,
+FEATURES = {"generator": 3, "digits": 21, "groups": 7, "longest": 9, "last": 4, "separators": 16, "quad": 2, "luhn": 2,
             "context": 5, "letters": 4}
 RADIX = math.prod(FEATURES.values())
 #: The features that a kind's check decides on.
@@ -91,6 +99,8 @@ PRECISION = 0.95
 SPIES_BELOW = 0.05
 #: Numbers that fail Luhn for one that passes by chance.
 LUHN_FAILS = 9
+#: Selected candidates of a document that are compared with each other.
+BLOCK = 256
 FOLDS = 5
 
 
@@ -187,50 +197,112 @@ def _span(m: Column, kind: int) -> Column:
 
 # --- candidates ------------------------------------------------------------
 
-def candidates(text: Column, columns: dict[str, Column]) -> Column:
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_windows(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the column ``name``: (start, end, hit, before, after, ahead: what
+    precedes the whole number string) of the
+    windows of consecutive digit groups, short of a whole number string, with
+    7 to ``WINDOW`` digits.  A string's first group has the marks before it, others an
+    opening bracket.  The columns on the way are flat arrays over all digit
+    groups of a text; of the text between them only the end is kept."""
+    t, c = F.col(text), lambda k: F.col(f"{name}_{k}")
+    digits, possible = "[0-9]++", F.col(text).rlike("[0-9]")
+    docs = docs.withColumn(f"{name}_hits", matches(t, digits, possible))
+    docs = docs.withColumns({
+        f"{name}_at": located(t, digits, c("hits")),
+        f"{name}_gaps": F.when(possible, F.transform(F.split(t, digits, -1), lambda g: F.struct(
+            g.rlike(r"^[\x20().-]{1,3}$").alias("links"), F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS).alias("tail"),
+            F.substring(g, 1, 1).alias("head"))))})
+    docs = docs.withColumns({
+        f"{name}_sizes": F.transform(c("hits"), lambda h: F.length(h)),
+        f"{name}_breaks": F.transform(c("gaps"), lambda g: F.when(g["links"], 0).otherwise(1)),
+        f"{name}_pieces": F.flatten(F.zip_with(F.slice(c("gaps"), 1, F.size(c("hits"))), c("hits"), lambda g, h: F.array(g["tail"], h)))})
+    docs = docs.withColumns({f"{name}_sums": prefix_sums(c("sizes")), f"{name}_runs": prefix_sums(c("breaks")), f"{name}_ahead": F.filter(c("gaps"), lambda g: ~g["links"]), f"{name}_n": F.size(c("hits"))})
+
+    def run(i: Column) -> Column:  # the number of the group's string
+        return F.get(c("runs"), i + 1)
+
+    def starting(i: Column) -> Column:
+        def fits(j: Column) -> Column:
+            n = F.get(c("sums"), j) + F.get(c("sizes"), j) - F.get(c("sums"), i)
+            whole = (F.get(c("breaks"), i) == 1) & ((j == c("n") - 1) | (F.get(c("breaks"), j + 1) == 1))
+            return n.between(7, WINDOW) & (run(i) == run(j)) & ~whole
+
+        tail = F.get(c("gaps"), i)["tail"]
+        marks = F.when(F.get(c("breaks"), i) == 1, F.regexp_extract(tail, r"[+(]{0,2}$", 0)).otherwise(F.regexp_extract(tail, r"\(?$", 0))
+        lead = F.array_join(F.slice(c("pieces"), F.greatest(2 * i + 1 - CONTEXT_CHARS, F.lit(1)), F.least(2 * i + 1, F.lit(CONTEXT_CHARS + 1))), "")
+        return F.transform(F.filter(F.sequence(i, F.least(i + WINDOW - 1, c("n") - 1)), fits), lambda j: F.struct(
+            (F.get(c("at"), i)["start"] - F.length(marks)).alias("start"), F.get(c("at"), j)["end"].alias("end"),
+            F.concat(marks, F.array_join(F.slice(c("pieces"), 2 * i + 2, 2 * (j - i) + 1), "")).alias("hit"),
+            lead.substr(F.lit(1), F.length(lead) - F.length(marks)).substr(-CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
+            F.get(c("gaps"), j + 1)["head"].alias("after"),
+            F.get(c("ahead"), run(i) - 1)["tail"].alias("ahead")))
+
+    found = F.flatten(F.transform(F.sequence(F.lit(0), c("n") - 1), starting))
+    none = F.array().cast("array<struct<start:int,end:int,hit:string,before:string,after:string,ahead:string>>")
+    return docs.withColumn(name, F.when(c("n") > 1, found).otherwise(none)).drop(
+        *[f"{name}_{k}" for k in ("hits", "at", "gaps", "sizes", "breaks", "pieces", "sums", "runs", "ahead", "n")])
+
+
+def candidates(text: Column, columns: dict[str, Column], windows: Column) -> Column:
     """Candidate spans with their features; ``passes``: bits of the kinds
     whose check holds."""
-    def described(no: int, name: str, m: Column) -> Column:
-        hit, d = m["hit"], digits_of(m["hit"])
-        before = F.substring(text, F.greatest(m["start"] + 1 - CONTEXT_CHARS, F.lit(1)),
-                             F.least(m["start"], F.lit(CONTEXT_CHARS)))
-        words = F.lower(before)
+    def described(no: int, name: str, start: Column, hit: Column, before: Column, after: Column,
+                  ahead: Column | None = None) -> Column:
+        # an address in its plain spelling
+        plain = F.regexp_replace(F.regexp_replace(hit, AT, "@"), DOT, ".") if name == "address" else hit
+        return let(F.struct(
+            start.alias("start"), hit.alias("hit"), before.alias("before"), after.alias("after"),
+            (before if ahead is None else F.concat_ws(" ", ahead, before)).alias("words"), plain.alias("plain"), digits_of(hit).alias("d"),
+            F.filter(F.split(plain, "[^A-Za-z0-9]+"), lambda g: g != "").alias("groups")), lambda m: features(no, name, m))
+
+    def features(no: int, name: str, m: Column) -> Column:
+        start, hit, before, after, plain, d, groups = (m[k] for k in ("start", "hit", "before", "after", "plain", "d", "groups"))
+        words = F.lower(m["words"])
         context = F.lit(0)
         for i, pattern in reversed(list(enumerate(CONTEXT, 1))):
             context = F.when(words.rlike(pattern), i).otherwise(context)
         letter = r"[A-Za-z0-9]$"
-        after = F.substring(text, m["end"] + 1, F.lit(1))
-        # an address in its plain spelling
-        plain = F.regexp_replace(F.regexp_replace(hit, AT, "@"), DOT, ".") if name == "address" else hit
-        groups = F.filter(F.split(plain, "[^A-Za-z0-9]+"), lambda g: g != "")
         marks = [F.contains(hit, F.lit(c)).cast("int") * 2 ** i for i, c in enumerate(" .-(")]
         values = {
             "generator": F.lit(no), "digits": F.least(F.length(d), F.lit(20)), "groups": F.least(F.size(groups), F.lit(6)),
             "longest": F.least(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(8)),
+            "last": F.lit(0) if name == "address" else F.greatest(F.least(F.length(F.try_element_at(groups, F.lit(-1))), F.lit(5)) - 2, F.lit(0)),
             # for an address the spelling of @ and . stays out
             "separators": F.lit(0) if name == "address" else marks[0] + marks[1] + marks[2] + marks[3],
             "quad": hit.rlike(QUAD).cast("int"), "luhn": luhn(d).cast("int"), "context": context,
             "letters": before.rlike(letter).cast("int") + 2 * after.rlike(letter).cast("int")}
         kinds = ("email",) if name == "address" else KINDS[1:]
-        passes = sum(((plain.rlike(ADDRESS) if k == "email" else _passes(k, hit)).cast("int") * 2 ** KINDS.index(k) for k in kinds), F.lit(0))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), passes.alias("passes"),
+        checks = {"email": plain.rlike(ADDRESS), "ip": values["quad"] == 1, "card": values["luhn"] == 1, "phone": F.length(d).between(9, 15)}
+        passes = sum((checks[k].cast("int") * 2 ** KINDS.index(k) for k in kinds), F.lit(0))
+        return F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), passes.alias("passes"),
                         *[F.coalesce(v, F.lit(0)).cast("int").alias(k) for k, v in values.items()])
 
+    def whole(no: int, name: str, m: Column) -> Column:
+        before = F.substring(text, F.greatest(m["start"] + 1 - CONTEXT_CHARS, F.lit(1)), F.least(m["start"], F.lit(CONTEXT_CHARS)))
+        return described(no, name, m["start"], m["hit"], before, F.substring(text, m["end"] + 1, F.lit(1)))
+
     def of(no: int, name: str, found: Column) -> Column:
         own = found if name == "address" else F.filter(found, lambda m: F.length(digits_of(m["hit"])).between(7, 20))
-        return F.transform(own, lambda m: described(no, name, m))
+        return F.transform(own, lambda m: whole(no, name, m))
 
-    return F.concat(*[of(no, name, c) for no, (name, c) in enumerate(columns.items())])
+    no, name = list(enumerate(columns))[-1]  # windows are cut from the loose numbers
+    parts = F.transform(windows, lambda w: described(no, name, w["start"], w["hit"], w["before"], w["after"], w["ahead"]))
+    return F.concat(*[of(no, name, c) for no, (name, c) in enumerate(columns.items())], parts)
 
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``pii_base`` (base spans) and ``pii_candidates``."""
     # a single copy of the text with null as empty
     out = docs.withColumn("pii_text", text_of(text_col))
-    out = _with_matches(out, "pii_text", {**BASE, **GENERATORS}, "pii_")
+    out = with_windows(_with_matches(out, "pii_text", {**BASE, **GENERATORS}, "pii_"), "pii_text", "pii_windows")
     found = (out.withColumn("pii_base", base_spans({k: F.col(f"pii_{k}") for k in BASE}))
-             .withColumn("pii_candidates", candidates(F.col("pii_text"), {k: F.col(f"pii_{k}") for k in GENERATORS})))
-    return found.drop("pii_text", *[f"pii_{k}" for k in (*BASE, *GENERATORS)])
+             .withColumn("pii_candidates", candidates(F.col("pii_text"), {k: F.col(f"pii_{k}") for k in GENERATORS}, F.col("pii_windows"))))
+    return found.drop("pii_text", "pii_windows", *[f"pii_{k}" for k in (*BASE, *GENERATORS)])
 
 
 def _overlap(c: Column, s: Column) -> Column:
@@ -284,22 +356,22 @@ def grow(rows: list[tuple[dict[str, int], float, float]], depth: int, rate: floa
 
 @dataclass
 class Booster:
-    """Trees for one kind; ``threshold``: lowest score that is selected."""
+    """Trees for one kind; ``threshold``: lowest score that is selected;
+    ``typical``: positives by (digits, groups)."""
 
     prior: float = 0.0
     trees: list[Tree] = field(default_factory=list)
     threshold: float = math.inf
+    typical: dict[tuple[int, int], int] = field(default_factory=dict)
 
     def score(self, x: dict[str, int]) -> float:
         return self.prior + sum(t.score(x) for t in self.trees)
 
-    def selects(self, row: Column | dict[str, Column]) -> Column:
-        if self.threshold == math.inf:
-            return F.lit(False)
+    def total(self, row: Column | dict[str, Column]) -> Column:
         total = F.lit(float(self.prior))
         for t in self.trees:
             total = total + t.expression(row)
-        return total >= F.lit(self.threshold - 1e-9)
+        return total
 
 
 def boost(rows: list[tuple[dict[str, int], float, float]], n_trees: int = 20, depth: int = 3, rate: float = 0.4) -> Booster:
@@ -402,18 +474,44 @@ def train(found: DataFrame) -> dict[str, Booster]:
             rows.append((bool(r["aside"]), {k: 0 if k in HIDDEN[kind] else r[k] for k in FEATURES}, float(r[f"is_{kind}"]),
                          r[f"not_{kind}"] + fails / LUHN_FAILS, float(r["n"] - r[f"is_{kind}"] - r[f"not_{kind}"] - fails)))
         models[kind] = fit(rows)
+        for r in table:
+            if r[f"is_{kind}"]:
+                shape = (r["digits"], r["groups"])
+                models[kind].typical[shape] = models[kind].typical.get(shape, 0) + r[f"is_{kind}"]
     return models
 
 
+def best_apart(chosen: Column) -> Column:
+    """Of (typical, score, start, end), what stays when overlapping ones
+    compete."""
+    def settle(block: Column) -> Column:
+        order = F.array_sort(F.transform(block, lambda c: F.struct(
+            (-c["typical"]).alias("a"), (-c["score"]).alias("b"), (c["start"] - c["end"]).alias("c"), c["start"].alias("start"), c["end"].alias("end"))))
+        none = F.array().cast("array<struct<start:int,end:int>>")
+        return F.aggregate(order, none, lambda kept, c: F.when(
+            F.exists(kept, lambda k: _overlap(c, k) > 0), kept).otherwise(F.array_append(kept, F.struct(c["start"], c["end"]))))
+
+    placed = F.array_sort(F.transform(chosen, lambda c: F.struct(c["start"], c["end"], c["typical"], c["score"])))
+    return let(placed, lambda every: F.flatten(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(BLOCK)), lambda i: settle(F.slice(every, i, BLOCK)))))
+
+
 def all_spans(models: dict[str, Booster]) -> Column:
     """Base spans and selected candidates that meet none of them, by start,
     kind and end."""
     def added(no: int, model: Booster) -> Column:
+        if model.threshold == math.inf:
+            return F.array().cast(SPAN)
         hidden = {k: F.lit(0) for k in HIDDEN[KINDS[no]]}
-        chosen = F.filter("pii_candidates", lambda c: ((c["generator"] == 0) == (KINDS[no] == "email")) & passes(c, no) & model.selects(
-            {k: hidden.get(k, c[k]) for k in FEATURES}) & ~F.exists(
+        pairs = [F.lit(v) for (d, g), n in sorted(model.typical.items()) for v in (d * 10 + g, n)]
+        typical = F.create_map(*pairs).cast("map<int,bigint>")
+        able = F.filter("pii_candidates", lambda c: ((c["generator"] == 0) == (KINDS[no] == "email")) & passes(c, no) & ~F.exists(
             "pii_base", lambda s: _overlap(c, s) > 0))
-        return F.transform(chosen, lambda c: _span(c, no))
+        scored = F.transform(able, lambda c: F.struct(c["start"], c["end"], model.total(
+            {k: hidden.get(k, c[k]) for k in FEATURES}).alias("score"), F.coalesce(F.try_element_at(
+                typical, c["digits"] * 10 + c["groups"]), F.lit(0)).alias("typical")))
+        chosen = F.filter(scored, lambda c: c["score"] >= F.lit(model.threshold - 1e-9))
+        return F.transform(best_apart(chosen), lambda c: _span(c, no))
 
     return F.array_sort(F.array_distinct(F.concat("pii_base", *[added(i, models[k]) for i, k in enumerate(KINDS)])))
 

@@ -180,3 +180,48 @@ def test_frequent_forms_that_the_rules_miss_are_added(spark):
     got = added_spans(spark, docs)
     assert {i: got[i] for i in want} == want
     assert not any(got[i] for i, _ in docs if i not in want)
+
+
+def test_numbers_beside_others_are_added(spark):
+    rng = random.Random(6)
+    four = lambda: f"{rng.randint(1000, 9999)}"
+
+    def card():
+        while not luhn("".join(c := [four() for _ in range(4)])):
+            pass
+        return " ".join(c)
+
+    phone = lambda: f"{rng.randint(200, 999)} {rng.randint(200, 999)} {four()}"
+    docs, want = [], {}
+    for i in range(1200):
+        docs.append((i, f"paid {card()}, then called +1 {phone()} about it"))
+    while len(want) < 40:
+        i, c, p, q = 2000 + len(docs), card(), phone(), phone()
+        text, found = [(f"paid {c} 12/27 now", [("card", c)]), (f"paid {c} 123 now", [("card", c)]),
+                       (f"then called +1 {p} 4111 1111 about it", [("phone", f"+1 {p}")]),
+                       (f"then called {p} {q} {p} about it", [("phone", p), ("phone", q), ("phone", p)])][len(want) % 4]
+        groups = [m.span() for m in re.finditer("[0-9]+", text.replace("/", "x"))]
+        cuts = [re.sub(" ", "", text[a:b]) for a, _ in groups for _, b in groups]
+        if base(text) or any(12 <= len(x) <= 19 and x.isdigit() and luhn(x) and x != c.replace(" ", "") for x in cuts):
+            continue  # a rule's span, or a chance card beside the planted number
+        docs.append((i, text))
+        want[i] = found
+    got = added_spans(spark, docs)
+    assert {i: got[i] for i in want} == want
+
+
+def test_windows_are_bounded(spark):
+    rows = [("1 " * 5000,), ("4111111111111111 " * 2000,), ("12-34.56 (78) 90",), ("1" * 40,), ("+1 (2) 3",)]
+    out = pii.with_windows(spark.createDataFrame(rows, "t string"), "t", "w").collect()
+    for r in out:
+        groups = [m.span() for m in re.finditer("[0-9]+", r.t)]
+        want = []
+        for i, (a, _) in enumerate(groups):
+            for j in range(i, min(i + 19, len(groups))):
+                n = sum(y - x for x, y in groups[i:j + 1])
+                if 7 <= n <= 19 and (i, j) != (0, len(groups) - 1):
+                    start = 0 if i == 0 else a - (r.t[a - 1] == "(")
+                    want.append((start, groups[j][1]))
+        assert [(w.start, w.end) for w in r.w] == want
+        assert all(w.hit == r.t[w.start:w.end] for w in r.w)
+        assert all(w.before == r.t[max(0, w.start - 24):w.start] and w.after == r.t[w.end:w.end + 1] for w in r.w)
