@@ -44,8 +44,8 @@ WALK = """
 WITH RECURSIVE walk(prefix, letter, step, bit, before, applied, mask) AS (
     SELECT '', '', 0, 0, 0, 0, mask FROM {masks}
     UNION ALL
-    SELECT concat(w.prefix, f.letter), f.letter, w.step + 1, f.bit, w.applied, w.applied | f.bit, w.mask
-    FROM walk w JOIN {filters} f ON w.applied & f.bit = 0
+    SELECT /*+ BROADCAST(u) */ concat(w.prefix, u.letter), u.letter, w.step + 1, u.bit, w.applied, w.applied | u.bit, w.mask
+    FROM walk w JOIN {unused} u ON w.applied = u.applied
 )
 SELECT prefix, letter, step, mask,
     CAST(mask & applied = 0 AS INT) AS kept,
@@ -91,9 +91,10 @@ def mask_cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def walk_orders(spark: SparkSession, masks: DataFrame, letters: str = LETTERS) -> DataFrame:
-    """The outcome of every prefix of every order for every mask."""
-    filters = spark.createDataFrame([(c, 1 << i) for i, c in enumerate(letters)], "letter string, bit int")
-    return spark.sql(WALK, masks=masks, filters=filters)
+    """The outcome of every prefix of every order for every mask (at most 32,
+    so one partition holds them; a level keeps its predecessor's partitions)."""
+    unused = [(applied, c, 1 << i) for applied in range(1 << len(letters)) for i, c in enumerate(letters) if not applied >> i & 1]
+    return spark.sql(WALK, masks=masks.coalesce(1), unused=spark.createDataFrame(unused, "applied int, letter string, bit int"))
 
 
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
