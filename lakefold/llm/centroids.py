@@ -145,7 +145,7 @@ def first_centroids(vectors: DataFrame, id_col: str = "vec_id", k: int = K, seed
     """The ``k`` vectors with the smallest digest of seed and id."""
     key = F.sha2(F.concat(F.lit(seed), F.col(id_col).cast("string")).cast("binary"), 256)
     rows = vectors.select("v", key.alias("key")).orderBy(F.col("key").asc_nulls_last(), "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64)
 
 
 def cluster_sums(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
