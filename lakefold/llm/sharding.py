@@ -9,15 +9,17 @@ never hash to another slot, so an edit moves only the slots it names.
 
 Law kept: ``bytes`` (shard sizes near equal).
 
-Scale: one scan of the text (sizes and checksums are staged as a narrow
-table), one map-side combined aggregate over at most ``n_slots`` keys, one
-shuffle of narrow rows by slot for the positions.  Only the map, of the
-fixed size ``n_slots``, is planned on the driver and broadcast.
+Scale: one scan of the text (equal records are counted before they are
+shuffled and come back as numbered copies, staged as a narrow table), one
+map-side combined aggregate over at most ``n_slots`` keys, one shuffle of
+narrow rows by slot for the positions.  Only the map, of the fixed size
+``n_slots``, is planned on the driver and broadcast.
 
 Defined results: a null text has size 1 (0 bytes plus 1); null ids hash like
-any value; records that agree in id and text share a slot, whatever their
-number, and get consecutive positions; an empty table gives an even map and
-no rows.  Further columns are ignored.
+any value; the copies of a record that agrees with others in id and text are
+numbered and hash with their number, so they spread over the slots like
+other records; an empty table gives an even map and no rows.  Further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +31,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .common import read, scratch_path, stage, text_of
 
 N_SLOTS = 8192
+#: Copies of one record that a task numbers at a time.
+COPIES = 100_000
 
 
-def slot_of(id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> Column:
-    """The record's virtual slot: a function of the record alone.  The text
-    takes part so that records sharing a hot id spread over the slots."""
-    return F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n_slots)).cast("int")
+def slot_of(id_col: str = "doc_id", digest_col: str = "digest", copy_col: str = "copy", n_slots: int = N_SLOTS) -> Column:
+    """The record's virtual slot: a function of the record and, where it
+    repeats, of its copy's number.  The text's digest takes part so that
+    records sharing a hot id spread over the slots."""
+    return F.pmod(F.xxhash64(id_col, digest_col, copy_col), F.lit(n_slots)).cast("int")
+
+
+def numbered_copies(records: DataFrame, copy_col: str = "copy") -> DataFrame:
+    """All records, equal ones numbered from 0.  Equal records cannot be told
+    apart, so they are counted and written out again from the count, in runs
+    of ``COPIES`` that are shuffled apart."""
+    keys = records.columns
+    runs = (records.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .select(*keys, "n", F.explode(F.expr(f"sequence(0, (n - 1) div {COPIES})")).alias("run")))
+    many = runs.filter(F.col("n") > COPIES).repartition(*keys, "run")
+    return (runs.filter(F.col("n") <= COPIES).unionByName(many)
+            .select(*keys, F.explode(F.expr(f"sequence(run * {COPIES}, least(n, (run + 1) * {COPIES}) - 1)")).alias(copy_col)))
 
 
 def slot_stats(records: DataFrame, slot: str = "vslot", size: str = "size") -> DataFrame:
@@ -139,9 +156,9 @@ def shard_records(records: DataFrame, n_shards: int, map_path: str, n_slots: int
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     text = text_of("text").cast("binary")
-    narrow = stage(docs.select(
-        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text).alias("text_crc32"), slot_of().alias("vslot")), "op1")
+    digests = docs.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"),
+                          F.crc32(text).alias("text_crc32"), F.xxhash64("text").alias("digest"))
+    narrow = stage(numbered_copies(digests).withColumn("vslot", slot_of()), "op1")
     placed = shard_records(narrow, 8, scratch_path(spark, "op1-map"))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),

@@ -1,6 +1,7 @@
 import zlib
 from collections import defaultdict
 
+from conftest import multiset
 from hypothesis import given, settings, strategies as st
 
 from lakefold.llm import sharding
@@ -32,6 +33,21 @@ def test_edges(spark, edge_sf, edge_rows):
     check(op1(spark, edge_sf).collect(), [r[:2] for r in edge_rows])
 
 
+def test_a_third_of_equal_rows_is_spread(spark, tmp_path, monkeypatch):
+    from conftest import write_tables
+
+    monkeypatch.setattr(sharding, "COPIES", 1000)
+    rows = [(7, "the same text " * 10, "en", "s", 1)] * 4000 + [(i, f"text {i} " * 12, "en", "s", 1) for i in range(8000)]
+    loads = check(op1(spark, write_tables(spark, str(tmp_path), rows)).collect(), [r[:2] for r in rows])
+    assert max(loads) - min(loads) < 0.01 * sum(loads) / 8
+
+
+def test_partitioning_does_not_matter(spark):
+    df = spark.createDataFrame([(i // 3 % 5, f"t{i % 4}") for i in range(300)], "doc_id long, text string")
+    one, many = (multiset(map(tuple, sharding.numbered_copies(df.repartition(n)).collect())) for n in (1, 9))
+    assert one == many and len(one) == 300
+
+
 def test_empty(spark, empty_sf):
     assert op1(spark, empty_sf).collect() == []
 
