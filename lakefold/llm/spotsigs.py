@@ -59,9 +59,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def signatures(words_col: str, text_col: str, anchors: tuple[str, ...] = ANCHORS) -> Column:
-    """The set of signature hashes from a column of ``words`` and its text."""
-    w, text = F.col(words_col), F.col(text_col)
+def bare_characters(words_col: str, text_col: str) -> Column:
+    """The characters of a text whose words say too little, else none."""
+    n = F.length(text_col)
+    bare = (n > 0) & ((n < SHORT) | (F.size(words_col) * SHORT < n))
+    return F.when(bare, F.split(F.lower(text_col), "")).otherwise(F.array().cast("array<string>"))
+
+
+def signatures(words_col: str, chars_col: str, anchors: tuple[str, ...] = ANCHORS) -> Column:
+    """The set of signature hashes from the columns of ``words`` and
+    ``bare_characters``.  Both must be columns: inside a lambda an expression
+    is evaluated again for every element."""
+    w, chars = F.col(words_col), F.col(chars_col)
 
     def start(x: Column, i: Column) -> Column:
         """(anchor, chain) if a chain starts at word i, else a null chain."""
@@ -73,17 +82,16 @@ def signatures(words_col: str, text_col: str, anchors: tuple[str, ...] = ANCHORS
 
     chains = F.filter(F.transform(w, start), lambda s: F.size(s["chain"]) >= F.when(s["common"], 1).otherwise(0))
     spots = F.transform(chains, lambda s: F.hash(s["common"], s["word"], s["chain"]))
-    chars = F.split(F.lower(text), "")
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(chars) - GRAM + 1, F.lit(1))),
                         lambda i: F.hash(F.lit("gram"), F.slice(chars, i, GRAM)))
-    n = F.length(text)
-    bare = (n > 0) & ((n < SHORT) | (F.size(w) * SHORT < n))
-    return F.array_sort(F.array_distinct(F.concat(spots, F.when(bare, grams).otherwise(F.array().cast("array<int>")))))
+    return F.array_sort(F.array_distinct(F.concat(
+        spots, F.when(F.size(chars) > 0, grams).otherwise(F.array().cast("array<int>")))))
 
 
 def with_signatures(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    return df.withColumn(f"{out}_words", words(F.col(text_col))).withColumn(
-        out, signatures(f"{out}_words", text_col)).drop(f"{out}_words")
+    w, chars = f"{out}_words", f"{out}_chars"
+    return (df.withColumn(w, words(F.col(text_col))).withColumn(chars, bare_characters(w, text_col))
+            .withColumn(out, signatures(w, chars)).drop(w, chars))
 
 
 def as_text(sigs: Column) -> Column:
