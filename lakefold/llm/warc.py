@@ -16,7 +16,13 @@ each task first follows the candidates inside its range to where they leave
 it, and pointer jumping over these range entries (one or few per range;
 log2(ranges) rounds) marks the entries that the file start reaches.  A
 second pass follows the chains from the marked entries and reads the
-records; a payload that crosses the range's end is read on.
+records; a header or payload that crosses the range's end is read on.  A
+file whose chain does not end exactly at its length (cut off, damaged) and a
+payload that disagrees with its header raise an error.
+
+Headers may have any length.  The ends of headers and the length fields are
+found by one pass over a range each, so a magic that payloads repeat costs a
+look-up and no scan of its own.
 
 Memory per task: one range and one record.
 
@@ -30,7 +36,9 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +52,8 @@ REVISIT_BYTES = 1000
 MAGIC = b"WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
 RANGE_BYTES = 4 << 20
-#: Headers longer than this are no record.
-MAX_HEADER = 1 << 18
+HEADER_END = b"\r\n\r\n"
+LENGTH_FIELD = re.compile(rb"\r\n[ \t]*content-length[ \t]*:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", re.IGNORECASE)
 #: No crawl time is given; a fixed one keeps archives reproducible.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -111,12 +119,12 @@ class Archive:
 
     def header(self, lo: int) -> tuple[dict[str, str], int] | None:
         """Fields of the record at ``lo`` and the offset of its block."""
-        for n in (2048, MAX_HEADER):
-            data = self.bytes(lo, n)
-            end = data.find(b"\r\n\r\n")
-            if end >= 0:
-                break
-        if end < 0 or not data.startswith(MAGIC):
+        n = 2048
+        while (end := (data := self.bytes(lo, n)).find(HEADER_END)) < 0:
+            if len(data) < n:
+                return None  # the file ends first
+            n *= 4
+        if not data.startswith(MAGIC):
             return None
         fields = {}
         for line in data[len(MAGIC):end].split(b"\r\n"):
@@ -127,18 +135,26 @@ class Archive:
         length = fields.get("content-length", "")
         return (fields, lo + end + 4) if length.isascii() and length.isdigit() else None
 
-    def successor(self, lo: int) -> int | None:
-        found = self.header(lo)
-        return None if found is None else found[1] + int(found[0]["content-length"]) + 4
-
     def candidates(self, lo: int, hi: int) -> list[tuple[int, int]]:
         """Every (magic's offset, offset after the record) from lo to hi - 1."""
         self.hold(lo, hi - lo + len(MAGIC) - 1)
-        out, at = [], self.data.find(MAGIC)
-        while at >= 0:
-            if (after := self.successor(lo + at)) is not None:
-                out.append((lo + at, after))
-            at = self.data.find(MAGIC, at + 1)
+        magics = [m.start() for m in re.finditer(re.escape(MAGIC), self.data)]
+        if not magics:
+            return []
+        while (end := self.data.find(HEADER_END, magics[-1])) < 0:  # read on to the end of the last header
+            more = self.f.read(RANGE_BYTES)
+            if not more:
+                break
+            self.data += more
+        ends = [m.start() for m in re.finditer(b"(?=" + HEADER_END + b")", self.data[:end + 4 if end >= 0 else None])]
+        lengths = [(m.start(), int(m.group(1))) for m in LENGTH_FIELD.finditer(self.data)]
+        places, out = [at for at, _ in lengths], []
+        for at in magics:
+            e, n = bisect.bisect_left(ends, at), -1
+            if e < len(ends):
+                n = bisect.bisect_left(places, ends[e]) - 1  # the last length field before the header's end
+            if n >= 0 and places[n] >= at:
+                out.append((lo + at, lo + ends[e] + 4 + lengths[n][1] + 4))
         return out
 
     def close(self) -> None:
@@ -195,6 +211,16 @@ def reached_entries(exits: DataFrame, most_ranges: int) -> DataFrame:
     return marked
 
 
+def check_chains(ranges: DataFrame, exits: DataFrame, marked: DataFrame) -> None:
+    """Raise unless the chain from each file's start ends at the file's end."""
+    ends = exits.join(marked, ["path", "off"], "left_semi").groupBy("path").agg(F.max("leaves").alias("leaves"))
+    files = ranges.filter("no = 0").select("path", "length")
+    bad = files.join(ends, "path", "left").filter("leaves IS NULL OR leaves <> length").limit(5).collect()
+    if bad:
+        raise ValueError("records do not fill their file: " + ", ".join(
+            f"{r.path} ({r.leaves} of {r.length} bytes)" for r in bad))
+
+
 RECORD = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
           "refers_to long, content_ok boolean")
 
@@ -204,15 +230,17 @@ def _page(name: str | None) -> int | None:
     return int(name) if name not in ("", "null") else None
 
 
-def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, with_payload: bool = False) -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, with_payload: bool = False,
+              strict: bool = True) -> DataFrame:
     """The records of the archives under ``folder``.  Size and digest are
     those of the full payload: computed from a response's block, and for a
     revisit those that the record states (it holds none).  ``content_ok``:
-    they agree with the headers."""
+    they agree with the headers; ``strict`` raises where they do not."""
     ranges = byte_ranges(spark, folder, range_bytes)
     exits = stage(range_exits(ranges), "warc-exits")
     most = ranges.agg(F.max("no")).first()[0]
     marked = reached_entries(exits, (most or 0) + 1)
+    check_chains(ranges, exits, marked)
     step = F.lit(range_bytes).cast("long")
     chains = ranges.join(marked.withColumn("no", F.floor(F.col("off") / step)), ["path", "no"]).filter("off < length")
 
@@ -236,6 +264,8 @@ def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES,
                     else:
                         size, digest = int(fields["x-payload-length"]), stated
                     ok = digest == stated and size == int(fields["x-payload-length"])
+                    if strict and not ok:
+                        raise ValueError(f"{r['path']}: the payload at offset {at} disagrees with its header")
                     out.append((_page(fields.get("warc-record-id")), fields.get("warc-target-uri"), size, digest,
                                 fields["warc-type"], _page(fields.get("warc-refers-to")), ok)
                                + ((payload,) if with_payload else ()))

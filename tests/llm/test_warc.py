@@ -1,5 +1,7 @@
+import glob
 import hashlib
 
+import pytest
 from conftest import multiset, write_tables
 
 from lakefold.llm import warc
@@ -66,3 +68,52 @@ def test_files_are_plain_warc(spark):
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and b"WARC-Target-URI: http://x/1" in head
     length = int(head.split(b"Content-Length: ")[-1])
     assert block[length:] == b"\r\n\r\n" and block[:length].endswith("<p>é</p>".encode())
+
+
+def archive(spark, rows, name):
+    return warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).orderBy("page_id"),
+                           scratch_path(spark, name) + "/warc")
+
+
+@pytest.mark.parametrize("place", [0, 5, 9])
+def test_very_long_urls_anywhere(spark, place):
+    """A header of a megabyte at the file's start, inside it, at its end, and
+    for small ranges at a range's start."""
+    rows = [(i, "data:" + "u" * 1_000_000 if i == place else f"http://x/{i}", f"<p>{i}</p>" * 40) for i in range(10)]
+    folder = archive(spark, rows, "t7c")
+    for size in (100_000, warc.RANGE_BYTES):
+        got = warc.read_warc(spark, folder, range_bytes=size).collect()
+        assert multiset((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected([(i, h) for i, _, h in rows])
+        assert {r.page_id: r.url for r in got}[place] == rows[place][1]
+
+
+def test_long_url_through_the_query(spark, tmp_path):
+    rows = [(1, "x" * 300_000, "a"), (2, "http://x/2", "b")]
+    assert multiset(map(tuple, op7(spark, write_tables(spark, str(tmp_path), [], pages=rows)).collect())) == expected([(1, "a"), (2, "b")])
+
+
+def damaged(folder, change):
+    (path,) = glob.glob(f"{folder.removeprefix('file:')}/part-*")
+    with open(path, "rb") as f:
+        data = f.read()
+    with open(path, "wb") as f:
+        f.write(change(data))
+    for crc in glob.glob(f"{folder.removeprefix('file:')}/.*.crc"):
+        open(crc, "wb").close()
+
+
+@pytest.mark.parametrize("change,message", [
+    (lambda d: d[:-300], "do not fill"), (lambda d: d[:700], "do not fill"), (lambda d: d[3:], "do not fill"),
+    (lambda d: d + b"x", "do not fill"), (lambda d: d.replace(b"<p>3</p>", b"<p>4</p>", 1), "disagrees")])
+def test_damaged_files_raise(spark, change, message):
+    folder = archive(spark, [(i, f"http://x/{i}", f"<p>{i}</p>" * 40) for i in range(6)], "t7d")
+    damaged(folder, change)
+    for size in (200, warc.RANGE_BYTES):
+        with pytest.raises(Exception, match=message):
+            warc.read_warc(spark, folder, range_bytes=size).collect()
+
+
+def test_repeated_magic_without_header_end(spark):
+    rows = [(1, "http://x/1", "WARC/1.1\r\nContent-Length: 5\r\n" * 20_000), (2, "http://x/2", "b")]
+    got = warc.read_warc(spark, archive(spark, rows, "t7e"), range_bytes=50_000).collect()
+    assert sorted(r.page_id for r in got) == [1, 2]
