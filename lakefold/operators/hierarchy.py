@@ -40,3 +40,28 @@ def label_hierarchy(
         own = own.unionByName(top.select(*wanted))
     cond = (with_prefix[period] == own["__p"]) & (with_prefix[prefix_col] == own["__k"])
     return with_prefix.join(own, cond, "left").select(*with_prefix.columns, label_col)
+
+
+def relabel(
+    stored: DataFrame,
+    batch: DataFrame,
+    code: str = "C1",
+    name: str = "C1_NM",
+    period: str = "PRD_DE",
+    prefix_col: str = "C1_SIDO",
+    label_col: str = "C1_NM_SIDO",
+    width: int = 2,
+) -> DataFrame:
+    """Labels kept up to date: ``stored`` with the labels that the top-level
+    rows of ``batch`` now give, whenever their codes arrived.
+
+    The (period, prefix) pairs whose top-level row the batch brings find the
+    stored codes below them; all other rows keep their label.  Where the
+    batch has several top-level rows of a pair, the greatest name counts, as
+    in a batch that holds one row per key.  A pair's rows all have its
+    period, so they lie in the partitions that the batch touches anyway."""
+    tops = (batch.filter((code_length(code) == width) & F.col(period).isNotNull())
+            .groupBy(F.col(period).alias("__p"), code_prefix(code, width).alias("__k")).agg(F.max(name).alias("__name")))
+    joined = stored.join(tops, (stored[period] == tops["__p"]) & (stored[prefix_col] == tops["__k"]), "left")
+    new = F.when(F.col("__k").isNotNull(), F.col("__name")).otherwise(F.col(label_col)).alias(label_col)
+    return joined.select(*[new if c == label_col else F.col(c) for c in stored.columns])

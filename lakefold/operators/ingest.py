@@ -252,6 +252,47 @@ def request_plan(
     return paged.select(*keep, "keyword", label.alias("period"), "page", url.alias("url"))
 
 
+def backfill_plan(
+    keywords: DataFrame,
+    arrived: DataFrame,
+    keyword_col: str,
+    day_col: str,
+    start: Column,
+    end: Column,
+    base_url: str,
+    max_days: int | None = None,
+    quote: bool = True,
+) -> DataFrame:
+    """R4 + R5: the fewest requests that fetch what is missing.
+
+    ``arrived`` holds the (keyword, day) pairs that landed; of the days from
+    ``start`` to ``end`` that a keyword lacks, neighbouring ones form one
+    range, and each range is one request (of ``max_days`` at most).  Only the
+    distinct days of a keyword are gathered, which the period bounds, so a
+    keyword may hold any share of the rows.  Returns the keyword, ``first_day``,
+    ``last_day``, ``n_days`` and the ``url`` of the range's first page.
+    """
+    wanted = keywords.select(keyword_col).distinct().withColumn("__days", day_series(start, end))
+    known = (arrived.filter(F.col(day_col).between(start, end)).groupBy(F.col(keyword_col).alias("__k"))
+             .agg(F.collect_set(day_col).alias("__known")))
+    missing = wanted.join(known, F.col(keyword_col) == F.col("__k"), "left").select(keyword_col, F.array_except(
+        "__days", F.coalesce("__known", F.array().cast("array<date>"))).alias("__m"))
+    opens = F.filter("__m", lambda d, i: (i == 0) | (F.date_diff(d, F.get(F.col("__m"), i - 1)) > 1))
+    closes = F.filter("__m", lambda d, i: (i == F.size("__m") - 1) | (F.date_diff(F.get(F.col("__m"), i + 1), d) > 1))
+    ranges = missing.select(keyword_col, F.explode(F.arrays_zip(opens.alias("lo"), closes.alias("hi"))).alias("r")).select(
+        keyword_col, F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"))
+    if max_days:
+        steps = F.sequence(F.lit(0), F.date_diff("hi", "lo"), F.lit(max_days))
+        ranges = ranges.select(keyword_col, "hi", F.col("lo"), F.explode(steps).alias("at")).select(
+            keyword_col, F.date_add("lo", F.col("at")).alias("lo"), F.least("hi", F.date_add("lo", F.col("at") + max_days - 1)).alias("hi"))
+    term = F.concat(F.lit('"'), F.col(keyword_col), F.lit('"')) if quote else F.col(keyword_col)
+    day = lambda c: format_day(c, "yyyy.MM.dd")
+    return ranges.withColumn("__term", term).select(
+        keyword_col, F.col("lo").alias("first_day"), F.col("hi").alias("last_day"), (F.date_diff("hi", "lo") + 1).alias("n_days"),
+        F.concat(F.lit(base_url), F.lit(SEARCH_QUERY), url_term("__term"), F.lit(SEARCH_FROM), day("lo"), F.lit(SEARCH_TO), day("hi"),
+                 F.lit(SEARCH_START), F.lit("1")).alias("url"))
+
+
 def arrival_report(
     bronze: DataFrame, day_col: str, start: Column | None = None, end: Column | None = None, pad_days: int = 0
 ) -> DataFrame:
@@ -284,6 +325,13 @@ def with_message_key(df: DataFrame, key_col: str = "message_key") -> DataFrame:
     return df.withColumn(key_col, F.expr("uuid()"))
 
 
+def with_stable_key(df: DataFrame, columns: Iterable[str] | None = None, key_col: str = "message_key") -> DataFrame:
+    """R7 for messages that may be sent again: a digest of the record (or of
+    ``columns``), the same for every copy of it."""
+    own = list(columns or df.columns)
+    return df.withColumn(key_col, F.sha2(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}), 256))
+
+
 def contract_errors(df: DataFrame, required: Iterable[str], coerce: bool = True) -> DataFrame:
     """Add ``contract_errors`` (array of ``missing:<col>`` /
     ``type:<col>``).  Every field must be text; with ``coerce=True`` other

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Shuffle buckets over which rows with a null key part are spread.
 NULL_SALTS = 1024
@@ -21,6 +22,13 @@ def all_keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _hashable(t: T.DataType) -> bool:
+    """Spark hashes anything but maps."""
+    if isinstance(t, T.StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return not isinstance(t, T.MapType) and (not isinstance(t, T.ArrayType) or _hashable(t.elementType))
+
+
 def key_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool = False) -> DataFrame:
     """Equi-join (``left``, ``left_semi`` or ``left_anti``) on same-named
     keys.  Keeps the left key columns only and the left side's column order.
@@ -37,7 +45,8 @@ def key_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_sa
     if null_safe:
         cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in on])
     else:
-        salt = F.when(all_keys_present(on), 0).otherwise(F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)) + 1)
+        hashed = [f.name for f in left.schema.fields if _hashable(f.dataType)]
+        salt = F.when(all_keys_present(on), 0).otherwise(F.pmod(F.xxhash64(*hashed), F.lit(NULL_SALTS)) + 1)
         columns, left = left.columns, left.withColumn(_SALT, salt)
         # 0 too, but not a literal: that would be folded into a condition on the left side and no longer hashed
         zero = F.pmod(F.xxhash64(*[f"__r_{k}" for k in on]), F.lit(1).cast("long"))

@@ -27,6 +27,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakefold.operators.evolve import conform, conform_both, merge_schemas
 from lakefold.operators.joins import all_keys_present, key_join
 
 NULL_KEY_MODES = ("reinsert", "drop", "null_safe")
@@ -98,8 +99,9 @@ def check_cardinality(target: DataFrame, source: DataFrame, on: list[str], null_
 
 
 def union_evolving(frames: list[DataFrame]) -> DataFrame:
-    """M7: ``unionByName`` that adds missing columns as nulls."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """M7: all rows in the merged schema (see ``operators.evolve``)."""
+    schema = reduce(merge_schemas, [f.schema for f in frames])
+    return reduce(lambda a, b: a.unionByName(b), [conform(f, schema) for f in frames])
 
 
 # --------------------------------------------------------------------------
@@ -126,8 +128,9 @@ def merge(
                   a list of column names, or ``{target_col: source_col}``.
     insert        ``"all"`` inserts source rows without a match, None skips.
     delete        delete matched target rows (wins over ``update``).
-    evolve        add source-only columns to the table (old rows get null);
-                  with ``False`` such columns raise ``ValueError``.
+    evolve        merge the schemas: source-only columns and nested fields are
+                  added (old rows get null), types widen on both sides; with
+                  ``False`` source-only columns raise ``ValueError``.
     null_keys     ``"reinsert"``: null keys never match and null-key source
                   rows are inserted on every run (the reference behaviour);
                   ``"drop"``: null-key source rows are discarded;
@@ -152,6 +155,8 @@ def merge(
     if extra and not evolve:
         raise ValueError(f"source columns not in target and evolve=False: {extra}")
     null_safe = null_keys == "null_safe"
+    if evolve:
+        target, source = conform_both(target, source)
 
     if null_keys == "drop":
         source = source.filter(all_keys_present(on))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakefold.functions import clean
 from lakefold.operators.dedup import distinct_rows, purge_duplicates
-from lakefold.operators.hierarchy import label_hierarchy
+from lakefold.operators.hierarchy import label_hierarchy, relabel
 from lakefold.operators.joins import key_join
 from lakefold.operators.merge import latest_per_key, merge
 from lakefold.operators.periods import last_days
@@ -40,6 +40,9 @@ AIR_PARTITION = "data_month"
 CENSUS_COLUMNS = ["PRD_DE", "C1", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
 CENSUS_KEYS = ["PRD_DE", "C1"]
 CENSUS_UPDATE = ["C1_NM_SIDO", "C1_NM", "C1_NM_ENG", "TBL_ID", "DT"]
+CENSUS_SILVER = [*CENSUS_COLUMNS, "C1_SIDO", "C1_NM_SIDO"]
+#: A period has a few hundred rows: a year's periods share a partition.
+CENSUS_PARTITION = "period_year"
 
 #: Partitions of the news table: hash buckets of its key, which has no date.
 NEWS_PARTITION, NEWS_BUCKETS = "key_bucket", 64
@@ -87,7 +90,7 @@ def census_transform(bronze: DataFrame, top: Callable[[DataFrame], DataFrame] |
             "C1_SIDO": clean.code_prefix("C1", 2),
         }
     )
-    projected = stage(projected, "census-rows")
+    projected = stage(projected.withColumn(CENSUS_PARTITION, F.year("PRD_DE")), "census-rows")
     return label_hierarchy(projected, top=top(projected) if top else None)
 
 
@@ -101,14 +104,14 @@ class DatasetSpec:
     update: list[str] = field(default_factory=list)
     #: Silver partition columns.  Each must be a function of the merge key
     #: (so a key never spans partitions); a run then rewrites only the
-    #: partitions its batch touches: months of air readings, periods of the
+    #: partitions its batch touches: months of air readings, years of the
     #: census, hash buckets of the news key (which has no date).
     partition_by: tuple[str, ...] = ()
 
 
 NEWS = DatasetSpec("news_collection", NEWS_KEYS, news_transform, "purge", [], (NEWS_PARTITION,))
 AIR = DatasetSpec("air_quality", AIR_KEYS, air_transform, "update", AIR_UPDATE, (AIR_PARTITION,))
-CENSUS = DatasetSpec("census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE, ("PRD_DE",))
+CENSUS = DatasetSpec("census_data_collection", CENSUS_KEYS, census_transform, "update", CENSUS_UPDATE, (CENSUS_PARTITION,))
 SPECS = {s.name: s for s in (NEWS, AIR, CENSUS)}
 
 
@@ -117,14 +120,18 @@ class RunOptions:
     """``on_conflict="latest"`` keeps, of several rows of a key, the one that
     landed last (Bronze is append-only and read again: a revised value comes
     beside the old one); ``"error"`` raises, as a plain merge does.
-    ``roll_day``: hour 24 is hour 0 of the next day, not of the same."""
+    ``roll_day``: hour 24 is hour 0 of the next day, not of the same.
+    ``keep_labels``: a census code takes its label from a stored top-level
+    row too, and a top-level row that arrives later relabels the stored codes
+    below it; without, labels come from the codes' own batch alone."""
 
     on_conflict: str = "latest"
     roll_day: bool = True
+    keep_labels: bool = True
 
 
 #: The rules of the reference's jobs.
-REFERENCE = RunOptions(on_conflict="error", roll_day=False)
+REFERENCE = RunOptions(on_conflict="error", roll_day=False, keep_labels=False)
 
 
 def merge_batch(spec: DatasetSpec, target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -160,14 +167,35 @@ def landed_between(bronze: DataFrame, ref: str, days: int) -> DataFrame:
     return last_days(bronze, LANDED, ref, days)
 
 
-def _store(spec: DatasetSpec, table: SilverTable, batch: DataFrame, applied: tuple[str, int] | None = None) -> None:
+def _known_top(table: SilverTable) -> Callable[[DataFrame], DataFrame]:
+    """Stored top-level rows of the touched partitions that the projected
+    rows of a batch do not bring themselves."""
+
+    def known(projected: DataFrame) -> DataFrame:
+        stored = table.read(table.partition_values(projected)).filter(F.length("C1") == 2)
+        return key_join(stored, projected.select("PRD_DE", "C1"), ["PRD_DE", "C1"], "left_anti").select(
+            "PRD_DE", "C1", "C1_NM")
+
+    return known
+
+
+def _merge_into(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, options: RunOptions,
+                applied: tuple[str, int] | None = None) -> None:
+    """Transform a batch of Bronze and merge it into the partitions of
+    ``table`` that it touches."""
+    labels = spec is CENSUS and options.keep_labels and table.exists()
+    batch = prepare(spec, bronze, options, **({"top": _known_top(table)} if labels else {}))
     if not table.exists():
         table.write(fold(spec, None, batch), applied)
-    elif table.partition_by:
-        touched = table.partition_values(batch)
-        table.replace(fold(spec, table.read(touched), batch), touched, applied)
+        return
+    touched = table.partition_values(batch) if table.partition_by else None
+    merged = fold(spec, table.read(touched), batch)
+    if labels:
+        merged = relabel(merged, batch)
+    if touched is None:
+        table.write(merged, applied)
     else:
-        table.write(fold(spec, table.read(), batch), applied)
+        table.replace(merged, touched, applied)
 
 
 def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, options: RunOptions = RunOptions()) -> None:
@@ -175,7 +203,7 @@ def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, options: RunOp
     ``table``.  On a partitioned table only the partitions present in the
     batch are read, merged and rewritten.  Staged copies go with the run."""
     with staging(bronze.sparkSession):
-        _store(spec, table, prepare(spec, bronze, options))
+        _merge_into(spec, bronze, table, options)
 
 
 def stream_run(spec: DatasetSpec, bronze_stream: DataFrame, table: SilverTable, checkpoint: str,
@@ -183,21 +211,13 @@ def stream_run(spec: DatasetSpec, bronze_stream: DataFrame, table: SilverTable,
     """T6 for a dataset: every micro-batch of Bronze is transformed and
     merged into ``table`` (only new Bronze files are read, instead of the
     whole feed on every run).  The first micro-batch of a missing table
-    follows the first-run rule.  A code whose top-level row came in an
-    earlier micro-batch takes its label from the table; a top-level row that
-    comes after its codes relabels them when they are delivered again.
-    Returns the finished streaming query."""
+    follows the first-run rule.  With ``keep_labels`` the labels do not
+    depend on the order in which codes and top-level rows arrive.  Returns the
+    finished streaming query."""
     from lakefold.streaming.jobs import apply_once
 
-    def known_top(projected: DataFrame) -> DataFrame:
-        """Top-level rows of the touched periods that this batch does not bring."""
-        stored = table.read(table.partition_values(projected)).filter(F.length("C1") == 2)
-        return key_join(stored, projected.select("PRD_DE", "C1"), ["PRD_DE", "C1"], "left_anti").select(
-            "PRD_DE", "C1", "C1_NM")
-
     def apply(batch: DataFrame, applied: tuple[str, int]) -> None:
         with staging(batch.sparkSession):
-            known = {"top": known_top} if spec is CENSUS and table.exists() else {}
-            _store(spec, table, prepare(spec, batch, options, **known), applied)
+            _merge_into(spec, batch, table, options, applied)
 
     return apply_once(bronze_stream, table, checkpoint, apply)

@@ -238,3 +238,61 @@ def api_payloads(events: DataFrame) -> DataFrame:
         .otherwise(listed)
     )
     return events.select("event_id", raw.alias("raw"))
+
+
+# -- topics with offsets ---------------------------------------------------------
+
+
+def topic_messages(events: DataFrame) -> DataFrame:
+    """Events as messages of a topic per type with three partitions, offsets
+    in order of the event; some offsets are lost on the way."""
+    from pyspark.sql import Window
+
+    partition = (F.col("user_id") % 3).cast("int")
+    numbered = events.select(
+        F.col("event_type").alias("topic"), partition.alias("partition"),
+        (F.row_number().over(Window.partitionBy("event_type", partition).orderBy("event_id")) - 1).cast("long").alias("offset"),
+        F.encode("props", "UTF-8").alias("value"))
+    return numbered.filter("offset % 50 NOT IN (7, 8, 9) AND offset NOT BETWEEN 100 AND 120")
+
+
+# -- growing log files -----------------------------------------------------------
+
+#: Documents whose lines share a log file.
+LOG_FILE_DOCS = 500
+
+
+def write_log_files(documents: DataFrame, folder: str, share: float) -> None:
+    """The lines of ``documents`` as log files of a source and a range of
+    ids each, up to the first ``share`` of their bytes: a call with a larger
+    share finds the files grown, wherever the cut lies.  Files are written
+    whole, by name, so a repeated task does no harm."""
+    from lakefold.sources.logtail import open_fs
+
+    lines = documents.select(
+        F.concat(F.url_encode(F.coalesce("source", F.lit(""))), F.lit("-"), F.expr(f"doc_id div {LOG_FILE_DOCS}"), F.lit(".log")).alias("file"),
+        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    sizes = lines.groupBy("file").agg(F.sum(F.octet_length("line") + 1).alias("size"))
+    ordered = lines.join(sizes, "file").repartition("file").sortWithinPartitions("file", "doc_id", "pos")
+
+    def write(batches):
+        import pyarrow as pa
+
+        filesystem, root = open_fs(folder)
+        filesystem.create_dir(root, recursive=True)
+        name, out, left = None, None, 0
+        for batch in batches:
+            for file, line, size in zip(*(c.to_pylist() for c in batch.columns)):
+                if file != name:
+                    if out:
+                        out.close()
+                    name, left = file, int(size * share)
+                    out = filesystem.open_output_stream(f"{root}/{file}")
+                data = line.encode() + b"\n"
+                out.write(data[:left])
+                left = max(0, left - len(data))
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_pydict({"done": pa.array([True])})
+
+    ordered.select("file", "line", "size").mapInArrow(write, "done boolean").count()

@@ -34,6 +34,44 @@ LISTING_HREF, LISTING_TITLE = '<a href="([^"]*)">', '<a href="[^"]*">(.*?)</a>'
 LINE_START = "^[A-Z]"
 
 
+#: Raw pages read by a stack, one token of every page per recursion step.
+LISTING_TREE = r"""
+WITH RECURSIVE cut AS (SELECT page_id, regexp_extract_all(html, '(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|<[!?][^>]*>|</[a-z][^>]*>|<[a-z][^>]*>|[^<]+|<') AS t FROM pages),
+named AS (SELECT page_id, unnest(t) AS raw, generate_subscripts(t, 1) AS i FROM cut),
+tok AS (SELECT *, lower(regexp_extract(raw, '^</?([a-zA-Z][^\s/>]*)', 1)) AS name FROM named),
+kinds AS (SELECT *, CASE WHEN raw[1] <> '<' OR raw = '<' THEN 'text' WHEN name = '' THEN 'skip' WHEN raw[2] = '/' THEN 'close'
+    WHEN name IN ('br', 'meta', 'script', 'style', 'img', 'link', 'input', 'hr') OR raw[-2:] = '/>' THEN 'void' ELSE 'open' END AS kind FROM tok),
+walk AS (
+    SELECT page_id, CAST(0 AS BIGINT) AS i, 'skip' AS kind, '' AS name, '' AS raw,
+           CAST([] AS STRUCT(no BIGINT, name VARCHAR)[]) AS up, CAST([] AS STRUCT(no BIGINT, name VARCHAR)[]) AS stack FROM cut
+    UNION ALL
+    SELECT w.page_id, k.i, k.kind, k.name, k.raw, w.stack,
+        CASE WHEN k.kind = 'open' THEN list_append(w.stack, {'no': k.i, 'name': k.name})
+             WHEN k.kind = 'close' AND list_contains([x.name for x in w.stack], k.name)
+             THEN w.stack[1:len(w.stack) - list_position(list_reverse([x.name for x in w.stack]), k.name)]
+             ELSE w.stack END
+    FROM walk w JOIN kinds k ON k.page_id = w.page_id AND k.i = w.i + 1),
+placed AS (SELECT *, [x.no for x in up] AS ids, '/' || array_to_string([x.name for x in up], '/') || '/' AS path FROM walk),
+items AS (SELECT page_id, i, ids, 'nav' AS listing FROM placed WHERE kind = 'open' AND name = 'li' AND path LIKE '%/nav/ul/'
+    UNION ALL SELECT page_id, i, ids, 'article' FROM placed WHERE kind = 'open' AND name = 'p' AND path LIKE '%/article/%'),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY page_id, listing ORDER BY i) AS item_no FROM items),
+texts AS (SELECT page_id, i, ids, regexp_replace(replace(replace(replace(replace(replace(replace(raw, '&copy;', '©'), '&middot;', '·'),
+    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS t FROM placed WHERE kind = 'text'),
+inside AS (SELECT n.page_id, n.i, string_agg(x.t, '' ORDER BY x.i) AS text FROM items n JOIN texts x
+    ON n.page_id = x.page_id AND list_contains(x.ids, n.i) GROUP BY n.page_id, n.i, n.listing),
+links AS (SELECT n.page_id, n.i, arg_min(regexp_extract(a.raw, 'href="([^"]*)"', 1), a.i) AS extra FROM items n JOIN placed a
+    ON n.page_id = a.page_id AND n.listing = 'nav' AND a.name = 'a' AND a.kind = 'open' AND list_contains(a.ids, n.i) GROUP BY n.page_id, n.i),
+bolds AS (SELECT n.page_id, n.i, min(b.i) AS b FROM items n JOIN placed b
+    ON n.page_id = b.page_id AND n.listing = 'article' AND b.name = 'b' AND b.kind = 'open' AND b.ids[-1] = n.i GROUP BY n.page_id, n.i),
+leads AS (SELECT s.page_id, s.i, coalesce(string_agg(x.t, '' ORDER BY x.i), '') AS extra FROM bolds s LEFT JOIN texts x
+    ON s.page_id = x.page_id AND list_contains(x.ids, s.b) GROUP BY s.page_id, s.i)
+SELECT n.page_id, n.listing, CAST(n.item_no AS INTEGER) AS item_no,
+    CAST((SELECT max(o.item_no) FROM numbered o WHERE o.page_id = n.page_id AND o.listing = n.listing AND list_contains(n.ids, o.i)) AS INTEGER) AS parent_no,
+    coalesce(x.text, '') AS text, coalesce(l.extra, b.extra) AS extra
+FROM numbered n LEFT JOIN inside x USING (page_id, i) LEFT JOIN links l USING (page_id, i) LEFT JOIN leads b USING (page_id, i)
+"""
+
+
 def _date_minus(day: str, n: int) -> str:
     return f"CAST(DATE '{day}' - INTERVAL {n} DAY AS TIMESTAMP)"
 
@@ -372,6 +410,7 @@ UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey =
         "WITH " + census_bronze_ctes("cb", "DT_S", None).strip() + ","
         + census_transform_ctes("cb", "ct") + "\nSELECT * FROM ct"
     )
+    sql["stream_run_census_late"] = sql["stream_run_census"]
     sql["run_dataset_census"] = (
         "WITH " + census_bronze_ctes("ca", "DT_A", d.CENSUS_RUN1_END).strip() + ","
         + census_bronze_ctes("cb", "DT_B", None) + ","
@@ -446,6 +485,28 @@ UNION ALL SELECT event_id, false, 'error', CAST(NULL AS INTEGER), CAST(NULL AS B
 UNION ALL SELECT event_id, true, 'error', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM events"""
     sql["request_plan_daily"] = plan_sql(True)
     sql["request_plan_monthly"] = plan_sql(False)
+    sql["request_backfill"] = """
+WITH RECURSIVE k AS (SELECT DISTINCT concat_ws(' ', source, lang) AS keyword FROM documents),
+known AS (SELECT DISTINCT concat_ws(' ', source, lang) AS keyword, DATE '2024-01-01' + CAST((doc_id * 7919) % 67 AS INTEGER) AS day FROM documents),
+days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-29', INTERVAL 1 DAY)) AS DATE) AS day),
+missing AS (SELECT k.keyword, d.day FROM k, days d WHERE NOT EXISTS (SELECT 1 FROM known n WHERE n.keyword = k.keyword AND n.day = d.day)),
+r AS (SELECT keyword, day AS first_day, day AS last_day FROM missing m
+      WHERE NOT EXISTS (SELECT 1 FROM missing o WHERE o.keyword = m.keyword AND o.day = m.day - 1)
+      UNION ALL
+      SELECT r.keyword, r.first_day, m.day FROM r JOIN missing m ON m.keyword = r.keyword AND m.day = r.last_day + 1),
+w AS (SELECT keyword, first_day, max(last_day) AS last_day FROM r GROUP BY keyword, first_day)
+SELECT keyword, first_day, last_day, CAST(last_day - first_day + 1 AS INTEGER) AS n_days,
+       'https://search.example.com/news?where=news&query=%22' || replace(keyword, ' ', '+') || '%22&sort=1&pd=3&ds=' || strftime(first_day, '%Y.%m.%d')
+       || '&de=' || strftime(last_day, '%Y.%m.%d') || '&start=1' AS url FROM w"""
+    sql["topic_drain_offsets"] = """
+WITH n AS (SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+                  row_number() OVER (PARTITION BY event_type, user_id % 3 ORDER BY event_id) - 1 AS o FROM events),
+kept AS (SELECT * FROM n WHERE o % 50 NOT IN (7, 8, 9) AND o NOT BETWEEN 100 AND 120),
+ends AS (SELECT topic, partition, count(*) AS n_messages, min(o) AS first_offset, max(o) AS last_offset FROM kept GROUP BY ALL),
+holes AS (SELECT topic, partition, o + 1 AS lo, lead(o) OVER (PARTITION BY topic, partition ORDER BY o) - 1 AS hi FROM kept),
+lost AS (SELECT topic, partition, sum(hi - lo + 1) AS n, string_agg(lo || '-' || hi, ',' ORDER BY lo) AS r FROM holes WHERE hi >= lo GROUP BY ALL)
+SELECT e.*, CAST(coalesce(l.n, 0) AS BIGINT) AS n_lost, coalesce(l.r, '') AS lost_ranges FROM ends e LEFT JOIN lost l USING (topic, partition)"""
+    sql["replayed_messages"] = "SELECT * FROM events"
     sql["contract_check"] = """
 WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS c_name,
                   CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer),
@@ -470,5 +531,30 @@ FROM events GROUP BY ALL"""
     sql["landing_stream"] = "SELECT * FROM events"
     sql["open_or_create"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
     sql["register_table"] = "SELECT CAST(c_nationkey AS INTEGER) AS c_nationkey, count(*) AS n_customers FROM customer GROUP BY c_nationkey"
+    sql["log_tail"] = f"""
+WITH l AS (SELECT coalesce(source, '') || '-' || CAST(doc_id // 500 AS VARCHAR) || '.log' AS file, doc_id,
+                  unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents),
+p AS (SELECT file, regexp_replace(raw, '\\r$', '') AS line,
+             sum(strlen(raw) + 1) OVER (PARTITION BY file ORDER BY doc_id, ln) - strlen(raw) - 1 AS first FROM l),
+s AS (SELECT *, sum(CASE WHEN first = 0 OR regexp_matches(line, '{LINE_START}') THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY file ORDER BY first) AS event_no FROM p)
+SELECT file, CAST(min(first) AS BIGINT) AS start, CAST(count(*) AS INTEGER) AS n_lines,
+       string_agg(line, chr(10) ORDER BY first) AS event FROM s GROUP BY file, event_no"""
+    sql["listing_tree"] = LISTING_TREE
+    sql["schema_merge"] = """
+WITH t AS (SELECT c_custkey, c_name AS name, c_nationkey AS nation, CAST(NULL AS VARCHAR) AS tier,
+                  CAST(c_custkey % 100 AS VARCHAR) AS visits, c_mktsegment AS tags, CAST(c_nationkey AS BIGINT) AS attr, c_acctbal FROM customer),
+w AS (SELECT c_custkey, upper(c_name) AS name, c_nationkey AS nation, 'new' AS tier, CAST(c_custkey * 10000000000 AS VARCHAR) AS visits,
+             c_mktsegment || ':7' AS tags, c_custkey * 10000000000 AS attr FROM customer WHERE c_acctbal >= 2000 AND c_custkey % 4 <> 3),
+one AS (SELECT * FROM w UNION ALL
+        SELECT t.* EXCLUDE (c_acctbal) FROM t WHERE c_acctbal < 5000 AND c_custkey NOT IN (SELECT c_custkey FROM w)),
+m AS (SELECT * EXCLUDE (c_acctbal) REPLACE ('many' AS visits) FROM t WHERE c_custkey % 12 = 0),
+two AS (SELECT * FROM m UNION ALL SELECT * FROM one WHERE c_custkey NOT IN (SELECT c_custkey FROM m)),
+both_steps AS (SELECT 1 AS step, * FROM one UNION ALL SELECT 2, * FROM two)
+SELECT step, CAST(c_custkey AS BIGINT) AS c_custkey, name, CAST(nation AS INTEGER) AS nation, tier, visits, tags,
+       CAST(attr AS BIGINT) AS attr FROM both_steps"""
     sql["compaction"] = "SELECT * FROM events"
+    sql["compaction_report"] = """
+SELECT event_type, count(DISTINCT event_id % 5) AS files_before, CAST(1 AS BIGINT) AS files_after, true AS no_larger, count(*) AS n_rows
+FROM events GROUP BY event_type"""
     return sql

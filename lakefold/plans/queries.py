@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 
 from lakefold.functions import clean, logtext
 from lakefold.operators import dedup, ingest, merge as m, periods
+from lakefold.operators.listing import listing_tree
 from lakefold.operators.multiline import assemble_events
+from lakefold.operators.offsets import drain_report
 from lakefold.plans import datasets, derived
 from lakefold.plans.derived import table
 from lakefold.session import scratch_path, stage
@@ -27,7 +29,9 @@ from lakefold.schemas import Contract
 from lakefold.sinks.bronze import land_bronze
 from lakefold.sinks.kafka import to_records
 from lakefold.sources.catalog import register_silver, register_table
+from lakefold.sources.compaction import compact
 from lakefold.sources.files import all_string_schema, read_source
+from lakefold.sources.logtail import tail_events
 from lakefold.sources.silver import SilverTable
 from lakefold.streaming import jobs
 
@@ -123,7 +127,7 @@ def month_period(spark, sf_dir):
 
 
 def hierarchy_label(spark, sf_dir):
-    return datasets.census_transform(derived.census_bronze(spark, sf_dir, "DT_1"))
+    return datasets.census_transform(derived.census_bronze(spark, sf_dir, "DT_1")).select(*datasets.CENSUS_SILVER)
 
 
 def lookback_window(spark, sf_dir):
@@ -233,6 +237,40 @@ def schema_evolution(spark, sf_dir):
     return m.merge(t, s, ["c_custkey"], update="all", insert="all", evolve=True)
 
 
+def _profiles(customer: DataFrame) -> DataFrame:
+    return customer.select(
+        "c_custkey", (F.col("c_custkey") % 4).cast("int").alias("bucket"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").cast("int").alias("nation")).alias("profile"),
+        (F.col("c_custkey") % 100).cast("int").alias("visits"),
+        F.array(F.struct(F.col("c_mktsegment").alias("k"))).alias("tags"),
+        F.create_map(F.lit("n"), F.col("c_nationkey").cast("int")).alias("attrs"))
+
+
+def schema_merge(spark, sf_dir):
+    """M7/K1: into a stored table, first a batch with new nested fields and
+    wider numbers, which leaves the files of untouched partitions as they
+    are; then one whose numbers are texts, which rewrites them."""
+    customer = table(spark, sf_dir, "customer")
+    st = SilverTable(spark, scratch_path(spark, "silver_profiles"), partition_by=["bucket"])
+    st.write(_profiles(customer.filter(F.col("c_acctbal") < ACCTBAL_TARGET_END)))
+    wider = _profiles(customer.filter((F.col("c_acctbal") >= ACCTBAL_SOURCE_START) & (F.col("c_custkey") % 4 != 3))).withColumns({
+        "profile": F.struct(F.upper("profile.name").alias("name"), "profile.nation", F.lit("new").alias("tier")),
+        "visits": F.col("c_custkey").cast("long") * 10_000_000_000,
+        "tags": F.transform("tags", lambda t: F.struct(F.lit(7).alias("w"), t["k"].alias("k"))),
+        "attrs": F.create_map(F.lit("n"), F.col("c_custkey").cast("long") * 10_000_000_000)})
+    texts = _profiles(customer.filter(F.col("c_custkey") % 12 == 0)).withColumn("visits", F.lit("many"))
+    states = []
+    for step, batch in ((1, wider), (2, texts)):
+        touched = st.partition_values(batch)
+        st.replace(m.merge(st.read(touched), batch, ["c_custkey"], update="all", insert="all"), touched)
+        states.append(stage(st.read().select(
+            F.lit(step).alias("step"), F.col("c_custkey").cast("long").alias("c_custkey"), "profile.name", "profile.nation", "profile.tier",
+            F.col("visits").cast("string").alias("visits"),
+            F.array_join(F.transform("tags", lambda t: F.concat_ws(":", t["k"], t["w"].cast("string"))), ",").alias("tags"),
+            F.col("attrs")["n"].alias("attr")), "profiles"))
+    return states[0].unionByName(states[1])
+
+
 # -- dataset runs ------------------------------------------------------------------
 
 
@@ -277,20 +315,34 @@ def run_dataset_air_cumulative(spark, sf_dir):
 
 def run_dataset_census(spark, sf_dir):
     first, second = derived.census_runs(spark, sf_dir)
-    return _two_runs(spark, datasets.CENSUS, first, second)
+    return _two_runs(spark, datasets.CENSUS, first, second).select(*datasets.CENSUS_SILVER)
 
 
-def stream_run_census(spark, sf_dir):
-    """T6 for a dataset: the top-level rows arrive in the first micro-batch,
-    the other codes in later ones; labels come from the table."""
+def _stream_census(spark, sf_dir, tops_first: bool) -> DataFrame:
+    """The top-level rows in a micro-batch of their own, before or after
+    those of the other codes."""
     src = scratch_path(spark, "census_stream")
     bronze = stage(derived.census_bronze(spark, sf_dir, "DT_S"), "census_bronze")
-    bronze.filter(F.length("C1") == 2).coalesce(1).write.parquet(src)
-    bronze.filter(F.length("C1") != 2).repartition(2).write.mode("append").parquet(src)
+    tops, codes = bronze.filter(F.length("C1") == 2).coalesce(1), bronze.filter(F.length("C1") != 2).repartition(2)
+    for part in (tops, codes) if tops_first else (codes, tops):
+        part.write.mode("append").parquet(src)
+    # files are taken in the order of their modification times
     stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 1).parquet(src)
     st = datasets.silver_table(spark, datasets.CENSUS, scratch_path(spark, "silver_census"))
     datasets.stream_run(datasets.CENSUS, stream, st, scratch_path(spark, "census_ckpt"))
-    return st.read()
+    return st.read().select(*datasets.CENSUS_SILVER)
+
+
+def stream_run_census(spark, sf_dir):
+    """T6 for a dataset: the top-level rows arrive in the first micro-batch,
+    the other codes in later ones; labels come from the table."""
+    return _stream_census(spark, sf_dir, tops_first=True)
+
+
+def stream_run_census_late(spark, sf_dir):
+    """T6 with labels kept up to date: the codes arrive first and are
+    labelled when their top-level rows come."""
+    return _stream_census(spark, sf_dir, tops_first=False)
 
 
 # -- sources and sinks -----------------------------------------------------------------
@@ -307,6 +359,39 @@ def topic_drain(spark, sf_dir):
     )
 
 
+def topic_drain_offsets(spark, sf_dir):
+    """Run-once drains of topics whose messages come in four files,
+    the second pair after the first run; offsets are lost on the way."""
+    src, ckpt = scratch_path(spark, "topic"), scratch_path(spark, "topic_ckpt")
+    messages = stage(derived.topic_messages(table(spark, sf_dir, "events")), "topic-messages")
+    st = SilverTable(spark, scratch_path(spark, "silver_offsets"))
+    for half in (0, 1):
+        messages.filter(F.pmod(F.xxhash64("topic", "offset"), F.lit(2)) == half).repartition(2).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        jobs.drain_job(stream, st, ckpt)
+    return drain_report(st.read())
+
+
+REPLAY_DELAY = "2 hours"
+
+
+def replayed_messages(spark, sf_dir):
+    """Every record is sent twice, those of the last hour of the first
+    run once more in the second; each lands once."""
+    src, sink, ckpt = (scratch_path(spark, f"replay_{n}") for n in ("src", "sink", "ckpt"))
+    keyed = ingest.with_stable_key(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    cut = F.lit(UPSERT_CUT).cast("timestamp")
+    first, second = keyed.filter(F.col("ts") < cut), keyed.filter(F.col("ts") >= cut)
+    again = first.filter(F.col("ts") >= cut - F.expr("INTERVAL 1 HOUR"))
+    for sent in ([first, first], [second, again, second]):
+        for part in sent:
+            part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(keyed.schema).parquet(src)
+        jobs.append_unique_job(stream, "message_key", "ts", REPLAY_DELAY, sink, ckpt)
+    landed = spark.read.parquet(sink).drop("message_key")
+    return landed.withColumn("ts", _ntz(F.col("ts")))
+
+
 SCAN_COLUMNS = ["c_custkey", "c_name", "c_nationkey"]
 
 
@@ -400,13 +485,33 @@ def register_table_query(spark, sf_dir):
     return out
 
 
+def _small_files_table(spark, sf_dir) -> SilverTable:
+    """Events by type, appended in five batches of one file per type."""
+    events = table(spark, sf_dir, "events")
+    st = SilverTable(spark, scratch_path(spark, "silver_events"), partition_by=["event_type"])
+    st.write(events.filter("event_id % 5 = 0"))
+    for n in range(1, 5):
+        events.filter(f"event_id % 5 = {n}").coalesce(1).write.mode("append").partitionBy("event_type").parquet(st.location())
+    return st
+
+
 def compaction(spark, sf_dir):
-    """K1/K2: a table written from many small partitions is rewritten by
-    Spark's rebalance; the content must not change."""
-    st = SilverTable(spark, scratch_path(spark, "silver_events"))
-    st.write(table(spark, sf_dir, "events").repartition(16))
-    st.write(st.read())
-    return st.read()
+    """K1/K2: small files of every partition are packed into larger ones; the
+    content must not change."""
+    st = _small_files_table(spark, sf_dir)
+    compact(st)
+    return st.read().select(*table(spark, sf_dir, "events").columns)
+
+
+def compaction_report(spark, sf_dir):
+    """K2: files per partition before and after, and whether the table's
+    files shrank in number only."""
+    st = _small_files_table(spark, sf_dir)
+    report = stage(compact(st), "compaction-report")
+    rows = st.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    named = report.select(F.regexp_extract("folder", "event_type=([^/]*)", 1).alias("event_type"), "files_before", "files_after",
+                          (F.col("bytes_after") <= F.col("bytes_before")).alias("no_larger"))
+    return named.join(rows, "event_type")
 
 
 # -- logs ----------------------------------------------------------------------------
@@ -496,6 +601,20 @@ def stream_merge(spark, sf_dir):
     return st.read()
 
 
+TAIL_RANGE_BYTES = 1 << 16
+
+
+def log_tail(spark, sf_dir):
+    """Log files that grow between two runs, the first of which ends
+    inside lines and events; the second run closes the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    logs, sink, ckpt = (scratch_path(spark, f"tail_{n}") for n in ("logs", "sink", "ckpt"))
+    for share, close in ((0.5, None), (1.0, 0)):
+        derived.write_log_files(docs, logs, share)
+        jobs.append_job(tail_events(spark, logs, LINE_START, close_idle_seconds=close, range_bytes=TAIL_RANGE_BYTES), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
 # -- ingestion ---------------------------------------------------------------------------
 
 
@@ -521,6 +640,15 @@ def listing_items(spark, sf_dir):
                                 text_fields=["title", "publisher", "description"])
 
 
+def listing_tree_query(spark, sf_dir):
+    """R1/F20 on raw pages: navigation links, and paragraphs, which lie
+    inside one another where they are not closed."""
+    pages = table(spark, sf_dir, "pages")
+    nav = listing_tree(pages, "html", "nav > ul > li", {"text": ("", "strip"), "extra": ("a", "@href")}, keep=["page_id"])
+    paragraphs = listing_tree(pages, "html", "article p", {"text": ("", "strip"), "extra": ("> b", "strip")}, keep=["page_id"])
+    return nav.withColumn("listing", F.lit("nav")).unionByName(paragraphs.withColumn("listing", F.lit("article")))
+
+
 ITEM_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 
 
@@ -560,6 +688,19 @@ def request_plan_monthly(spark, sf_dir):
     return ingest.request_plan(_plan_keywords(spark, sf_dir), "term", lo, hi, PLAN_BASE_URL, "month", pages=1)
 
 
+BACKFILL = ("2024-01-01", "2024-02-29")
+
+
+def request_backfill(spark, sf_dir):
+    """The missing days of every keyword (source and language) as
+    the fewest requests."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat_ws(" ", "source", "lang").alias("keyword"),
+        F.date_add(F.lit(BACKFILL[0]).cast("date"), ((F.col("doc_id") * 7919) % 67).cast("int")).alias("day"))
+    lo, hi = (F.lit(d).cast("date") for d in BACKFILL)
+    return ingest.backfill_plan(docs, docs, "keyword", "day", lo, hi, PLAN_BASE_URL)
+
+
 CONTRACT_REQUIRED = ["c_custkey", "c_name", "c_mktsegment"]
 
 
@@ -619,12 +760,16 @@ QUERIES: dict[str, Query] = {
     "merge_null_keys": merge_null_keys,
     "upsert_last_write": upsert_last_write,
     "schema_evolution": schema_evolution,
+    "schema_merge": schema_merge,
     "run_dataset_news": run_dataset_news,
     "run_dataset_air": run_dataset_air,
     "run_dataset_air_cumulative": run_dataset_air_cumulative,
     "run_dataset_census": run_dataset_census,
     "stream_run_census": stream_run_census,
+    "stream_run_census_late": stream_run_census_late,
     "topic_drain": topic_drain,
+    "topic_drain_offsets": topic_drain_offsets,
+    "replayed_messages": replayed_messages,
     "merge_conflict": merge_conflict,
     "csv_scan": csv_scan,
     "csv_scan_one_column": csv_scan_one_column,
@@ -636,15 +781,18 @@ QUERIES: dict[str, Query] = {
     "log_clean": log_clean,
     "log_parse": log_parse,
     "log_stream_append": log_stream_append,
+    "log_tail": log_tail,
     "stream_merge": stream_merge,
     "landing_stream": landing_stream,
     "listing_extract": listing_extract,
     "listing_items": listing_items,
+    "listing_tree": listing_tree_query,
     "json_envelope": json_envelope,
     "api_result": api_result,
     "api_result_broken": api_result_broken,
     "request_plan_daily": request_plan_daily,
     "request_plan_monthly": request_plan_monthly,
+    "request_backfill": request_backfill,
     "contract_check": contract_check,
     "message_key": message_key,
     "topic_records": topic_records,
@@ -652,4 +800,5 @@ QUERIES: dict[str, Query] = {
     "open_or_create": open_or_create,
     "register_table": register_table_query,
     "compaction": compaction,
+    "compaction_report": compaction_report,
 }

@@ -15,7 +15,8 @@ import uuid
 
 from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 #: Scratch folders made inside the open ``staging`` blocks, the innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("lakefold_scratch", default=())
@@ -112,6 +113,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def plain_path(encoded: Column | str) -> Column:
+    """The path that a file's URL-encoded ``_metadata.file_path`` stands for
+    (a plus sign is a plus sign there)."""
+    col = F.col(encoded) if isinstance(encoded, str) else encoded
+    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

