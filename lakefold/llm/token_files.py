@@ -19,7 +19,8 @@ under the shared folder of the session and are opened with pyarrow's file
 systems.
 
 Encoding is the tokenizers library's, each distinct piece of text encoded
-once per worker (a bounded cache).  One shuffle: the texts, by id range.
+once per worker (a bounded cache).  One shuffle: the texts, by ranges of id
+and text digest, so one id may hold a third of all rows.
 
 Defined results: a null or empty text has the end id alone; a null id sorts
 first and is kept; repeated rows follow one another; ties of an id are
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bpe import text_slices, vocab_path
-from .common import in_memory_cache, read, row_order, scratch_path, text_of
+from .common import in_memory_cache, read, scratch_path, text_of
 
 VOCAB = "byte_bpe_50k.json"
 MAGIC = b"LFIDS\x01\r\n"
@@ -162,6 +163,7 @@ class PieceEncoder:
     #: what follows; such texts are cut before runs of white space only.
     uneven = re.compile(r"\s ").search
     runs = re.compile(r"\s*\S+|\s+").findall
+    word = re.compile(r" \S+").fullmatch
     marked = re.compile(r"[.,;:!?|#$%&*\n](?<=[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?|#$%&*\n])").sub
 
     def __init__(self, path: str):
@@ -174,13 +176,32 @@ class PieceEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.size = max(vocab.values()) + 1
+        self.width = np.zeros(self.size, np.int64)  # bytes of each id
+        for token, i in vocab.items():
+            self.width[i] = len(token.encode()) if token in self.special else len(token)
         self._reset()
 
     def _reset(self) -> None:
         self.index = _Numbers()
         self.flat = np.empty(0, np.uint32)
-        self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.start, self.count, self.uses = (np.empty(0, np.int64) for _ in range(3))
+
+    def _forget(self) -> None:
+        """Keep the pieces that came up again, the most frequent half of the
+        cache at most."""
+        again = np.flatnonzero(self.uses > 1)
+        if len(again) > CACHE_PIECES // 2:
+            again = np.sort(again[np.argsort(-self.uses[again], kind="stable")[:CACHE_PIECES // 2]])
+        kept = set(again.tolist())
+        names = [p for i, p in enumerate(self.index) if i in kept]
+        start, count = self.start[again], self.count[again]
+        flat = self.flat[np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
+        self._reset()
+        self.index.update(zip(names, range(len(names))))
+        self.flat, self.count, self.start = flat, count, np.cumsum(count) - count
+        self.uses = np.zeros(len(names), np.int64)
 
     def pieces(self, text: str) -> list[str]:
         if self.uneven(text) or "\x00" in text or any(s in text for s in self.special):
@@ -188,23 +209,42 @@ class PieceEncoder:
         out = self.marked("\x00\\g<0>", text).replace(" ", "\x00 ").split("\x00")
         return out if out[0] else out[1:]
 
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that begin with a space and hold no other white
+        space, and each piece's number: encoded as one text, which is cut
+        before every such space, and taken apart by the ids' bytes."""
+        ids = np.array(self.tok.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+        ends, to = np.cumsum([len(p.encode()) for p in pieces]), np.cumsum(self.width[ids])
+        at = np.searchsorted(to, ends)
+        if not (to[np.minimum(at, len(to) - 1)] == ends).all():
+            raise ValueError("a token spans two pieces")
+        return ids, np.diff(np.r_[-1, at])
+
     def _learn(self, new: list[str]) -> None:
-        made: list[int] = []
-        count = []
-        for i in range(0, len(new), 512):
-            for e in self.tok.encode_batch_fast(new[i:i + 512], add_special_tokens=False):
-                ids = e.ids
-                made += ids
-                count.append(len(ids))
-        count = np.array(count, np.int64)
-        self.start = np.r_[self.start, len(self.flat) + np.cumsum(count) - count]
-        self.count = np.r_[self.count, count]
-        self.flat = np.r_[self.flat, np.array(made, np.uint32)]
+        words = [i for i, p in enumerate(new) if self.word(p)]
+        own = set(words)
+        others = [i for i in range(len(new)) if i not in own]
+        made, count = [np.empty(0, np.int64)], np.zeros(len(new), np.int64)
+        for i in range(0, len(words), 2048):
+            part = words[i:i + 2048]
+            ids, count[part] = self._joined([new[j] for j in part])
+            made.append(ids)
+        for i in range(0, len(others), 512):
+            part = others[i:i + 512]
+            lists = [e.ids for e in self.tok.encode_batch_fast([new[j] for j in part], add_special_tokens=False)]
+            count[part] = [len(x) for x in lists]
+            made.append(np.array([t for x in lists for t in x], np.int64))
+        start = np.empty(len(new), np.int64)
+        order = np.array(words + others, np.int64)
+        start[order] = len(self.flat) + np.cumsum(count[order]) - count[order]
+        self.start, self.count = np.r_[self.start, start], np.r_[self.count, count]
+        self.uses = np.r_[self.uses, np.zeros(len(new), np.int64)]
+        self.flat = np.r_[self.flat, np.concatenate(made).astype(np.uint32)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and offsets (one more than texts)."""
         if len(self.index) > CACHE_PIECES:
-            self._reset()
+            self._forget()
         cut: list[str] = []
         ends = [0]
         for t in texts:
@@ -215,6 +255,7 @@ class PieceEncoder:
         which = np.fromiter(map(self.index.__getitem__, cut), np.int64, len(cut))
         if len(self.index) > known:
             self._learn(list(islice(self.index, known, None)))
+        self.uses += np.bincount(which, minlength=len(self.uses))
         start, count = self.start[which], self.count[which]
         to = np.cumsum(count)
         total = int(to[-1]) if len(to) else 0
@@ -274,8 +315,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str = VOCAB, end_id: i
             yield flush()
 
     ordered = (docs.select("doc_id", text_of("text").alias("text"))
-               .repartitionByRange(F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(*row_order()))
+               .withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+               .repartitionByRange(F.col("doc_id").asc_nulls_first(), "digest")
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest").drop("digest"))
     manifest = f"{folder}-manifest"
     ordered.mapInArrow(run, MANIFEST).write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
