@@ -8,17 +8,18 @@ divided by the root of their number; a linear hinge-loss model is fitted by
 dual coordinate descent, and its margin is turned into a probability by a
 logistic curve fitted on labelled documents left out of the fit.
 
-Fit: on at most about ``SAMPLE`` labelled rows (a hash sample of the
-labels, expected size, never more than twice that), which is the documented
-bound; neither the language, the source nor the id is an input.  The sample
-of labels is broadcast (its size is the bound), so the texts are not
-shuffled; its features are fitted on the driver (``SAMPLE`` x about 1,000
-integers).  Scoring is row-local over every whole text with one weight
+Fit: on at most ``SAMPLE`` labelled ids (those with the smallest hashes, one
+text each) with at most ``SAMPLE_FEATURES`` features together, which are the
+documented bounds; neither the language, the source nor the id is an input,
+and the same rows give the same model however they are dealt out.  The
+sampled ids are broadcast (their number is the bound), so only sampled texts
+are shuffled; the features are fitted on the driver.  Scoring is row-local over every whole text with one weight
 vector of ``BUCKETS`` floats.
 
 Defined results: null and empty texts have no n-grams and get the score of
 the bias alone; long texts are scored whole; of several labels of one id the
-smallest holds, null labels count as none; without labels of both classes
+smallest holds, of several texts of one id the one with the smallest digest
+is learnt from, null labels count as none; without labels of both classes
 every score is the smoothed share of label 1; null ids are held out; an
 empty table gives no rows.
 """
@@ -32,10 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import read
+from .common import read, stage
 
 BUCKETS = 1 << 18
 SAMPLE = 8000
+#: Features of the sample together, four bytes each.
+SAMPLE_FEATURES = 1 << 24
 FOLDS = 5
 THRESHOLD = 0.3
 #: Upper bound of a dual variable, and passes over the sample.
@@ -171,29 +174,43 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
-    """Fit from ``doc_id``, ``text`` and the labels of ids that are not held out."""
+def _examples(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """``rank``, ``y``, ``x`` (features) and ``n`` (their number) of the
+    ``sample`` labelled ids with the smallest hashes, one text each: that with
+    the smallest digest, whatever the order of rows."""
     usable = (labels.filter(~held_out() & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.min(label).cast("int").alias("y")))
-    n = usable.count()
-    wide = 1 << 20
-    chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(wide)) < F.lit(min(wide, -(-wide * sample // max(1, n)))))
-    # sample rows of 12 bytes
-    examples = docs.select("doc_id", "text").join(F.broadcast(chosen.limit(2 * sample)), "doc_id")
+    known = usable.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()  # rows of 12 bytes
+    ranked = docs.sparkSession.createDataFrame([(r.doc_id, r.y, i) for i, r in enumerate(chosen)], "doc_id long, y int, rank int")
+    own = docs.select("doc_id", "text").join(F.broadcast(ranked), "doc_id")
+    texts = own.groupBy("rank", "y").agg(F.min(F.struct(F.xxhash64("text"), F.sha2("text", 256), "text"))["text"].alias("text"))
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            xs = [features(t) for t in texts.to_pylist()]
+            xs = [features(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("y")),
-                 pa.array(xs, pa.list_(pa.int32()))], ["doc_id", "y", "x"])
-
-    rows = examples.mapInArrow(run, "doc_id long, y int, x array<int>").limit(2 * sample).toArrow()
+                [batch.column(batch.schema.get_field_index(c)) for c in ("rank", "y")]
+                + [pa.array([len(x) for x in xs], pa.int32()), pa.array(xs, pa.list_(pa.int32()))], ["rank", "y", "n", "x"])
+
+    return stage(texts.mapInArrow(run, "rank int, y int, n int, x array<int>"), "quality-examples")
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
+          sample_features: int = SAMPLE_FEATURES) -> Model:
+    """Fit from ``doc_id``, ``text`` and the labels of ids that are not held
+    out: the first examples by hash, at most ``sample`` and together at most
+    ``sample_features`` features, reach the driver."""
+    examples = _examples(docs, labels, label, sample)
+    held, ranks = 0, 0
+    for r in examples.select("rank", "n").orderBy("rank").collect():  # at most ``sample`` rows
+        held += r.n
+        if held > sample_features and ranks:
+            break
+        ranks = r.rank + 1
+    rows = examples.filter(F.col("rank") < ranks).orderBy("rank").select("y", "x").toArrow()
     xs = [x.values.to_numpy() if len(x) else np.empty(0, np.int32) for x in rows.column("x")]
-    ids, ys = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy()
-    order = sorted(range(len(xs)), key=lambda i: (ids[i], len(xs[i]), xs[i].tobytes()))
-    return fit([xs[i] for i in order], np.asarray([ys[i] for i in order], np.int64))
+    return fit(xs, rows.column("y").to_numpy().astype(np.int64))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -86,3 +86,83 @@ def test_long_text_features_are_whole():
     text = "ab" * 200_000 + "Z9!"
     short = quality.features("ab" * 20 + "Z9!")
     assert (np.sort(quality.features(text)) == short).all()
+
+
+def slow_buckets(text):
+    """Buckets of a text's n-grams, one at a time, in Python's numbers."""
+    mask = (1 << 64) - 1
+    data = (text or "").encode()
+
+    def shape(b):
+        if 97 <= b <= 122 or b >= 128:
+            return 97
+        return 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 32 if b == 32 or 9 <= b <= 13 else b
+
+    shapes = [shape(b) for b in data]
+    shapes = [x for i, x in enumerate(shapes) if i == 0 or x != shapes[i - 1]]
+    words = data.split()
+    found = set()
+    for kind, longest, items in ((1, 3, data), (2, 6, shapes), (3, 3, [int(a == b) for a, b in zip(words, words[1:])])):
+        for n in range(1, longest + 1):
+            for i in range(len(items) - n + 1):
+                h = 100 * kind + n
+                for x in items[i:i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + x + 1) & mask
+                h ^= h >> 32
+                h = h * 0xD6E8FEB86659FD93 & mask
+                found.add((h >> 40) % quality.BUCKETS)
+    return found
+
+
+def test_scores_and_ratios_equal_brute_force(spark, edge_sf):
+    docs = spark.read.parquet(f"{edge_sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{edge_sf}/labels.parquet")
+    model = quality.train(docs, labels)
+
+    def slow(text):
+        own = slow_buckets(text)
+        margin = sum(float(model.weights[b]) for b in own) / max(1, len(own)) ** .5 + model.bias
+        return 1 / (1 + 2.718281828459045 ** -(model.slope * margin + model.offset))
+
+    short = [r for r in docs.collect() if len(r.text or "") < 3000]
+    got = {}
+    for r in op8(spark, edge_sf).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    for r in short:
+        assert min(abs(slow(r.text) - s) for s in got[r.doc_id]) < 1e-9
+    texts, ys = [r.text for r in short], np.array([i % 2 for i in range(len(short))])
+    share = []
+    for label in (1, 0):
+        count = [1] * quality.BUCKETS
+        for t, y in zip(texts, ys):
+            if y == label:
+                for b in slow_buckets(t):
+                    count[b] += 1
+        share.append(np.array(count) / sum(count))
+    assert np.allclose(quality.log_count_ratios([quality.features(t) for t in texts], ys), np.log(share[0] / share[1]))
+
+
+def test_hot_labelled_id_and_any_partitioning(spark):
+    """A labelled id of half the rows with many texts counts once, and rows
+    dealt out otherwise give the same model."""
+    rows = [(i, f"good words number {i} and more" if i % 2 else f"bad ### {i} *** $$$") for i in range(400)]
+    rows += [(7, f"other text of the hot id {j}") for j in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    models = [quality.train(docs.repartition(n), labels.repartition(n), sample=200) for n in (1, 3, 7)]
+    for m in models[1:]:
+        assert (m.weights == models[0].weights).all() and (m.bias, m.slope, m.offset) == (models[0].bias, models[0].slope, models[0].offset)
+    assert quality._examples(docs, labels, "quality", 200).count() == 200
+
+
+def test_sample_is_bounded_by_features_too(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 + i % 50)) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    seen = []
+    real = quality.fit
+    try:
+        quality.fit = lambda xs, ys, seed=0: seen.append(xs) or real(xs, ys, seed)
+        quality.train(docs, labels, sample_features=1500)
+    finally:
+        quality.fit = real
+    assert 0 < sum(map(len, seen[0])) <= 1500
