@@ -26,16 +26,18 @@ Per kind, boosted trees are fitted on four fifths of all documents, and the
 lowest score whose precision on the other fifth is high enough (a lower
 confidence bound of ``PRECISION``) selects what is added of the candidates
 that pass the kind's check.  Base spans always stay; a candidate that meets
-one is not added.  Of selected candidates of a kind that overlap, the one
+one is not added.  Selected candidates of a kind are settled from the left:
+of those that overlap the one that ends first, and so each other, the one
 stays whose numbers of digits and groups are most frequent among the kind's
-positives, then the best score, the longest, the first (settled in blocks of
-``BLOCK`` selected candidates of a document, so two that overlap across a
-block's end both stay).
+positives, then the best score, the longest, the first; all that overlap it
+go, and so on behind it.  What stays never overlaps, however long a chain of
+candidates is.
 
-The features are small integers, so all candidates of all documents enter
-the fit as counts per feature combination (a bounded table: ``RADIX``
-combinations at most, whatever the corpus); the trees, fitted from these
-counts on the driver, are applied as CASE expressions.
+The features are small integers, so the candidates of all documents enter
+the fit as counts per feature combination.  The classifier is fitted on a
+bounded sample of them: the ``COMBINATIONS`` most frequent ones (ties by the
+features' values); the trees, fitted from these counts on the driver, are
+applied as CASE expressions.
 
 Everything on the documents is DataFrame functions: no Python on the
 executors, no shuffle of texts.  The patterns give the same matches as the
@@ -43,7 +45,8 @@ rules' plain patterns, but start a run of characters only once and repeat
 possessively, so long runs cost linear time.
 
 Defined results: null and empty texts have no spans; texts are taken whole;
-offsets count code points; null ids belong to the fit; repeated rows count
+offsets count code points; work and memory grow in proportion to a text and
+its candidates, however many lie in one text; null ids belong to the fit; repeated rows count
 as often as they occur; without candidates, or with too few base spans of a
 kind to bear out the precision, nothing is added; an empty table gives no
 rows.
@@ -91,7 +94,8 @@ WINDOW = 19
 #: Features and their numbers of levels.
 FEATURES = {"generator": 3, "digits": 21, "groups": 7, "longest": 9, "last": 4, "separators": 16, "quad": 2, "luhn": 2,
             "context": 5, "letters": 4}
-RADIX = math.prod(FEATURES.values())
+#: Feature combinations (with the fold) that the fit sees: rows on the driver.
+COMBINATIONS = 50_000
 #: The features that a kind's check decides on.
 HIDDEN = {"email": (), "ip": ("quad",), "card": ("luhn",), "phone": ("digits",)}
 PRECISION = 0.95
@@ -99,8 +103,8 @@ PRECISION = 0.95
 SPIES_BELOW = 0.05
 #: Numbers that fail Luhn for one that passes by chance.
 LUHN_FAILS = 9
-#: Selected candidates of a document that are compared with each other.
-BLOCK = 256
+#: Characters of a text's pieces from which contexts are cut.
+PIECE = 1024
 FOLDS = 5
 
 
@@ -120,6 +124,41 @@ def prefix_sums(numbers: Column, chunk: int = 256) -> Column:
         running(F.slice(numbers, i, chunk)), lambda s: s + base)))
 
 
+def scan(values: Column, state: Column, state_type: str, out_type: str, step, chunk: int = 128) -> Column:
+    """Fold over an array that also writes: ``step(state, value)`` gives a
+    struct of the next ``state`` and an array ``out``.  Returns the last state
+    and all that was written; appends stay within chunks, so long arrays cost
+    linear time."""
+    none = F.array().cast(f"array<{out_type}>")
+
+    def one(acc: Column, v: Column) -> Column:  # a fold over one element binds a value without a copy of the state
+        return F.aggregate(F.array(step(acc["state"], v)), acc, lambda a, r: F.struct(r["state"].cast(state_type).alias("state"), F.when(
+            F.size(r["out"]) == 0, a["out"]).otherwise(F.concat(a["out"], r["out"].cast(f"array<{out_type}>"))).alias("out")))
+
+    def over(every: Column) -> Column:
+        def block(acc: Column, i: Column) -> Column:
+            return F.aggregate(F.slice(every, i, chunk), F.struct(acc["state"].alias("state"), none.alias("out")), one,
+                               lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+        starts = F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(chunk))
+        return F.aggregate(starts, F.struct(state.cast(state_type).alias("state"), none.alias("out")), block)
+
+    return let(values, over)
+
+
+def pieces_of(text: Column) -> Column:
+    """A text cut every ``PIECE`` characters: a substring of a long text
+    costs a walk from its start, one of its pieces does not."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` characters from ``start`` (0-based) of a text in pieces."""
+    first = F.floor(start / PIECE).cast("int")
+    n = F.floor((start + F.greatest(length, F.lit(1)) - 1) / PIECE).cast("int") - first + 1
+    return F.when(length > 0, F.substring(F.array_join(F.slice(pieces, first + 1, n), ""), start - first * PIECE + 1, length)).otherwise("")
+
+
 def matches(text: Column, pattern: str, possible: Column) -> Column:
     """Array of (start, end, hit) of a pattern's matches; ``possible`` is a
     cheap test that holds wherever the pattern can match."""
@@ -248,9 +287,9 @@ def with_windows(docs: DataFrame, text: str, name: str) -> DataFrame:
         *[f"{name}_{k}" for k in ("hits", "at", "gaps", "sizes", "breaks", "pieces", "sums", "runs", "ahead", "n")])
 
 
-def candidates(text: Column, columns: dict[str, Column], windows: Column) -> Column:
-    """Candidate spans with their features; ``passes``: bits of the kinds
-    whose check holds."""
+def candidates(pieces: Column, columns: dict[str, Column], windows: Column) -> Column:
+    """Candidate spans of a text in ``pieces`` with their features;
+    ``passes``: bits of the kinds whose check holds."""
     def described(no: int, name: str, start: Column, hit: Column, before: Column, after: Column,
                   ahead: Column | None = None) -> Column:
         # an address in its plain spelling
@@ -283,8 +322,8 @@ def candidates(text: Column, columns: dict[str, Column], windows: Column) -> Col
                         *[F.coalesce(v, F.lit(0)).cast("int").alias(k) for k, v in values.items()])
 
     def whole(no: int, name: str, m: Column) -> Column:
-        before = F.substring(text, F.greatest(m["start"] + 1 - CONTEXT_CHARS, F.lit(1)), F.least(m["start"], F.lit(CONTEXT_CHARS)))
-        return described(no, name, m["start"], m["hit"], before, F.substring(text, m["end"] + 1, F.lit(1)))
+        before = part(pieces, F.greatest(m["start"] - CONTEXT_CHARS, F.lit(0)), F.least(m["start"], F.lit(CONTEXT_CHARS)))
+        return described(no, name, m["start"], m["hit"], before, part(pieces, m["end"], F.lit(1)))
 
     def of(no: int, name: str, found: Column) -> Column:
         own = found if name == "address" else F.filter(found, lambda m: F.length(digits_of(m["hit"])).between(7, 20))
@@ -295,14 +334,61 @@ def candidates(text: Column, columns: dict[str, Column], windows: Column) -> Col
     return F.concat(*[of(no, name, c) for no, (name, c) in enumerate(columns.items())], parts)
 
 
+def beside_base(candidates: Column, base: Column) -> Column:
+    """The candidates with ``meets`` (a base span overlaps) and ``agrees``
+    (bits of the kinds with a base span that shares 0.8 of the union).
+
+    Base spans of a kind do not overlap each other, so the last one that
+    begins before a candidate's end is the one that meets it, if any does,
+    and the last one that begins at or before its middle is the one that can
+    agree.  One pass over all starts, ends and middles in order finds them."""
+    lasts = [f"k{i}" for i in range(len(KINDS))]
+    state_type = f"struct<{','.join(f'{k}:int' for k in lasts)}>"
+
+    def event(at: Column, query: int, no: Column, what: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(query).alias("query"), no.alias("no"), what.alias("what"))
+
+    starts = F.transform(base, lambda s, j: event(s["start"], 0, j + 1, s["kind"]))
+    asked = F.flatten(F.transform(candidates, lambda c, i: F.array(
+        event(F.floor((c["start"] + c["end"]) / 2).cast("int"), 1, i, F.lit(0)), event(c["end"] - 1, 1, i, F.lit(1)))))
+
+    def step(state: Column, e: Column) -> Column:
+        moved = F.struct(*[F.when((e["query"] == 0) & (e["what"] == i), e["no"]).otherwise(state[k]).alias(k) for i, k in enumerate(lasts)])
+        answer = F.struct(e["no"].alias("no"), e["what"].alias("what"), state.alias("lasts"))
+        return F.struct(moved.alias("state"), F.when(e["query"] == 1, F.array(answer)).otherwise(F.array().cast(f"array<{answer_type}>")).alias("out"))
+
+    none = F.struct(*[F.lit(0).alias(k) for k in lasts])
+    answer_type = f"struct<no:int,what:int,lasts:{state_type}>"
+    answers = F.sort_array(scan(F.sort_array(F.concat(starts, asked)), none, state_type, answer_type, step)["out"])
+
+    def marked(found: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            middle, end = F.get(found, 2 * i)["lasts"], F.get(found, 2 * i + 1)["lasts"]
+            meets, agrees = F.lit(False), F.lit(0)
+            for n, k in enumerate(lasts):
+                meets = meets | ((end[k] > 0) & (F.get(base, end[k] - 1)["end"] > c["start"]))
+                same = let(F.get(base, middle[k] - 1), lambda s: 10 * _overlap(c, s) >= 8 * (
+                    F.greatest(c["end"], s["end"]) - F.least(c["start"], s["start"])))
+                agrees = agrees + F.when((middle[k] > 0) & same, 1 << n).otherwise(0)
+            return c.withField("meets", meets).withField("agrees", agrees)
+
+        return F.transform(candidates, one)
+
+    lone = F.transform(candidates, lambda c: c.withField("meets", F.lit(False)).withField("agrees", F.lit(0)))
+    return F.when((F.size(base) == 0) | (F.size(candidates) == 0), lone).otherwise(let(answers, marked))
+
+
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``pii_base`` (base spans) and ``pii_candidates``."""
     # a single copy of the text with null as empty
     out = docs.withColumn("pii_text", text_of(text_col))
     out = with_windows(_with_matches(out, "pii_text", {**BASE, **GENERATORS}, "pii_"), "pii_text", "pii_windows")
+    some = F.size("pii_windows") + sum((F.size(f"pii_{k}") for k in GENERATORS), F.lit(0)) > 0
     found = (out.withColumn("pii_base", base_spans({k: F.col(f"pii_{k}") for k in BASE}))
-             .withColumn("pii_candidates", candidates(F.col("pii_text"), {k: F.col(f"pii_{k}") for k in GENERATORS}, F.col("pii_windows"))))
-    return found.drop("pii_text", "pii_windows", *[f"pii_{k}" for k in (*BASE, *GENERATORS)])
+             .withColumn("pii_pieces", F.when(some, pieces_of(F.col("pii_text"))).otherwise(F.array().cast("array<string>")))
+             .withColumn("pii_spans", candidates(F.col("pii_pieces"), {k: F.col(f"pii_{k}") for k in GENERATORS}, F.col("pii_windows")))
+             .withColumn("pii_candidates", beside_base(F.col("pii_spans"), F.col("pii_base"))))
+    return found.drop("pii_text", "pii_windows", "pii_pieces", "pii_spans", *[f"pii_{k}" for k in (*BASE, *GENERATORS)])
 
 
 def _overlap(c: Column, s: Column) -> Column:
@@ -443,16 +529,10 @@ def train(found: DataFrame) -> dict[str, Booster]:
     """Fit from the stored result of ``find`` (with ``doc_id``): counts per
     feature combination, kind and fold over all documents."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
-    each = found.select(fold.alias("aside"), "pii_base", F.explode("pii_candidates").alias("c"))
+    each = found.select(fold.alias("aside"), F.explode("pii_candidates").alias("c"))
     c = F.col("c")
-
-    def agrees(kind: int) -> Column:
-        same = lambda s: (s["kind"] == kind) & (  # noqa: E731  overlap of at least 0.8 of the union
-            10 * _overlap(c, s) >= 8 * (F.greatest(c["end"], s["end"]) - F.least(c["start"], s["start"])))
-        return F.exists("pii_base", same)
-
-    each = each.select("aside", "c", F.exists("pii_base", lambda s: _overlap(c, s) > 0).alias("meets"),
-                       *[agrees(i).alias(f"agrees_{k}") for i, k in enumerate(KINDS)])
+    each = each.select("aside", "c", c["meets"].alias("meets"),
+                       *[(c["agrees"].bitwiseAND(F.lit(1 << i)) != 0).alias(f"agrees_{k}") for i, k in enumerate(KINDS)])
     # a Luhn check that fails where nothing else does
     by_luhn = ~F.col("meets") & c["digits"].between(12, 19) & (c["luhn"] == 0)
     labels = {}
@@ -462,7 +542,8 @@ def train(found: DataFrame) -> dict[str, Booster]:
     labels["luhn_fails"] = by_luhn & ~F.col("agrees_card")
     counts = each.select("aside", *[c[k].alias(k) for k in FEATURES], *[v.cast("long").alias(k) for k, v in labels.items()]).groupBy(
         "aside", *FEATURES).agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in labels])
-    table = [r.asDict() for r in counts.collect()]  # at most 2 * RADIX rows, in practice a few hundred
+    frequent = counts.orderBy(F.col("n").desc(), "aside", *FEATURES).limit(COMBINATIONS)
+    table = [r.asDict() for r in frequent.collect()]
     table.sort(key=lambda r: [r[k] for k in ("aside", *FEATURES)])
     models = {}
     for kind in KINDS:
@@ -483,17 +564,31 @@ def train(found: DataFrame) -> dict[str, Booster]:
 
 def best_apart(chosen: Column) -> Column:
     """Of (typical, score, start, end), what stays when overlapping ones
-    compete."""
-    def settle(block: Column) -> Column:
-        order = F.array_sort(F.transform(block, lambda c: F.struct(
-            (-c["typical"]).alias("a"), (-c["score"]).alias("b"), (c["start"] - c["end"]).alias("c"), c["start"].alias("start"), c["end"].alias("end"))))
-        none = F.array().cast("array<struct<start:int,end:int>>")
-        return F.aggregate(order, none, lambda kept, c: F.when(
-            F.exists(kept, lambda k: _overlap(c, k) > 0), kept).otherwise(F.array_append(kept, F.struct(c["start"], c["end"]))))
+    compete, from the left: the best of those that overlap the one that ends
+    first."""
+    span = "struct<start:int,end:int,typical:bigint,score:double>"
+
+    def worth(c: Column) -> Column:
+        return F.struct(c["typical"], c["score"], (c["end"] - c["start"]).alias("length"))
 
-    placed = F.array_sort(F.transform(chosen, lambda c: F.struct(c["start"], c["end"], c["typical"], c["score"])))
-    return let(placed, lambda every: F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(BLOCK)), lambda i: settle(F.slice(every, i, BLOCK)))))
+    def step(state: Column, x: Column) -> Column:
+        best, edge, last = state["best"], state["edge"], state["last"]
+        nothing = F.array().cast(f"array<{span}>")
+
+        def to(best: Column, edge: Column, last: Column, out: Column) -> Column:
+            return F.struct(F.struct(best.cast(span).alias("best"), edge.cast("int").alias("edge"), last.cast("int").alias("last")).alias("state"), out.alias("out"))
+
+        rival = to(F.when(worth(x) > worth(best), x).otherwise(best), F.least(edge, x["end"]), last, nothing)
+        behind = x["start"] < best["end"]
+        won = to(F.when(~behind, x), F.when(behind, 0).otherwise(x["end"]), best["end"], F.array(best))
+        return (F.when(x["start"] < last, to(best, edge, last, nothing)).when(best.isNull(), to(x, x["end"], last, nothing))
+                .when(x["start"] < edge, rival).otherwise(won))
+
+    placed = F.sort_array(F.transform(chosen, lambda c: F.struct(c["start"], c["end"], c["typical"], c["score"])))
+    begin = F.struct(F.lit(None).cast(span).alias("best"), F.lit(0).alias("edge"), F.lit(0).alias("last"))
+    settled = lambda every: let(scan(every, begin, f"struct<best:{span},edge:int,last:int>", span, step), lambda r: F.concat(
+        r["out"], F.when(r["state"]["best"].isNotNull(), F.array(r["state"]["best"])).otherwise(F.array().cast(f"array<{span}>"))))
+    return let(placed, lambda every: F.when(F.size(every) > 1, settled(every)).otherwise(every))
 
 
 def all_spans(models: dict[str, Booster]) -> Column:
@@ -505,8 +600,7 @@ def all_spans(models: dict[str, Booster]) -> Column:
         hidden = {k: F.lit(0) for k in HIDDEN[KINDS[no]]}
         pairs = [F.lit(v) for (d, g), n in sorted(model.typical.items()) for v in (d * 10 + g, n)]
         typical = F.create_map(*pairs).cast("map<int,bigint>")
-        able = F.filter("pii_candidates", lambda c: ((c["generator"] == 0) == (KINDS[no] == "email")) & passes(c, no) & ~F.exists(
-            "pii_base", lambda s: _overlap(c, s) > 0))
+        able = F.filter("pii_candidates", lambda c: ((c["generator"] == 0) == (KINDS[no] == "email")) & passes(c, no) & ~c["meets"])
         scored = F.transform(able, lambda c: F.struct(c["start"], c["end"], model.total(
             {k: hidden.get(k, c[k]) for k in FEATURES}).alias("score"), F.coalesce(F.try_element_at(
                 typical, c["digits"] * 10 + c["groups"]), F.lit(0)).alias("typical")))
@@ -523,14 +617,17 @@ def as_text(spans: Column) -> Column:
 
 
 def merged_spans(spans: Column) -> Column:
-    """Spans that overlap as one, of the first one's kind."""
-    def join(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        grown = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (s["start"] < last["end"]),
-                      F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), grown)).otherwise(F.array_append(acc, s))
+    """Spans (by start) that overlap as one, of the first one's kind."""
+    span = "struct<start:int,kind:int,end:int>"
+
+    def step(held: Column, s: Column) -> Column:
+        grown = F.struct(held["start"].alias("start"), held["kind"].alias("kind"), F.greatest(held["end"], s["end"]).alias("end"))
+        joins = s["start"] < held["end"]
+        return F.struct(F.when(joins, grown).otherwise(s).alias("state"), F.when(joins | held.isNull(), F.array().cast(SPAN)).otherwise(F.array(held)).alias("out"))
 
-    return F.aggregate(spans, F.array().cast(SPAN), join)
+    joined = lambda every: let(scan(every, F.lit(None).cast(span), span, span, step), lambda r: F.concat(
+        r["out"], F.when(r["state"].isNotNull(), F.array(r["state"])).otherwise(F.array().cast(SPAN))))
+    return let(spans, lambda every: F.when(F.size(every) > 1, joined(every)).otherwise(every))
 
 
 def redacted(text: str, merged: str) -> Column:
@@ -538,11 +635,16 @@ def redacted(text: str, merged: str) -> Column:
     replaced by its kind in brackets."""
     t, spans = F.col(text), F.col(merged)
     kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    pieces = F.zip_with(spans, F.slice(ends, 1, F.size(spans)), lambda s, before: F.concat(
-        F.substring(t, before + 1, s["start"] - before), F.element_at(kinds, s["kind"] + 1)))
-    tail = F.substring(t, F.try_element_at(ends, F.lit(-1)) + 1, F.length(t))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(t)
+
+    def cut(pieces: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            before = F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["end"])
+            return F.concat(part(pieces, before, s["start"] - before), F.element_at(kinds, s["kind"] + 1))
+
+        last = F.element_at(spans, -1)["end"]
+        return F.concat(F.array_join(F.transform(spans, one), ""), part(pieces, last, F.length(t) - last))
+
+    return F.when(F.size(spans) > 0, let(pieces_of(t), cut)).otherwise(t)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:

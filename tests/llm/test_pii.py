@@ -106,7 +106,7 @@ def labelled_documents():
 
 def test_candidates_like_base_spans_are_added(spark):
     docs = labelled_documents()
-    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = pii.stage(pii.find(spark.createDataFrame(docs, "doc_id long, text string")), "t9")
     models = pii.train(found)
     rows = found.select("doc_id", "text", "pii_base", pii.all_spans(models).alias("s")).collect()
     added = {r.doc_id: [r.text[x.start:x.end] for x in r.s if x not in r.pii_base] for r in rows}
@@ -154,7 +154,7 @@ def test_redact_documents_keeps_columns(spark, edge_sf):
 
 
 def added_spans(spark, docs):
-    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = pii.stage(pii.find(spark.createDataFrame(docs, "doc_id long, text string")), "t9")
     rows = found.withColumn("s", pii.all_spans(pii.train(found))).select("doc_id", "text", "pii_base", "s").collect()
     return {r.doc_id: [(pii.KINDS[x.kind], r.text[x.start:x.end]) for x in r.s if x not in r.pii_base] for r in rows}
 
@@ -225,3 +225,65 @@ def test_windows_are_bounded(spark):
         assert [(w.start, w.end) for w in r.w] == want
         assert all(w.hit == r.t[w.start:w.end] for w in r.w)
         assert all(w.before == r.t[max(0, w.start - 24):w.start] and w.after == r.t[w.end:w.end + 1] for w in r.w)
+
+
+def slow_apart(spans):
+    """Settled from the left: the best of those that overlap the one that
+    ends first."""
+    left, kept = sorted(spans), []
+    while left:
+        edge = min(e for _, e, *_ in left)
+        best = max((s for s in left if s[0] < edge), key=lambda s: (s[2], s[3], s[1] - s[0], -s[0]))
+        kept.append(best[:2])
+        left = [s for s in left if s[0] >= best[1]]
+    return kept
+
+
+def test_survivors_never_overlap_across_any_boundary(spark):
+    rng = random.Random(8)
+    cases = [[(i * 3, i * 3 + 13, 1, 0.5) for i in range(600)], [], [(5, 9, 0, 0.0)]]
+    for n in (2, 7, 130, 700):
+        for _ in range(6):
+            starts = [rng.randint(0, 4 * n) for _ in range(n)]
+            cases.append([(s, s + rng.randint(1, 40), rng.randint(0, 3), rng.randint(0, 4) / 4) for s in starts])
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)],
+                               "i int, c array<struct<start:int,end:int,typical:bigint,score:double>>")
+    got = {r.i: [(s.start, s.end) for s in r.k] for r in df.select("i", pii.best_apart(F.col("c")).alias("k")).collect()}
+    for i, c in enumerate(cases):
+        assert got[i] == slow_apart(list(dict.fromkeys(c)))
+        assert all(a[1] <= b[0] for a, b in zip(got[i], got[i][1:]))
+
+
+def test_candidates_beside_base_spans_equal_brute_force(spark):
+    rng = random.Random(9)
+    cases = []
+    for n in (0, 1, 5, 200, 400):
+        base = []
+        for kind in range(4):
+            at = 0
+            for _ in range(rng.randint(0, n)):
+                at += rng.randint(0, 20)
+                end = at + rng.randint(1, 25)
+                base.append((at, kind, end))
+                at = end
+        cases.append((sorted(base), [(s, s + rng.randint(1, 30)) for s in (rng.randint(0, 12 * n + 5) for _ in range(n))]))
+    df = spark.createDataFrame([(i, b, c) for i, (b, c) in enumerate(cases)],
+                               "i int, b array<struct<start:int,kind:int,end:int>>, c array<struct<start:int,end:int>>")
+    for r in df.select("i", pii.beside_base(F.col("c"), F.col("b")).alias("m")).collect():
+        base, cands = cases[r.i]
+        for m, (s, e) in zip(r.m, cands, strict=True):
+            over = lambda b: min(e, b[2]) - max(s, b[0])
+            agrees = sum({1 << b[1] for b in base if 10 * over(b) >= 8 * (max(e, b[2]) - min(s, b[0]))})
+            assert (m.start, m.end, m.meets, m.agrees) == (s, e, any(over(b) > 0 for b in base), agrees)
+
+
+def test_text_of_very_many_spans(spark):
+    line = "Mail joe@x.org or 10.0.0.1, call 663 555 6869 4111 1111.\n"
+    n = 2000
+    docs = spark.createDataFrame([(1, line * n), (2, "x " + line)], "doc_id long, text string")
+    found = pii.stage(pii.find(docs).drop("text"), "t9")
+    models = pii.train(found)
+    rows = {r.doc_id: r for r in found.select("doc_id", F.size("pii_base").alias("n"), F.size(pii.merged_spans(pii.all_spans(models))).alias("m")).collect()}
+    assert rows[1].n == 2 * n and rows[2].n == 2 and rows[1].m >= 2 * n
+    out = {r.doc_id: r.text for r in pii.redact_documents(docs).collect()}
+    assert out[1].count("[EMAIL]") == n and out[1].count("[IP]") == n and "joe@" not in out[1]

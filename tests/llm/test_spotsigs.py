@@ -104,3 +104,10 @@ def test_similar_pairs_against_all_pairs(spark):
     distinct = [(i, set(s)) for s, i in first.items() if s]
     want = {(a, b): jaccard(x, y) for a, x in distinct for b, y in distinct if a < b and jaccard(x, y) >= 0.8}
     assert {(r.a, r.b): pytest.approx(r.likeness) for r in got} == want and len(want) > 10
+
+
+def test_long_text_without_breaks_costs_linear_time(spark):
+    rows = [(1, "é" * 1_000_000), (2, "".join(chr(0x4E00 + i % 5000) for i in range(300_000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n for r in sp.with_signatures(df, "text", "s").select("doc_id", F.size("s").alias("n")).collect()}
+    assert got == {1: 2, 2: 5001}  # the grams, and the lone word as a signature
