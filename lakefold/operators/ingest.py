@@ -189,17 +189,11 @@ def api_result(
         bad = tagged.filter(F.col("status") == "error").limit(1).collect()
         if bad:
             raise ValueError(f"API error payload for {[bad[0][k] for k in keep]}")
-    ok = tagged.filter(F.col("status") == "ok").select(
-        *keep, "status", F.posexplode("__items").alias("item_no", "__it")
-    )
-    ok = ok.select(*keep, "status", (F.col("item_no") + 1).alias("item_no"), "__it.*")
-    err = tagged.filter(F.col("status") == "error").select(
-        *keep,
-        "status",
-        F.lit(None).cast("int").alias("item_no"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in item_schema.fields],
-    )
-    return ok.unionByName(err)
+    # one pass over the payloads: an error is a list of one null item
+    ok = F.col("status") == "ok"
+    items = F.when(ok, F.col("__items")).otherwise(F.array(F.lit(None).cast(item_schema)))
+    rows = tagged.filter(F.col("status") != "empty").select(*keep, "status", F.posexplode(items).alias("item_no", "__it"))
+    return rows.select(*keep, "status", F.when(ok, F.col("item_no") + 1).alias("item_no"), "__it.*")
 
 
 # --------------------------------------------------------------------------
@@ -358,10 +352,12 @@ def split_contract(
     df: DataFrame, required: Iterable[str], coerce: bool = True, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``; ``rejected`` keeps ``contract_errors``.
-    ``strict=True`` raises if any record is rejected."""
+    With ``strict=True`` reading the valid records raises at the first one
+    that is rejected; no job runs before."""
     checked = contract_errors(df, required, coerce)
-    valid = checked.filter(F.size("contract_errors") == 0).drop("contract_errors")
-    rejected = checked.filter(F.size("contract_errors") > 0)
-    if strict and rejected.limit(1).count():
-        raise ValueError("records violate the contract")
-    return valid, rejected
+    fine = F.size("contract_errors") == 0
+    if strict:
+        broken = F.raise_error(F.concat(F.lit("records violate the contract: "), F.array_join("contract_errors", ", ")))
+        fine = F.when(fine, F.lit(True)).otherwise(broken.cast("boolean"))
+    valid = checked.filter(fine).drop("contract_errors")
+    return valid, checked.filter(F.size("contract_errors") > 0)

@@ -15,12 +15,16 @@ AQE can split:
 
 Each side is read once per join: twice for an upsert.  Rows with a null key
 part stay in the joins and are spread by a salt (``joins.key_join``).  The
-cardinality guard, an eager check before an update, reads the source's keys;
-only if some key occurs more than once are the target's keys read as well.
+cardinality guard is part of the plan: the source of an update is reduced to
+one row per key with its count, on the partitioning that the join needs
+anyway, and a matched count above one raises while the merge runs.  Building
+a merge starts no job.
 """
 
 from __future__ import annotations
 
+import contextlib
+import re
 from functools import reduce
 from typing import Iterable
 
@@ -98,6 +102,35 @@ def check_cardinality(target: DataFrame, source: DataFrame, on: list[str], null_
         )
 
 
+_CONFLICT = "several source rows match one target row for key"
+
+
+def _guarded_source(source: DataFrame, on: list[str], columns: list[str], null_safe: bool) -> DataFrame:
+    """One row per key: ``__s_`` columns, and ``__n``, its rows."""
+    keyed = source if null_safe else source.filter(all_keys_present(on))
+    one = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*columns or [F.lit(True).alias("__row")])).alias("__s"))
+    return one.select(*on, *[F.col(f"__s.{c}").alias(f"__s_{c}") for c in columns], "__n")
+
+
+def _hit(on: list[str]) -> Column:
+    """Whether a target row has a source row; raises where it has several."""
+    key = F.concat_ws(", ", *[F.concat(F.lit(f"{k} = "), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in on])
+    several = F.raise_error(F.concat(F.lit(f"{_CONFLICT} "), key)).cast("boolean")
+    return F.when(F.col("__n") > 1, several).otherwise(F.col("__n").isNotNull())
+
+
+@contextlib.contextmanager
+def cardinality_errors():
+    """Turn a guard's failure in a running merge into ``MergeCardinalityError``."""
+    try:
+        yield
+    except Exception as e:
+        found = re.search(rf"{_CONFLICT} [^\n]*", str(e))
+        if found is None:
+            raise
+        raise MergeCardinalityError(found.group()) from e
+
+
 def union_evolving(frames: list[DataFrame]) -> DataFrame:
     """M7: all rows in the merged schema (see ``operators.evolve``)."""
     schema = reduce(merge_schemas, [f.schema for f in frames])
@@ -136,7 +169,8 @@ def merge(
                   ``"drop"``: null-key source rows are discarded;
                   ``"null_safe"``: nulls match nulls (``<=>``).
     on_conflict   ``"error"``: several source rows for one matched target row
-                  raise ``MergeCardinalityError`` (checked only when updating);
+                  raise when the merge runs (only when updating; as
+                  ``MergeCardinalityError`` inside ``cardinality_errors``);
                   ``"latest"``: the source is reduced to its latest row per
                   key by ``order_by`` first.
     when_newer    with ``update``: a matched row is replaced only when the
@@ -164,8 +198,6 @@ def merge(
         if not order_by:
             raise ValueError("on_conflict='latest' needs order_by")
         source = latest_per_key(source, on, order_by, group_nulls=null_safe)
-    elif update is not None and not delete:
-        check_cardinality(target, source, on, null_safe)
 
     parts: list[DataFrame] = []
 
@@ -181,9 +213,12 @@ def merge(
             mapping = {c: c for c in update}
         newer = list(when_newer or [])
         s_cols = sorted(set(mapping.values()) | set(newer))
-        s_upd = source.select(*on, *[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(True).alias("__hit"))
+        if on_conflict == "error":
+            s_upd = _guarded_source(source, on, s_cols, null_safe)
+        else:
+            s_upd = source.select(*on, *[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(1).alias("__n"))
         joined = key_join(target, s_upd, on, "left", null_safe)
-        hit = F.col("__hit").isNotNull()
+        hit = _hit(on)
         if newer:
             s_ord = F.struct(*[F.col(f"__s_{c}") for c in newer])
             t_ord = F.struct(*[F.col(c) for c in newer])

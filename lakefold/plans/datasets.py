@@ -19,7 +19,7 @@ from lakefold.functions import clean
 from lakefold.operators.dedup import distinct_rows, purge_duplicates
 from lakefold.operators.hierarchy import label_hierarchy, relabel
 from lakefold.operators.joins import key_join
-from lakefold.operators.merge import latest_per_key, merge
+from lakefold.operators.merge import cardinality_errors, latest_per_key, merge
 from lakefold.operators.periods import last_days
 from lakefold.session import stage, staging
 from lakefold.sources.silver import SilverTable, key_bucket
@@ -202,7 +202,7 @@ def run(spec: DatasetSpec, bronze: DataFrame, table: SilverTable, options: RunOp
     """R9, the batch job body: transform ``bronze`` and merge it into
     ``table``.  On a partitioned table only the partitions present in the
     batch are read, merged and rewritten.  Staged copies go with the run."""
-    with staging(bronze.sparkSession):
+    with staging(bronze.sparkSession), cardinality_errors():
         _merge_into(spec, bronze, table, options)
 
 

@@ -553,6 +553,13 @@ two AS (SELECT * FROM m UNION ALL SELECT * FROM one WHERE c_custkey NOT IN (SELE
 both_steps AS (SELECT 1 AS step, * FROM one UNION ALL SELECT 2, * FROM two)
 SELECT step, CAST(c_custkey AS BIGINT) AS c_custkey, name, CAST(nation AS INTEGER) AS nation, tier, visits, tags,
        CAST(attr AS BIGINT) AS attr FROM both_steps"""
+    sql["discover_tables"] = """
+SELECT 'news' AS table_name, 'doc_id bigint, text string, lang string, extra string, batch int' AS columns,
+       CAST(doc_id % 3 AS VARCHAR) AS partition_value, count(*) AS n_rows, count(DISTINCT doc_id) AS n_keys FROM documents GROUP BY ALL
+UNION ALL SELECT 'air', 'event_id bigint, event_type string, reading bigint, partition_0 date',
+       '2024-01-0' || CAST(event_id % 2 + 1 AS VARCHAR), count(*), count(DISTINCT event_id) FROM events GROUP BY ALL
+UNION ALL SELECT 'customers', 'c_custkey bigint, c_name string, partition_0 string',
+       'part' || CAST(c_custkey % 2 AS VARCHAR), count(*), count(DISTINCT c_custkey) FROM customer GROUP BY ALL"""
     sql["compaction"] = "SELECT * FROM events"
     sql["compaction_report"] = """
 SELECT event_type, count(DISTINCT event_id % 5) AS files_before, CAST(1 AS BIGINT) AS files_after, true AS no_larger, count(*) AS n_rows

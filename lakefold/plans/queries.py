@@ -30,6 +30,7 @@ from lakefold.sinks.bronze import land_bronze
 from lakefold.sinks.kafka import to_records
 from lakefold.sources.catalog import register_silver, register_table
 from lakefold.sources.compaction import compact
+from lakefold.sources.discovery import discover, register_found
 from lakefold.sources.files import all_string_schema, read_source
 from lakefold.sources.logtail import tail_events
 from lakefold.sources.silver import SilverTable
@@ -485,6 +486,34 @@ def register_table_query(spark, sf_dir):
     return out
 
 
+def discover_tables(spark, sf_dir):
+    """One tree with three feeds becomes three registered tables: news by
+    landing day, whose later files have a column more; readings in folders
+    named by bare dates, with wider numbers later on; customers in folders by
+    segment."""
+    root = scratch_path(spark, "lake")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.expr("CAST(doc_id % 3 AS INT)").alias("batch"))
+    docs.filter("doc_id % 2 = 0").write.partitionBy("batch").parquet(f"{root}/feeds/news")
+    docs.filter("doc_id % 2 = 1").withColumn("extra", F.lower("lang")).write.mode("append").partitionBy("batch").parquet(f"{root}/feeds/news")
+    readings = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("user_id").cast("int").alias("reading"))
+    readings.filter("event_id % 2 = 0").write.parquet(f"{root}/feeds/air/2024-01-01")
+    readings.filter("event_id % 2 = 1").withColumn("reading", F.col("reading") * F.lit(10_000_000_000)).write.parquet(f"{root}/feeds/air/2024-01-02")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for n in (0, 1):
+        customer.filter(F.col("c_custkey") % 2 == n).write.parquet(f"{root}/customers/part{n}")
+    out = []
+    for t in discover(spark, root):
+        name = f"found_{t.name}_{uuid.uuid4().hex[:10]}"
+        df = register_found(spark, t, name)
+        by = [n for n, _ in t.partitions]
+        out.append(stage(df.groupBy(F.array_join(F.array(*[F.col(c).cast("string") for c in by]), "/").alias("partition_value")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct(df.columns[0]).alias("n_keys")).select(
+            F.lit(t.name).alias("table_name"), F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)).alias("columns"),
+            "partition_value", "n_rows", "n_keys"), "discovered"))
+        spark.sql(f"DROP TABLE {name}")
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def _small_files_table(spark, sf_dir) -> SilverTable:
     """Events by type, appended in five batches of one file per type."""
     events = table(spark, sf_dir, "events")
@@ -799,6 +828,7 @@ QUERIES: dict[str, Query] = {
     "json_landing": json_landing,
     "open_or_create": open_or_create,
     "register_table": register_table_query,
+    "discover_tables": discover_tables,
     "compaction": compaction,
     "compaction_report": compaction_report,
 }

@@ -97,8 +97,9 @@ def test_contract(spark):
     valid, rejected = ingest.split_contract(df, ["name", "email"])
     assert valid.count() == 1
     assert sorted(r.contract_errors[0] for r in rejected.collect()) == ["missing:email", "missing:name"]
-    with pytest.raises(ValueError):
-        ingest.split_contract(df, ["name", "email"], strict=True)
+    valid, _ = ingest.split_contract(df, ["name", "email"], strict=True)  # no job yet
+    with pytest.raises(Exception, match="violate the contract: missing:"):
+        valid.collect()
     typed = spark.createDataFrame([(1,)], "n int")
     assert ingest.contract_errors(typed, [], coerce=False).first().contract_errors == ["type:n"]
     assert ingest.contract_errors(typed, []).schema["n"].dataType == T.StringType()

@@ -80,8 +80,9 @@ def test_null_keys_never_match(spark):
 def test_cardinality_error(spark):
     t = spark.createDataFrame([(2, "t")], KV)
     s = spark.createDataFrame([(2, "x"), (2, "y")], KV)
-    with pytest.raises(m.MergeCardinalityError):
-        m.update_insert(t, s, ["k"], update=["v"])
+    out = m.update_insert(t, s, ["k"], update=["v"])
+    with pytest.raises(m.MergeCardinalityError, match="k = 2"), m.cardinality_errors():
+        out.collect()
     conflicts = m.merge_conflicts(t, s, ["k"])
     assert rows(conflicts) == [(2, 2)]
 
@@ -266,7 +267,32 @@ def test_column_order_preserved(spark):
 def test_null_safe_duplicates_are_conflicts_or_reduced(spark):
     t = spark.createDataFrame([(None, "t", 0)], "k int, v string, o int")
     s = spark.createDataFrame([(None, "x", 1), (None, "y", 2)], "k int, v string, o int")
-    with pytest.raises(m.MergeCardinalityError):
-        m.merge(t, s, ["k"], update=["v"], null_keys="null_safe")
+    with pytest.raises(Exception, match="several source rows .* k = null"):
+        m.merge(t, s, ["k"], update=["v"], null_keys="null_safe").collect()
     out = m.merge(t, s, ["k"], update="all", null_keys="null_safe", on_conflict="latest", order_by=["o"])
     assert rows(out) == [(None, "y", 2)]
+
+
+def test_guard_is_part_of_the_plan(spark):
+    """No job runs while a guarded upsert is built, and its write is one job;
+    a conflict still raises with its key, unmatched repeated keys do not."""
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    t = spark.createDataFrame([(i, f"t{i}") for i in range(50)], KV)
+    s = spark.createDataFrame([(i, f"s{i}") for i in range(40, 60)] + [(77, "a"), (77, "b")], KV)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(old, ("false", "-1")):
+            spark.conf.set(k, v)
+        sc.setJobGroup("guard-build", "")
+        out = m.update_insert(t, s, ["k"], update=["v"])
+        assert list(tracker.getJobIdsForGroup("guard-build")) == []
+        sc.setJobGroup("guard-write", "")
+        out.write.format("noop").mode("overwrite").save()
+        assert len(tracker.getJobIdsForGroup("guard-write")) == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        sc._jsc.clearJobGroup()
+    assert len(rows(out)) == 62 and (77, "a") in rows(out) and (45, "s45") in rows(out)
+    with pytest.raises(Exception, match="several source rows match one target row for key k = 7"):
+        m.update_insert(t, s.unionByName(s.selectExpr("7 AS k", "v")), ["k"], update=["v"]).collect()

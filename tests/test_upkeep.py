@@ -1,0 +1,150 @@
+"""Discovery (R6), backfill plans (R4, R5), drained offsets (S9, T3) and
+replayed messages (K7, T2)."""
+
+import datetime as dt
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakefold.operators import offsets
+from lakefold.operators.ingest import backfill_plan, with_stable_key
+from lakefold.operators.offsets import drain_report, merge_intervals, offset_intervals
+from lakefold.sources.discovery import discover, register_found
+from lakefold.sources.silver import SilverTable
+from lakefold.streaming import jobs
+
+# -- discovery ---------------------------------------------------------------------
+
+
+def test_tree_becomes_tables(spark, tmp_dir):
+    lake = f"{tmp_dir}/lake"
+    one = spark.range(6).select("id", F.lit("x").alias("a"), F.col("id").cast("int").alias("n"))
+    for day in ("2024-01-01", "2024-01-02"):
+        one.withColumn("day", F.lit(day)).write.mode("append").partitionBy("day").parquet(f"{lake}/raw/feed")
+    one.withColumn("n", F.col("id") * 10_000_000_000).withColumn("day", F.lit("2024-01-03")).withColumn("more", F.lit(1.5)).write.mode(
+        "append").partitionBy("day").parquet(f"{lake}/raw/feed")
+    one.write.parquet(f"{lake}/dated/2024-01-01")
+    one.write.parquet(f"{lake}/dated/2024-01-02")
+    one.write.parquet(f"{lake}/regions/north")
+    one.withColumn("n", F.col("n").cast("string")).write.parquet(f"{lake}/regions/south")
+    spark.range(3).select(F.struct("id").alias("other")).write.parquet(f"{lake}/lone")
+    found = {t.name: t for t in discover(spark, lake)}
+    assert sorted(found) == ["dated", "feed", "lone", "regions"]
+    assert found["feed"].partitions == [("day", "date")] and found["dated"].partitions == [("partition_0", "date")]
+    assert found["regions"].partitions == [("partition_0", "string")] and found["lone"].partitions == []
+    assert found["feed"].schema.simpleString() == "struct<id:bigint,a:string,n:bigint,more:double>"
+    assert found["regions"].schema["n"].dataType.simpleString() == "string"
+    names = {n: f"t_{n}_{uuid.uuid4().hex[:8]}" for n in ("feed", "dated", "lone")}
+    try:
+        feed = register_found(spark, found["feed"], names["feed"])
+        assert feed.count() == 18 and feed.filter("day = DATE '2024-01-03'").agg(F.max("n")).first()[0] == 50_000_000_000
+        assert feed.filter("day = DATE '2024-01-01'").agg(F.max("n"), F.max("more")).first()[:] == (5, None)
+        dated = register_found(spark, found["dated"], names["dated"])
+        assert {(str(r.partition_0), r["count"]) for r in dated.groupBy("partition_0").count().collect()} == {("2024-01-01", 6), ("2024-01-02", 6)}
+        assert register_found(spark, found["lone"], names["lone"]).count() == 3
+    finally:
+        for n in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_folders_that_do_not_belong_together_stay_apart(spark, tmp_dir):
+    lake = f"{tmp_dir}/lake"
+    spark.range(2).write.parquet(f"{lake}/a")
+    spark.range(2).select(F.array("id").alias("id")).write.parquet(f"{lake}/b")
+    spark.range(2).select("id", F.lit(1).alias("z")).write.parquet(f"{lake}/c")
+    assert [t.name for t in discover(spark, lake)] == ["a", "b", "c"]
+
+
+# -- backfill ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("max_days", [None, 1, 4])
+def test_backfill_plan_equals_brute_force(spark, max_days):
+    rng = random.Random(max_days or 0)
+    first = dt.date(2024, 2, 20)
+    days = [first + dt.timedelta(i) for i in range(25)]
+    arrived = [(k, d) for k in "abc" for d in days if rng.random() < .6] * 2 + [("a", dt.date(2020, 1, 1)), ("x", days[0]), ("b", None)]
+    keys = [("a",), ("b",), ("c",), ("none",), ("a",)]
+    want = []
+    for k in ("a", "b", "c", "none"):
+        run = []
+        for d in [x for x in days if (k, x) not in arrived]:
+            if run and (d - run[-1]).days == 1 and (not max_days or len(run) < max_days):
+                run.append(d)
+                continue
+            if run:
+                want.append((k, run[0], run[-1], len(run)))
+            run = [d]
+        if run:
+            want.append((k, run[0], run[-1], len(run)))
+    out = backfill_plan(spark.createDataFrame(keys, "k string"), spark.createDataFrame(arrived, "k string, d date"), "k", "d",
+                        F.lit(days[0]), F.lit(days[-1]), "https://s.example", max_days=max_days).collect()
+    assert sorted((r.k, r.first_day, r.last_day, r.n_days) for r in out) == want
+    whole = next(r for r in out if r.k == "none")
+    assert whole.url.startswith("https://s.example?where=news&query=%22none%22&sort=1&pd=3&ds=2024.02.20&de=") and whole.url.endswith("&start=1")
+
+
+# -- offsets -----------------------------------------------------------------------
+
+
+def test_intervals_across_blocks_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "BLOCK", 10)
+    rng = random.Random(2)
+    held = {(t, p): {o for o in range(95) if rng.random() < .8} | {9, 10, 11} for t in "xy" for p in (0, 1)}
+    rows = [(t, p, o) for (t, p), own in held.items() for o in own] * 2 + [("x", 0, None)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long").repartition(5)
+    halves = [offset_intervals(df.filter(F.pmod(F.xxhash64("offset"), F.lit(2)) == n)) for n in (0, 1)]
+    merged = merge_intervals(halves[0].unionByName(halves[1]).unionByName(offset_intervals(df)))
+    for r in drain_report(merged).collect():
+        own = sorted(held[r.topic, r.partition])
+        lost = [o for o in range(own[0], own[-1]) if o not in held[r.topic, r.partition]]
+        ranges = []
+        for o in lost:
+            if ranges and ranges[-1][1] == o - 1:
+                ranges[-1][1] = o
+            else:
+                ranges.append([o, o])
+        assert (r.n_messages, r.first_offset, r.last_offset, r.n_lost) == (len(own), own[0], own[-1], len(lost))
+        assert r.lost_ranges == ",".join(f"{a}-{b}" for a, b in ranges)
+    assert merged.count() == offset_intervals(df).count()
+
+
+def test_drain_twice_counts_once(spark, tmp_dir):
+    rows = [("t", 0, o, b"v") for o in (0, 1, 2, 5, 6)]
+    schema = "topic string, partition int, offset long, value binary"
+    spark.createDataFrame(rows, schema).repartition(2).write.parquet(f"{tmp_dir}/src")
+    st = SilverTable(spark, f"{tmp_dir}/offsets")
+    run = lambda ckpt: jobs.drain_job(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src"), st, f"{tmp_dir}/{ckpt}")
+    run("c1")
+    run("c1")
+    run("c2")  # a drain from the earliest offset again
+    spark.createDataFrame([("t", 0, 3, b"late"), ("t", 1, 7, None)], schema).write.mode("append").parquet(f"{tmp_dir}/src")
+    run("c1")
+    assert sorted(map(tuple, drain_report(st.read()).collect())) == [("t", 0, 6, 0, 6, 1, "4-4"), ("t", 1, 1, 7, 7, 0, "")]
+
+
+# -- replayed messages -------------------------------------------------------------
+
+
+def test_stable_key_is_that_of_the_record(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "a", None), (1, None, "a"), (2, "a", None)], "i int, a string, b string")
+    keys = [r.message_key for r in with_stable_key(df).collect()]
+    assert keys[0] == keys[1] and len(set(keys)) == 3
+
+
+def test_replays_land_once_and_keys_are_forgotten(spark, tmp_dir):
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    schema = "key string, ts timestamp"
+
+    def send(*rows):
+        spark.createDataFrame([(k, at(m)) for k, m in rows], schema).repartition(2).write.mode("append").parquet(f"{tmp_dir}/src")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/src")
+        jobs.append_unique_job(stream, "key", "ts", "10 minutes", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
+        return sorted(r.key for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
+
+    assert send(("a", 0), ("a", 0), ("b", 5), ("b", 5)) == ["a", "b"]
+    assert send(("b", 5), ("c", 8), ("a", 0)) == ["a", "b", "c"]
+    assert send(("z", 100)) == ["a", "b", "c", "z"]
+    assert send(("late", 20)) == ["a", "b", "c", "z"]  # older than the watermark
