@@ -325,8 +325,9 @@ def _grouped(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
     nodes = stage(sketched.filter("node is not null").dropDuplicates(["node"]), "near-nodes")
     sketches = nodes.select("node", "sketch", "n_shingles")
 
-    # buckets of several nodes; each member beside the smallest
-    keyed = nodes.select("node", F.explode("bands").alias("key")).repartition("key")
+    # buckets of several nodes; each member beside the smallest.  Keys are counted before they are
+    # shuffled, and a hot one is split by the join
+    keyed = nodes.select("node", F.explode("bands").alias("key"))
     centers = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("center")).filter("n > 1")
     members = stage(keyed.join(centers, "key").select("key", "node", "center"), "near-members")
     involved = members.select("node").distinct().join(nodes.select("node", "doc_id", "content"), "node")
@@ -373,13 +374,18 @@ def _grouped(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
         "doc_id", "content", "n_shingles", F.coalesce("comp", "node").alias("component"))
 
 
+def _groups(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The stored result of ``_grouped``; what it is found from goes."""
+    with staging(docs.sparkSession):
+        return stage(_grouped(docs, n_words, percent), "near-rows", kept=True)
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """``docs``: ``doc_id``, ``text``.  One row per document: ``doc_id``,
     ``content`` (hash of the text), ``n_shingles``, ``component_id`` (smallest
     id of its group), ``component`` (the group's name, null without shingles)
     and ``first`` (it has the smallest id and, of these, content)."""
-    with staging(docs.sparkSession):  # what the groups are found from goes with the search
-        rows = stage(_grouped(docs, n_words, percent), "near-rows", kept=True)
+    rows = _groups(docs, n_words, percent)
     least = rows.filter("component is not null").groupBy("component").agg(
         F.min("doc_id").alias("component_id"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content")).alias("least"))
@@ -393,11 +399,16 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
 def deduplicated(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id; documents
     without words all stay.  All columns stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), n_words, percent)
+    found = _groups(docs.select("doc_id", "text"), n_words, percent)
+    # the first of a group is a minimum, taken before groups are shuffled
+    least = found.filter("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content")).alias("least"))
+    first = least.select(F.struct("least.doc_id", "least.content").alias("which"), "component")
+    lone = found.filter("component is null").select(F.struct("doc_id", "content").alias("which"), "component").distinct()
     row = docs.select(F.struct(*docs.columns).alias("near_row"))
     keyed = row.select("near_row", F.struct(F.col("near_row.doc_id").cast("long").alias("doc_id"),
                                             F.xxhash64(text_of("near_row.text")).alias("content")).alias("own"))
-    chosen = stage(found.filter("first").select(F.struct("doc_id", "content").alias("which"), "component").distinct(), "near-kept")
+    chosen = stage(first.unionByName(lone), "near-kept")
     kept = keyed.join(chosen, F.col("own").eqNullSafe(F.col("which")))
     # repeated rows of the kept document: one stays; documents without words have no group
     single = kept.filter("component is not null").dropDuplicates(["component"])
