@@ -258,25 +258,24 @@ def listing_tree(df: DataFrame, html_col: str, item: str, fields: dict[str, tupl
                            lambda a, t: _step(a, t, bits),
                            lambda r: F.struct(r["stack"].alias("stack"), F.concat(acc["found"], r["found"]).alias("found")))
 
-    tokens = df.select(*keep, _tokens(F.col(html_col), bits).alias("__t"))
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size("__t") - 1, F.lit(0)), F.lit(BLOCK)),
-                         lambda i: F.slice(F.col("__t"), i + 1, F.lit(BLOCK)))
-    blocked = tokens.filter("__t IS NOT NULL").select(*keep, blocks.alias("__b"))
-    # by item, then field, then place
-    found = blocked.select(*keep, F.array_sort(F.aggregate("__b", empty, block)["found"]).alias("__f"))
-    n = F.size("__f")
-    starts = F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at("__f", i)["field"] == -1)
-    cut = found.filter("size(__f) > 0").select(*keep, "__f", starts.alias("__s"))
-    ends = lambda j: F.coalesce(F.try_element_at(F.col("__s"), j + 2), F.size("__f") + 1)
-    cut = cut.withColumn("__n", F.transform("__s", lambda s: F.element_at("__f", s)["item"]))
-
-    def one(s: Column, j: Column) -> Column:
-        outer = F.element_at("__f", s)["value"].cast("int")
-        return F.struct(F.when(outer > 0, F.array_position("__n", outer).cast("int")).alias("parent_no"),
-                        # by position: a slice of a stored array copies all of it
-                        F.transform(F.sequence(s, ends(j) - 1), lambda i: F.element_at("__f", i)).alias("own"))
-
-    rows = cut.select(*keep, F.posexplode(F.transform("__s", one)).alias("__no", "__i")).select(
+    # every intermediate array is bound once: an expression inside a lambda is evaluated again for each element
+    def blocks(t: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(t, i + 1, F.lit(BLOCK)))
+
+    def items(found: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(found)), lambda i: F.element_at(found, i)["field"] == -1)
+        return _let(starts, lambda s: _let(F.transform(s, lambda i: F.element_at(found, i)["item"]), lambda numbers: F.transform(
+            s, lambda at, j: one(found, s, numbers, at, j))))
+
+    def one(found: Column, starts: Column, numbers: Column, at: Column, j: Column) -> Column:
+        outer = F.element_at(found, at)["value"].cast("int")
+        end = F.coalesce(F.try_element_at(starts, j + 2), F.size(found) + 1)
+        return F.struct(F.when(outer > 0, F.array_position(numbers, outer).cast("int")).alias("parent_no"),
+                        F.transform(F.sequence(at, end - 1), lambda i: F.element_at(found, i)).alias("own"))
+
+    folded = F.aggregate(_let(_tokens(F.col(html_col), bits), blocks), empty, block, lambda r: F.array_sort(r["found"]))  # by item, field, place
+    every = _let(folded, lambda found: F.when(F.size(found) > 0, items(found)))
+    rows = df.select(*keep, F.posexplode(F.when(F.col(html_col).isNotNull(), every)).alias("__no", "__i")).select(
         *keep, (F.col("__no") + 1).alias("item_no"), "__i.parent_no", F.col("__i.own").alias("__i"))
 
     def field(k: int, name: str) -> Column:
