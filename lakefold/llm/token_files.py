@@ -34,7 +34,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +47,7 @@ VOCAB = "byte_bpe_50k.json"
 MAGIC = b"LFIDS\x01\r\n"
 BLOCK_IDS = 4096  # a multiple of 64
 FILE_IDS = 1 << 21
-CACHE_PIECES = 500_000
+CACHE_PIECES = 800_000
 END_ID = 0
 
 
@@ -144,12 +143,41 @@ class TokenFile:
 # --- encoding --------------------------------------------------------------
 
 class _Numbers(dict):
-    """Numbers keys in order of their first lookup."""
+    """Numbers keys in order of their first lookup; ``new`` holds them until
+    they are taken."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
     def __missing__(self, key: str) -> int:
         self[key] = n = len(self)
+        self.new.append(key)
         return n
 
+    def take(self) -> list[str]:
+        self.new, out = [], self.new
+        return out
+
+
+class _Growing:
+    """An array that is appended to."""
+
+    def __init__(self, dtype):
+        self.held, self.n = np.empty(1 << 12, dtype), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.held):
+            held = np.empty(2 * (self.n + len(values)), self.held.dtype)
+            held[:self.n] = self.held[:self.n]
+            self.held = held
+        self.held[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.held[:self.n]
+
 
 class PieceEncoder:
     """The library's ids of whole texts, each distinct piece encoded once.
@@ -185,26 +213,27 @@ class PieceEncoder:
 
     def _reset(self) -> None:
         self.index = _Numbers()
-        self.flat = np.empty(0, np.uint32)
-        self.start, self.count, self.uses = (np.empty(0, np.int64) for _ in range(3))
+        self.flat = _Growing(np.uint32)
+        self.start, self.count, self.uses = (_Growing(np.int64) for _ in range(3))
 
     def _forget(self) -> None:
         """Keep the pieces that came up again, the most frequent half of the
         cache at most."""
-        again = np.flatnonzero(self.uses > 1)
+        uses = self.uses.values
+        again = np.flatnonzero(uses > 1)
         if len(again) > CACHE_PIECES // 2:
-            again = np.sort(again[np.argsort(-self.uses[again], kind="stable")[:CACHE_PIECES // 2]])
-        kept = set(again.tolist())
-        names = [p for i, p in enumerate(self.index) if i in kept]
-        start, count = self.start[again], self.count[again]
-        flat = self.flat[np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))]
+            again = np.sort(again[np.argsort(-uses[again], kind="stable")[:CACHE_PIECES // 2]])
+        every = list(self.index)
+        names = [every[i] for i in again.tolist()]
+        count = self.count.values[again]
+        flat = _gather(self.flat.values, self.start.values[again], count)[0]
         self._reset()
         self.index.update(zip(names, range(len(names))))
-        self.flat, self.count, self.start = flat, count, np.cumsum(count) - count
-        self.uses = np.zeros(len(names), np.int64)
+        for kept, values in ((self.flat, flat), (self.count, count), (self.start, np.cumsum(count) - count), (self.uses, np.zeros(len(names)))):
+            kept.append(values)
 
     def pieces(self, text: str) -> list[str]:
-        if self.uneven(text) or "\x00" in text or any(s in text for s in self.special):
+        if "  " in text or "\n " in text or self.uneven(text) or "\x00" in text or any(s in text for s in self.special):
             return self.runs(text)
         out = self.marked("\x00\\g<0>", text).replace(" ", "\x00 ").split("\x00")
         return out if out[0] else out[1:]
@@ -221,9 +250,9 @@ class PieceEncoder:
         return ids, np.diff(np.r_[-1, at])
 
     def _learn(self, new: list[str]) -> None:
-        words = [i for i, p in enumerate(new) if self.word(p)]
-        own = set(words)
-        others = [i for i in range(len(new)) if i not in own]
+        words, others = [], []
+        for i, p in enumerate(new):
+            (words if self.word(p) else others).append(i)
         made, count = [np.empty(0, np.int64)], np.zeros(len(new), np.int64)
         for i in range(0, len(words), 2048):
             part = words[i:i + 2048]
@@ -236,10 +265,9 @@ class PieceEncoder:
             made.append(np.array([t for x in lists for t in x], np.int64))
         start = np.empty(len(new), np.int64)
         order = np.array(words + others, np.int64)
-        start[order] = len(self.flat) + np.cumsum(count[order]) - count[order]
-        self.start, self.count = np.r_[self.start, start], np.r_[self.count, count]
-        self.uses = np.r_[self.uses, np.zeros(len(new), np.int64)]
-        self.flat = np.r_[self.flat, np.concatenate(made).astype(np.uint32)]
+        start[order] = self.flat.n + np.cumsum(count[order]) - count[order]
+        for kept, values in ((self.start, start), (self.count, count), (self.uses, np.zeros(len(new))), (self.flat, np.concatenate(made))):
+            kept.append(values)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and offsets (one more than texts)."""
@@ -251,18 +279,21 @@ class PieceEncoder:
             if t:
                 cut += self.pieces(t)
             ends.append(len(cut))
-        known = len(self.index)
         which = np.fromiter(map(self.index.__getitem__, cut), np.int64, len(cut))
-        if len(self.index) > known:
-            self._learn(list(islice(self.index, known, None)))
-        self.uses += np.bincount(which, minlength=len(self.uses))
-        start, count = self.start[which], self.count[which]
-        to = np.cumsum(count)
-        total = int(to[-1]) if len(to) else 0
-        ids = self.flat[np.repeat(start - (to - count), count) + np.arange(total)]
+        if self.index.new:
+            self._learn(self.index.take())
+        self.uses.values[:] += np.bincount(which, minlength=self.uses.n)
+        ids, to = _gather(self.flat.values, self.start.values[which], self.count.values[which])
         return ids, np.r_[0, to][ends]
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The segments of ``flat`` one after another, and where each ends."""
+    to = np.cumsum(count)
+    total = int(to[-1]) if len(to) else 0
+    return flat[np.repeat(start - (to - count), count) + np.arange(total)], to
+
+
 def encoder(path: str) -> PieceEncoder:
     return in_memory_cache("pieces", path, lambda: PieceEncoder(vocab_path(path)))
 
@@ -315,9 +346,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str = VOCAB, end_id: i
             yield flush()
 
     ordered = (docs.select("doc_id", text_of("text").alias("text"))
-               .withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+               .withColumn("digest", F.xxhash64("text"))
                .repartitionByRange(F.col("doc_id").asc_nulls_first(), "digest")
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest").drop("digest"))
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest", "text").drop("digest"))
     manifest = f"{folder}-manifest"
     ordered.mapInArrow(run, MANIFEST).write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
