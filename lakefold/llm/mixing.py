@@ -47,6 +47,8 @@ from .common import WORD, read, stage, text_of
 GROUP_ROWS = 4096
 #: Groups whose residuals form a group of the next level.
 FANOUT = 256
+#: Copies of one row that a task writes at a time.
+RUN = 1000
 SEED = 5
 WEIGHTS = (3, 1, 2)
 
@@ -179,12 +181,31 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     units = mix(stage(rows.select(*UNIT), "mix-sizes"), **settings).select(
         F.struct(*UNIT).alias("unit"), "n", "base", "n_more")
     joined = rows.withColumn("own", F.struct(*UNIT)).select("mix_row", "own").join(
-        units, F.col("own").eqNullSafe(F.col("unit")))
-    # only repeated rows need a number; the others are spread by their own unit anyway
-    number = F.row_number().over(Window.partitionBy("own").orderBy(F.lit(1)))
-    copies = F.col("base") + (number <= F.col("n_more")).cast("int")
-    return (joined.withColumn("copies", copies).filter("copies > 0")
-            .select("mix_row", F.explode(F.sequence(F.lit(1), "copies"))).select("mix_row.*"))
+        units, F.col("own").eqNullSafe(F.col("unit"))).drop("unit")
+    one = joined.filter("n = 1").select("mix_row", (F.col("base") + F.col("n_more")).alias("copies"))
+    one = one.filter("copies > 0").select("mix_row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("mix_row.*")
+    return one.unionByName(_repeated(joined.filter("n > 1")).select("mix_row.*"))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``mix_row`` of repeated units, each as often as it is taken.  Rows that
+    agree in all columns cannot be told apart: they are counted before they
+    are shuffled and written out again in runs of ``RUN`` copies that are
+    shuffled apart, so a third of all rows may be equal."""
+    marked = rows.withColumn("variant", F.sha2(F.to_json("mix_row"), 256))
+    same = marked.groupBy("own", "variant").agg(
+        F.count(F.lit(1)).alias("m"), F.any_value("mix_row").alias("mix_row"), F.any_value("base").alias("base"), F.any_value("n_more").alias("n_more"))
+    # how many rows of a unit come before a variant: one narrow row per variant
+    before = F.sum("m").over(Window.partitionBy("own").orderBy("variant")) - F.col("m")
+    stored = stage(same, "mix-variants")
+    more = F.least(F.greatest(F.col("n_more") - F.col("before"), F.lit(0).cast("long")), F.col("m"))
+    counts = stored.select("own", "variant", "m", "base", "n_more").withColumn("before", before).select(
+        F.col("own").alias("of"), F.col("variant").alias("which"), (F.col("m") * F.col("base") + more).alias("copies"))
+    runs = (stored.select("own", "variant", "mix_row").join(counts, F.col("own").eqNullSafe(F.col("of")) & (F.col("variant") == F.col("which")))
+            .filter("copies > 0").select("mix_row", "variant", "copies", F.explode(F.expr(f"sequence(0L, (copies - 1) div {RUN})")).alias("run")))
+    many = runs.filter(F.col("copies") > RUN).repartition("variant", "run")
+    return runs.filter(F.col("copies") <= RUN).unionByName(many).select(
+        "mix_row", F.explode(F.expr(f"sequence(run * {RUN}, least(copies, (run + 1) * {RUN}) - 1)")).alias("copy"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,3 +118,24 @@ def test_mixed_documents_keep_rows_and_columns(spark, edge_sf):
     want = sum(r.taken for r in op5(spark, edge_sf).collect())
     assert taken == want
     assert out.exceptAll(docs.unionAll(docs)).isEmpty()  # nothing more than twice
+
+
+def test_a_third_of_equal_rows(spark, monkeypatch):
+    """Equal rows, and rows that differ in a further column only, appear as
+    often as the mix takes their unit."""
+    from collections import Counter
+
+    monkeypatch.setattr(mixing, "RUN", 7)
+    rows = [(5, "one two three", "a", "x")] * 200 + [(5, "one two three", "a", "y")] * 50
+    rows += [(i, f"w{i} " * (1 + i % 9), "ab"[i % 2], "z") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string").repartition(6)
+    out = Counter(map(tuple, mixing.mixed_documents(docs).collect()))
+    units = {(u.doc_id, u.source, u.size): u for u in mixing.mix(mixing.stage(mixing.sized_documents(docs), "t5")).collect()}
+    hot = units[5, "a", 3]
+    assert (hot.n, out[rows[0]] + out[rows[200]]) == (250, 250 * hot.base + hot.n_more)
+    for value, m in ((rows[0], 200), (rows[200], 50)):
+        assert m * hot.base <= out[value] <= m * (hot.base + 1)
+    for r in rows[250:]:
+        u = units[r[0], r[2], len(r[1].split())]
+        assert out[r] == u.base + u.n_more
+    assert Counter(map(tuple, mixing.mixed_documents(docs.repartition(2)).collect())) == out
