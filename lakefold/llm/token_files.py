@@ -59,8 +59,13 @@ def bits_for(n_ids: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """64 ids in ``bits`` words; the last group is padded with 0."""
+    """64 ids in ``bits`` words; the last group is padded with 0.  Where the
+    width is a whole number type's, its array is that layout."""
     groups = -(-len(ids) // 64)
+    if bits in (8, 16, 32):
+        out = np.zeros(groups * 64, f"<u{bits // 8}")
+        out[: len(ids)] = ids
+        return out.tobytes()
     lanes = np.zeros(groups * 64, np.uint64)
     lanes[: len(ids)] = ids
     lanes = lanes.reshape(groups, 64)
@@ -74,6 +79,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 
 def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f"<u{bits // 8}", n).astype(np.uint32)
     words = np.frombuffer(data, "<u8").astype(np.uint64).reshape(-1, bits)
     out = np.empty((len(words), 64), np.uint64)
     mask = np.uint64((1 << bits) - 1)
