@@ -39,8 +39,11 @@ from lakefold.functions.logtext import EVENT_START
 PIECES = "file string, kind string, start long, n_lines int, text string"
 EVENTS = "file string, start long, n_lines int, event string"
 OPEN_EVENT = "start long, n_lines int, text string"
-#: Bytes that a reading task gets.
+#: Bytes of a range.
 RANGE_BYTES = 64 << 20
+#: A reading task has one range while there are no more than ``MIN_TASKS`` of
+#: them; above that, consecutive ranges share a task of up to ``TASK_BYTES``.
+MIN_TASKS, TASK_BYTES = 200, 64 << 20
 _BLOCK, _ROWS = 1 << 20, 2000
 
 
@@ -53,8 +56,8 @@ def open_fs(path: str):
 
 
 class Range(InputPartition):
-    """Parts of files: (name, from, to, the file's first and last new byte,
-    whether the file is closed there)."""
+    """What a task reads, parts of files: (name, from, to, the file's first
+    and last new byte, whether the file is closed there)."""
 
     def __init__(self, parts: list[tuple[str, int, int, int, int, bool]]):
         super().__init__(parts)
@@ -123,7 +126,7 @@ class LogTailReader(DataSourceStreamReader):
                     own, held = [], 0
                 if at == hi:
                     break
-        return out + [Range(own)] if own else out
+        return _shared(out + [Range(own)] if own else out)
 
     # -- reading ---------------------------------------------------------------
     def read(self, partition: Range) -> Iterator:
@@ -161,6 +164,21 @@ class LogTailReader(DataSourceStreamReader):
                 yield name, "end", hi, 0, ""
 
 
+def _shared(ranges: list[Range]) -> list[Range]:
+    """The ranges, dealt in order to tasks: each task leaves results with the
+    driver and a file with the sink, so their number follows the bytes and
+    not the size of a range."""
+    sizes = [sum(to - lo for _, lo, to, *_ in r.parts) for r in ranges]
+    tasks = max(MIN_TASKS, -(-sum(sizes) // TASK_BYTES))
+    if len(ranges) <= tasks:
+        return ranges
+    share, held, out = max(1, -(-sum(sizes) // tasks)), 0, {}
+    for r, size in zip(ranges, sizes):
+        out.setdefault(held // share, []).extend(r.parts)
+        held += size
+    return [Range(parts) for parts in out.values()]
+
+
 def _lines(f, lo: int, hi: int, last: int, skip: bool) -> Iterator[tuple[int, str]]:
     """Position and text of the lines whose first byte lies in [lo, hi);
     nothing is read from ``last`` on.  ``skip``: a line may have begun before

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from lakefold.functions.logtext import EVENT_START
-from lakefold.sources.logtail import LogTailReader, tail_events
+from lakefold.sources.logtail import MIN_TASKS, LogTailReader, tail_events
 from lakefold.streaming.jobs import append_job
 
 ONE = "22/11/14 10:11:12 INFO A: start\n\tat x.y(Z.java:1)\n"
@@ -118,3 +118,24 @@ def test_ranges_of_any_size_lose_and_repeat_nothing(tmp_dir, range_bytes):
                 joined.append((start, n, text))
         assert joined == events_of(data)
         assert sum(p[1] == "end" for p in pieces if p[0] == name) == 1
+
+
+@pytest.mark.parametrize("n_files, size", [(900, 100), (3, 40_000)])
+def test_number_of_tasks_does_not_follow_the_ranges(tmp_dir, n_files, size):
+    """Every range is read by one task, in order, and no more than
+    ``MIN_TASKS`` tasks share short ranges."""
+    line = (ONE + TWO).encode()
+    content = {f"{i:03d}.log": line * (1 + size // len(line)) for i in range(n_files)}
+    for name, data in content.items():
+        put(f"{tmp_dir}/{name}", data)
+    reader = LogTailReader({"path": tmp_dir, "startPattern": EVENT_START, "rangeBytes": "90", "closeIdleSeconds": "0"})
+    tasks = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert 1 < len(tasks) <= MIN_TASKS
+    at = dict.fromkeys(content, 0)
+    for name, lo, hi, *_ in (part for task in tasks for part in task.parts):
+        assert lo == at[name] and hi - lo <= 90
+        at[name] = hi
+    assert at == {name: len(data) for name, data in content.items()}
+    sizes = [sum(hi - lo for _, lo, hi, *_ in task.parts) for task in tasks]
+    assert max(sizes) <= 2 * sum(sizes) / MIN_TASKS + 90
+    assert sum(p[1] == "end" for task in tasks for p in reader._pieces(task.parts)) == n_files
