@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakefold.session import scratch_path, stage, staging
 
-__all__ = ["WORD", "in_memory_cache", "read", "row_order", "scratch_path", "stage", "staging", "text_of"]
+__all__ = ["WORD", "in_memory_cache", "read", "released", "row_order", "scratch_path", "stage", "staging", "text_of"]
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form
 #: feed and carriage return (what ``bytes.split()`` splits at).
@@ -39,3 +41,33 @@ def in_memory_cache(kind: str, key: str, make):
     if name not in _CACHE:
         _CACHE[name] = make()
     return _CACHE[name]
+
+
+def released(run, *kinds: str):
+    """``run``, a function for ``mapInArrow``, in a worker that holds on to
+    little memory: objects of other kinds than ``kinds`` go before it begins,
+    and what it has freed goes back to the system at its end.  Workers outlive
+    the stage that they worked for, and their memory counts as the executor's."""
+
+    def whole(batches):
+        keep_only(kinds)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def keep_only(kinds: tuple[str, ...]) -> None:
+    """Objects of other kinds go from this worker."""
+    for name in [n for n in _CACHE if n[0] not in kinds]:
+        del _CACHE[name]
+
+
+def give_back() -> None:
+    """Free memory that the allocators keep goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

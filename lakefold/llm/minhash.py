@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import text_slices
-from .common import in_memory_cache, read, stage, staging, text_of
+from .common import in_memory_cache, read, released, stage, staging, text_of
 from .components import connected_components
 
 ROWS, BANDS = 5, 48
@@ -219,7 +219,7 @@ def sketch_documents(docs: DataFrame, n_words: int) -> DataFrame:
 
     text = text_of("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("content"),
-                       text.alias("text")).mapInArrow(run, SKETCHED)
+                       text.alias("text")).mapInArrow(released(run, "minhash"), SKETCHED)
 
 
 def promising(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
@@ -239,7 +239,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
 
     a, b = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_sketch"), F.col("n_shingles").alias(f"{c}_n")) for c in "ab")
     return (pairs.join(a, "a").join(b, "b").select("a", "b", "a_sketch", "b_sketch", (F.col("a_n") + F.col("b_n")).alias("sizes"))
-            .mapInArrow(run, "a long, b long, gap double"))
+            .mapInArrow(released(run, "minhash"), "a long, b long, gap double"))
 
 
 def bucket_pairs(members: DataFrame, threshold: float) -> DataFrame:
@@ -294,7 +294,7 @@ def bucket_pairs(members: DataFrame, threshold: float) -> DataFrame:
             yield from found(held)
 
     dealt = members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.select(*names).mapInArrow(run, "a long, b long")
+    return dealt.select(*names).mapInArrow(released(run, "minhash"), "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
@@ -315,7 +315,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, percent: int) ->
 
     a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
     return (pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(released(run, "minhash"), "a long, b long"))
 
 
 def _grouped(docs: DataFrame, n_words: int, percent: int) -> DataFrame:

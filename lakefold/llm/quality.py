@@ -33,7 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import read, stage
+from .bpe import text_slices
+from .common import read, released, stage
 
 BUCKETS = 1 << 18
 SAMPLE = 8000
@@ -193,7 +194,7 @@ def _examples(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> Da
                 [batch.column(batch.schema.get_field_index(c)) for c in ("rank", "y")]
                 + [pa.array([len(x) for x in xs], pa.int32()), pa.array(xs, pa.list_(pa.int32()))], ["rank", "y", "n", "x"])
 
-    return stage(texts.mapInArrow(run, "rank int, y int, n int, x array<int>"), "quality-examples")
+    return stage(texts.mapInArrow(released(run), "rank int, y int, n int, x array<int>"), "quality-examples")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
@@ -220,12 +221,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            made = pa.array([shared.value.score(t) for t in texts], pa.float64())
+            slices = text_slices(batch.column(batch.schema.get_field_index(text_col)))
+            made = pa.array([shared.value.score(t) for _, _, texts in slices for t in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, made], [*keep, "score"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != text_col)
-    return docs.mapInArrow(run, f"{kept}score double")
+    return docs.mapInArrow(released(run), f"{kept}score double")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -234,10 +235,10 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_c
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array([shared.value.score(t) >= threshold for t in texts], pa.bool_()))
+            for lo, hi, texts in text_slices(batch.column(batch.schema.get_field_index(text_col))):
+                yield batch.slice(lo, hi - lo).filter(pa.array([shared.value.score(t) >= threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def predicted(threshold: float = THRESHOLD) -> Column:
