@@ -10,7 +10,7 @@ when a key is skewed.
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +70,29 @@ def drop_duplicated_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     return key_join(df, key_counts(df, keys).filter("__n > 1").select(*keys), keys, "left_anti")
 
 
+def _rows_of(df: DataFrame, keys: DataFrame, on: list[str], store: Callable[[DataFrame], DataFrame], inside: bool) -> DataFrame:
+    """The rows of ``df`` whose key is in ``keys`` (``inside``), or is not.
+
+    The keys' hashes, eight bytes each, are stored, so their size is known
+    when the join is planned: while they fit a broadcast, only rows with a
+    hash among them are shuffled, to be compared by the key itself."""
+    columns = df.columns
+    marks = store(keys.select(F.xxhash64(*on).alias("__mark")).distinct())
+    marked = df.withColumn("__mark", F.xxhash64(*on))
+    hits = marked.join(marks, "__mark", "left_semi").select(*columns)
+    if inside:
+        return key_join(hits, keys, on, "left_semi")
+    others = marked.join(marks, "__mark", "left_anti").select(*columns)
+    return others.unionByName(key_join(hits, keys, on, "left_anti"))
+
+
 def purge_duplicates(
     target: DataFrame,
     source: DataFrame,
     on: Iterable[str],
     mode: str = "reference",
     order_by: Iterable[str] | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """M5: clear duplicated keys from the target, then insert the source rows
     whose key is not (any longer) present.
@@ -86,10 +103,21 @@ def purge_duplicates(
 
     The target is read for its rows and for its keys; the one aggregate over
     the keys serves the delete and the insert (its shuffle is reused).
+
+    ``store`` (reference mode), for wide rows: keys are settled first, on
+    copies that it keeps, and rows are then picked by them (``_rows_of``).
     """
     on = list(on)
     if mode not in PURGE_MODES:
         raise ValueError(f"mode must be one of {PURGE_MODES}")
+    if mode == "reference" and store is not None:
+        counts = store(key_counts(target, on))
+        repeated = store(counts.filter("__n > 1").select(*on))
+        keyed = source.filter(all_keys_present(on))
+        new = store(key_join(keyed.select(*on).distinct(), counts.filter("__n = 1").select(*on), on, "left_anti"))
+        kept = _rows_of(target, repeated, on, store, inside=False)
+        inserted = _rows_of(keyed, new, on, store, inside=True).unionByName(source.filter(~all_keys_present(on)))
+        return kept.unionByName(inserted, allowMissingColumns=True)
     if mode == "reference":
         kept = drop_duplicated_keys(target, on)
         kept_keys = key_counts(target, on).filter("__n = 1").select(*on)

@@ -136,7 +136,7 @@ REFERENCE = RunOptions(on_conflict="error", roll_day=False, keep_labels=False)
 
 def merge_batch(spec: DatasetSpec, target: DataFrame, batch: DataFrame) -> DataFrame:
     if spec.merge_kind == "purge":
-        return purge_duplicates(target, batch, spec.keys, mode="reference")
+        return purge_duplicates(target, batch, spec.keys, mode="reference", store=lambda df: stage(df, f"{spec.name}-keys"))
     return merge(target, batch, spec.keys, update=spec.update, insert="all")
 
 
@@ -146,7 +146,7 @@ def prepare(spec: DatasetSpec, bronze: DataFrame, options: RunOptions, **setting
     batch = spec.transform(bronze, roll_day=options.roll_day, **settings)
     if options.on_conflict == "latest" and spec.merge_kind == "update":
         batch = latest_per_key(batch, spec.keys, [_LANDED] if _LANDED in batch.columns else [])
-    return stage(batch.drop(_LANDED), f"{spec.name}-batch")
+    return stage(batch.drop(_LANDED), f"{spec.name}-batch", compression="zstd")
 
 
 def fold(spec: DatasetSpec, target: DataFrame | None, batch: DataFrame) -> DataFrame:

@@ -125,16 +125,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage(df, name: str, kept: bool = False):
+def stage(df, name: str, kept: bool = False, compression: str | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and return
     a DataFrame reading it back.
 
     Used where a frame feeds several actions (guards, joins): the lineage is
     cut once, the copy survives executor loss, and later scans get column
     pruning and file statistics.  ``kept``: see ``scratch_path``.
+    ``compression``: a Parquet codec in place of the session's.
     """
     path = scratch_path(df.sparkSession, name, kept)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 

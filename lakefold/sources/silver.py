@@ -169,7 +169,7 @@ class SilverTable:
             self.write(conform(others, merged).unionByName(df), applied)
             return
         with staging(self.spark):
-            new = stage(df, "silver-replace")
+            new = stage(df, "silver-replace", compression="zstd")
             stray = new.filter(~F.coalesce(self._any_of(partitions), F.lit(False))).limit(1)
             if not stray.isEmpty():
                 raise ValueError(f"rows outside the partitions to replace: {stray.first()}")

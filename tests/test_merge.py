@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakefold.operators import dedup
 from lakefold.operators import merge as m
 from lakefold.operators.hierarchy import label_hierarchy
+from lakefold.session import stage
 from test_skew import conf
 
 KV = "k int, v string"
@@ -158,6 +159,29 @@ def test_purge_reference_key_absent_from_source(spark):
     assert dedup.purge_duplicates(t, s, ["key"]).count() == 0
 
 
+def test_purge_reference_of_wide_rows_settles_keys_first(spark):
+    """With ``store``, rows are picked by stored keys and not shuffled whole;
+    null key parts, repeated keys and repeated rows count as without."""
+    t = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), (None, 1, "n"), (None, 1, "n"),
+                               ("d", None, "n"), ("e", 2, "t")], "k string, l int, v string")
+    s = spark.createDataFrame([("a", 1, "s"), ("a", 1, "s"), ("c", 1, "s"), ("c", 2, "s"), (None, 1, "s"), ("d", None, "s"), ("f", 1, "s")],
+                              "k string, l int, v string")
+    stored = []
+
+    def store(df):
+        stored.append(df.columns)
+        return stage(df, "test-keys")
+
+    for target, source in ((t, s), (t, t), (s.limit(0), s), (t, s.limit(0))):
+        stored.clear()
+        out = dedup.purge_duplicates(target, source, ["k", "l"], store=store)
+        assert stored and not any("v" in columns for columns in stored)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("__mark") and all("__mark" not in line for line in plan.split("\n") if "SortMergeJoin" in line)
+        plain = dedup.purge_duplicates(target, source, ["k", "l"])
+        assert sorted(map(repr, out.collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_purge_keep_latest(spark):
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     t = spark.createDataFrame([("k", 1, d1), ("k", 2, d2)], "key string, v int, d date")
