@@ -1,21 +1,24 @@
-"""Nearest neighbours by a block matrix join with int8 products.
+"""Nearest neighbours by a block matrix product of int8 codes.
 
 Vectors are scaled to length 1, quantised to int8 with a scale of their own
-and packed into blocks.  A block of queries meets a block of vectors in one
-row of the join; the int8 product (exact in float32) gives all cosines of
-the tile with an error bound from the two quantisation residuals:
+and held in blocks.  The int8 product of a block of queries and a block of
+vectors gives all cosines of the tile with an error bound from the two
+quantisation residuals:
 
     |u.v - s t p.q|  <=  |u - s p| |t q| + |v - t q|      (u, v of length 1)
 
-A pair survives if its upper bound reaches the query's k-th best lower
-bound (or the k-th exact score its task has found so far); survivors are
-recomputed in double precision from the original vectors and merged by
-heaps, per task first and by query after one shuffle.  The bounds hold for
-every pair, so the result equals brute force.
+A pair survives if its upper bound reaches the k-th best score known for the
+query; survivors are recomputed in double precision from the original vectors
+and the k best kept, per task first and by query after one shuffle.  The
+bounds hold for every pair, so the result equals brute force.
 
-Scale: queries x rows work, in tiles of fixed size; each query block is sent
-to each vector block once; memory per task is a tile, and heaps of ``k``
-entries for the queries of a partition.
+Scale: queries x rows work, in tiles of fixed size.  Vectors are not
+shuffled: a task holds ``block`` of them at a time and reads the blocks of
+queries past them from a shared folder, so what is written grows with the
+queries and their results, not with queries x blocks.  In a large table a
+part of the vectors meets the queries first: the k-th best score found there
+bounds what the tasks of the whole table hand on.  ``vectors`` is read up to
+three times and must give the same rows each time.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors meet only
@@ -27,29 +30,46 @@ gives no rows.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
+from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import read, stage
+from .common import read, scratch_path, stage
+from .token_files import open_fs
 
-BLOCK = 4096
+#: Vectors that a task holds, and the components they have at most.
+BLOCK, VALUES = 1 << 15, 1 << 22
 QUERY_BLOCK = 512
-#: Queries whose heaps a task holds before it hands them on.
-HELD = 1 << 16
+#: Vectors of a tile; of the first one if a query has no bound yet.
+TILE, FIRST = 1 << 10, 1 << 11
+#: Survivors that are settled at once, and rescored at once.
+PENDING, RESCORED = 1 << 16, 1 << 15
+#: A table of so many blocks has bounds from a part of it first, this times
+#: the root of a block's share of the table.
+SEEDED, PART = 16, 0.25
 #: Room for rounding in the double precision of the bounds themselves.
 SLACK = 1e-9
 
 
-def usable(vector: str = "embedding") -> Column:
-    """Vector without null or non-finite components, and not zero."""
-    x = F.col(vector)
-    return (F.coalesce(F.size(x) > 0, F.lit(False))
-            & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-            & F.exists(x, lambda c: c != 0))
+def usable(vectors: pa.ListArray, kind: str, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, positions and components of the vectors without null or
+    non-finite components that are not zero; up to ``most`` at once."""
+    sizes = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)  # null is NaN
+    starts = np.cumsum(sizes) - sizes
+    for dim in np.unique(sizes[sizes > 0]).tolist():
+        of_dim, step = np.flatnonzero(sizes == dim), min(most, max(1, (VALUES >> 2) // dim))
+        for i in range(0, len(of_dim), step):
+            at = of_dim[i:i + step]
+            x = flat[starts[at][:, None] + np.arange(dim)]
+            fine = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+            if fine.any():
+                yield dim, at[fine], x[fine]
 
 
 def quantise(vectors: np.ndarray) -> dict[str, np.ndarray]:
@@ -84,132 +104,187 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / np.sqrt(aa * bb)
 
 
-class Block:
-    """Unpacked row of ``pack_blocks``."""
-
-    def __init__(self, row: dict, prefix: str):
-        dim = row["dim"]
-        self.ids = np.frombuffer(row[f"{prefix}_ids"], np.int64)
-        self.rows = np.frombuffer(row[f"{prefix}_rows"], np.int64)
-        self.vectors = np.frombuffer(row[f"{prefix}_vectors"], np.float64).reshape(-1, dim)
-        self.code = np.frombuffer(row[f"{prefix}_codes"], np.int8).reshape(-1, dim)
-        self.scale, self.length, self.miss = np.frombuffer(row[f"{prefix}_bounds"], np.float64).reshape(3, -1)
-
-
-def pack_blocks(vectors: DataFrame, prefix: str) -> DataFrame:
-    """One row per (dim, block): ids, vectors and codes as binary columns."""
-    schema = (f"dim int, block long, {prefix}_ids binary, {prefix}_rows binary, {prefix}_vectors binary, "
-              f"{prefix}_codes binary, {prefix}_bounds binary")
-
-    def run(table: pa.Table) -> pa.Table:
-        dim = table.column("dim")[0].as_py()
-        flat = table.column("embedding").combine_chunks().flatten()
-        x = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-        q = quantise(x)
-        bounds = np.stack([q["scale"], q["length"], q["miss"]])
-        return pa.Table.from_pydict({
-            "dim": pa.array([dim], pa.int32()), "block": pa.array([table.column("block")[0].as_py()], pa.int64()),
-            f"{prefix}_ids": pa.array([table.column("vec_id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
-            f"{prefix}_rows": pa.array([table.column("row").to_numpy().astype(np.int64).tobytes()], pa.binary()),
-            f"{prefix}_vectors": pa.array([x.tobytes()], pa.binary()),
-            f"{prefix}_codes": pa.array([q["code"].tobytes()], pa.binary()),
-            f"{prefix}_bounds": pa.array([bounds.tobytes()], pa.binary())})
-
-    return vectors.groupBy("dim", "block").applyInArrow(run, schema)
-
-
-def tile_survivors(q: Block, v: Block, k: int, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query and vector positions of a tile's pairs that can be among the k
-    nearest, with their exact cosines.  ``best``: per query, a score that k
-    pairs elsewhere have reached."""
-    approx = int8_products(q.code, v.code) * q.scale[:, None] * v.scale[None, :]
-    bound = q.miss[:, None] * v.length[None, :] + v.miss[None, :] + SLACK
-    own = q.ids[:, None] == v.ids[None, :]
-    low = np.where(own, -np.inf, approx - bound)
-    floor = best if low.shape[1] < k else np.maximum(best, -np.partition(-low, k - 1, axis=1)[:, k - 1])
-    qi, vi = np.nonzero((approx + bound >= floor[:, None]) & ~own)
-    scores = np.empty(len(qi))
-    for i in range(0, len(qi), 1 << 15):
-        s = slice(i, i + (1 << 15))
-        scores[s] = cosines(q.vectors[qi[s]], v.vectors[vi[s]])
-    return qi, vi, scores
-
-
-class Heaps:
-    """The k best (score, smaller id first) of each query."""
-
-    def __init__(self, k: int):
-        self.k, self.of = k, {}
-
-    def add(self, row: int, query: int, score: float, vec: int) -> None:
-        heap = self.of.setdefault((row, query), [])
-        item = (score, -vec)
-        if len(heap) < self.k:
-            heapq.heappush(heap, item)
-        elif item > heap[0]:
-            heapq.heapreplace(heap, item)
-
-    def floor(self, row: int, query: int) -> float:
-        heap = self.of.get((row, query), ())
-        return heap[0][0] if len(heap) == self.k else -np.inf
-
-    def drain(self, ranks: bool) -> pa.RecordBatch:
-        out = [(row, query, rank, -neg, score) for (row, query), heap in self.of.items()
-               for rank, (score, neg) in enumerate(sorted(heap, reverse=True), 1)]
-        self.of = {}
-        cols = list(zip(*out)) or [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                          ["row", "query_id", "rank", "vec_id", "score"])
+class Queries:
+    """A row of ``pack_queries``."""
 
+    def __init__(self, row: dict, kind: str):
+        self.dim = row["dim"].as_py()
+        self.ids, self.rows, self.floor_ids = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("ids", "rows", "floor_ids"))
+        self.vectors = np.frombuffer(row["vectors"].as_buffer(), kind).reshape(-1, self.dim)
+        self.code = np.frombuffer(row["codes"].as_buffer(), np.int8).reshape(-1, self.dim)
+        self.scale, self.length, self.miss, self.floors = np.frombuffer(row["bounds"].as_buffer(), np.float64).reshape(4, -1)
 
-FOUND = "row long, query_id long, rank int, vec_id long, score double"
+    def wide(self, floors: np.ndarray) -> np.ndarray:
+        """Codes and what the bounds add: a product with ``Held.wide`` is
+        positive or 0 if an upper bound reaches the floor.  Products are summed
+        in float32, so the floor is lowered by more than their rounding."""
+        rounding = (self.dim + 16) * 2.0 ** -21
+        least = np.maximum(floors, -4.0) - SLACK - rounding
+        return np.column_stack([self.code, self.miss / self.scale, 1 / self.scale, -least / self.scale]).astype(np.float32)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK,
-            query_block: int = QUERY_BLOCK) -> DataFrame:
-    """The ``k`` nearest of each query row of ``vec_id``, ``embedding``."""
-    rows = stage(vectors.filter(F.col("vec_id").isNotNull() & usable())
-                 .select("vec_id", "embedding", F.size("embedding").alias("dim"), is_query.alias("is_query"),
-                         F.monotonically_increasing_id().alias("row")), "ann-vectors")
-    n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("is_query"), 1))).first()
+class Held:
+    """Vectors of one length that a task holds."""
 
-    def blocked(df: DataFrame, blocks: int) -> DataFrame:  # by row number, so equal rows spread
-        return df.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("long"))
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, dict]]):
+        self.ids, self.vectors = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        self.code, self.scale, self.length, self.miss = (
+            np.concatenate([p[2][c] for p in parts]) for c in ("code", "scale", "length", "miss"))
+        self.wide = np.column_stack([self.code, self.length / self.scale, self.miss / self.scale, 1 / self.scale]).astype(np.float32)
 
-    n_blocks, n_query_blocks = -(-n // block) or 1, -(-n_queries // query_block) or 1
-    tiles = pack_blocks(blocked(rows, n_blocks), "v")
-    queries = (pack_blocks(blocked(rows.filter("is_query"), n_query_blocks), "q").drop("block")
-               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))))
 
-    def search(batches) -> Iterator[pa.RecordBatch]:
-        heaps = Heaps(k)
+PACKED = "dim int, ids binary, rows binary, vectors binary, codes binary, bounds binary, floor_ids binary"
+
+
+def pack_queries(queries: DataFrame, kind: str, size: int) -> DataFrame:
+    """``vec_id``, ``embedding``, ``row``, ``floor``, ``floor_id`` in blocks:
+    a row has up to ``size`` queries of one length, as binary columns."""
+
+    def packed(dim: int, parts: list[tuple]) -> pa.RecordBatch:
+        ids, rows, x, floors, floor_ids = (np.concatenate(c) for c in zip(*parts))
+        q = quantise(x.astype(np.float64))
+        bounds = np.stack([q["scale"], q["length"], q["miss"], floors])
+        return pa.RecordBatch.from_pydict(
+            {"dim": pa.array([dim], pa.int32())}
+            | {c: pa.array([a.tobytes()], pa.binary()) for c, a in (
+                ("ids", ids), ("rows", rows), ("vectors", x), ("codes", q["code"]), ("bounds", bounds), ("floor_ids", floor_ids))})
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                q, v = Block(row, "q"), Block(row, "v")
-                names = list(zip(q.rows.tolist(), q.ids.tolist()))
-                best = np.array([heaps.floor(*x) for x in names])
-                qi, vi, scores = tile_survivors(q, v, k, best)
-                order = np.lexsort((v.ids[vi], -scores, qi))  # within a tile only the first k of a query count
-                qi, vi, scores = qi[order], vi[order], scores[order]
-                nth = np.arange(len(qi)) - np.searchsorted(qi, qi)
-                for a, b, s in zip(qi[nth < k].tolist(), v.ids[vi[nth < k]].tolist(), scores[nth < k].tolist()):
-                    heaps.add(*names[a], s, b)
-                if len(heaps.of) > HELD:
-                    yield heaps.drain(False)
-        yield heaps.drain(False)
-
-    def merge(batches) -> Iterator[pa.RecordBatch]:
-        heaps = Heaps(k)
+            ids, rows, floors, floor_ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "row", "floor", "floor_id"))
+            for dim, at, x in usable(batch.column("embedding"), kind, size):
+                parts = held.setdefault(dim, [])
+                if sum(len(p[0]) for p in parts) + len(at) > max(1, min(size, VALUES // dim)) and parts:
+                    yield packed(dim, held.pop(dim))
+                    parts = held.setdefault(dim, [])
+                parts.append((ids[at].astype(np.int64), rows[at], x, floors[at], floor_ids[at]))
+        for dim, parts in held.items():
+            yield packed(dim, parts)
+
+    return queries.mapInArrow(run, PACKED)
+
+
+def read_queries(folder: str, kind: str) -> Iterator[Queries]:
+    """The blocks of a folder, one at a time."""
+    from pyarrow import fs
+
+    filesystem, root = open_fs(folder)
+    for info in filesystem.get_file_info(fs.FileSelector(root)):
+        if info.is_file and info.base_name.endswith(".parquet"):
+            with filesystem.open_input_file(info.path) as f:
+                for batch in pq.ParquetFile(f).iter_batches(batch_size=1):
+                    for i in range(batch.num_rows):
+                        yield Queries({c: batch.column(c)[i] for c in batch.schema.names}, kind)
+
+
+def reached(q: Queries, v: Held, k: int) -> np.ndarray:
+    """Per query, a score that k pairs with the first vectors reach."""
+    code, scale, length, miss, ids = (x[:FIRST] for x in (v.code, v.scale, v.length, v.miss, v.ids))
+    if len(ids) < k:
+        return np.full(len(q.ids), -np.inf)
+    low = int8_products(q.code, code) * q.scale[:, None] * scale[None, :]
+    low -= q.miss[:, None] * length[None, :] + miss[None, :] + SLACK
+    low[q.ids[:, None] == ids[None, :]] = -np.inf
+    return -np.partition(-low, k - 1, axis=1)[:, k - 1]
+
+
+def first_of(k: int, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The k best of each query, the smaller id first, and their ranks."""
+    order = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    nth = np.arange(len(query)) - np.searchsorted(query, query)
+    return tuple(x[nth < k] for x in (query, ids, scores, nth))
+
+
+def nearest_held(q: Queries, v: Held, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query positions, ids and exact cosines of the pairs of two blocks that
+    can be among the k nearest, up to k of a query."""
+    floors = q.floors.copy()
+    if np.isneginf(floors).any():
+        floors = np.maximum(floors, reached(q, v, k))
+    found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+    def settle(qi: np.ndarray, vi: np.ndarray) -> None:
+        nonlocal found
+        for i in range(0, len(qi), RESCORED):
+            a, b = qi[i:i + RESCORED], vi[i:i + RESCORED]
+            other = q.ids[a] != v.ids[b]
+            a, b = a[other], b[other]
+            scores, ids = cosines(q.vectors[a].astype(np.float64), v.vectors[b].astype(np.float64)), v.ids[b]
+            counts = (scores > q.floors[a]) | (scores == q.floors[a]) & (ids <= q.floor_ids[a])
+            *found, nth = first_of(k, *(np.concatenate(x) for x in zip(found, (a[counts], ids[counts], scores[counts]))))
+            last = nth == k - 1
+            floors[found[0][last]] = np.maximum(floors[found[0][last]], found[2][last])
+
+    n, left = len(q.ids), q.wide(floors)
+    tile, pending, held = np.empty(n * TILE, np.float32), [], 0
+    for i in range(0, len(v.ids), TILE):
+        right = v.wide[i:i + TILE]
+        upper = tile[:n * len(right)]
+        np.matmul(left, right.T, out=upper.reshape(n, -1))
+        qi, vi = np.divmod(np.flatnonzero(upper >= 0), len(right))
+        pending.append((qi, vi + i))
+        held += len(qi)
+        if held >= PENDING or i + TILE >= len(v.ids):
+            settle(*(np.concatenate(x) for x in zip(*pending)))
+            left, pending, held = q.wide(floors), [], 0
+    return found
+
+
+FOUND = "row long, query_id long, rank int, vec_id long, score double"
+
+
+def candidates(vectors: DataFrame, queries: DataFrame, kind: str, k: int, block: int, query_block: int) -> DataFrame:
+    """The pairs that can be among the k nearest of a query, with ranks."""
+    folder = scratch_path(vectors.sparkSession, "ann-queries")
+    pack_queries(queries, kind, query_block).write.parquet(folder, compression="none")
+
+    def meet(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        blocks = {dim: Held(parts) for dim, parts in held.items()}
+        for q in read_queries(folder, kind) if blocks else ():
+            if q.dim in blocks:
+                qi, ids, scores = nearest_held(q, blocks[q.dim], k)
+                if len(qi):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q.rows[qi], q.ids[qi], ids, scores)],
+                                                     ["row", "query_id", "vec_id", "score"])
+
+    def search(batches) -> Iterator[pa.RecordBatch]:
+        held, rows, values = {}, 0, 0
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("row", "query_id", "score", "vec_id")]
-            for item in zip(*cols):
-                heaps.add(*item)
-        yield heaps.drain(True)
+            ids = batch.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            for dim, at, x in usable(batch.column("embedding"), kind, block):
+                held.setdefault(dim, []).append((ids[at], x, quantise(x.astype(np.float64))))
+                rows, values = rows + len(at), values + x.size
+                if rows >= block or values >= VALUES:
+                    yield from meet(held)
+                    held, rows, values = {}, 0, 0
+        yield from meet(held)
 
-    pairs = queries.join(tiles, ["dim", "block"])
-    return pairs.mapInArrow(search, FOUND).repartition("row").mapInArrow(merge, FOUND)
+    found = vectors.mapInArrow(search, "row long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("row", "query_id", "rank", "vec_id", "score")
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK,
+            query_block: int = QUERY_BLOCK) -> DataFrame:
+    """The ``k`` nearest of each query row of ``vec_id``, ``embedding``."""
+    whole = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = "f4" if whole else "f8"
+    named = vectors.filter(F.col("vec_id").isNotNull())
+    embedding = F.col("embedding") if whole else F.col("embedding").cast("array<double>")
+    own = named.select("vec_id", embedding.alias("embedding"))
+    queries = stage(named.filter(is_query).select("vec_id", embedding.alias("embedding"), F.monotonically_increasing_id().alias("row"),
+                                                  F.lit(float("-inf")).alias("floor"), F.lit(0).cast("long").alias("floor_id")), "ann-query-rows")
+    n = named.count()
+    if n >= SEEDED * block:
+        part = own.filter(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1 << 20)) < int(sqrt(block / n) * PART * (1 << 20)))
+        floors = (candidates(part.repartition(int(sqrt(n / block))), queries, kind, k, block, query_block).filter(F.col("rank") == k)
+                  .select("row", F.col("score").alias("floor"), F.col("vec_id").alias("floor_id")))
+        queries = queries.drop("floor", "floor_id").join(floors, "row", "left").select(
+            "vec_id", "embedding", "row", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
+            F.coalesce("floor_id", F.lit(0)).cast("long").alias("floor_id"))
+    return candidates(own, queries, kind, k, block, query_block)
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,40 @@ def test_small_blocks_give_the_same(spark, small_sf):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_bounds_from_a_part_give_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ann, "PART", 1.0)
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(400)]
+    rows += [(1000 - i, [1.0, 2.0, 3.0]) for i in range(100)] + [(950, [1.0, 2.0, 3.0])] * 3  # ties, repeated ids
+    rows += [(2000 + i, [1.0, float(i)]) for i in range(3)] + [(2100, None), (2150, [0.0, 0.0, 0.0])]  # fewer than k
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).write.parquet(str(tmp_path / "v"))
+    v = spark.read.parquet(str(tmp_path / "v"))
+    stored = [tuple(r) for r in v.collect()]
+    found = ann.nearest(v, F.col("vec_id") % 50 == 0, k=4, block=16, query_block=5).drop("row").collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == brute(stored, 4)
+
+
+def test_vectors_are_not_multiplied_by_query_blocks(spark, small_sf):
+    v = spark.read.parquet(f"{small_sf}/embeddings.parquet").select("vec_id", "embedding")
+    plan = ann.nearest(v, F.col("vec_id") % 5 == 0, block=4, query_block=3)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    assert plan.count("Exchange") == 1  # of what is found
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 2100), st.floats(1e-3, 1e3))
+def test_no_pair_at_its_floor_is_passed_over(seed, dim, scale):
+    rng = np.random.default_rng(seed)
+    x, y = rng.normal(size=(4, dim)) * scale, rng.standard_t(2, size=(6, dim))
+    x, y = np.vstack([x, y[:2] * 3]), np.vstack([y, x[:2], -x[:1]])
+    q, v = ann.Queries.__new__(ann.Queries), ann.Held([(np.arange(len(y)), y, ann.quantise(y))])
+    q.dim = dim
+    q.code, q.scale, q.length, q.miss = (ann.quantise(x)[c] for c in ("code", "scale", "length", "miss"))
+    for j in range(len(y)):
+        floors = ann.cosines(x, np.repeat(y[j:j + 1], len(x), axis=0))
+        assert (np.matmul(q.wide(floors), v.wide[j]) >= 0).all()
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 10**6), st.integers(1, 70), st.floats(1e-3, 1e3))
 def test_bounds_hold(seed, dim, scale):
