@@ -266,14 +266,19 @@ def write_log_files(documents: DataFrame, folder: str, share: float) -> None:
     """The lines of ``documents`` as log files of a source and a range of
     ids each, up to the first ``share`` of their bytes: a call with a larger
     share finds the files grown, wherever the cut lies.  Files are written
-    whole, by name, so a repeated task does no harm."""
+    whole, by name, so a repeated task does no harm.  The window keeps the
+    lines of a file in one task: adaptive plans may drop a repartition by the
+    key of a join, and deal the join's rows out anew."""
+    from pyspark.sql import Window
+
     from lakefold.sources.logtail import open_fs
 
     lines = documents.select(
         F.concat(F.url_encode(F.coalesce("source", F.lit(""))), F.lit("-"), F.expr(f"doc_id div {LOG_FILE_DOCS}"), F.lit(".log")).alias("file"),
-        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    sizes = lines.groupBy("file").agg(F.sum(F.octet_length("line") + 1).alias("size"))
-    ordered = lines.join(sizes, "file").repartition("file").sortWithinPartitions("file", "doc_id", "pos")
+        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).filter(F.col("file").isNotNull())
+    order = ["doc_id", "pos", "line"]  # whole, so that each call writes the same
+    whole = Window.partitionBy("file").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = lines.withColumn("size", F.sum(F.octet_length("line") + 1).over(whole)).sortWithinPartitions("file", *order)
 
     def write(batches):
         import pyarrow as pa

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from lakefold.functions.logtext import EVENT_START
+from lakefold.plans.derived import write_log_files
 from lakefold.sources.logtail import MIN_TASKS, LogTailReader, tail_events
 from lakefold.streaming.jobs import append_job
 
@@ -139,3 +140,28 @@ def test_number_of_tasks_does_not_follow_the_ranges(tmp_dir, n_files, size):
     sizes = [sum(hi - lo for _, lo, hi, *_ in task.parts) for task in tasks]
     assert max(sizes) <= 2 * sum(sizes) / MIN_TASKS + 90
     assert sum(p[1] == "end" for task in tasks for p in reader._pieces(task.parts)) == n_files
+
+
+def test_log_files_are_whole_when_a_join_would_be_replanned(spark, tmp_dir):
+    rng = random.Random(3)
+    docs = [(i, "\n".join(f"{i} {j} " + "é" * rng.randint(0, 60) for j in range(rng.randint(1, 30))), f"s{i % 4}") for i in range(1200)]
+    docs += [(7, f"another {j}\nof one id", "s3") for j in range(20)]  # ids repeat
+    want = {}
+    for i, text, source in docs:
+        want.setdefault(f"{source}-{i // 500}.log", []).extend(text.split("\n"))
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(6).write.parquet(f"{tmp_dir}/docs")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in held}
+    for c, v in held.items():
+        spark.conf.set(c, v)
+    try:
+        for share in (0.5, 1.0):
+            write_log_files(spark.read.parquet(f"{tmp_dir}/docs"), f"{tmp_dir}/{share}", share)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sorted(os.listdir(f"{tmp_dir}/1.0")) == sorted(want)
+    for name, lines in want.items():
+        whole = open(f"{tmp_dir}/1.0/{name}", "rb").read()
+        assert sorted(whole.decode().split("\n")[:-1]) == sorted(lines)
+        assert open(f"{tmp_dir}/0.5/{name}", "rb").read() == whole[:len(whole) // 2]
